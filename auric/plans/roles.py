@@ -170,6 +170,40 @@ SELECT
 FROM {events}""",
     "live_ids": """
 SELECT c_custkey AS user_id FROM {customer} WHERE c_acctbal >= 0""",
+    # Date text in the shapes a CRM export carries, some of which are not
+    # dates at all; one row per order.
+    "date_texts": """
+SELECT
+  o_orderkey AS id,
+  CASE o_orderkey % 8
+    WHEN 0 THEN cast(cast(o_orderdate AS date) AS string)
+    WHEN 1 THEN cast(year(o_orderdate) AS string) || '/'
+                || lpad(cast(month(o_orderdate) AS string), 2, '0') || '/'
+                || lpad(cast(day(o_orderdate) AS string), 2, '0')
+    WHEN 2 THEN cast(cast(o_orderdate AS date) AS string) || 'T08:30:00Z'
+    WHEN 3 THEN lpad(cast(day(o_orderdate) AS string), 2, '0') || '/'
+                || lpad(cast(month(o_orderdate) AS string), 2, '0') || '/'
+                || cast(year(o_orderdate) AS string)
+    WHEN 4 THEN cast(year(o_orderdate) AS string)
+    WHEN 5 THEN cast(year(o_orderdate) AS string) || '-'
+                || lpad(cast(month(o_orderdate) AS string), 2, '0')
+    WHEN 6 THEN cast(year(o_orderdate) AS string) || '-02-30'
+    ELSE '' END AS txt
+FROM {orders}""",
+    # Number text in the shapes a CRM export carries; one row per event.
+    "number_texts": """
+SELECT
+  event_id AS id,
+  CASE event_id % 8
+    WHEN 0 THEN cast(value AS string)
+    WHEN 1 THEN cast(value AS string) || 'd'
+    WHEN 2 THEN ' ' || cast(value AS string) || ' '
+    WHEN 3 THEN cast(cast(floor(value) AS bigint) AS string) || 'e2'
+    WHEN 4 THEN '1,' || cast(cast(floor(value) AS bigint) AS string)
+    WHEN 5 THEN regexp_extract(props, '([0-9]+)', 1)
+    WHEN 6 THEN cast(cast(floor(value) AS bigint) AS string) || 'abc'
+    ELSE props END AS txt
+FROM {events}""",
 }
 
 _ROLE_INPUTS = {
@@ -181,6 +215,8 @@ _ROLE_INPUTS = {
     "non_certificate_holder": ("orders",),
     "bronze_events": ("events",),
     "live_ids": ("customer",),
+    "date_texts": ("orders",),
+    "number_texts": ("events",),
 }
 
 

@@ -23,6 +23,7 @@ LOG_SCHEMA = StructType([
     StructField("operation", StringType(), False),
     StructField("rows", LongType(), True),
     StructField("note", StringType(), True),
+    StructField("max_cursor", TimestampType(), True),
 ])
 
 
@@ -62,7 +63,11 @@ class LakeTable:
         return self.current_version() is not None
 
     def read(self, version: int | None = None) -> DataFrame:
-        """Current contents, or the contents at ``version`` (time travel)."""
+        """Current contents, or the contents at ``version`` (time travel).
+
+        A dated table is read whole; its history is its dates."""
+        if version is None and self.is_dated():
+            return self.spark.read.parquet(self.path)
         v = self.current_version() if version is None else version
         if v is None:
             raise FileNotFoundError(f"no committed version at {self.path}")
@@ -79,16 +84,45 @@ class LakeTable:
                 .orderBy(F.col("snapshot_id").desc()).limit(limit))
 
     def commit(self, df: DataFrame, operation: str, note: str | None = None,
-               max_files: int | None = None) -> int:
-        """Write ``df`` as the next version and record it in the log."""
+               max_files: int | None = None, cursor: str | None = None) -> int:
+        """Write ``df`` as the next version and record it in the log.
+
+        With ``cursor`` the log row also keeps the greatest cursor of the new
+        version: the next incremental run reads its watermark from the log.
+        """
         v = (self.current_version() or 0) + 1
         out = df.coalesce(max_files) if max_files else df
         out.write.mode("errorifexists").parquet(self.version_path(v))
-        rows = self.spark.read.parquet(self.version_path(v)).count()
-        entry = [(v, _dt.datetime.now(_dt.timezone.utc), operation, rows, note)]
+        written = self.spark.read.parquet(self.version_path(v))
+        if cursor is not None:
+            stats = written.agg(F.count(F.lit(1)).alias("n"),
+                                F.max(F.col(f"`{cursor}`").cast("timestamp")).alias("m")).first()
+            rows, top = stats["n"], stats["m"]
+        else:
+            rows, top = written.count(), None
+        self.append_log(v, operation, rows, note, top)
+        return v
+
+    def append_log(self, version: int, operation: str, rows: int | None,
+                   note: str | None = None, max_cursor=None) -> None:
+        entry = [(version, _dt.datetime.now(_dt.timezone.utc), operation, rows, note,
+                  max_cursor)]
         (self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1)
          .write.mode("append").json(self.log_path))
-        return v
+
+    def is_dated(self) -> bool:
+        """True for append-by-date tables (``partitionBy("snapshot_date")``)."""
+        log = self.log()
+        return log is not None and bool(
+            log.where(F.col("operation") == "snapshot").limit(1).count())
+
+    def snapshot_dates(self) -> DataFrame | None:
+        """Dates recorded in the log of a dated table (including empty ones)."""
+        log = self.log()
+        if log is None:
+            return None
+        return (log.where(F.col("operation") == "snapshot")
+                .select(F.col("note").cast("date").alias("snapshot_date")).distinct())
 
     def replace(self, df: DataFrame, expected_rows: int | None = None,
                 max_shrink: float | None = 0.5) -> int:
@@ -110,11 +144,19 @@ class LakeTable:
                     raise ShrinkRefused(f"{n} rows would replace {before}")
         return self.commit(df, "replace")
 
+    def last_cursor(self):
+        """Greatest cursor of the current version, from the log (None if new)."""
+        log = self.log()
+        if log is None:
+            return None
+        row = log.orderBy(F.col("version").desc()).select("max_cursor").first()
+        return row[0] if row else None
+
     def merge(self, batch: DataFrame, pk, cursor: str | None = None) -> int:
         """Upsert ``batch`` by key into a new version."""
         from auric.operators.merge import merge_upsert
         target = self.read() if self.exists() else None
-        return self.commit(merge_upsert(target, batch, pk, cursor), "merge")
+        return self.commit(merge_upsert(target, batch, pk, cursor), "merge", cursor=cursor)
 
 
 def list_tables(spark: SparkSession, root: str, layer: str) -> DataFrame:
