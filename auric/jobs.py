@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -16,6 +17,7 @@ from auric.operators.dedupe import silver_dedupe
 from auric.operators.incremental import incremental_since
 from auric.operators.snapshot import append_snapshot, has_snapshot
 from auric.plans import gold
+from auric.session import scratch_path
 from auric.sources.landed import (backfill_from_csv, delta_from_json, live_ids_snapshot,
                                   load_seed)
 from auric.sources.lake import LakeTable, list_tables
@@ -106,15 +108,24 @@ GOLD_TABLES = ("baseline_certification", "coc_per_country", "daily_certificate_n
                "issued_vs_terminations", "members", "sites_with_identity")
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a frame reading it back: the lineage is cut, every consumer sees
+    the same rows, a lost executor re-reads files instead of recomputing the
+    joins, and consumers still get column pruning and pushed filters."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def gold_frames(silver: dict[str, DataFrame], regions: DataFrame | None,
                 as_of=None, snapshot_date=None, select: Iterable[str] | None = None,
                 cut_lineage: bool = True) -> dict[str, DataFrame]:
     """The gold metric frames from silver frames keyed by model name.
 
     The certificate x account frame (G1) and its holder dedup (G2) feed five
-    outputs; with ``cut_lineage`` they are checkpointed once to the shared
-    checkpoint folder, so every output reads the same rows and a lost executor
-    re-reads files instead of recomputing the joins.
+    outputs; with ``cut_lineage`` both are written once to the shared
+    checkpoint folder (``materialize``) and the outputs read them back.
     """
     want = set(select or GOLD_TABLES)
     out: dict[str, DataFrame] = {}
@@ -123,9 +134,9 @@ def gold_frames(silver: dict[str, DataFrame], regions: DataFrame | None,
     if needs_g1:
         g1 = gold.certificate_account_country(silver["account"], silver["country_data"],
                                               silver["certificate_c"], silver["recordtype"])
-        g1 = g1.checkpoint() if cut_lineage else g1
+        g1 = materialize(g1, "gold-g1") if cut_lineage else g1
         g2 = gold.holder_preference_dedup(g1)
-        g2 = g2.checkpoint() if cut_lineage else g2
+        g2 = materialize(g2, "gold-g2") if cut_lineage else g2
         if "baseline_certification" in want:
             out["baseline_certification"] = gold.baseline_certification(g2, as_of, snapshot_date)
         if "coc_per_country" in want:
@@ -171,8 +182,17 @@ def build_gold(spark: SparkSession, lake_root: str, snapshot_date=None, as_of=No
     regions_t = LakeTable.at(spark, lake_root, "gold", "regions")
     regions = regions_t.read() if regions_t.exists() else None
     frames = gold_frames(silver, regions, as_of, snap, todo, cut_lineage)
-    return {t: append_snapshot(spark, df, f"{root}/gold/{t}", snap, replace)
-            for t, df in frames.items()}
+    return write_concurrently(
+        {t: (lambda t=t, df=df: append_snapshot(spark, df, f"{root}/gold/{t}", snap, replace))
+         for t, df in frames.items()})
+
+
+def write_concurrently(tasks: dict[str, Callable[[], object]], workers: int = 4) -> dict:
+    """Submit independent output jobs from a few driver threads, so small jobs
+    overlap instead of leaving executors idle between them."""
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
 
 
 def publish(spark: SparkSession, lake_root: str, layer: str, dest_root: str,
