@@ -132,10 +132,12 @@ def gold_frames(silver: dict[str, DataFrame], regions: DataFrame | None,
     needs_g1 = want & {"baseline_certification", "coc_per_country", "fm_per_country",
                        "sites_with_identity", "issued_vs_terminations"}
     if needs_g1:
-        g1 = gold.certificate_account_country(silver["account"], silver["country_data"],
-                                              silver["certificate_c"], silver["recordtype"])
+        args = (silver["account"], silver["country_data"], silver["certificate_c"],
+                silver["recordtype"])
+        g1 = gold.certificate_account_country(*args)
         g1 = materialize(g1, "gold-g1") if cut_lineage else g1
-        g2 = gold.holder_preference_dedup(g1)
+        # G2 straight from silver (skew-safe form; silver certificate ids are unique)
+        g2 = gold.certificate_holder(*args)
         g2 = materialize(g2, "gold-g2") if cut_lineage else g2
         if "baseline_certification" in want:
             out["baseline_certification"] = gold.baseline_certification(g2, as_of, snapshot_date)

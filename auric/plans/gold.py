@@ -114,16 +114,40 @@ def certificate_account_country(account: DataFrame, country_data: DataFrame,
     return cert.join(acct, "cert_rel", "inner").select(*G1_COLUMNS)
 
 
+def _holder_order() -> list[Column]:
+    pref = F.when(F.col("acct_type").isin(*specs.CERT_HOLDER_TYPES), 0).otherwise(1)
+    return [pref.asc(), F.col("company").asc_nulls_last(),
+            F.col("acct_type").asc_nulls_last(), F.col("country").asc_nulls_last()]
+
+
+def _first_per_cert(df: DataFrame) -> DataFrame:
+    w = Window.partitionBy("cert_rel").orderBy(*_holder_order())
+    return (df.withColumn("_rn", F.row_number().over(w))
+              .where(F.col("_rn") == 1).drop("_rn"))
+
+
 def holder_preference_dedup(g1: DataFrame) -> DataFrame:
     """One row per certificate, preferring a certificate-holder account type;
     ties broken by company, account type and country (ascending) so the
     result does not depend on partitioning."""
-    pref = F.when(F.col("acct_type").isin(*specs.CERT_HOLDER_TYPES), 0).otherwise(1)
-    w = Window.partitionBy("cert_rel").orderBy(
-        pref.asc(), F.col("company").asc_nulls_last(),
-        F.col("acct_type").asc_nulls_last(), F.col("country").asc_nulls_last())
-    return (g1.withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") == 1).drop("_rn"))
+    return _first_per_cert(g1)
+
+
+def certificate_holder(account: DataFrame, country_data: DataFrame,
+                       certificate: DataFrame, recordtype: DataFrame) -> DataFrame:
+    """G2 computed without materialising G1: the preferred account of each
+    certificate is chosen first, then joined to its certificate.
+
+    Equal to ``holder_preference_dedup(certificate_account_country(...))``
+    when certificate ids are unique (silver guarantees it): every G1 row of a
+    certificate carries the same certificate columns, so the choice depends
+    on the account columns only. Choosing before the join puts a partial
+    group limit in front of the shuffle, so a certificate with a very large
+    number of accounts sends one row per map task, and the join becomes 1:1.
+    """
+    cert = certificate_recordtype(certificate, recordtype)
+    best = _first_per_cert(account_country(account, country_data))
+    return cert.join(best, "cert_rel", "inner").select(*G1_COLUMNS)
 
 
 def _valid_active(g2: DataFrame, as_of: DateLike) -> DataFrame:

@@ -185,7 +185,9 @@ def _g1(spark, sf):
 
 
 def _g2(spark, sf):
-    return gold.holder_preference_dedup(_g1(spark, sf))
+    r = roles(spark, sf, *_GOLD_ROLES)
+    return gold.certificate_holder(r["account"], r["country_data"], r["certificate_c"],
+                                   r["recordtype"])
 
 
 @register("account_country_join", role_cte("account", "country_data") + f"""
@@ -211,6 +213,11 @@ def q_g1(spark, sf):
 
 @register("holder_preference_dedup", _GOLD_CTE + "\nSELECT * FROM g2")
 def q_g2(spark, sf):
+    return gold.holder_preference_dedup(_g1(spark, sf))
+
+
+@register("certificate_holder", _GOLD_CTE + "\nSELECT * FROM g2")
+def q_certificate_holder(spark, sf):
     return _g2(spark, sf)
 
 

@@ -290,6 +290,27 @@ def q_paged_json_explode(spark, sf):
     return paged_json_explode(spark, path, _PAGE_RECORD)
 
 
+@register("stream_ingest", _ORDERS_TEXT_SQL)
+def q_stream_ingest(spark, sf):
+    """Land orders as JSON deltas in four slices by date, then merge them into a
+    bronze table with an available-now stream (one file slice per trigger)."""
+    from auric.streaming import stream_ingest
+    o = read_table(spark, sf, "orders")
+    landing = scratch_path(spark, "landing-stream")
+    epoch = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    bounds = ["1990-01-01", "1996-06-01", "1998-01-01", "1999-06-01", "2100-01-01"]
+    for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+        d = F.col("o_orderdate")
+        (o.where((d >= F.lit(lo).cast("timestamp_ntz")) & (d < F.lit(hi).cast("timestamp_ntz")))
+         .select(*_TEXT_COLS, epoch.alias("o_orderdate"))
+         .write.json(f"{landing}/slice={i}"))
+    schema = StructType([StructField(c, StringType()) for c in (*_TEXT_COLS, "o_orderdate")])
+    table = LakeTable(spark, scratch_path(spark, "bronze-orders"))
+    stream_ingest(spark, f"{landing}/*", schema, table, "o_orderkey", "o_orderdate",
+                  scratch_path(spark, "stream-ckpt"), max_files_per_trigger=8)
+    return table.read()
+
+
 @register("select_queryable_columns", "SELECT vec_id, label FROM embeddings")
 def q_select_queryable_columns(spark, sf):
     return select_queryable_columns(read_table(spark, sf, "embeddings"))
