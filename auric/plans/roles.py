@@ -30,7 +30,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from auric import specs
-from auric.sources.files import read_parquet
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -221,14 +220,29 @@ _ROLE_INPUTS = {
 }
 
 
+# The test tables are read-only, so one DataFrame per (session, table) and per
+# role is reused: repeated reads would list files and parse footers again.
+_CACHE: dict[tuple, DataFrame] = {}
+
+
+def _cached(key: tuple, build) -> DataFrame:
+    df = _CACHE.get(key)
+    if df is None or df.sparkSession is not key[0]:
+        df = _CACHE[key] = build()
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return _cached((spark, "table", path), lambda: spark.read.parquet(path))
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One CRM-shaped frame derived from the test tables."""
-    inputs = {t: read_table(spark, sf_dir, t) for t in _ROLE_INPUTS[name]}
-    return spark.sql(ROLE_SQL[name], **inputs)
+    def build():
+        inputs = {t: read_table(spark, sf_dir, t) for t in _ROLE_INPUTS[name]}
+        return spark.sql(ROLE_SQL[name], **inputs)
+    return _cached((spark, "role", sf_dir.rstrip("/"), name), build)
 
 
 def roles(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:

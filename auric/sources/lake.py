@@ -84,23 +84,19 @@ class LakeTable:
                 .orderBy(F.col("snapshot_id").desc()).limit(limit))
 
     def commit(self, df: DataFrame, operation: str, note: str | None = None,
-               max_files: int | None = None, cursor: str | None = None) -> int:
+               max_files: int | None = None, max_cursor=None) -> int:
         """Write ``df`` as the next version and record it in the log.
 
-        With ``cursor`` the log row also keeps the greatest cursor of the new
-        version: the next incremental run reads its watermark from the log.
+        ``max_cursor`` is the watermark to store with the version (for merges:
+        the greater of the previous watermark and the batch's greatest
+        cursor), so the next incremental run never scans the table for it.
+        The row count comes from the Parquet footers of the new version.
         """
         v = (self.current_version() or 0) + 1
         out = df.coalesce(max_files) if max_files else df
         out.write.mode("errorifexists").parquet(self.version_path(v))
-        written = self.spark.read.parquet(self.version_path(v))
-        if cursor is not None:
-            stats = written.agg(F.count(F.lit(1)).alias("n"),
-                                F.max(F.col(f"`{cursor}`").cast("timestamp")).alias("m")).first()
-            rows, top = stats["n"], stats["m"]
-        else:
-            rows, top = written.count(), None
-        self.append_log(v, operation, rows, note, top)
+        rows = self.spark.read.parquet(self.version_path(v)).count()
+        self.append_log(v, operation, rows, note, max_cursor)
         return v
 
     def append_log(self, version: int, operation: str, rows: int | None,
@@ -153,10 +149,17 @@ class LakeTable:
         return row[0] if row else None
 
     def merge(self, batch: DataFrame, pk, cursor: str | None = None) -> int:
-        """Upsert ``batch`` by key into a new version."""
+        """Upsert ``batch`` by key into a new version; the stored watermark
+        becomes max(previous watermark, greatest batch cursor)."""
         from auric.operators.merge import merge_upsert
-        target = self.read() if self.exists() else None
-        return self.commit(merge_upsert(target, batch, pk, cursor), "merge", cursor=cursor)
+        exists = self.exists()
+        target = self.read() if exists else None
+        top = None
+        if cursor is not None:
+            top = batch.agg(F.max(F.col(f"`{cursor}`").cast("timestamp"))).first()[0]
+            prev = self.last_cursor() if exists else None
+            top = max(t for t in (top, prev) if t is not None) if (top or prev) else None
+        return self.commit(merge_upsert(target, batch, pk, cursor), "merge", max_cursor=top)
 
 
 def list_tables(spark: SparkSession, root: str, layer: str) -> DataFrame:
