@@ -5,14 +5,18 @@ A version directory is written completely before its log row is appended, so
 readers that resolve the current version from the log never see a partial
 write. Old versions stay readable (time travel) until they are vacuumed.
 The same layout works on any Hadoop file system URI.
+
+The log is metadata: one small row per commit. An operation reads it once
+(``entries``) and derives the current version, watermark and dates from it.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 from pyspark.sql.utils import AnalysisException
@@ -47,31 +51,46 @@ class LakeTable:
     def version_path(self, version: int) -> str:
         return f"{self.path}/v={version}"
 
+    # -- metadata ---------------------------------------------------------
+
     def log(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(LOG_SCHEMA).json(self.log_path)
         except AnalysisException:
             return None
 
-    def current_version(self) -> int | None:
+    def entries(self) -> list[Row]:
+        """All commit rows, oldest first (one small row per commit)."""
         log = self.log()
-        if log is None:
-            return None
-        return log.agg(F.max("version")).first()[0]
+        return [] if log is None else sorted(log.collect(), key=lambda r: r["version"])
+
+    @staticmethod
+    def _current(entries: list[Row]) -> int | None:
+        return entries[-1]["version"] if entries else None
+
+    def current_version(self) -> int | None:
+        return self._current(self.entries())
 
     def exists(self) -> bool:
-        return self.current_version() is not None
+        return bool(self.entries())
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """Current contents, or the contents at ``version`` (time travel).
+    @staticmethod
+    def _is_dated(entries: list[Row]) -> bool:
+        return any(e["operation"] == "snapshot" for e in entries)
 
-        A dated table is read whole; its history is its dates."""
-        if version is None and self.is_dated():
-            return self.spark.read.parquet(self.path)
-        v = self.current_version() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no committed version at {self.path}")
-        return self.spark.read.parquet(self.version_path(v))
+    def is_dated(self) -> bool:
+        """True for append-by-date tables (``partitionBy("snapshot_date")``)."""
+        return self._is_dated(self.entries())
+
+    def snapshot_dates(self) -> set[_dt.date]:
+        """Dates recorded in the log of a dated table (including empty ones)."""
+        return {_dt.date.fromisoformat(e["note"]) for e in self.entries()
+                if e["operation"] == "snapshot"}
+
+    def last_cursor(self):
+        """Watermark stored with the current version (None if new)."""
+        entries = self.entries()
+        return entries[-1]["max_cursor"] if entries else None
 
     def history(self, limit: int = 10) -> DataFrame:
         """Newest commits first: snapshot_id, snapshot_time, operation, rows."""
@@ -83,8 +102,30 @@ class LakeTable:
                            "operation", "rows", "note")
                 .orderBy(F.col("snapshot_id").desc()).limit(limit))
 
+    def append_log(self, version: int, operation: str, rows: int | None,
+                   note: str | None = None, max_cursor=None) -> None:
+        entry = [(version, _dt.datetime.now(_dt.timezone.utc), operation, rows, note,
+                  max_cursor)]
+        (self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1)
+         .write.mode("append").json(self.log_path))
+
+    # -- reads and writes -------------------------------------------------
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """Current contents, or the contents at ``version`` (time travel).
+
+        A dated table is read whole; its history is its dates."""
+        entries = self.entries()
+        if version is None and self._is_dated(entries):
+            return self.spark.read.parquet(self.path)
+        v = self._current(entries) if version is None else version
+        if v is None:
+            raise FileNotFoundError(f"no committed version at {self.path}")
+        return self.spark.read.parquet(self.version_path(v))
+
     def commit(self, df: DataFrame, operation: str, note: str | None = None,
-               max_files: int | None = None, max_cursor=None) -> int:
+               max_files: int | None = None, max_cursor=None,
+               version: int | None = None) -> int:
         """Write ``df`` as the next version and record it in the log.
 
         ``max_cursor`` is the watermark to store with the version (for merges:
@@ -92,34 +133,13 @@ class LakeTable:
         cursor), so the next incremental run never scans the table for it.
         The row count comes from the Parquet footers of the new version.
         """
-        v = (self.current_version() or 0) + 1
+        v = version if version is not None else (self.current_version() or 0) + 1
         out = df.coalesce(max_files) if max_files else df
         out.write.mode("errorifexists").parquet(self.version_path(v))
         rows = self.spark.read.parquet(self.version_path(v)).count()
         self.append_log(v, operation, rows, note, max_cursor)
         return v
 
-    def append_log(self, version: int, operation: str, rows: int | None,
-                   note: str | None = None, max_cursor=None) -> None:
-        entry = [(version, _dt.datetime.now(_dt.timezone.utc), operation, rows, note,
-                  max_cursor)]
-        (self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1)
-         .write.mode("append").json(self.log_path))
-
-    def is_dated(self) -> bool:
-        """True for append-by-date tables (``partitionBy("snapshot_date")``)."""
-        log = self.log()
-        return log is not None and bool(
-            log.where(F.col("operation") == "snapshot").limit(1).count())
-
-    def snapshot_dates(self) -> DataFrame | None:
-        """Dates recorded in the log of a dated table (including empty ones)."""
-        log = self.log()
-        if log is None:
-            return None
-        return (log.where(F.col("operation") == "snapshot")
-                .select(F.col("note").cast("date").alias("snapshot_date")).distinct())
-
     def replace(self, df: DataFrame, expected_rows: int | None = None,
                 max_shrink: float | None = 0.5) -> int:
         """Replace the whole table (e.g. a live-key snapshot).
@@ -129,37 +149,30 @@ class LakeTable:
         replace that loses more than that share of the previous rows, which
         protects the silver semi join from a truncated key set.
         """
+        entries = self.entries()
         if expected_rows is not None or max_shrink is not None:
             n = df.count()
             if expected_rows is not None and n != expected_rows:
                 raise ShrinkRefused(f"{n} rows, manifest says {expected_rows}")
-            prev = self.current_version()
-            if max_shrink is not None and prev is not None:
-                before = self.log().where(F.col("version") == prev).first()["rows"] or 0
-                if before and n < before * (1 - max_shrink):
-                    raise ShrinkRefused(f"{n} rows would replace {before}")
-        return self.commit(df, "replace")
-
-    def last_cursor(self):
-        """Greatest cursor of the current version, from the log (None if new)."""
-        log = self.log()
-        if log is None:
-            return None
-        row = log.orderBy(F.col("version").desc()).select("max_cursor").first()
-        return row[0] if row else None
+            before = entries[-1]["rows"] if entries else None
+            if max_shrink is not None and before and n < before * (1 - max_shrink):
+                raise ShrinkRefused(f"{n} rows would replace {before}")
+        return self.commit(df, "replace", version=(self._current(entries) or 0) + 1)
 
     def merge(self, batch: DataFrame, pk, cursor: str | None = None) -> int:
         """Upsert ``batch`` by key into a new version; the stored watermark
         becomes max(previous watermark, greatest batch cursor)."""
         from auric.operators.merge import merge_upsert
-        exists = self.exists()
-        target = self.read() if exists else None
+        entries = self.entries()
+        current = self._current(entries)
+        target = self.spark.read.parquet(self.version_path(current)) if current else None
         top = None
         if cursor is not None:
             top = batch.agg(F.max(F.col(f"`{cursor}`").cast("timestamp"))).first()[0]
-            prev = self.last_cursor() if exists else None
+            prev = entries[-1]["max_cursor"] if entries else None
             top = max(t for t in (top, prev) if t is not None) if (top or prev) else None
-        return self.commit(merge_upsert(target, batch, pk, cursor), "merge", max_cursor=top)
+        return self.commit(merge_upsert(target, batch, pk, cursor), "merge",
+                           max_cursor=top, version=(current or 0) + 1)
 
 
 def list_tables(spark: SparkSession, root: str, layer: str) -> DataFrame:
@@ -172,3 +185,83 @@ def list_tables(spark: SparkSession, root: str, layer: str) -> DataFrame:
     return (logs.select(name.alias("table_name")).distinct()
             .where(~F.col("table_name").contains("staging"))
             .orderBy("table_name"))
+
+
+@dataclass
+class BucketedTable(LakeTable):
+    """A versioned table stored by key bucket, where a merge rewrites only the
+    buckets its batch touches.
+
+    Layout: ``<path>/v=<n>/_bucket=<b>/``. Version ``n`` holds just the
+    buckets written by commit ``n``; its log row lists them (``note``, at most
+    ``buckets`` numbers). The table's contents are, for every bucket, that
+    bucket's folder in the newest version that wrote it. A read scans each
+    version folder once with a ``_bucket`` filter (partition pruning), and a
+    merge of a small delta rewrites a small share of the table.
+    ``compact`` writes every bucket into one fresh version.
+    """
+
+    buckets: int = 256
+    pk: tuple[str, ...] = ()
+
+    def _owners(self, entries: list[Row]) -> dict[int, int]:
+        owner: dict[int, int] = {}
+        for e in entries:
+            written = range(self.buckets) if e["note"] in (None, "all") else \
+                [int(b) for b in e["note"].split(",") if b]
+            for b in written:
+                owner[b] = e["version"]
+        return owner
+
+    def _read(self, entries: list[Row], only: set[int] | None = None) -> DataFrame:
+        by_version: dict[int, list[int]] = {}
+        for b, v in self._owners(entries).items():
+            if only is None or b in only:
+                by_version.setdefault(v, []).append(b)
+        if not by_version:
+            raise FileNotFoundError(f"no committed buckets at {self.path}")
+        parts = [self.spark.read.parquet(self.version_path(v))
+                 .where(F.col("_bucket").isin(*sorted(bs)))
+                 for v, bs in sorted(by_version.items())]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
+    def read(self, version: int | None = None, only: set[int] | None = None) -> DataFrame:
+        entries = self.entries()
+        if version is not None:
+            entries = [e for e in entries if e["version"] <= version]
+        return self._read(entries, only)
+
+    def _write(self, df: DataFrame, operation: str, touched: list[int] | None,
+               version: int) -> int:
+        (df.hint("rebalance", "_bucket").write.mode("errorifexists")
+         .partitionBy("_bucket").parquet(self.version_path(version)))
+        note = "all" if touched is None else ",".join(str(b) for b in touched)
+        self.append_log(version, operation, None, note)
+        return version
+
+    def with_bucket(self, df: DataFrame) -> DataFrame:
+        from auric.operators.merge import bucket_of
+        return df.withColumn("_bucket", bucket_of(list(self.pk), self.buckets))
+
+    def create(self, df: DataFrame) -> int:
+        return self._write(self.with_bucket(df), "create", None,
+                           (self.current_version() or 0) + 1)
+
+    def merge(self, batch: DataFrame, pk=None, cursor: str | None = None) -> int:
+        """Upsert ``batch``: read only the touched buckets, merge, write them
+        as the next version."""
+        from auric.operators.merge import merge_upsert
+        entries = self.entries()
+        b = self.with_bucket(batch)
+        # the set of touched buckets is bounded by ``buckets``
+        touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())
+        if not touched:
+            return self._current(entries) or 0
+        current = self._read(entries, only=set(touched))
+        merged = merge_upsert(current, b, list(self.pk), cursor)
+        return self._write(merged, "merge", touched, (self._current(entries) or 0) + 1)
+
+    def compact(self) -> int:
+        entries = self.entries()
+        return self._write(self._read(entries), "compact", None,
+                           (self._current(entries) or 0) + 1)

@@ -196,3 +196,22 @@ def test_stream_ingest_resumes(spark, tmp_root):
     assert stream_ingest(spark, f"{landing}/*", schema, table, "Id", "ts", ckpt) == 1
     assert {(r.Id, r.v) for r in table.read().collect()} == {("a", "2"), ("b", "1"),
                                                              ("c", "late")}
+
+
+def test_bucketed_table_rewrites_touched_buckets(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from auric.sources.lake import BucketedTable
+    t = BucketedTable(spark, f"{tmp_root}/b", buckets=8, pk=("Id",))
+    base = spark.range(200).select(F.col("id").cast("string").alias("Id"),
+                                   F.lit(T(2024, 1, 1)).alias("SystemModstamp"),
+                                   F.lit("v0").alias("v"))
+    t.create(base)
+    batch = spark.createDataFrame([("7", T(2024, 1, 2), "v1"), ("new", T(2024, 1, 2), "n")],
+                                  SCHEMA)
+    t.merge(batch, cursor="SystemModstamp")
+    log = {r.version: r.note for r in t.log().collect()}
+    assert log[1] == "all" and len(log[2].split(",")) <= 2
+    got = {r.Id: r.v for r in t.read().collect()}
+    assert len(got) == 201 and got["7"] == "v1" and got["new"] == "n" and got["8"] == "v0"
+    t.compact()
+    assert t.read().count() == 201
