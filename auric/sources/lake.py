@@ -3,8 +3,10 @@ log ``<table>/_log/`` (JSON rows written by Spark, one per commit).
 
 A version directory is written completely before its log row is appended, so
 readers that resolve the current version from the log never see a partial
-write. Old versions stay readable (time travel) until they are vacuumed.
-The same layout works on any Hadoop file system URI.
+write, and a retried job simply rewrites the unlisted folder. One writer per
+table at a time is assumed (as with the single-writer catalog it replaces).
+Old versions stay readable (time travel) until they are vacuumed. The same
+layout works on any Hadoop file system URI.
 
 The log is metadata: one small row per commit. An operation reads it once
 (``entries``) and derives the current version, watermark and dates from it.
@@ -135,7 +137,9 @@ class LakeTable:
         """
         v = version if version is not None else (self.current_version() or 0) + 1
         out = df.coalesce(max_files) if max_files else df
-        out.write.mode("errorifexists").parquet(self.version_path(v))
+        # a folder for a version the log does not list is left over from a
+        # failed attempt and is invisible to readers: overwrite it
+        out.write.mode("overwrite").parquet(self.version_path(v))
         rows = self.spark.read.parquet(self.version_path(v)).count()
         self.append_log(v, operation, rows, note, max_cursor)
         return v
@@ -233,7 +237,7 @@ class BucketedTable(LakeTable):
 
     def _write(self, df: DataFrame, operation: str, touched: list[int] | None,
                version: int) -> int:
-        (df.hint("rebalance", "_bucket").write.mode("errorifexists")
+        (df.hint("rebalance", "_bucket").write.mode("overwrite")
          .partitionBy("_bucket").parquet(self.version_path(version)))
         note = "all" if touched is None else ",".join(str(b) for b in touched)
         self.append_log(version, operation, None, note)

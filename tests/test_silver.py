@@ -92,3 +92,18 @@ def test_silver_keys_unique_and_live(spark):
     out = silver_dedupe(ev, "user_id", "ts", live_ids=live, tie_breakers=["event_id"])
     assert out.count() == out.select("user_id").distinct().count()
     assert out.join(live, "user_id", "left_anti").count() == 0
+
+
+def test_hot_key_latest_by_key(spark):
+    """One key holds a third of all rows: the result is still whole and exact,
+    and the plan keeps the partial group limit in front of the exchange."""
+    from pyspark.sql import functions as F
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1))
+                        .otherwise(F.col("user_id")))
+    out = latest_by_key(hot, "user_id", "ts", ["event_id"])
+    want = (hot.groupBy("user_id").agg(F.max(F.struct("ts", "event_id")).alias("m"))
+            .select("user_id", "m.event_id"))
+    assert rows(out, "user_id", "event_id") == rows(want, "user_id", "event_id")
+    plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert plan.index("Partial") > plan.index("Exchange")
