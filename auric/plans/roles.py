@@ -30,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from auric import specs
+from auric.sources.files import read_parquet
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -234,7 +235,7 @@ def _cached(key: tuple, build) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _cached((spark, "table", path), lambda: spark.read.parquet(path))
+    return _cached((spark, "table", path), lambda: read_parquet(spark, path))
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,0 +1,45 @@
+"""File-table reads with a floor on scan parallelism.
+
+A Parquet row group is the smallest unit Spark can split, so a table stored as
+one file with one row group is scanned by a single task, and everything up to
+the first shuffle (projections, casts, broadcast joins, partial aggregates)
+runs on one core. When a scan of at least ``min_bytes`` yields fewer splits
+than the cluster's default parallelism, ``read_parquet`` hash-partitions its
+rows on the leading columns (usually the key) across that many partitions.
+Hashing is deterministic, so a retried task sends every row to the same
+partition, and unlike a round-robin shuffle it needs no sort first. Small
+tables (dimensions) are left alone: they are broadcast or cheap as they are.
+A large table has many splits and is also returned untouched, so this never
+adds a shuffle at scale.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+MIN_BALANCE_BYTES = 1 << 20
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` on any Hadoop file system (a listing, no read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        lead = [F.col(f"`{c}`") for c in df.columns[:2]]
+        return df.repartition(target, F.xxhash64(*lead))
+    return df
+
+
+def read_parquet(spark: SparkSession, path: str, balance: bool = True,
+                 min_bytes: int = MIN_BALANCE_BYTES) -> DataFrame:
+    df = spark.read.parquet(path)
+    if balance and total_bytes(spark, path) >= min_bytes:
+        return balanced(df)
+    return df
