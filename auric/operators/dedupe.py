@@ -73,14 +73,27 @@ def latest_by_key(df: DataFrame, pk: str | Sequence[str], cursor: str | Column,
               .drop("_rn"))
 
 
-def hard_delete_semi_join(df: DataFrame, live_ids: DataFrame, pk: str) -> DataFrame:
+def hard_delete_semi_join(df: DataFrame, live_ids: DataFrame, pk: str,
+                          cursor: str | None = None, grace_after=None) -> DataFrame:
     """Keep rows whose key is still in the live-key snapshot (``pk IN (...)``).
 
     A left-semi join: duplicate or NULL live ids change nothing.
+
+    ``grace_after`` (with ``cursor``): also keep rows changed after that time,
+    i.e. after the live-key snapshot was taken, so rows created since the last
+    reconcile are not dropped until the next one. The two parts (semi join,
+    anti join filtered by time) are disjoint, so no row is duplicated.
     """
     live_pk = find_column(live_ids, pk) or pk
     ids = live_ids.select(q(live_pk).alias(pk))
-    return df.join(ids, on=pk, how="left_semi")
+    kept = df.join(ids, on=pk, how="left_semi")
+    if grace_after is None:
+        return kept
+    if cursor is None:
+        raise ValueError("grace_after needs the cursor column")
+    from auric.operators.incremental import incremental_since
+    recent = incremental_since(df.join(ids, on=pk, how="left_anti"), cursor, grace_after)
+    return kept.unionByName(recent)
 
 
 def project_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -95,10 +108,13 @@ def project_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*out)
 
 
-def drop_technical(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """Keep everything except load metadata / ranking columns."""
+def drop_technical(df: DataFrame, extra: Sequence[str] = (),
+                   drop_matching: str | None = None) -> DataFrame:
+    """Keep everything except load metadata / ranking columns, and columns
+    whose name contains ``drop_matching`` (e.g. '@' for OData annotations)."""
     drop = {c.lower() for c in (*TECHNICAL_COLUMNS, *extra)}
-    return df.select(*[q(c) for c in df.columns if c.lower() not in drop])
+    return df.select(*[q(c) for c in df.columns if c.lower() not in drop
+                       and not (drop_matching and drop_matching in c)])
 
 
 def silver_dedupe(df: DataFrame, pk: str, cursor: str,
@@ -106,7 +122,9 @@ def silver_dedupe(df: DataFrame, pk: str, cursor: str,
                   columns: Sequence[str] | None = None,
                   live_ids: DataFrame | None = None,
                   tie_breakers: Sequence[str | Column] = (),
-                  delete_filter: str = "before") -> DataFrame:
+                  delete_filter: str = "before",
+                  drop_matching: str | None = None,
+                  grace_after=None) -> DataFrame:
     """The full silver transform of one entity.
 
     Order: soft-delete filter -> latest per key -> live-key semi join ->
@@ -115,6 +133,8 @@ def silver_dedupe(df: DataFrame, pk: str, cursor: str,
     ``delete_filter="before"`` filters deleted rows before ranking (bronze is
     already merged to one row per key). ``"after"`` ranks first, so a newer
     deleted version hides older live ones; use it on append-only change logs.
+    ``drop_matching`` and ``grace_after`` are passed to ``drop_technical`` and
+    ``hard_delete_semi_join``.
     """
     if delete_filter not in ("before", "after"):
         raise ValueError("delete_filter must be 'before' or 'after'")
@@ -125,7 +145,7 @@ def silver_dedupe(df: DataFrame, pk: str, cursor: str,
     if has_soft_delete and delete_filter == "after":
         out = soft_delete_filter(out)
     if live_ids is not None:
-        out = hard_delete_semi_join(out, live_ids, pk)
+        out = hard_delete_semi_join(out, live_ids, pk, cursor, grace_after)
     if columns is not None:
         return project_columns(out, columns)
-    return drop_technical(out)
+    return drop_technical(out, drop_matching=drop_matching)

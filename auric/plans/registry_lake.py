@@ -3,8 +3,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -408,5 +406,3 @@ def q_currently_valid(spark, sf):
     c = role(spark, sf, "certificate_c")
     return c.where(gold.currently_valid("Date_To__c", AS_OF))
 
-
-_ = (_dt, merge_upsert)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,13 +67,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/auric-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "DEFAULT_CONF",
-           "is_local_path", "local_fs_path", "os"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "DEFAULT_CONF"]

@@ -107,3 +107,14 @@ def test_hot_key_latest_by_key(spark):
     assert rows(out, "user_id", "event_id") == rows(want, "user_id", "event_id")
     plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
     assert plan.index("Partial") > plan.index("Exchange")
+
+
+def test_grace_and_annotation_drop(spark, bronze):
+    live = spark.createDataFrame([("a",)], "Id string")
+    out = silver_dedupe(bronze, "Id", "SystemModstamp", live_ids=live, tie_breakers=["Name"],
+                        grace_after="2024-01-04T00:00:00Z")
+    # 'a' is live; 'd' (2024-01-05) changed after the snapshot; others dropped
+    assert rows(out, "Id") == [("a",), ("d",)]
+    ann = bronze.withColumn("Name@OData.Community.Display.V1.FormattedValue", bronze.Name)
+    kept = silver_dedupe(ann, "Id", "SystemModstamp", tie_breakers=["Name"], drop_matching="@")
+    assert kept.columns == ["Id", "SystemModstamp", "Name", "IsDeleted"]
