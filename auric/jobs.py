@@ -34,29 +34,33 @@ def ingest(spark: SparkSession, lake_root: str, landing_root: str,
            specs: Sequence[S.EntitySpec], csv_columns: dict[str, Sequence[str]],
            entities: Iterable[str] | None = None, seed_since=None,
            lag_seconds: int = S.LAG_SECONDS,
-           json_schemas: dict[str, StructType] | None = None) -> dict[str, int]:
+           json_schemas: dict[str, StructType] | None = None,
+           workers: int = 4) -> dict[str, int]:
     """Bronze load of each selected entity.
 
     First run (no stored version): the CSV backfill under
     ``<landing>/<table>/csv`` filtered to ``cursor > seed - lag``. Later runs:
     the JSON deltas under ``<landing>/<table>/json`` filtered to
     ``cursor > last - lag``, with ``last`` read from the commit log. Both are
-    normalised to text + UTC cursor and merged by primary key.
+    normalised to text + UTC cursor and merged by primary key. Entities are
+    independent tables, so up to ``workers`` of them load at the same time.
     """
-    done = {}
-    for spec in _selected(specs, entities):
+    def load(spec: S.EntitySpec) -> int:
         table = LakeTable.at(spark, lake_root, "bronze", spec.table)
         base = f"{landing_root.rstrip('/')}/{spec.table}"
-        if not table.exists():
+        last = table.last_cursor()
+        if last is None and not table.exists():
             batch = backfill_from_csv(spark, f"{base}/csv", csv_columns[spec.table],
                                       spec.cursor)
             batch = incremental_since(batch, spec.cursor, None, lag_seconds, seed_since)
         else:
             schema = (json_schemas or {}).get(spec.table)
             batch = delta_from_json(spark, f"{base}/json", spec.cursor, schema)
-            batch = incremental_since(batch, spec.cursor, table.last_cursor(), lag_seconds)
-        done[spec.table] = table.merge(batch, spec.pk, spec.cursor)
-    return done
+            batch = incremental_since(batch, spec.cursor, last, lag_seconds)
+        return table.merge(batch, spec.pk, spec.cursor)
+
+    return write_concurrently({s.table: (lambda s=s: load(s))
+                               for s in _selected(specs, entities)}, workers)
 
 
 def reconcile_ids(spark: SparkSession, lake_root: str, exports: dict[str, DataFrame],
@@ -77,14 +81,14 @@ def reconcile_ids(spark: SparkSession, lake_root: str, exports: dict[str, DataFr
 def build_silver(spark: SparkSession, lake_root: str, specs: Sequence[S.EntitySpec],
                  select: Iterable[str] | None = None,
                  overrides: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-                 regions_seed: str | None = None) -> dict[str, int]:
+                 regions_seed: str | None = None, workers: int = 4) -> dict[str, int]:
     """Rebuild each selected silver table as a new version. A model named in
-    ``overrides`` is built by that function from its bronze frame instead."""
-    done = {}
-    for spec in _selected(specs, select):
+    ``overrides`` is built by that function from its bronze frame instead.
+    Tables are independent, so up to ``workers`` build at the same time."""
+    def build(spec: S.EntitySpec) -> int | None:
         bronze = LakeTable.at(spark, lake_root, "bronze", spec.table)
         if not bronze.exists():
-            continue
+            return None
         src = bronze.read()
         if overrides and spec.model in overrides:
             out = overrides[spec.model](src)
@@ -94,13 +98,14 @@ def build_silver(spark: SparkSession, lake_root: str, specs: Sequence[S.EntitySp
             live = live_t.read() if live_t is not None and live_t.exists() else None
             out = silver_dedupe(src, spec.pk, spec.cursor, spec.has_soft_delete,
                                 spec.columns, live, spec.tie_breakers)
-        done[spec.model] = LakeTable.at(spark, lake_root, "silver", spec.model).commit(
-            out, "build")
+        return LakeTable.at(spark, lake_root, "silver", spec.model).commit(out, "build")
+
+    tasks = {s.model: (lambda s=s: build(s)) for s in _selected(specs, select)}
     if regions_seed:
         seed = load_seed(spark, regions_seed, S.REGIONS_SEED_SCHEMA)
-        done["regions"] = LakeTable.at(spark, lake_root, "gold", "regions").commit(
+        tasks["regions"] = lambda: LakeTable.at(spark, lake_root, "gold", "regions").commit(
             seed, "seed")
-    return done
+    return {k: v for k, v in write_concurrently(tasks, workers).items() if v is not None}
 
 
 GOLD_TABLES = ("baseline_certification", "coc_per_country", "daily_certificate_numbers",
@@ -184,8 +189,10 @@ def build_gold(spark: SparkSession, lake_root: str, snapshot_date=None, as_of=No
     regions_t = LakeTable.at(spark, lake_root, "gold", "regions")
     regions = regions_t.read() if regions_t.exists() else None
     frames = gold_frames(silver, regions, as_of, snap, todo, cut_lineage)
+    # dates were probed above; skip the second probe inside append_snapshot
     return write_concurrently(
-        {t: (lambda t=t, df=df: append_snapshot(spark, df, f"{root}/gold/{t}", snap, replace))
+        {t: (lambda t=t, df=df: append_snapshot(spark, df, f"{root}/gold/{t}", snap, replace,
+                                                known_absent=not replace))
          for t, df in frames.items()})
 
 

@@ -14,8 +14,8 @@ from auric.operators.incremental import incremental_since, max_cursor
 from auric.operators.merge import merge_upsert
 from auric.operators.snapshot import append_snapshot, latest_snapshot
 from auric.plans import gold
-from auric.plans.registry import _ASOF, register, sql_list
-from auric.plans.roles import AS_OF, TEST_TABLES, read_table, role, role_cte
+from auric.plans.registry import _ASOF, _G1_SQL, register, sql_list
+from auric.plans.roles import AS_OF, SNAPSHOT_DATE, TEST_TABLES, read_table, role, role_cte
 from auric.session import scratch_path
 from auric.sources.catalog import adhoc_sql, table_row_counts
 from auric.sources.landed import (landed_csv_scan, landed_json_scan, live_ids_snapshot,
@@ -406,3 +406,56 @@ def q_currently_valid(spark, sf):
     c = role(spark, sf, "certificate_c")
     return c.where(gold.currently_valid("Date_To__c", AS_OF))
 
+
+
+# --------------------------------------------------------------------------
+# The layer jobs end to end
+# --------------------------------------------------------------------------
+
+_E2E_ROLES = {"certificate_c": "certificate_c__c", "account": "account",
+              "country_data": "country_data__c", "recordtype": "recordtype",
+              "non_certificate_holder": "non_certificate_holder__c"}
+
+
+@register("medallion_end_to_end", role_cte("certificate_c", "account", "country_data",
+                                           "recordtype")
+          + _G1_SQL + f"""
+SELECT ctype, country, count(*) AS certificates,
+       sum(boreal_forests) AS boreal_forests,
+       sum(community_forestry) AS community_forestry,
+       sum(forest_area_total) AS forest_area_total,
+       sum(ntfp_services) AS management_for_ntfp_and_services,
+       sum(plantations) AS plantations,
+       sum(temperate_forests) AS temperate_forests,
+       sum(tropical_forests) AS tropical_forests,
+       DATE '{SNAPSHOT_DATE}' AS snapshot_date
+FROM g2
+WHERE try_cast(Date_To__c AS date) >= {_ASOF}
+  AND Cert_Status__c NOT IN ({sql_list(specs.INACTIVE_STATUSES)})
+  AND ctype IS NOT NULL AND country IS NOT NULL
+GROUP BY ctype, country""")
+def q_medallion_end_to_end(spark, sf):
+    """Land the CRM-shaped tables as CSV exports, then run the layer jobs:
+    bronze ingest (first run: CSV backfill, merge by key), silver build
+    (soft-delete filter, latest per key, keep-all), regions seed, gold build
+    of all nine tables; return the baseline_certification snapshot."""
+    root = scratch_path(spark, "medallion")
+    landing, lake = f"{root}/landing", f"{root}/lake"
+    stamp = F.lit("2026-11-30T12:00:00.000Z")
+    csv_columns, entity_specs, landings = {}, [], {}
+    for name, table in _E2E_ROLES.items():
+        df = role(spark, sf, name)
+        csv_columns[table] = [*df.columns, "IsDeleted", "SystemModstamp"]
+        out = df.select("*", F.lit("false").alias("IsDeleted"), stamp.alias("SystemModstamp"))
+        landings[table] = (lambda out=out, table=table: out.write.option("header", True)
+                           .option("escape", '"').csv(f"{landing}/{table}/csv"))
+        entity_specs.append(specs.EntitySpec(table=table, model=name, pk="Id",
+                                             cursor="SystemModstamp"))
+    regions_csv = f"{landing}/regions"
+    landings["regions"] = lambda: role(spark, sf, "regions").write.option(
+        "header", True).csv(regions_csv)
+    jobs.write_concurrently(landings)
+    jobs.ingest(spark, lake, landing, entity_specs, csv_columns)
+    jobs.build_silver(spark, lake, entity_specs, regions_seed=regions_csv)
+    jobs.build_gold(spark, lake, snapshot_date=SNAPSHOT_DATE, as_of=AS_OF)
+    return spark.read.parquet(f"{lake}/gold/baseline_certification")
