@@ -22,17 +22,44 @@ DEFAULT_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, tens of TB per
+# job). Shuffles start with many partitions and AQE coalesces them to about
+# the advisory size, so a stage neither spills from oversized partitions nor
+# drowns in tiny tasks; a partition several times the median and above the
+# byte threshold counts as skewed and is split. Scan splits of 256 MB keep the
+# task count of a 100 TB scan near 400k rather than 800k.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.shuffle.service.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, app: str = "auric",
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
+                extra: dict[str, str] | None = None,
+                cluster: bool = False) -> SparkSession:
     """Build (or reuse) a session with the engine defaults.
 
-    On a cluster ``master`` is left to spark-submit; tests pass ``local[N]``.
+    On a cluster ``master`` is left to spark-submit and ``cluster=True`` adds
+    ``CLUSTER_CONF``; tests pass ``local[N]``. Settings given to spark-submit
+    win over these defaults only if passed through ``extra``.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -67,4 +94,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/auric-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "DEFAULT_CONF",
+           "CLUSTER_CONF"]

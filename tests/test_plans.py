@@ -53,3 +53,26 @@ def test_holder_dedup_reuses_join_partitioning(spark, q):
 def test_dimensions_broadcast(spark, q):
     p = plan(q["members"](spark, SF), "simple")
     assert p.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in p
+
+
+def test_certificate_holder_limits_before_shuffle(spark, q):
+    p = plan(q["certificate_holder"](spark, SF), "simple")
+    # the holder choice is made on the account side: a partial group limit
+    # sits below the exchange on cert_rel
+    lines = p.splitlines()
+    partial = [i for i, ln in enumerate(lines)
+               if "WindowGroupLimit [cert_rel" in ln and ln.rstrip().endswith("Partial")]
+    exchange = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning(cert_rel" in ln]
+    assert partial and any(e < partial[0] for e in exchange)
+
+
+def test_merge_does_not_shuffle_target_for_small_batch(spark, q):
+    p = plan(q["merge_upsert"](spark, SF), "simple")
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+    # the only exchanges are the batch's own dedupe
+    assert p.count("Exchange hashpartitioning(o_orderkey") == 2
+
+
+def test_gold_aggregates_partial(spark, q):
+    p = plan(q["baseline_certification"](spark, SF), "simple")
+    assert "partial_count" in p and "partial_sum" in p
