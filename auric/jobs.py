@@ -55,7 +55,7 @@ def ingest(spark: SparkSession, lake_root: str, landing_root: str,
             batch = incremental_since(batch, spec.cursor, None, lag_seconds, seed_since)
         else:
             schema = (json_schemas or {}).get(spec.table)
-            batch = delta_from_json(spark, f"{base}/json", spec.cursor, schema)
+            batch = delta_from_json(spark, f"{base}/json", spec.cursor, schema, since=last)
             batch = incremental_since(batch, spec.cursor, last, lag_seconds)
         return table.merge(batch, spec.pk, spec.cursor)
 

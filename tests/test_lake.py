@@ -215,3 +215,19 @@ def test_bucketed_table_rewrites_touched_buckets(spark, tmp_root):
     assert len(got) == 201 and got["7"] == "v1" and got["new"] == "n" and got["8"] == "v0"
     t.compact()
     assert t.read().count() == 201
+
+
+def test_delta_partition_pruning(spark, tmp_root):
+    """A landing partitioned by ingest_date is pruned to days near the
+    watermark; the partition column does not leak into the records."""
+    from auric.sources.landed import delta_from_json
+    path = f"{tmp_root}/json"
+    rows = [("a", 1700000000000, "2023-11-10"), ("b", 1704067200000, "2024-01-01"),
+            ("c", 1704153600000, "2024-01-02")]
+    (spark.createDataFrame(rows, "Id string, ts long, ingest_date string")
+     .write.partitionBy("ingest_date").json(path))
+    out = delta_from_json(spark, path, "ts", since=T(2024, 1, 1, 12))
+    assert out.columns == ["Id", "ts"]
+    assert sorted(r.Id for r in out.collect()) == ["b", "c"]
+    plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
