@@ -33,20 +33,43 @@ def _col(c) -> Column:
 
 
 def safe_date(c) -> Column:
-    """``try_cast(text as date)`` restricted to ISO dates (and YYYY/MM/DD)."""
+    """``try_cast(text as date)`` restricted to ISO dates (and YYYY/MM/DD).
+
+    Cheap on the common shape: a value of at most ten characters is a date
+    only if Spark reads it and it has both dashes (Spark alone also reads
+    'YYYY' and 'YYYY-MM'); longer values must carry a valid time of day
+    (pattern check); YYYY/MM/DD is tried only when the plain cast fails.
+    """
     c = _col(c)
-    slash = F.regexp_replace(c, _SLASH_DATE_RE, "$1-$2-$3")
-    return (F.when(c.rlike(_DATE_RE), c.try_cast(DateType()))
-             .when(c.rlike(_SLASH_DATE_RE), slash.try_cast(DateType()))
-             .otherwise(F.lit(None).cast(DateType())))
+    x = c.try_cast(DateType())
+    t = F.trim(c)
+    slash = F.regexp_replace(c, _SLASH_DATE_RE, "$1-$2-$3").try_cast(DateType())
+    two_dashes = F.length(t) - F.length(F.replace(t, F.lit("-"), F.lit(""))) == 2
+    return (F.when(x.isNull(), F.when(c.contains("/") & c.rlike(_SLASH_DATE_RE), slash))
+             .when(F.length(t) <= 10, F.when(two_dashes, x))
+             .when(c.rlike(_DATE_RE), x))
 
 
 def safe_double(c) -> Column:
-    """``try_cast(text as double)``: plain decimal / scientific numbers only."""
+    """``try_cast(text as double)``: plain decimal / scientific numbers only.
+
+    Cheap on the common shape: the plain cast, then two character checks for
+    the forms only Spark reads (a d/f type suffix after a digit, hex); the
+    number pattern runs only on values with underscores, which only DuckDB
+    reads (digit grouping).
+    """
     c = _col(c)
-    return (F.when(c.rlike(_NUMBER_RE),
-                   F.regexp_replace(c, "_", "").try_cast(DoubleType()))
-             .otherwise(F.lit(None).cast(DoubleType())))
+    x = c.try_cast(DoubleType())
+    t = F.rtrim(c)
+    last = F.lower(F.substring(t, -1, 1))
+    before = F.substring(t, -2, 1)
+    suffixed = last.isin("d", "f") & (before.between("0", "9") | (before == "."))
+    hexa = F.lower(c).contains("x")
+    grouped = F.when(c.rlike(_NUMBER_RE),
+                     F.regexp_replace(c, "_", "").try_cast(DoubleType()))
+    return (F.when(c.contains("_"), grouped)
+             .when(x.isNull() | suffixed | hexa, F.lit(None).cast(DoubleType()))
+             .otherwise(x))
 
 
 def safe_bool(c, data_type=None) -> Column:

@@ -19,6 +19,11 @@ DEFAULT_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Whole-stage code generation emits large methods for wide projections
+    # (many CASE / cast expressions); HotSpot by default never JIT-compiles a
+    # method over 8000 bytecodes, so such a stage would run interpreted.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
