@@ -211,30 +211,34 @@ def issued_vs_terminations(g1: DataFrame, snapshot_date: DateLike = None,
                            cutoff: DateLike = specs.ISSUE_CUTOFF) -> DataFrame:
     """New issues and terminations after the cut-off, one table with a
     ``kind`` tag; ``status`` holds the status for new issues and the
-    termination reason for terminations."""
+    termination reason for terminations.
+
+    The two kinds are disjoint (Terminated or not), so one pass over G1 tags
+    each row with its kind, its event date and its status column, and one
+    aggregate groups them: G1 is scanned once, not once per kind.
+    """
     cut = _date_lit(cutoff)
     first_issue = safe_date(q("First_Issue_Date__c"))
     date_from = safe_date(q("Date_From__c"))
+    terminated = q("Cert_Status__c") == "Terminated"
     common = (F.col("country").isNotNull() & F.col("ctype").isNotNull()
               & q("Certificate_Type__c").isNotNull())
-    new = (g1.where((first_issue > cut) & (q("Cert_Status__c") != "Terminated")
-                    & q("First_Issue_Date__c").isNotNull()
-                    & q("Cert_Status__c").isNotNull() & common)
-             .groupBy("country", first_issue.alias("event_date"), "ctype",
-                      q("Cert_Status__c").alias("status"), "Certificate_Type__c")
-             .agg(F.count(F.lit(1)).alias("certificates"))
-             .withColumn("kind", F.lit("new")))
-    term = (g1.where((date_from > cut) & (q("Cert_Status__c") == "Terminated")
-                     & q("Date_From__c").isNotNull()
-                     & q("Reason_for_Termination__c").isNotNull() & common)
-              .groupBy("country", date_from.alias("event_date"), "ctype",
-                       q("Reason_for_Termination__c").alias("status"),
-                       "Certificate_Type__c")
-              .agg(F.count(F.lit(1)).alias("certificates"))
-              .withColumn("kind", F.lit("terminated")))
-    cols = ["kind", "certificates", "country", "event_date", "ctype", "status",
-            "Certificate_Type__c"]
-    return snapshot_stamp(new.select(*cols).unionByName(term.select(*cols)), snapshot_date)
+    is_new = ((first_issue > cut) & ~terminated & q("First_Issue_Date__c").isNotNull()
+              & q("Cert_Status__c").isNotNull())
+    is_term = ((date_from > cut) & terminated & q("Date_From__c").isNotNull()
+               & q("Reason_for_Termination__c").isNotNull())
+    kind = F.when(common & is_new, F.lit("new")).when(common & is_term, F.lit("terminated"))
+    tagged = (g1.select(kind.alias("kind"), "country", "ctype", "Certificate_Type__c",
+                        F.when(terminated, date_from).otherwise(first_issue).alias("event_date"),
+                        F.when(terminated, q("Reason_for_Termination__c"))
+                         .otherwise(q("Cert_Status__c")).alias("status"))
+              .where(F.col("kind").isNotNull()))
+    out = (tagged.groupBy("kind", "country", "event_date", "ctype", "status",
+                          "Certificate_Type__c")
+           .agg(F.count(F.lit(1)).alias("certificates"))
+           .select("kind", "certificates", "country", "event_date", "ctype", "status",
+                   "Certificate_Type__c"))
+    return snapshot_stamp(out, snapshot_date)
 
 
 def _daily_cert(certificate: DataFrame, recordtype: DataFrame, categories,
