@@ -231,3 +231,17 @@ def test_delta_partition_pruning(spark, tmp_root):
     assert sorted(r.Id for r in out.collect()) == ["b", "c"]
     plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
     assert "PartitionFilters: [isnotnull(ingest_date" in plan
+
+
+def test_skip_existing_snapshot_rows(spark):
+    from auric.operators.snapshot import latest_snapshot, skip_existing_snapshot
+    stored = spark.createDataFrame([(1, dt.date(2025, 1, 1)), (2, dt.date(2025, 1, 2))],
+                                   "n int, snapshot_date date")
+    batch = spark.createDataFrame([(3, dt.date(2025, 1, 2)), (4, dt.date(2025, 1, 3))],
+                                  "n int, snapshot_date date")
+    assert [r.n for r in skip_existing_snapshot(batch, stored).collect()] == [4]
+    assert skip_existing_snapshot(batch, None).count() == 2
+    # a NULL stored date does not block other dates (unlike NOT IN)
+    with_null = stored.union(spark.createDataFrame([(9, None)], "n int, snapshot_date date"))
+    assert [r.n for r in skip_existing_snapshot(batch, with_null).collect()] == [4]
+    assert [r.n for r in latest_snapshot(stored).collect()] == [2]
