@@ -7,8 +7,8 @@ as a new version (``auric.sources.lake.LakeTable``), never over its own input.
 At scale the batch (one incremental pull) is small next to the stored table.
 The anti join is planned as a shuffled join unless the batch-key side is
 under the broadcast threshold, which AQE checks at run time from the actual
-shuffle size. ``merge_upsert_buckets`` limits the rewrite to the hash buckets
-the batch touches.
+shuffle size. ``auric.sources.lake.BucketedTable`` stores a table by
+``bucket_of(pk)`` and limits the rewrite to the buckets a batch touches.
 """
 
 from __future__ import annotations
@@ -46,10 +46,9 @@ def merge_upsert(target: DataFrame | None, batch: DataFrame, pk: str | Sequence[
             raise ValueError("keep_newer needs a cursor")
         b = batch.select(*[q(k) for k in keys], q(cursor).alias("_b_cursor"))
         t = target.join(b, keys, "left")
-        stale_incoming = t.where(F.col("_b_cursor").isNotNull()
-                                 & (q(cursor) > F.col("_b_cursor")))
+        newer = (t.where(F.col("_b_cursor").isNotNull() & (q(cursor) > F.col("_b_cursor")))
+                  .drop("_b_cursor"))           # stored row is newer than the incoming one
         kept = t.where(F.col("_b_cursor").isNull()).drop("_b_cursor")
-        newer = stale_incoming.drop("_b_cursor")
         batch = batch.join(newer.select(*keys), keys, "left_anti")
         return kept.unionByName(newer, allowMissingColumns=True).unionByName(
             batch, allowMissingColumns=True)
@@ -60,20 +59,3 @@ def merge_upsert(target: DataFrame | None, batch: DataFrame, pk: str | Sequence[
 def bucket_of(pk: str | Sequence[str], buckets: int) -> Column:
     """Stable hash bucket of the key: ``pmod(xxhash64(pk...), buckets)``."""
     return F.pmod(F.xxhash64(*[q(k) for k in _keys(pk)]), F.lit(buckets)).cast("int")
-
-
-def merge_upsert_buckets(target: DataFrame, batch: DataFrame, pk: str | Sequence[str],
-                         buckets: int, cursor: str | None = None,
-                         bucket_col: str = "_bucket") -> tuple[DataFrame, DataFrame]:
-    """Bucket-scoped merge for a target stored ``partitionBy(bucket_col)``.
-
-    Returns ``(rewritten, touched)``: the new contents of only the buckets the
-    batch touches, and the one-column frame of those bucket numbers (bounded
-    by ``buckets``). Writing ``rewritten`` with dynamic partition overwrite
-    replaces those buckets and leaves the rest of the table untouched.
-    """
-    keys = _keys(pk)
-    b = batch.withColumn(bucket_col, bucket_of(keys, buckets))
-    touched = b.select(bucket_col).distinct()
-    t = target.join(touched, bucket_col, "left_semi")
-    return merge_upsert(t, b, keys, cursor), touched
