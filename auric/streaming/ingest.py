@@ -14,15 +14,16 @@ everything landed so far (in ``max_files_per_trigger`` slices) and stops.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from auric.functions.normalize import normalize_record
 from auric.sources.lake import LakeTable
 
 
 def _as_text(schema: StructType) -> StructType:
-    return StructType([f if not isinstance(f.dataType, (StringType,)) and
-                       f.dataType.typeName() in ("struct", "array", "map")
+    """Scalars are read as their JSON text (``primitivesAsString``); nested
+    fields keep their declared type."""
+    return StructType([f if isinstance(f.dataType, (StructType, ArrayType, MapType))
                        else StructField(f.name, StringType(), True) for f in schema.fields])
 
 
