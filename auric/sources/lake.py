@@ -152,16 +152,23 @@ class LakeTable:
         a replace whose row count differs is refused. ``max_shrink`` refuses a
         replace that loses more than that share of the previous rows, which
         protects the silver semi join from a truncated key set.
+
+        The new version is written first and counted from its Parquet footers;
+        only when the checks pass is its log row appended. A refused version
+        stays unlisted (invisible) and is overwritten by the next commit, so
+        the input is computed once.
         """
         entries = self.entries()
-        if expected_rows is not None or max_shrink is not None:
-            n = df.count()
-            if expected_rows is not None and n != expected_rows:
-                raise ShrinkRefused(f"{n} rows, manifest says {expected_rows}")
-            before = entries[-1]["rows"] if entries else None
-            if max_shrink is not None and before and n < before * (1 - max_shrink):
-                raise ShrinkRefused(f"{n} rows would replace {before}")
-        return self.commit(df, "replace", version=(self._current(entries) or 0) + 1)
+        v = (self._current(entries) or 0) + 1
+        df.write.mode("overwrite").parquet(self.version_path(v))
+        n = self.spark.read.parquet(self.version_path(v)).count()
+        if expected_rows is not None and n != expected_rows:
+            raise ShrinkRefused(f"{n} rows, manifest says {expected_rows}")
+        before = entries[-1]["rows"] if entries else None
+        if max_shrink is not None and before and n < before * (1 - max_shrink):
+            raise ShrinkRefused(f"{n} rows would replace {before}")
+        self.append_log(v, "replace", n)
+        return v
 
     def merge(self, batch: DataFrame, pk, cursor: str | None = None) -> int:
         """Upsert ``batch`` by key into a new version; the stored watermark
