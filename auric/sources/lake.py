@@ -172,18 +172,35 @@ class LakeTable:
 
     def merge(self, batch: DataFrame, pk, cursor: str | None = None) -> int:
         """Upsert ``batch`` by key into a new version; the stored watermark
-        becomes max(previous watermark, greatest batch cursor)."""
+        becomes max(previous watermark, greatest batch cursor).
+
+        On the first load the new version is the batch itself, so its row
+        count and watermark come from one pass over the written Parquet (the
+        count from footers, the cursor column alone) instead of re-reading the
+        landed export; later loads take the watermark from the (small) batch.
+        """
         from auric.operators.merge import merge_upsert
         entries = self.entries()
         current = self._current(entries)
         target = self.spark.read.parquet(self.version_path(current)) if current else None
+        v = (current or 0) + 1
+        merge_upsert(target, batch, pk, cursor).write.mode("overwrite").parquet(
+            self.version_path(v))
+        written = self.spark.read.parquet(self.version_path(v))
         top = None
-        if cursor is not None:
+        if cursor is None:
+            rows = written.count()
+        elif current is None:
+            stats = written.agg(F.count(F.lit(1)).alias("n"),
+                                F.max(F.col(f"`{cursor}`").cast("timestamp")).alias("m")).first()
+            rows, top = stats["n"], stats["m"]
+        else:
+            rows = written.count()
             top = batch.agg(F.max(F.col(f"`{cursor}`").cast("timestamp"))).first()[0]
-            prev = entries[-1]["max_cursor"] if entries else None
+            prev = entries[-1]["max_cursor"]
             top = max(t for t in (top, prev) if t is not None) if (top or prev) else None
-        return self.commit(merge_upsert(target, batch, pk, cursor), "merge",
-                           max_cursor=top, version=(current or 0) + 1)
+        self.append_log(v, "merge", rows, None, top)
+        return v
 
 
 def list_tables(spark: SparkSession, root: str, layer: str) -> DataFrame:
