@@ -157,3 +157,13 @@ def test_headline_and_members(frames):
     assert got == [("Member1", "Europe"), ("Member2", "Europe"), ("Member4", "-")]
     assert m.columns == ["Sub_Chamber", "Member_Type", "Country", "Website", "Member",
                          "Chamber", "Region", "region_fun", "snapshot_date"]
+
+
+def test_forest_type_named_total(spark, frames):
+    """A forest type literally called 'Total' stays its own row next to the
+    computed Total (union all, as in the original model)."""
+    certs = frames["certificate"].union(spark.createDataFrame([cert("t1", ftype="Total")],
+                                                              CERT_COLS))
+    out = gold.daily_forest_areas(certs, frames["recordtype"], AS_OF, SNAP).collect()
+    totals = [r for r in out if r["Forest Type"] == "Total"]
+    assert len(totals) == 2

@@ -213,6 +213,7 @@ def test_bucketed_table_rewrites_touched_buckets(spark, tmp_root):
     assert log[1] == "all" and len(log[2].split(",")) <= 2
     got = {r.Id: r.v for r in t.read().collect()}
     assert len(got) == 201 and got["7"] == "v1" and got["new"] == "n" and got["8"] == "v0"
+    assert {r.Id: r.v for r in t.read(version=1).collect()}["7"] == "v0"   # time travel
     t.compact()
     assert t.read().count() == 201
 
