@@ -14,8 +14,13 @@ Plan notes for large inputs:
   The dimension joins (record types, countries) are left to the planner, which
   broadcasts them when their estimated size is under the broadcast threshold
   and falls back to a shuffled join otherwise.
-* ``holder_preference_dedup`` partitions by the same key as that join, so it
-  reuses the join's partitioning and adds no exchange.
+* ``holder_preference_dedup`` (the direct form: window after the join)
+  reuses the join's partitioning and adds no exchange, but sorts a hot
+  certificate in one task. ``certificate_holder`` (used by the gold job)
+  picks the preferred account per certificate before the join, with a
+  partial group limit ahead of the shuffle, and joins 1:1.
+* ``issued_vs_terminations`` tags rows of its two disjoint kinds in one pass
+  and aggregates once.
 * Every aggregate is a hash aggregate with a map-side partial step, so a hot
   group key reaches the final step as one partial row per map task.
 """
