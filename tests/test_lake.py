@@ -246,3 +246,17 @@ def test_skip_existing_snapshot_rows(spark):
     with_null = stored.union(spark.createDataFrame([(9, None)], "n int, snapshot_date date"))
     assert [r.n for r in skip_existing_snapshot(batch, with_null).collect()] == [4]
     assert [r.n for r in latest_snapshot(stored).collect()] == [2]
+
+
+def test_list_tables_hides_staging_and_publish_keeps_dates(spark, tmp_root):
+    from auric.operators.snapshot import append_snapshot
+    lake = f"{tmp_root}/lake"
+    LakeTable.at(spark, lake, "silver", "a").commit(spark.range(3), "build")
+    LakeTable.at(spark, lake, "silver", "b_staging").commit(spark.range(1), "build")
+    assert [r.table_name for r in list_tables(spark, lake, "silver").collect()] == ["a"]
+    day = spark.createDataFrame([(1, dt.date(2025, 1, 1))], "n int, snapshot_date date")
+    append_snapshot(spark, day, f"{lake}/gold/m", "2025-01-01")
+    dest = f"{tmp_root}/pub"
+    assert jobs.publish(spark, lake, "gold", dest) == ["m"]
+    got = spark.read.parquet(f"{dest}/gold/m").collect()
+    assert [(r.n, r.snapshot_date) for r in got] == [(1, dt.date(2025, 1, 1))]
