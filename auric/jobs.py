@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from auric import specs as S
 from auric.operators.dedupe import silver_dedupe
@@ -217,7 +218,10 @@ def publish(spark: SparkSession, lake_root: str, layer: str, dest_root: str,
         [r["table_name"] for r in list_tables(spark, lake_root, layer).collect()]
     done = []
     for t in names:
-        df = LakeTable.at(spark, lake_root, layer, t).read()
+        try:
+            df = LakeTable.at(spark, lake_root, layer, t).read()
+        except AnalysisException:
+            continue  # a dated table whose snapshots so far were all empty
         w = df.write.mode("overwrite")
         if "snapshot_date" in df.columns:
             w = w.partitionBy("snapshot_date")

@@ -260,3 +260,11 @@ def test_list_tables_hides_staging_and_publish_keeps_dates(spark, tmp_root):
     assert jobs.publish(spark, lake, "gold", dest) == ["m"]
     got = spark.read.parquet(f"{dest}/gold/m").collect()
     assert [(r.n, r.snapshot_date) for r in got] == [(1, dt.date(2025, 1, 1))]
+
+
+def test_publish_skips_table_with_only_empty_snapshots(spark, tmp_root):
+    from auric.operators.snapshot import append_snapshot
+    lake = f"{tmp_root}/lake"
+    empty = spark.createDataFrame([], "n int, snapshot_date date")
+    append_snapshot(spark, empty, f"{lake}/gold/e", "2025-01-01")
+    assert jobs.publish(spark, lake, "gold", f"{tmp_root}/pub") == []
