@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("decontam",)
+MODULES = ("decontam", "quality_rules", "licenses")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
