@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("decontam", "quality_rules", "licenses")
+MODULES = ("decontam", "licenses", "packing", "quality_rules")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
