@@ -37,29 +37,35 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def seeded(x: np.ndarray, seed: int) -> np.ndarray:
-    return mix(x + U(seed & 0xFFFFFFFFFFFFFFFF) * _P)
+    return mix(x + U(seed * int(_P) & 0xFFFFFFFFFFFFFFFF))
 
 
 @dataclass(frozen=True)
 class Alphabet:
-    """Which bytes form words, and the byte each one counts as."""
+    """Which bytes form words, and the byte each one counts as. A word is a run of
+    bytes of one group; group 0 lies between words."""
 
+    group: np.ndarray      # uint8[256]
     inside: np.ndarray     # bool[256]
     fold: np.ndarray       # uint8[256]; bytes outside words become a space
     code: np.ndarray       # uint64[256]
 
 
-def alphabet(inside, lower: bool) -> Alphabet:
-    ins = np.array([bool(inside(b)) for b in range(256)])
+def alphabet(group, lower: bool) -> Alphabet:
+    groups = np.array([int(group(b)) for b in range(256)], np.uint8)
+    ins = groups > 0
     fold = np.array([(b + 32 if lower and 65 <= b <= 90 else b) if ins[b] else 32
                      for b in range(256)], np.uint8)
-    return Alphabet(ins, fold, mix(fold.astype(U) + U(1)))
+    return Alphabet(groups, ins, fold, mix(fold.astype(U) + U(1)))
 
 
 # letters, digits and everything outside ASCII, A-Z counted as a-z
 ALNUM = alphabet(lambda b: b >= 0x80 or chr(b).isalnum(), lower=True)
 # everything but space, \t, \n, \v, \f, \r
 NONSPACE = alphabet(lambda b: not (b == 0x20 or 0x09 <= b <= 0x0D), lower=False)
+# as NONSPACE, cut where letters, digits and non-ASCII meet punctuation
+PIECES = alphabet(lambda b: 0 if not NONSPACE.inside[b] else 1 if ALNUM.inside[b] else 2,
+                  lower=False)
 
 
 _pow: dict[str, np.ndarray] = {}
@@ -107,13 +113,15 @@ class Words:
 
 def words(data: np.ndarray, offsets: np.ndarray, kind: Alphabet = ALNUM) -> Words:
     n = len(data)
-    inside = kind.inside[data]
+    group = kind.group[data]
+    inside = group > 0
     cut = offsets[(offsets > 0) & (offsets < n)]
+    change = group[1:] != group[:-1]
     opens = inside.copy()
-    opens[1:] &= ~inside[:-1]
+    opens[1:] &= change
     opens[cut] = inside[cut]
     closes = inside.copy()
-    closes[:-1] &= ~inside[1:]
+    closes[:-1] &= change
     closes[cut - 1] = inside[cut - 1]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     p, inv = _powers(n + 1)
