@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("decontam", "licenses", "packing", "quality_rules")
+MODULES = ("classifier", "decontam", "licenses", "minhash", "packing", "quality_rules")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
