@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("classifier", "decontam", "licenses", "minhash", "packing", "quality_rules")
+MODULES = ("classifier", "decontam", "licenses", "minhash", "packing", "quality_rules",
+           "token_counts")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
