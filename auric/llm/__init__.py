@@ -6,7 +6,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("classifier", "decontam", "licenses", "minhash", "packing", "quality_rules",
-           "token_counts")
+           "token_counts", "warc")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
