@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("classifier", "decontam", "licenses", "minhash", "packing", "quality_rules",
+MODULES = ("classifier", "decontam", "html_text", "licenses", "minhash", "packing", "quality_rules",
            "token_counts", "warc")
 
 QUERIES: dict = {}
