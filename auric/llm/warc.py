@@ -118,7 +118,7 @@ def write_archive(folder: str, records: list[bytes], level: int = LEVEL) -> tupl
     files.create_dir(base, recursive=True)
     raw = trained.as_bytes()
     size = 8 + len(raw)
-    with files.open_output_stream(f"{base}/{name}") as out:
+    with files.open_output_stream(f"{base}/{name}", compression=None) as out:
         out.write(struct.pack("<II", MAGIC, len(raw)) + raw)
         for r in [warcinfo(name), *records]:
             frame = packer.compress(r)
@@ -131,7 +131,7 @@ def read_archive(path: str):
     """Yield each record's bytes, frame by frame."""
     import zstandard as z
     files, name = _open(path)
-    with files.open_input_stream(name) as f:
+    with files.open_input_stream(name, compression=None) as f:
         magic, size = struct.unpack("<II", f.read(8))
         if magic != MAGIC:
             raise ValueError(f"{path}: no dictionary frame")

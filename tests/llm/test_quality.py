@@ -1,0 +1,149 @@
+import re
+from collections import defaultdict
+
+import numpy as np
+
+from auric.llm import classifier as c
+from auric.llm import quality_rules as q
+from tests.llm.conftest import SF, doc, edge_texts, multiset, table
+
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def measures(t):
+    t = t or ""
+    w = _WORD.findall(t)
+    seen, dup = set(), 0
+    for line in t.split("\n"):
+        if _WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    where = defaultdict(list)
+    for k in range(len(w) - 7):
+        where[tuple(w[k:k + 8])].append(k)
+    hit = {j for v in where.values() if len(v) > 1 for k in v for j in range(k, k + 8)}
+    failed = len(w) < 20 or 100 * len(hit) > 30 * len(w)
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(hit), failed)
+
+
+BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def test_rules_against_brute_force(spark):
+    texts = {r.doc_id: r.text for r in table(spark, "documents").collect()}
+    rows = q.op8_quality_rules(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert tuple(r[x] for x in BASE) == measures(texts[r.doc_id])
+        assert not (r.base_failed and r.kept)
+
+
+def test_log_ratio_against_brute_force(spark):
+    """Counts, ratio and score of every document in plain Python."""
+    docs = [(r.doc_id, r.text) for r in table(spark, "documents").collect()]
+    labels = table(spark, "labels")
+    good = set(q.trusted_sample(labels, q.TARGET_DOCS).tolist())
+    buckets = q.BUCKETS
+
+    def grams(t):
+        raw = t.encode()
+        for k in range(len(raw) - 2):
+            key = ((raw[k] * 257 + raw[k + 1]) * 257 + raw[k + 2]) & 0xFFFFFFFF
+            yield ((key * 2654435761) & 0xFFFFFFFF) >> 16
+        ws = raw.split()
+        for a, b in zip(ws, ws[1:]):
+            if a == b:
+                yield buckets
+
+    raw, target = np.zeros(buckets + 1), np.zeros(buckets + 1)
+    for i, t in docs:
+        for g in grams(t):
+            raw[g] += 1
+            target[g] += i in good
+    seen = (raw > 0).sum()
+    ratio = (np.log((target + 1) / (target.sum() + seen)) - np.log((raw + 1) / (raw.sum() + seen)))
+    got = {r.doc_id: r.score for r in q.op8_quality_rules(spark, SF).collect()}
+    for i, t in docs[::7]:
+        g = list(grams(t))
+        assert abs(got[i] - (ratio[g].mean() if g else 0)) < 1e-5
+
+
+def test_rules_agree_with_labels(spark):
+    rows = {r.doc_id: r for r in q.op8_quality_rules(spark, SF).collect()}
+    known = {r.doc_id: r.quality for r in table(spark, "labels").collect()}
+    judged = [(rows[i].kept, y) for i, y in known.items() if not rows[i].base_failed]
+    assert np.mean([k == bool(y) for k, y in judged]) > 0.95
+    assert all(k for k, y in judged if y)
+
+
+def test_rules_edges(edge_docs, no_docs, labels, no_labels):
+    rows = q.judge(edge_docs, labels).collect()
+    want = multiset((i, *measures(t)) for i, t in edge_texts())
+    assert multiset((r.doc_id, *(r[x] for x in BASE)) for r in rows) == want
+    assert q.judge(no_docs, labels).collect() == []
+    alone = q.judge(edge_docs, no_labels).collect()
+    assert all(r.score == 0 and r.kept == (not r.base_failed) for r in alone)
+    kept = q.keep_good(edge_docs, no_labels)
+    assert kept.columns == edge_docs.columns
+    assert multiset(kept.collect()) == multiset(
+        doc(i, t) for i, t in edge_texts() if not measures(t)[-1])
+
+
+def test_score_does_not_depend_on_batching(spark, edge_docs, labels):
+    one = {(r.doc_id, r.n_words, r.score) for r in q.judge(edge_docs.coalesce(1), labels).collect()}
+    many = {(r.doc_id, r.n_words, r.score)
+            for r in q.judge(edge_docs.repartition(7, "doc_id"), labels).collect()}
+    assert one == many
+
+
+def test_classifier_on_held_out_labels(spark):
+    sf = SF.replace("0.001", "0.01")
+    rows = {r.doc_id: r for r in c.op7_quality_classifier(spark, sf).collect()}
+    known = spark.read.parquet(f"{sf}/labels.parquet").collect()
+    held = [(rows[r.doc_id], r.quality) for r in known if rows[r.doc_id].held_out]
+    assert len(held) > 50
+    assert np.mean([x.predicted == y for x, y in held]) > 0.95
+    assert all(x.predicted == int(x.score >= 0.7) and 0 <= x.score <= 1 for x in rows.values())
+
+
+def test_score_is_the_sparse_dot_product(spark):
+    docs = table(spark, "documents")
+    w = c.train(docs, table(spark, "labels"))
+    dims = len(w) - 1
+    got = {r.doc_id: r.score for r in c.score(docs, w).collect()}
+    from auric.llm import text as t
+    import pyarrow as pa
+    for r in docs.limit(20).collect():
+        (_, _, data, off), = t.runs(pa.array([r.text], pa.string()))
+        one, _, two, _ = c.features(data, off, dims)
+        every = np.concatenate([one, two])
+        place, n = np.unique(every, return_counts=True)
+        x = w[place] @ (n * c.SCALE / max(1, len(every))) + w[dims]
+        assert abs(got[r.doc_id] - 1 / (1 + np.exp(-x))) < 1e-6
+
+
+def test_ftrl_closed_form_first_step():
+    f = c.Ftrl(3, alpha=0.5, beta=1.0, l1=0.1, l2=0.0)
+    f.update(np.array([0, 2]), np.array([1.0, 2.0]), 1)
+    assert np.allclose(f.z, [-0.5, 0, -1.0, 0]) and np.allclose(f.n, [0.25, 0, 1.0, 0])
+    assert np.allclose(f.weights(), [0.4 / 3, 0, 0.9 / 4, 0])
+
+
+def test_classifier_edges(edge_docs, no_docs, labels, no_labels):
+    rows = c.score(edge_docs, c.train(edge_docs, labels)).collect()
+    assert len(rows) == len(edge_texts())
+    assert len({r.score for r in rows if r.doc_id in (3, 4, 5)}) == 1
+    assert all(r.held_out is False for r in rows if r.doc_id is None)
+    flat = c.score(edge_docs, c.train(edge_docs, no_labels)).collect()
+    assert {r.score for r in flat} == {0.5}
+    assert c.score(no_docs, c.train(no_docs, labels)).collect() == []
+
+
+def test_training_leaves_out_held_out_and_contradicting_ids(spark):
+    import zlib
+    rows = [(i, i % 2) for i in range(200)] + [(0, 1), (4, None)]
+    labels = spark.createDataFrame(rows, "doc_id bigint, quality int")
+    ids, _ = c.training_ids(labels, 1000, "doc_id", "quality")
+    assert 0 not in ids and 4 in ids
+    assert all(zlib.crc32(str(i).encode()) % 4 != 2 for i in ids.tolist())
+    assert len(c.training_ids(labels, 10, "doc_id", "quality")[0]) == 10

@@ -1,0 +1,120 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from auric.llm import secrets as m
+from tests.llm.conftest import SF, edge_texts, multiset, table
+
+
+def either(word):
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+ASSIGN = re.compile("(" + "|".join(map(either, ["password", "passwd", "secret", "token"]))
+                    + "|" + either("api") + "_?" + either("key")
+                    + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+RULES = [("assign", ASSIGN, lambda x: len(x[2]) >= 6),
+         ("access", re.compile("AKIA[A-Z0-9]+"), lambda x: len(x[0]) >= 20),
+         ("hex", re.compile("[0-9a-f]+"), lambda x: len(x[0]) >= 24)]
+
+
+def base(t):
+    spans = sorted((x.start(), k, x.end()) for k, (_, p, ok) in enumerate(RULES)
+                   for x in p.finditer(t or "") if ok(x))
+    names = [f"{RULES[k][0]}:{s}:{e}" for s, k, e in spans]
+    return (*(sum(k == j for _, k, _ in spans) for j in range(3)),
+            hashlib.sha256(",".join(names).encode()).hexdigest()), names
+
+
+COLUMNS = ["n_assign", "n_access", "n_hex", "base_sha256"]
+
+
+@pytest.fixture(scope="module")
+def ratios(spark):
+    return m.fit(m.ordinary_texts(table(spark, "documents"), table(spark, "labels")))
+
+
+def test_base_against_brute_force(spark):
+    texts = {r.doc_id: r.text for r in table(spark, "documents").collect()}
+    rows = m.op6_secret_scan(spark, SF).collect()
+    assert len(rows) == len(texts) and any(r.spans for r in rows)
+    for r in rows:
+        digest, names = base(texts[r.doc_id])
+        assert tuple(r[c] for c in COLUMNS) == digest
+        assert [x for x in r.spans.split(",") if x and not x.startswith("random")] == names
+
+
+TRICKY = [
+    "secret=token: abcdef", "token==abcdef", "API_KEY : 'x1y2z3'", "apikey=12345", "toKen=abcdef",
+    "paſſword=abcdef", "\U0001F600 token=abcdef\U0001F600 secret=ghijkl",
+    "AKIA" + "A" * 15 + " AKIA" + "B" * 16 + "c", "AKIAAKIA" + "9" * 12, "f" * 23 + "g" + "f" * 24,
+    "password=" + "ab" * 20, " ".join(f"token=abcdef{k}" for k in range(700)), "token=", "=token=",
+]
+
+
+def test_tricky_matches(spark, ratios):
+    docs = spark.createDataFrame(list(enumerate(TRICKY)), "doc_id int, text string")
+    for r in m.secret_spans(docs, ratios).collect():
+        digest, names = base(TRICKY[r.doc_id])
+        assert tuple(r[c] for c in COLUMNS) == digest, TRICKY[r.doc_id][:40]
+
+
+def test_log_ratio_against_plain_python(spark, ratios):
+    size = len(m.SIGNS)
+    words = ["xJ8dk2LmQz0pVt7RbW5nYc3s", "getElementsByTagName", "a/b-c_d+e=f"]
+    docs = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [r[0] for r in docs.select(m.log_ratio(F.col("w"), m.constant(ratios))).collect()]
+    for w, x in zip(words, got):
+        want = sum(round(ratios[m.SIGNS.index(a) * size + m.SIGNS.index(b)], 6)
+                   for a, b in zip(w, w[1:]))
+        assert abs(x - want) < 1e-6
+
+
+def test_models_tell_strings_apart(spark, ratios):
+    """Held-out samples: random strings from another generator, words of other texts."""
+    import random
+    rng = random.Random(5)
+    keys = ["".join(rng.choice(a) for _ in range(24)) for a in (m.SIGNS[:62], m.SIGNS[26:62],
+                                                               m.SIGNS[:64]) for _ in range(100)]
+    names = [r.w for r in m.identifiers(table(spark, "documents").select(F.col("text").alias("t"))
+                                        ).where("length(w) between 20 and 40").limit(2000).collect()]
+    docs = spark.createDataFrame([(w,) for w in keys + names], "w string")
+    got = [r[0] for r in docs.select(m.log_ratio(F.col("w"), m.constant(ratios))).collect()]
+    found = [x >= m.MARGIN for x in got]
+    assert sum(found[:300]) >= 295 and len(names) > 200
+    assert sum(found[300:]) <= 0.01 * len(names)
+
+
+def test_method_span_apart_from_base(spark, ratios):
+    key = "xJ8dk2LmQz0pVt7RbW5nYc3s"
+    docs = spark.createDataFrame([(1, f"é {key} z"), (2, f"token={key}")], "doc_id int, text string")
+    got = {r.doc_id: r.spans for r in m.secret_spans(docs, ratios).collect()}
+    assert got == {1: "random:2:26", 2: "assign:0:30"}
+
+
+def test_edges(edge_docs, no_docs, ratios):
+    rows = m.secret_spans(edge_docs, ratios).collect()
+    assert multiset((r.doc_id, *(r[c] for c in COLUMNS)) for r in rows) == multiset(
+        (i, *base(t)[0]) for i, t in edge_texts())
+    assert m.secret_spans(no_docs, ratios).collect() == []
+
+
+def test_redaction(edge_docs, ratios):
+    out = m.redacted(edge_docs, ratios)
+    assert out.columns == edge_docs.columns
+    got = multiset((r.doc_id, r.text) for r in out.collect())
+    want = multiset((i, t) if i != 12 else
+                    (12, "Released under the MIT License. [SECRET]' [SECRET]")
+                    for i, t in edge_texts())
+    assert got == want
+
+
+def test_no_python_in_the_plan(spark, ratios):
+    plan = m.secret_spans(table(spark, "documents"), ratios)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_uniform_model_without_texts(no_docs, no_labels):
+    assert len(m.fit(m.ordinary_texts(no_docs, no_labels))) == len(m.SIGNS) ** 2
