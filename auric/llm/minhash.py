@@ -19,9 +19,12 @@ Plan:
 2. In each bucket of a band every node is paired with the bucket's smallest node
    only, so a bucket of n nodes gives n - 1 pairs. The pairs are verified exactly
    on their weighted sets; verified links are merged into components.
-3. Where a bucket still holds several components, the pairs between them (not
-   within) that step 2 has not refuted are verified too. A link between two
-   different texts that share a bucket is thus found or lies within a component.
+3. Nodes that shared buckets connect form a cluster. Where a cluster still holds
+   several components, every pair of nodes from different components whose weights
+   allow the similarity is compared, block by block in the memory of a task. Only
+   pairs of components come out, so a link between two different texts that share a
+   bucket is found or lies within a component, and no pairs are listed. This step's
+   time grows with the square of such a cluster, less its largest component's own.
 
 ``min_similarity`` 0.8 with 32 bands of 5 rows misses a pair at 0.8 with
 probability 3e-6. Intermediate tables are written to the shared checkpoint
@@ -51,6 +54,7 @@ SHINGLE = 5
 MIN_SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
 DARTS_AT_ONCE = 1 << 20
+BLOCK_NODES, BLOCK_CELLS, BLOCK_COLUMNS = 256, 1 << 20, 4096
 
 
 def weighted_cells(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -193,6 +197,43 @@ def _cells(size: int):
     return run
 
 
+def _linked(least: float):
+    """Pairs of components with a link between a row of side 0 and one of side 1 (or
+    another of side 0 where there is no side 1)."""
+
+    def run(group: pa.Table) -> pa.Table:
+        side = group.column("side").to_numpy()
+        comp = group.column("c").to_numpy()
+        lists = group.column("cells").combine_chunks()
+        weight = np.diff(lists.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(side)), weight)
+        place, column = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        x = np.flatnonzero(side == 0)
+        y = np.flatnonzero(side == 1) if (side == 1).any() else x
+        row_x, row_y = np.full(len(side), -1), np.full(len(side), -1)
+        row_x[x], row_y[y] = np.arange(len(x)), np.arange(len(y))
+        both = np.zeros((len(x), len(y)), np.float32)
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        for lo in range(0, len(place), BLOCK_COLUMNS):
+            a, b = np.searchsorted(column, [lo, lo + BLOCK_COLUMNS])
+            who, at = owner[a:b], column[a:b] - lo
+            dense = []
+            for rows, n in ((row_x, len(x)), (row_y, len(y))):
+                here = rows[who] >= 0
+                part = np.zeros((n, BLOCK_COLUMNS), np.float32)
+                part[rows[who[here]], at[here]] = 1
+                dense.append(part)
+            both += dense[0] @ dense[1].T
+        union = weight[x][:, None] + weight[y][None, :] - both
+        near = (both >= least * union - 1e-6) & (comp[x][:, None] != comp[y][None, :])
+        i, j = np.nonzero(near)
+        found = np.unique(np.sort(np.stack([comp[x[i]], comp[y[j]]], axis=1), axis=1), axis=0)
+        return pa.table({"a": pa.array(found[:, 0], pa.int64()),
+                         "b": pa.array(found[:, 1], pa.int64())})
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(n, c): the smallest node c of the component of each node n of ``edges``
     (a, b). Smallest label of the neighbours, then of the label itself, until
@@ -242,55 +283,87 @@ class NearDuplicates:
                   .where("many > 1").select("bucket", "pivot"))
         return materialize(each.join(shared, "bucket"), "buckets")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, similar) of the pairs (a, b), on their exact weighted sets."""
-        wanted = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct()
+    def _star(self) -> DataFrame:
+        """(a, b): each node of a shared bucket with the bucket's smallest node."""
+        return materialize(self.buckets.where("n <> pivot")
+                           .select(F.col("n").alias("a"), F.col("pivot").alias("b"))
+                           .distinct(), "star")
+
+    def _weighted_sets(self, star: DataFrame) -> DataFrame:
+        """(n, cells) of all nodes of shared buckets, from the whole texts."""
+        wanted = star.select(F.col("a").alias("n")).union(star.select("b")).distinct()
         reps = (self.nodes.select("n", F.col("rep._id").alias("rid"), F.col("rep.key").alias("rkey"))
                 .join(wanted, "n"))
         texts = (self.texts.join(reps, (F.col("key") == F.col("rkey"))
                                  & F.col("_id").eqNullSafe(F.col("rid")))
                  .select("n", "_t"))
-        cells = materialize(texts.mapInArrow(_cells(self.size), "n bigint, cells array<bigint>")
-                            .dropDuplicates(["n"]), "cells")
+        return materialize(texts.mapInArrow(_cells(self.size), "n bigint, cells array<bigint>")
+                           .dropDuplicates(["n"]), "cells")
+
+    def classes(self) -> DataFrame:
+        """(n, c) for the nodes that share a bucket."""
+        star = self._star()
+        cells = self._weighted_sets(star)
         one = cells.select(F.col("n").alias("a"), F.col("cells").alias("x"))
         two = cells.select(F.col("n").alias("b"), F.col("cells").alias("y"))
         both = F.size(F.array_intersect("x", "y"))
         total = F.size("x") + F.size("y")
-        return (pairs.select("a", "b").join(one, "a").join(two, "b")
-                .select("a", "b", total.alias("total"), both.alias("both"))
-                .select("a", "b", (F.col("both") >= self.least * (F.col("total") - F.col("both"))
-                                   - 1e-9).alias("similar")))
-
-    def classes(self) -> DataFrame:
-        """(n, c) for the nodes that have a link."""
-        star = materialize(self.buckets.where("n <> pivot")
-                           .select(F.col("n").alias("a"), F.col("pivot").alias("b"))
-                           .distinct(), "star")
-        tested = materialize(self.verified(star), "tested")
-        comps = components(tested.where("similar"))
-        rest = self._between(comps, tested)
-        more = materialize(self.verified(rest).where("similar"), "more")
-        if more.isEmpty():
-            return comps
+        links = materialize(
+            star.join(one, "a").join(two, "b")
+            .select("a", "b", total.alias("total"), both.alias("both"))
+            .where(F.col("both") >= self.least * (F.col("total") - F.col("both")) - 1e-9)
+            .select("a", "b"), "links")
+        members = materialize(
+            components(star).withColumnRenamed("c", "s").join(components(links), "n", "left")
+            .withColumn("c", F.coalesce("c", "n")), "members")
+        more = materialize(self._between(members, cells), "more")
         # a component stays one by its edges to its smallest node
-        return components(comps.where("n <> c").select(F.col("n").alias("a"), F.col("c").alias("b"))
-                          .union(more.select("a", "b")))
-
-    def _between(self, comps: DataFrame, tested: DataFrame) -> DataFrame:
-        """Untested pairs of nodes that share a bucket but no component."""
-        member = (self.buckets.select("bucket", "n").join(comps, "n", "left")
-                  .withColumn("c", F.coalesce("c", "n"))
-                  .join(self.nodes.select("n", "weight"), "n"))
-        mixed = (member.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-                 .where("lo <> hi").select("bucket"))
-        member = materialize(member.join(mixed, "bucket", "left_semi"), "members")
-        x, y = member.alias("x"), member.alias("y")
-        small, large = F.least("x.weight", "y.weight"), F.greatest("x.weight", "y.weight")
-        pairs = (x.join(y, (F.col("x.bucket") == F.col("y.bucket"))
-                        & (F.col("x.n") > F.col("y.n")) & (F.col("x.c") != F.col("y.c"))
-                        & (small >= self.least * large))
-                 .select(F.col("x.n").alias("a"), F.col("y.n").alias("b")).distinct())
-        return materialize(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "between")
+        joined = components(members.where("n <> c")
+                            .select(F.col("n").alias("a"), F.col("c").alias("b"))
+                            .union(more))
+        return (members.select("n", F.col("c").alias("old")).join(joined, "n", "left")
+                .select("n", F.coalesce("c", "old").alias("c")))
+
+    def _between(self, members: DataFrame, cells: DataFrame) -> DataFrame:
+        """(a, b): components of one cluster that have a link between them.
+
+        A cluster holds all nodes that shared buckets connect. Where it has several
+        components, its nodes are dealt into blocks by weight and hash, and blocks
+        whose weights allow the similarity are compared in pairs, each in a task's
+        memory; only pairs of components come out. The cluster's largest component
+        is not compared with itself."""
+        count = members.groupBy("s", "c").agg(F.count(F.lit(1)).alias("many"))
+        mixed = (count.groupBy("s").agg(F.count(F.lit(1)).alias("parts"),
+                                        F.max(F.struct("many", "c")).alias("top"))
+                 .where("parts > 1").select("s", F.col("top.c").alias("top")))
+        weight = F.size("cells")
+        step = 1 / self.least if 0 < self.least < 1 else 2.0
+        own = (members.join(mixed, "s").join(cells, "n")
+               .select("s", "n", "c", (F.col("c") == F.col("top")).alias("main"),
+                       F.floor(F.log(weight) / math.log(step)).cast("int").alias("size"),
+                       weight.alias("weight"), "cells"))
+        key = ["s", "main", "size"]
+        sizes = (own.groupBy(*key)
+                 .agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES,
+                                        F.sum("weight") / BLOCK_CELLS)).cast("int").alias("parts")))
+        own = materialize(own.join(sizes, key).withColumn(
+            "part", F.pmod(F.xxhash64("n"), F.col("parts")).cast("int")).drop("parts", "weight"),
+            "own")
+        blocks = sizes.select(*key, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        block = [*key, "part"]
+        x = blocks.select("s", F.struct(*block[1:]).alias("x"))
+        y = blocks.select("s", F.struct(*block[1:]).alias("y"))
+        pairs = (x.join(y, "s")
+                 .where((F.col("x") <= F.col("y")) & ~(F.col("x.main") & F.col("y.main"))
+                        & (F.abs(F.col("x.size") - F.col("y.size")) <= 1))
+                 .withColumn("pair", F.xxhash64("s", "x", "y")))
+        sides = [pairs.select("pair", "s", f"{side}.*", F.lit(k).alias("side"))
+                 for k, side in enumerate("xy")]
+        sides[1] = pairs.where("x <> y").select("pair", "s", "y.*", F.lit(1).alias("side"))
+        return (sides[0].union(sides[1]).join(own, block)
+                .select("pair", "side", "c", "cells")
+                .groupBy("pair").applyInArrow(_linked(self.least), "a bigint, b bigint")
+                .distinct())
 
     def labelled(self) -> DataFrame:
         """(node, class_id, class_docs, keep): ``keep`` is the key of the one text
