@@ -10,103 +10,137 @@ from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 from auric import specs as S
 from auric.operators.dedupe import silver_dedupe
 from auric.operators.incremental import incremental_since
 from auric.operators.snapshot import append_snapshot, has_snapshot
 from auric.plans import gold
-from auric.session import scratch_path
-from auric.sources.landed import (backfill_from_csv, delta_from_json, live_ids_snapshot,
-                                  load_seed)
-from auric.sources.lake import LakeTable, list_tables
-
-
-def _selected(specs: Sequence[S.EntitySpec], entities: Iterable[str] | None):
-    if not entities:
-        return list(specs)
-    want = {e.lower() for e in entities}
-    return [s for s in specs if s.table in want or s.model in want]
+from auric.session import remove_path, scratch_path
+from auric.sources.landed import (backfill_from_csv, delta_from_json, delta_from_pages,
+                                  landed_csv_scan, live_ids_snapshot, load_seed,
+                                  paged_json_explode)
+from auric.sources.lake import LOAD_COLUMN, LakeTable, list_tables
 
 
 def ingest(spark: SparkSession, lake_root: str, landing_root: str,
-           specs: Sequence[S.EntitySpec], csv_columns: dict[str, Sequence[str]],
+           specs: Sequence[S.EntitySpec], csv_columns: dict[str, Sequence[str]] | None = None,
            entities: Iterable[str] | None = None, seed_since=None,
-           lag_seconds: int = S.LAG_SECONDS,
+           seed_since_days: int | None = None, lag_seconds: int | None = None,
            json_schemas: dict[str, StructType] | None = None,
-           workers: int = 4) -> dict[str, int]:
-    """Bronze load of each selected entity.
-
-    First run (no stored version): the CSV backfill under
-    ``<landing>/<table>/csv`` filtered to ``cursor > seed - lag``. Later runs:
-    the JSON deltas under ``<landing>/<table>/json`` filtered to
-    ``cursor > last - lag``, with ``last`` read from the commit log. Both are
-    normalised to text + UTC cursor and merged by primary key. Entities are
-    independent tables, so up to ``workers`` of them load at the same time.
+           page_schemas: dict[str, StructType] | None = None,
+           compact_every: int = 16, workers: int = 4) -> dict[str, int]:
+    """Bronze load of each selected entity: the rows newer than its stored cursor.
+
+    A CRM entity without a stored cursor takes the CSV backfill under
+    ``<landing>/<table>/csv``, bounded by ``seed_since`` (or ``seed_since_days``
+    before now); later runs take the JSON deltas under ``<landing>/<table>/json``.
+    Both become text with a UTC cursor. A paged entity reads
+    ``<landing>/<table>/pages`` on every run, types as delivered. What counts as a
+    first run is the cursor, so a run that found nothing is followed by another
+    first run. ``lag_seconds`` replaces every spec's own overlap.
+
+    Rows whose cursor cannot be read are loaded with a NULL cursor. The batch is
+    appended to the bronze change log; after ``compact_every`` loads that is folded
+    to one row per key. Entities are independent tables, so up to ``workers`` of
+    them load at the same time.
     """
+    if seed_since_days is not None:
+        if seed_since is not None:
+            raise ValueError("give seed_since or seed_since_days")
+        seed_since = _dt.datetime.now(_dt.timezone.utc) - _dt.timedelta(days=seed_since_days)
+
     def load(spec: S.EntitySpec) -> int:
         table = LakeTable.at(spark, lake_root, "bronze", spec.table)
         base = f"{landing_root.rstrip('/')}/{spec.table}"
+        lag = spec.lag_seconds if lag_seconds is None else lag_seconds
         last = table.last_cursor()
-        if last is None and not table.exists():
-            batch = backfill_from_csv(spark, f"{base}/csv", csv_columns[spec.table],
-                                      spec.cursor)
-            batch = incremental_since(batch, spec.cursor, None, lag_seconds, seed_since)
+        if spec.source == "odata":
+            batch = delta_from_pages(spark, f"{base}/pages", spec.cursor,
+                                     (page_schemas or {}).get(spec.table))
+        elif last is None:
+            batch = backfill_from_csv(spark, f"{base}/csv", (csv_columns or {}).get(spec.table),
+                                      spec.cursor, spec.csv_multi_line)
         else:
-            schema = (json_schemas or {}).get(spec.table)
-            batch = delta_from_json(spark, f"{base}/json", spec.cursor, schema, since=last)
-            batch = incremental_since(batch, spec.cursor, last, lag_seconds)
-        return table.merge(batch, spec.pk, spec.cursor)
+            batch = delta_from_json(spark, f"{base}/json", spec.cursor,
+                                    (json_schemas or {}).get(spec.table), last, lag)
+        version = table.append(incremental_since(batch, spec.cursor, last, lag, seed_since,
+                                                 keep_unreadable=True), spec.cursor)
+        if len(table.parts()) > compact_every:
+            version = table.compact(spec.pk, spec.cursor, spec.tie_breakers)
+        return version
 
     return write_concurrently({s.table: (lambda s=s: load(s))
-                               for s in _selected(specs, entities)}, workers)
+                               for s in S.select_specs(specs, entities)}, workers)
 
 
-def reconcile_ids(spark: SparkSession, lake_root: str, exports: dict[str, DataFrame],
-                  specs: Sequence[S.EntitySpec], expected_rows: dict[str, int] | None = None,
-                  max_shrink: float | None = 0.5) -> dict[str, int]:
-    """Replace each ``<table>__live_ids`` with the full key set of a fresh
-    export, refusing truncated or suspiciously shrunken sets."""
+def reconcile_ids(spark: SparkSession, lake_root: str, specs: Sequence[S.EntitySpec],
+                  exports: dict[str, DataFrame] | None = None, landing_root: str | None = None,
+                  entities: Iterable[str] | None = None,
+                  expected_rows: dict[str, int] | None = None,
+                  max_shrink: float | None = None) -> dict[str, int]:
+    """Replace each selected ``<table>__live_ids`` with the full key set of a fresh
+    export: a frame from ``exports``, or what is landed under
+    ``<landing>/<table>/ids`` (CSV, or pages for a paged source). A row count other
+    than the manifest's (``expected_rows``) is refused; ``max_shrink`` refuses a
+    set that lost more than that share."""
     done = {}
-    for spec in specs:
-        if spec.table not in exports:
-            continue
-        ids = live_ids_snapshot(exports[spec.table], spec.pk)
+    for spec in S.select_specs(specs, entities or (list(exports) if exports else None)):
+        if exports and spec.table in exports:
+            full = exports[spec.table]
+        elif landing_root is None:
+            raise ValueError(f"no export and no landing folder for {spec.table}")
+        else:
+            path = f"{landing_root.rstrip('/')}/{spec.table}/ids"
+            full = (paged_json_explode(spark, path) if spec.source == "odata"
+                    else landed_csv_scan(spark, path))
         t = LakeTable.at(spark, lake_root, "bronze", spec.live_ids_table)
-        done[spec.table] = t.replace(ids, (expected_rows or {}).get(spec.table), max_shrink)
+        done[spec.table] = t.replace(live_ids_snapshot(full, spec.pk),
+                                     (expected_rows or {}).get(spec.table), max_shrink)
     return done
 
 
 def build_silver(spark: SparkSession, lake_root: str, specs: Sequence[S.EntitySpec],
                  select: Iterable[str] | None = None,
                  overrides: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-                 regions_seed: str | None = None, workers: int = 4) -> dict[str, int]:
-    """Rebuild each selected silver table as a new version. A model named in
-    ``overrides`` is built by that function from its bronze frame instead.
-    Tables are independent, so up to ``workers`` build at the same time."""
-    def build(spec: S.EntitySpec) -> int | None:
-        bronze = LakeTable.at(spark, lake_root, "bronze", spec.table)
-        if not bronze.exists():
-            return None
-        src = bronze.read()
+                 regions_seed: str | None = None, workers: int = 4,
+                 publish_to: str | None = None) -> dict[str, int]:
+    """Rebuild each selected silver table as a new version, then publish them if
+    ``publish_to`` names a folder. A model named in ``overrides`` is built by that
+    function from its bronze frame instead. Bronze is a change log, so deleted rows
+    are filtered after ranking: a delete hides what it deletes. A selected table
+    without bronze is an error. Up to ``workers`` tables build at the same time."""
+    chosen = S.select_specs(specs, select)
+    bronze = {s.table: LakeTable.at(spark, lake_root, "bronze", s.table) for s in chosen}
+    missing = [t for t, table in bronze.items() if not table.exists()]
+    if missing:
+        raise FileNotFoundError(f"no bronze table: {', '.join(sorted(missing))}")
+
+    def build(spec: S.EntitySpec) -> int:
+        src = bronze[spec.table].read()
         if overrides and spec.model in overrides:
             out = overrides[spec.model](src)
         else:
             live_t = LakeTable.at(spark, lake_root, "bronze", spec.live_ids_table) \
                 if spec.live_ids_table else None
             live = live_t.read() if live_t is not None and live_t.exists() else None
+            load = [LOAD_COLUMN] if LOAD_COLUMN in src.columns else []
             out = silver_dedupe(src, spec.pk, spec.cursor, spec.has_soft_delete,
-                                spec.columns, live, spec.tie_breakers)
+                                spec.columns, live, [*spec.tie_breakers, *load],
+                                delete_filter="after", drop_matching=spec.drop_matching)
         return LakeTable.at(spark, lake_root, "silver", spec.model).commit(out, "build")
 
-    tasks = {s.model: (lambda s=s: build(s)) for s in _selected(specs, select)}
+    tasks = {s.model: (lambda s=s: build(s)) for s in chosen}
     if regions_seed:
         seed = load_seed(spark, regions_seed, S.REGIONS_SEED_SCHEMA)
         tasks["regions"] = lambda: LakeTable.at(spark, lake_root, "gold", "regions").commit(
             seed, "seed")
-    return {k: v for k, v in write_concurrently(tasks, workers).items() if v is not None}
+    done = write_concurrently(tasks, workers)
+    if publish_to:
+        publish(spark, lake_root, "silver", publish_to, [s.model for s in chosen])
+    return done
 
 
 GOLD_TABLES = ("baseline_certification", "coc_per_country", "daily_certificate_numbers",
@@ -126,14 +160,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def gold_frames(silver: dict[str, DataFrame], regions: DataFrame | None,
                 as_of=None, snapshot_date=None, select: Iterable[str] | None = None,
-                cut_lineage: bool = True) -> dict[str, DataFrame]:
+                cut_lineage: bool = True, scratch: str | None = None) -> dict[str, DataFrame]:
     """The gold metric frames from silver frames keyed by model name.
 
     The certificate x account frame (G1) and its holder dedup (G2) feed five
-    outputs; with ``cut_lineage`` both are written once to the shared
-    checkpoint folder (``materialize``) and the outputs read them back.
+    outputs; with ``cut_lineage`` both are written once (to ``scratch``, else to
+    the shared checkpoint folder) and the outputs read them back. G2 then ranks the
+    stored G1, so certificates and accounts are joined once; a hot certificate
+    sends one row per map task to the ranking. ``members`` needs the regions seed.
     """
     want = set(select or GOLD_TABLES)
+    if "members" in want and regions is None:
+        raise FileNotFoundError("members needs the regions seed")
+
+    def stored(df, name):
+        if not scratch:
+            return materialize(df, name)
+        df.write.parquet(f"{scratch}/{name}")
+        return df.sparkSession.read.parquet(f"{scratch}/{name}")
+
     out: dict[str, DataFrame] = {}
     needs_g1 = want & {"baseline_certification", "coc_per_country", "fm_per_country",
                        "sites_with_identity", "issued_vs_terminations"}
@@ -141,10 +186,11 @@ def gold_frames(silver: dict[str, DataFrame], regions: DataFrame | None,
         args = (silver["account"], silver["country_data"], silver["certificate_c"],
                 silver["recordtype"])
         g1 = gold.certificate_account_country(*args)
-        g1 = materialize(g1, "gold-g1") if cut_lineage else g1
-        # G2 straight from silver (skew-safe form; silver certificate ids are unique)
-        g2 = gold.certificate_holder(*args)
-        g2 = materialize(g2, "gold-g2") if cut_lineage else g2
+        if cut_lineage:
+            g1 = stored(g1, "gold-g1")
+            g2 = stored(gold.holder_preference_dedup(g1), "gold-g2")
+        else:                     # skew-safe form; silver certificate ids are unique
+            g2 = gold.certificate_holder(*args)
         if "baseline_certification" in want:
             out["baseline_certification"] = gold.baseline_certification(g2, as_of, snapshot_date)
         if "coc_per_country" in want:
@@ -164,7 +210,7 @@ def gold_frames(silver: dict[str, DataFrame], regions: DataFrame | None,
     if "daily_headline" in want:
         out["daily_headline"] = gold.daily_headline(
             silver["non_certificate_holder"], silver["account"], as_of, snapshot_date)
-    if "members" in want and regions is not None:
+    if "members" in want:
         out["members"] = gold.members(silver["account"], silver["country_data"], regions,
                                       snapshot_date)
     return out
@@ -172,29 +218,37 @@ def gold_frames(silver: dict[str, DataFrame], regions: DataFrame | None,
 
 def build_gold(spark: SparkSession, lake_root: str, snapshot_date=None, as_of=None,
                select: Iterable[str] | None = None, replace: bool = False,
-               cut_lineage: bool = True) -> dict[str, bool]:
-    """Append today's (or ``snapshot_date``'s) snapshot of each gold table.
+               cut_lineage: bool = True, publish_to: str | None = None) -> dict[str, bool]:
+    """Append today's (or ``snapshot_date``'s) snapshot of each gold table, then
+    publish the layer if ``publish_to`` names a folder.
 
     Tables that already hold the date are skipped before any work is planned
-    (first write wins) unless ``replace``.
+    (first write wins) unless ``replace``. A missing silver table or seed is an
+    error. The shared intermediates are removed after the run.
     """
     snap = snapshot_date or _dt.datetime.now(_dt.timezone.utc).date()
-    root = lake_root.rstrip("/")
-    todo = [t for t in (select or GOLD_TABLES)
-            if replace or not has_snapshot(spark, f"{root}/gold/{t}", snap)]
-    if not todo:
-        return {t: False for t in (select or GOLD_TABLES)}
-    names = ("account", "country_data", "certificate_c", "recordtype",
-             "non_certificate_holder")
-    silver = {n: LakeTable.at(spark, lake_root, "silver", n).read() for n in names}
-    regions_t = LakeTable.at(spark, lake_root, "gold", "regions")
-    regions = regions_t.read() if regions_t.exists() else None
-    frames = gold_frames(silver, regions, as_of, snap, todo, cut_lineage)
-    # dates were probed above; skip the second probe inside append_snapshot
-    return write_concurrently(
-        {t: (lambda t=t, df=df: append_snapshot(spark, df, f"{root}/gold/{t}", snap, replace,
-                                                known_absent=not replace))
-         for t, df in frames.items()})
+    root, tables = lake_root.rstrip("/"), list(select or GOLD_TABLES)
+    todo = [t for t in tables if replace or not has_snapshot(spark, f"{root}/gold/{t}", snap)]
+    done = dict.fromkeys(tables, False)
+    if todo:
+        names = ("account", "country_data", "certificate_c", "recordtype",
+                 "non_certificate_holder")
+        silver = {n: LakeTable.at(spark, lake_root, "silver", n).read() for n in names}
+        regions_t = LakeTable.at(spark, lake_root, "gold", "regions")
+        regions = regions_t.read() if "members" in todo else None
+        scratch = scratch_path(spark, "gold")
+        try:
+            frames = gold_frames(silver, regions, as_of, snap, todo, cut_lineage, scratch)
+            # dates were looked up above; append_snapshot need not do it again
+            done.update(write_concurrently(
+                {t: (lambda t=t, df=df: append_snapshot(
+                    spark, df, f"{root}/gold/{t}", snap, replace, known_absent=not replace))
+                 for t, df in frames.items()}))
+        finally:
+            remove_path(spark, scratch)
+    if publish_to:
+        publish(spark, lake_root, "gold", publish_to)
+    return done
 
 
 def write_concurrently(tasks: dict[str, Callable[[], object]], workers: int = 4) -> dict:
@@ -209,7 +263,8 @@ def publish(spark: SparkSession, lake_root: str, layer: str, dest_root: str,
             tables: Iterable[str] | None = None) -> list[str]:
     """Copy the current version of every table of a layer to
     ``<dest>/<layer>/<table>/`` (overwritten). Dated gold tables are copied
-    whole with their ``snapshot_date`` partitions.
+    whole with their ``snapshot_date`` partitions; one whose log counts no rows so
+    far has no files and is left out of the returned list.
 
     Each table is written as a folder of part files by parallel tasks, not
     one object through one task.
@@ -218,10 +273,10 @@ def publish(spark: SparkSession, lake_root: str, layer: str, dest_root: str,
         [r["table_name"] for r in list_tables(spark, lake_root, layer).collect()]
     done = []
     for t in names:
-        try:
-            df = LakeTable.at(spark, lake_root, layer, t).read()
-        except AnalysisException:
-            continue  # a dated table whose snapshots so far were all empty
+        table = LakeTable.at(spark, lake_root, layer, t)
+        if table.is_dated() and not table.log().agg(F.sum("rows")).first()[0]:
+            continue              # by its log it never had a row: there is nothing to copy
+        df = table.read()
         w = df.write.mode("overwrite")
         if "snapshot_date" in df.columns:
             w = w.partitionBy("snapshot_date")

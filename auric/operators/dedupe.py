@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from auric.functions.casts import safe_bool
 
-TECHNICAL_COLUMNS = ("_rn", "_dlt_load_id", "_dlt_id")
+TECHNICAL_COLUMNS = ("_rn", "_load", "_dlt_load_id", "_dlt_id")
 SOFT_DELETE_FLAG = "IsDeleted"
 
 
@@ -127,8 +127,11 @@ def silver_dedupe(df: DataFrame, pk: str, cursor: str,
                   grace_after=None) -> DataFrame:
     """The full silver transform of one entity.
 
-    Order: soft-delete filter -> latest per key -> live-key semi join ->
-    projection (or keep-all minus technical columns).
+    Order: soft-delete filter -> live-key semi join -> latest per key ->
+    projection (or keep-all minus technical columns). The semi join keeps or drops
+    whole keys, so it commutes with the ranking and comes first, where it saves
+    sorting rows of dead keys; with ``grace_after`` it looks at the row that won and
+    comes after.
 
     ``delete_filter="before"`` filters deleted rows before ranking (bronze is
     already merged to one row per key). ``"after"`` ranks first, so a newer
@@ -141,10 +144,12 @@ def silver_dedupe(df: DataFrame, pk: str, cursor: str,
     out = df
     if has_soft_delete and delete_filter == "before":
         out = soft_delete_filter(out)
+    if live_ids is not None and grace_after is None:
+        out = hard_delete_semi_join(out, live_ids, pk)
     out = latest_by_key(out, pk, cursor, tie_breakers)
     if has_soft_delete and delete_filter == "after":
         out = soft_delete_filter(out)
-    if live_ids is not None:
+    if live_ids is not None and grace_after is not None:
         out = hard_delete_semi_join(out, live_ids, pk, cursor, grace_after)
     if columns is not None:
         return project_columns(out, columns)

@@ -40,15 +40,19 @@ def watermark(last_value=None, lag_seconds: int = 0, seed_since=None) -> Column:
 
 
 def incremental_since(df: DataFrame, cursor: str, last_value=None,
-                      lag_seconds: int = 0, seed_since=None) -> DataFrame:
+                      lag_seconds: int = 0, seed_since=None,
+                      keep_unreadable: bool = False) -> DataFrame:
     """Rows with ``cursor > since`` (strict). The comparison is on the raw
-    cursor column, so it reaches the Parquet scan as a pushed filter."""
+    cursor column, so it reaches the Parquet scan as a pushed filter.
+
+    ``keep_unreadable`` also keeps rows whose cursor is NULL (missing or not a
+    date): their age is unknown, so a load must not lose them."""
     since = watermark(last_value, lag_seconds, seed_since)
     c = q(cursor)
     dtype = df.schema[cursor].dataType.simpleString()
     if dtype == "timestamp_ntz":
         since = since.cast("timestamp_ntz")
-    return df.where(c > since)
+    return df.where((c > since) | c.isNull() if keep_unreadable else c > since)
 
 
 def max_cursor(df: DataFrame, cursor: str) -> DataFrame:

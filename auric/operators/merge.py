@@ -7,8 +7,8 @@ as a new version (``auric.sources.lake.LakeTable``), never over its own input.
 At scale the batch (one incremental pull) is small next to the stored table.
 The anti join is planned as a shuffled join unless the batch-key side is
 under the broadcast threshold, which AQE checks at run time from the actual
-shuffle size. ``auric.sources.lake.BucketedTable`` stores a table by
-``bucket_of(pk)`` and limits the rewrite to the buckets a batch touches.
+shuffle size. Loads append their batch instead (``LakeTable.append``) and leave
+the rewrite of the table to an occasional ``compact``.
 """
 
 from __future__ import annotations
@@ -28,16 +28,17 @@ def _keys(pk: str | Sequence[str]) -> list[str]:
 def merge_upsert(target: DataFrame | None, batch: DataFrame, pk: str | Sequence[str],
                  cursor: str | None = None,
                  tie_breakers: Sequence[str | Column] = (),
-                 keep_newer: bool = False) -> DataFrame:
+                 keep_newer: bool = False, ranked: bool = False) -> DataFrame:
     """Incoming rows replace stored rows with an equal key; other stored rows
-    are kept. The batch is first reduced to its latest row per key.
+    are kept. The batch is first reduced to its latest row per key, unless it is
+    ``ranked`` already. It is read twice (join and union): pass one that is stored.
 
     ``keep_newer=True`` keeps a stored row whose cursor is greater than the
     incoming one (an out-of-order re-delivery does not roll a row back).
     Columns present on one side only are filled with NULL on the other.
     """
     keys = _keys(pk)
-    if cursor is not None:
+    if cursor is not None and not ranked:
         batch = latest_by_key(batch, keys, cursor, tie_breakers)
     if target is None:
         return batch
@@ -55,7 +56,3 @@ def merge_upsert(target: DataFrame | None, batch: DataFrame, pk: str | Sequence[
     kept = target.join(batch.select(*[q(k) for k in keys]), keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
-
-def bucket_of(pk: str | Sequence[str], buckets: int) -> Column:
-    """Stable hash bucket of the key: ``pmod(xxhash64(pk...), buckets)``."""
-    return F.pmod(F.xxhash64(*[q(k) for k in _keys(pk)]), F.lit(buckets)).cast("int")

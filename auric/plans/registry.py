@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from auric import specs
 from auric.operators import dedupe
 from auric.plans import gold
+from auric.jobs import materialize
 from auric.plans.roles import AS_OF, SNAPSHOT_DATE, role, role_cte, roles
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -142,40 +143,47 @@ def q_silver_delete_after(spark, sf):
 # --------------------------------------------------------------------------
 
 _GOLD_ROLES = ("certificate_c", "account", "country_data", "recordtype")
-_MEASURE_SQL = ",\n    ".join(
-    f"try_cast(c.{src} AS double) AS {dst}" for dst, src in gold._MEASURES)
-
-_G1_SQL = f"""
-, acct AS (
-  SELECT a.Certificate_Relation__c AS cert_rel, a.Name AS company,
-         a.Type AS acct_type, cd.Name AS country
-  FROM account a JOIN country_data cd ON a.Country__c = cd.Id
-  WHERE a.Type IN ({sql_list(specs.ACCOUNT_TYPES)})
-), cert AS (
-  SELECT c.Id AS cert_rel, rt.Name AS ctype, c.Cert_Status__c, c.CB__c,
-         c.Certificate_Type__c, c.Reason_for_Termination__c, c.Date_From__c,
-         c.Date_To__c, c.First_Issue_Date__c,
-    {_MEASURE_SQL}
-  FROM certificate_c c JOIN recordtype rt ON c.RecordTypeId = rt.Id
-  WHERE c.Cert_Status__c IN ({sql_list(specs.ALL_STATUSES)})
-    AND c.CB__c NOT IN ({sql_list(specs.EXCLUDED_CBS)})
-    AND rt.Name IN ({sql_list(specs.CATEGORIES)})
-), g1 AS (
-  SELECT cert.*, acct.company, acct.acct_type, acct.country
-  FROM cert JOIN acct ON cert.cert_rel = acct.cert_rel
-), g2 AS (
-  SELECT * EXCLUDE (_rn) FROM (
-    SELECT *, row_number() OVER (
-      PARTITION BY cert_rel
-      ORDER BY CASE WHEN acct_type IN ({sql_list(specs.CERT_HOLDER_TYPES)}) THEN 0 ELSE 1 END,
-               company NULLS LAST, acct_type NULLS LAST, country NULLS LAST) AS _rn
-    FROM g1) WHERE _rn = 1
-)"""
-_GOLD_CTE = role_cte(*_GOLD_ROLES) + _G1_SQL
 _ASOF = f"DATE '{AS_OF}'"
 _SNAP = f"DATE '{SNAPSHOT_DATE}'"
-_VALID_ACTIVE = (f"try_cast(Date_To__c AS date) >= {_ASOF} "
-                 f"AND Cert_Status__c NOT IN ({sql_list(specs.INACTIVE_STATUSES)})")
+_CERT_COLUMNS = ["Cert_Status__c", "CB__c", "Certificate_Type__c", "Reason_for_Termination__c",
+                 "Date_From__c", "Date_To__c", "First_Issue_Date__c"]
+
+
+def _cert_select(cert: str, kind: str) -> str:
+    """Certificate columns as the gold tables see them, numbers read from text."""
+    return ", ".join([f"{cert}.Id AS cert_rel", f"{kind}.Name AS ctype",
+                      *(f"{cert}.{c}" for c in _CERT_COLUMNS),
+                      *(f"try_cast({cert}.{src} AS double) AS {dst}"
+                        for dst, src in gold._MEASURES)])
+
+
+def _counted(cert: str, kind: str, statuses=specs.ALL_STATUSES,
+             categories=specs.CATEGORIES) -> str:
+    """Which certificates count: category and status listed, body known and allowed."""
+    return (f"list_contains([{sql_list(categories)}], {kind}.Name) "
+            f"AND list_contains([{sql_list(statuses)}], {cert}.Cert_Status__c) "
+            f"AND NOT list_contains([{sql_list(specs.EXCLUDED_CBS)}], {cert}.CB__c)")
+
+
+# holding: one row for each holder account of a certificate that counts;
+# holder: the account that stands for a certificate
+_HOLDINGS_SQL = f""", holding AS (
+  SELECT {_cert_select("certificate_c", "recordtype")},
+         account.Name AS company, account.Type AS acct_type, country_data.Name AS country
+  FROM country_data, account, recordtype, certificate_c
+  WHERE country_data.Id = account.Country__c
+    AND recordtype.Id = certificate_c.RecordTypeId
+    AND certificate_c.Id = account.Certificate_Relation__c
+    AND list_contains([{sql_list(specs.ACCOUNT_TYPES)}], account.Type)
+    AND {_counted("certificate_c", "recordtype")}
+), holder AS (
+  SELECT DISTINCT ON (cert_rel) * FROM holding
+  ORDER BY cert_rel, list_contains([{sql_list(specs.CERT_HOLDER_TYPES)}], acct_type) DESC,
+           company NULLS LAST, acct_type NULLS LAST, country NULLS LAST
+)"""
+_GOLD_CTE = role_cte(*_GOLD_ROLES) + _HOLDINGS_SQL
+_IN_FORCE = (f"NOT list_contains([{sql_list(specs.INACTIVE_STATUSES)}], Cert_Status__c) "
+             f"AND NOT coalesce(try_cast(Date_To__c AS date) < {_ASOF}, true)")
 
 
 def _g1(spark, sf):
@@ -191,134 +199,120 @@ def _g2(spark, sf):
 
 
 @register("account_country_join", role_cte("account", "country_data") + f"""
-SELECT a.Certificate_Relation__c AS cert_rel, a.Name AS company, a.Type AS acct_type,
-       cd.Name AS country
-FROM account a JOIN country_data cd ON a.Country__c = cd.Id
-WHERE a.Type IN ({sql_list(specs.ACCOUNT_TYPES)})""")
+SELECT account.Certificate_Relation__c AS cert_rel, account.Name AS company,
+       account.Type AS acct_type, country_data.Name AS country
+FROM country_data, account
+WHERE country_data.Id = account.Country__c
+  AND list_contains([{sql_list(specs.ACCOUNT_TYPES)}], account.Type)""")
 def q_account_country_join(spark, sf):
     r = roles(spark, sf, "account", "country_data")
     return gold.account_country(r["account"], r["country_data"])
 
 
-@register("certificate_recordtype_join", _GOLD_CTE + "\nSELECT * FROM cert")
+@register("certificate_recordtype_join", role_cte("certificate_c", "recordtype") + f"""
+SELECT {_cert_select("certificate_c", "recordtype")}
+FROM recordtype, certificate_c
+WHERE recordtype.Id = certificate_c.RecordTypeId
+  AND {_counted("certificate_c", "recordtype")}""")
 def q_certificate_recordtype_join(spark, sf):
     r = roles(spark, sf, "certificate_c", "recordtype")
     return gold.certificate_recordtype(r["certificate_c"], r["recordtype"])
 
 
-@register("int_certificate_account_country", _GOLD_CTE + "\nSELECT * FROM g1")
+@register("int_certificate_account_country", _GOLD_CTE + "\nSELECT * FROM holding")
 def q_g1(spark, sf):
     return _g1(spark, sf)
 
 
-@register("holder_preference_dedup", _GOLD_CTE + "\nSELECT * FROM g2")
+@register("holder_preference_dedup", _GOLD_CTE + "\nSELECT * FROM holder")
 def q_g2(spark, sf):
-    return gold.holder_preference_dedup(_g1(spark, sf))
+    # ranked on a stored G1 (as the gold job does), so a hot certificate is cut to
+    # one row per map task before the shuffle
+    return gold.holder_preference_dedup(materialize(_g1(spark, sf), "g1"))
 
 
-@register("certificate_holder", _GOLD_CTE + "\nSELECT * FROM g2")
+@register("certificate_holder", _GOLD_CTE + "\nSELECT * FROM holder")
 def q_certificate_holder(spark, sf):
     return _g2(spark, sf)
 
 
+_BASELINE_NAMES = {"ntfp_services": "management_for_ntfp_and_services"}
+
+
 @register("baseline_certification", _GOLD_CTE + f"""
-SELECT ctype, country, count(*) AS certificates,
-       sum(boreal_forests) AS boreal_forests,
-       sum(community_forestry) AS community_forestry,
-       sum(forest_area_total) AS forest_area_total,
-       sum(ntfp_services) AS management_for_ntfp_and_services,
-       sum(plantations) AS plantations,
-       sum(temperate_forests) AS temperate_forests,
-       sum(tropical_forests) AS tropical_forests,
-       {_SNAP} AS snapshot_date
-FROM g2
-WHERE {_VALID_ACTIVE} AND ctype IS NOT NULL AND country IS NOT NULL
-GROUP BY ctype, country""")
+SELECT country, ctype, {_SNAP} AS snapshot_date, count(*) AS certificates,
+       {", ".join(f"sum({m}) AS {_BASELINE_NAMES.get(m, m)}" for m, _ in gold._MEASURES)}
+FROM holder WHERE {_IN_FORCE}
+GROUP BY country, ctype HAVING country IS NOT NULL AND ctype IS NOT NULL""")
 def q_baseline_certification(spark, sf):
     return gold.baseline_certification(_g2(spark, sf), AS_OF, SNAPSHOT_DATE)
 
 
 @register("coc_per_country", _GOLD_CTE + f"""
-SELECT country, count(*) AS certificates, {_SNAP} AS snapshot_date
-FROM g2
-WHERE {_VALID_ACTIVE} AND ctype = 'COC' AND country IS NOT NULL
-GROUP BY country""")
+SELECT {_SNAP} AS snapshot_date, country, count(*) FILTER (ctype = 'COC') AS certificates
+FROM holder WHERE {_IN_FORCE}
+GROUP BY country HAVING country IS NOT NULL AND bool_or(ctype = 'COC')""")
 def q_coc_per_country(spark, sf):
     return gold.coc_per_country(_g2(spark, sf), AS_OF, SNAPSHOT_DATE)
 
 
 @register("fm_per_country", _GOLD_CTE + f"""
-, step1 AS (
-  SELECT country, forest_area_total AS area, count(*) AS cnt
-  FROM g2
-  WHERE {_VALID_ACTIVE} AND ctype IN ({sql_list(specs.FM_COUNTRY_CATEGORIES)})
-    AND country IS NOT NULL AND forest_area_total IS NOT NULL
-  GROUP BY country, forest_area_total)
-SELECT country, sum(area) AS forest_area, cast(sum(cnt) AS bigint) AS certificates,
-       {_SNAP} AS snapshot_date
-FROM step1 GROUP BY country""")
+SELECT {_SNAP} AS snapshot_date, country, sum(DISTINCT forest_area_total) AS forest_area,
+       count(forest_area_total) AS certificates
+FROM holder
+WHERE {_IN_FORCE} AND list_contains([{sql_list(specs.FM_COUNTRY_CATEGORIES)}], ctype)
+GROUP BY country HAVING country IS NOT NULL AND count(forest_area_total) > 0""")
 def q_fm_per_country(spark, sf):
     return gold.fm_per_country(_g2(spark, sf), AS_OF, SNAPSHOT_DATE)
 
 
 @register("sites_with_identity", _GOLD_CTE + f"""
-SELECT country, ctype, Certificate_Type__c,
-       count(*) AS "number of sites with identity", {_SNAP} AS snapshot_date
-FROM g1
-WHERE Cert_Status__c != 'Terminated' AND try_cast(Date_To__c AS date) >= {_ASOF}
-  AND country IS NOT NULL AND ctype IS NOT NULL AND Certificate_Type__c IS NOT NULL
-GROUP BY country, ctype, Certificate_Type__c""")
+SELECT Certificate_Type__c, ctype, country, {_SNAP} AS snapshot_date,
+       count(*) AS "number of sites with identity"
+FROM holding
+WHERE country || ctype || Certificate_Type__c IS NOT NULL
+  AND nullif(Cert_Status__c, 'Terminated') IS NOT NULL
+  AND NOT coalesce(try_cast(Date_To__c AS date) < {_ASOF}, true)
+GROUP BY ALL""")
 def q_sites_with_identity(spark, sf):
     return gold.sites_with_identity(_g1(spark, sf), AS_OF, SNAPSHOT_DATE)
 
 
 @register("issued_vs_terminations", _GOLD_CTE + f"""
-, new_issues AS (
-  SELECT 'new' AS kind, count(*) AS certificates, country,
-         try_cast(First_Issue_Date__c AS date) AS event_date, ctype,
-         Cert_Status__c AS status, Certificate_Type__c
-  FROM g1
-  WHERE try_cast(First_Issue_Date__c AS date) > DATE '{specs.ISSUE_CUTOFF}'
-    AND Cert_Status__c != 'Terminated'
-    AND country IS NOT NULL AND First_Issue_Date__c IS NOT NULL
-    AND ctype IS NOT NULL AND Cert_Status__c IS NOT NULL
-    AND Certificate_Type__c IS NOT NULL
-  GROUP BY country, try_cast(First_Issue_Date__c AS date), ctype, Cert_Status__c,
-           Certificate_Type__c
-), terminations AS (
-  SELECT 'terminated' AS kind, count(*) AS certificates, country,
-         try_cast(Date_From__c AS date) AS event_date, ctype,
-         Reason_for_Termination__c AS status, Certificate_Type__c
-  FROM g1
-  WHERE try_cast(Date_From__c AS date) > DATE '{specs.ISSUE_CUTOFF}'
-    AND Cert_Status__c = 'Terminated'
-    AND country IS NOT NULL AND Date_From__c IS NOT NULL
-    AND ctype IS NOT NULL AND Reason_for_Termination__c IS NOT NULL
-    AND Certificate_Type__c IS NOT NULL
-  GROUP BY country, try_cast(Date_From__c AS date), ctype, Reason_for_Termination__c,
-           Certificate_Type__c
+, event AS (
+  SELECT ended.kind, country, ctype, Certificate_Type__c,
+         try_cast(CASE ended.kind WHEN 'terminated' THEN Date_From__c
+                  ELSE First_Issue_Date__c END AS date) AS event_date,
+         CASE ended.kind WHEN 'terminated' THEN Reason_for_Termination__c
+              ELSE Cert_Status__c END AS status
+  FROM holding, LATERAL (SELECT CASE Cert_Status__c WHEN 'Terminated' THEN 'terminated'
+                                ELSE 'new' END AS kind) AS ended
+  WHERE Cert_Status__c IS NOT NULL
 )
-SELECT *, {_SNAP} AS snapshot_date
-FROM (SELECT * FROM new_issues UNION ALL SELECT * FROM terminations)""")
+SELECT *, count(*) AS certificates, {_SNAP} AS snapshot_date FROM event
+WHERE event_date > DATE '{specs.ISSUE_CUTOFF}' AND country IS NOT NULL AND ctype IS NOT NULL
+  AND status IS NOT NULL AND Certificate_Type__c IS NOT NULL
+GROUP BY ALL""")
 def q_issued_vs_terminations(spark, sf):
     return gold.issued_vs_terminations(_g1(spark, sf), SNAPSHOT_DATE)
 
 
-_DAILY_CERT = f"""
-  FROM certificate_c c JOIN recordtype rt ON c.RecordTypeId = rt.Id
-  WHERE c.Cert_Status__c IN ({sql_list(specs.ACTIVE_STATUSES)})
-    AND c.CB__c NOT IN ({sql_list(specs.EXCLUDED_CBS)})
-    AND try_cast(c.Date_To__c AS date) >= {_ASOF}"""
+def _daily(columns: str, categories) -> str:
+    """Certificates in force today by the daily reports' own status list."""
+    return f"""
+  SELECT recordtype.Name AS category, {columns}
+  FROM recordtype, certificate_c
+  WHERE recordtype.Id = certificate_c.RecordTypeId
+    AND {_counted("certificate_c", "recordtype", specs.ACTIVE_STATUSES, categories)}
+    AND NOT coalesce(try_cast(Date_To__c AS date) < {_ASOF}, true)"""
 
 
 @register("daily_certificate_numbers", role_cte("certificate_c", "recordtype") + f"""
-, cert AS (
-  SELECT rt.Name AS ctype, c.Number_of_Sites__c {_DAILY_CERT}
-    AND rt.Name IN ({sql_list(specs.CATEGORIES)}))
-SELECT ctype AS "Certificate Category", count(*) AS "Number Of Certificates",
-       cast(sum(try_cast(Number_of_Sites__c AS double)) AS bigint) AS "Number Of Companies",
-       {_SNAP} AS snapshot_date
-FROM cert GROUP BY ctype""")
+SELECT {_SNAP} AS snapshot_date, category AS "Certificate Category",
+       count(*) AS "Number Of Certificates",
+       sum(sites)::bigint AS "Number Of Companies"
+FROM ({_daily("try_cast(Number_of_Sites__c AS double) AS sites", specs.CATEGORIES)})
+GROUP BY category""")
 def q_daily_certificate_numbers(spark, sf):
     r = roles(spark, sf, "certificate_c", "recordtype")
     return gold.daily_certificate_numbers(r["certificate_c"], r["recordtype"], AS_OF,
@@ -326,21 +320,15 @@ def q_daily_certificate_numbers(spark, sf):
 
 
 @register("daily_forest_areas", role_cte("certificate_c", "recordtype") + f"""
-, cert AS (
-  SELECT c.Forest_Type__c AS forest_type, c.Forest_Area_Total__c {_DAILY_CERT}
-    AND rt.Name IN ({sql_list(specs.FOREST_CATEGORIES)})
-), per_type AS (
-  SELECT forest_type AS "Forest Type", count(*) AS "Number Of Certificates",
-         cast(sum(try_cast(Forest_Area_Total__c AS double)) AS bigint)
-           AS "Certified Forest Area"
-  FROM cert GROUP BY forest_type
-), with_total AS (
-  SELECT * FROM per_type
-  UNION ALL
-  SELECT 'Total', cast(sum("Number Of Certificates") AS bigint),
-         cast(sum("Certified Forest Area") AS bigint) FROM per_type
-)
-SELECT *, {_SNAP} AS snapshot_date FROM with_total""")
+SELECT {_SNAP} AS snapshot_date,
+       if(grouping(kind) = 1, 'Total', kind) AS "Forest Type",
+       sum(n)::bigint AS "Number Of Certificates", sum(area)::bigint AS "Certified Forest Area"
+FROM (
+  SELECT kind, count(*) AS n, sum(area)::bigint AS area
+  FROM ({_daily("Forest_Type__c AS kind, try_cast(Forest_Area_Total__c AS double) AS area",
+                specs.FOREST_CATEGORIES)})
+  GROUP BY kind)
+GROUP BY GROUPING SETS ((kind), ())""")
 def q_daily_forest_areas(spark, sf):
     r = roles(spark, sf, "certificate_c", "recordtype")
     return gold.daily_forest_areas(r["certificate_c"], r["recordtype"], AS_OF,
@@ -348,14 +336,12 @@ def q_daily_forest_areas(spark, sf):
 
 
 @register("daily_headline", role_cte("non_certificate_holder", "account") + f"""
-SELECT
-  (SELECT count(*) FROM non_certificate_holder
-   WHERE try_cast(Contract_end_date__c AS date) > {_ASOF}) AS "Promotional license",
-  (SELECT count(*) FROM account
-   WHERE RecordTypeId = '{specs.MEMBER_RECORD_TYPE}') AS "Members",
-  (SELECT count(DISTINCT Country__c) FROM account
-   WHERE RecordTypeId = '{specs.MEMBER_RECORD_TYPE}') AS "Member Countries",
-  {_SNAP} AS snapshot_date""")
+SELECT {_SNAP} AS snapshot_date, licence.n AS "Promotional license", member.n AS "Members",
+       member.lands AS "Member Countries"
+FROM (SELECT count(*) FILTER (try_cast(Contract_end_date__c AS date) > {_ASOF}) AS n
+      FROM non_certificate_holder) AS licence,
+     (SELECT count(*) AS n, count(DISTINCT Country__c) AS lands FROM account
+      WHERE RecordTypeId = '{specs.MEMBER_RECORD_TYPE}') AS member""")
 def q_daily_headline(spark, sf):
     r = roles(spark, sf, "non_certificate_holder", "account")
     return gold.daily_headline(r["non_certificate_holder"], r["account"], AS_OF,
@@ -363,18 +349,13 @@ def q_daily_headline(spark, sf):
 
 
 @register("members", role_cte("account", "country_data", "regions") + f"""
-, m AS (
-  SELECT Sub_Chamber__c AS Sub_Chamber, Member_Type__c AS Member_Type, Website,
-         Name AS Member, Chamber__c AS Chamber, Country__c AS country_id
-  FROM account WHERE RecordTypeId = '{specs.MEMBER_RECORD_TYPE}'
-), e AS (
-  SELECT m.Sub_Chamber, m.Member_Type, cd.Name AS Country, m.Website, m.Member,
-         m.Chamber, cd.Country_code__c AS iso3
-  FROM m JOIN country_data cd ON m.country_id = cd.Id
-)
-SELECT e.Sub_Chamber, e.Member_Type, e.Country, e.Website, e.Member, e.Chamber,
-       r.Region, r.Functional_region AS region_fun, {_SNAP} AS snapshot_date
-FROM e JOIN regions r ON e.iso3 = r.ISO3""")
+SELECT regions.Functional_region AS region_fun, regions.Region, country_data.Name AS Country,
+       account.Name AS Member, account.Website, account.Chamber__c AS Chamber,
+       account.Sub_Chamber__c AS Sub_Chamber, account.Member_Type__c AS Member_Type,
+       {_SNAP} AS snapshot_date
+FROM regions, country_data, account
+WHERE regions.ISO3 = country_data.Country_code__c AND country_data.Id = account.Country__c
+  AND account.RecordTypeId = '{specs.MEMBER_RECORD_TYPE}'""")
 def q_members(spark, sf):
     r = roles(spark, sf, "account", "country_data", "regions")
     return gold.members(r["account"], r["country_data"], r["regions"], SNAPSHOT_DATE)

@@ -10,17 +10,18 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from auric import jobs, specs
 from auric.functions.casts import safe_date, safe_double
 from auric.functions.normalize import normalize_record, parse_cursor
+from auric.operators.dedupe import latest_by_key
 from auric.operators.incremental import incremental_since, max_cursor
 from auric.operators.merge import merge_upsert
 from auric.operators.snapshot import append_snapshot, latest_snapshot
 from auric.plans import gold
-from auric.plans.registry import _ASOF, _G1_SQL, register, sql_list
+from auric.plans.registry import _ASOF, ORACLE, register, sql_list
 from auric.plans.roles import AS_OF, SNAPSHOT_DATE, TEST_TABLES, read_table, role, role_cte
 from auric.session import scratch_path
 from auric.sources.catalog import adhoc_sql, table_row_counts
 from auric.sources.landed import (landed_csv_scan, landed_json_scan, live_ids_snapshot,
-                                  paged_json_explode, select_queryable_columns)
-from auric.sources.lake import BucketedTable, LakeTable
+                                  load_seed, paged_json_explode, select_queryable_columns)
+from auric.sources.lake import LakeTable
 
 # --------------------------------------------------------------------------
 # Merge by key
@@ -30,7 +31,7 @@ _ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 _MERGE_SQL = """
 WITH target AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate AS modstamp
-  FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'
+  FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01' OR o_orderdate IS NULL
 ), batch AS (
   SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice,
          o_orderdate + INTERVAL '1' DAY AS modstamp
@@ -43,7 +44,7 @@ UNION ALL SELECT * FROM batch"""
 def _merge_inputs(spark, sf):
     o = read_table(spark, sf, "orders")
     d = F.col("o_orderdate")
-    target = (o.where(d < F.lit("1999-01-01").cast("timestamp_ntz"))
+    target = (o.where((d < F.lit("1999-01-01").cast("timestamp_ntz")) | d.isNull())
               .select(*_ORDER_COLS, d.alias("modstamp")))
     batch = (o.where(d >= F.lit("1998-07-01").cast("timestamp_ntz"))
              .select("o_orderkey", "o_custkey", F.lit("U").alias("o_orderstatus"),
@@ -53,20 +54,32 @@ def _merge_inputs(spark, sf):
 
 @register("merge_upsert", _MERGE_SQL)
 def q_merge_upsert(spark, sf):
+    """Upsert with the ranked batch stored once: join and union both read that."""
     target, batch = _merge_inputs(spark, sf)
-    return merge_upsert(target, batch, "o_orderkey", cursor="modstamp")
+    ranked = jobs.materialize(latest_by_key(batch, "o_orderkey", "modstamp"), "merge-batch")
+    return merge_upsert(target, ranked, "o_orderkey", cursor="modstamp", ranked=True)
+
+
+def _orders_log(spark, sf) -> LakeTable:
+    target, batch = _merge_inputs(spark, sf)
+    t = LakeTable(spark, scratch_path(spark, "orders-log"))
+    t.append(target, "modstamp")
+    t.append(batch, "modstamp")
+    return t
+
+
+@register("bronze_log_latest", _MERGE_SQL)
+def q_bronze_log_latest(spark, sf):
+    """The same two loads appended to a change log, which is ranked by key."""
+    return _orders_log(spark, sf).latest("o_orderkey", "modstamp")
 
 
 @register("merge_upsert_buckets", _MERGE_SQL)
 def q_merge_upsert_buckets(spark, sf):
-    """Bucket-scoped merge: the target is stored by key bucket; the merge
-    rewrites only the buckets the batch touches; the table is read back."""
-    target, batch = _merge_inputs(spark, sf)
-    t = BucketedTable(spark, scratch_path(spark, "bucketed-orders"), buckets=16,
-                      pk=("o_orderkey",))
-    t.create(target)
-    t.merge(batch, cursor="modstamp")
-    return t.read().drop("_bucket")
+    """The change log folded into a full version (``compact``) and read back."""
+    t = _orders_log(spark, sf)
+    t.compact("o_orderkey", "modstamp")
+    return t.read()
 
 
 # --------------------------------------------------------------------------
@@ -224,13 +237,14 @@ _TEXT_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_ord
 
 @register("landed_csv_scan", _ORDERS_TEXT_SQL)
 def q_landed_csv_scan(spark, sf):
-    """Land orders as a CSV text export (ISO datetimes with Z), scan it back
-    with an all-text schema, normalise."""
+    """Land orders as a CSV text export (ISO datetimes with Z) whose header is in
+    another order and has a column more; scan it back by header name, normalise."""
     o = read_table(spark, sf, "orders")
     path = scratch_path(spark, "landing-csv")
     cols = [F.col(c).cast("string").alias(c) for c in _TEXT_COLS]
     cursor = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("o_orderdate")
-    o.select(*cols, cursor).write.option("header", True).csv(path)
+    o.select(cursor, F.lit("extra").alias("more"), *reversed(cols)) \
+     .write.option("header", True).csv(path)
     raw = landed_csv_scan(spark, path, [*_TEXT_COLS, "o_orderdate"])
     return normalize_record(raw, "o_orderdate", allow_epoch_ms=False)
 
@@ -264,10 +278,16 @@ SELECT o_orderkey, o_orderstatus,
        o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS modifiedon
 FROM orders""")
 def q_paged_json_explode(spark, sf):
-    """Land orders as API page documents of at most PAGE_SIZE records (pages
-    by key range), then explode every page's ``value`` array back to rows."""
-    o = read_table(spark, sf, "orders")
+    """Every page's ``value`` array back as rows."""
     path = scratch_path(spark, "landing-pages")
+    _land_pages(spark, sf, path)
+    return paged_json_explode(spark, path, _PAGE_RECORD)
+
+
+def _land_pages(spark, sf, path):
+    """Land orders as API page documents of at most PAGE_SIZE records (pages by key
+    range)."""
+    o = read_table(spark, sf, "orders")
     label = (F.when(F.col("o_orderstatus") == "F", "Fulfilled")
              .when(F.col("o_orderstatus") == "O", "Open").otherwise("Pending"))
     rec = F.struct(F.col("o_orderkey"), F.col("o_orderstatus"), label.alias(_FORMATTED),
@@ -279,28 +299,94 @@ def q_paged_json_explode(spark, sf):
              .select("value", F.concat(F.lit("page-"), (F.col("page") + 1).cast("string"))
                      .alias("@odata.nextLink")))
     pages.write.json(path)
-    return paged_json_explode(spark, path, _PAGE_RECORD)
 
 
 @register("stream_ingest", _ORDERS_TEXT_SQL)
 def q_stream_ingest(spark, sf):
-    """Land orders as JSON deltas in four slices by date, then merge them into a
-    bronze table with an available-now stream (one file slice per trigger)."""
+    """Land orders as JSON deltas in four slices by key, then append them to a
+    bronze change log with an available-now stream (some files per trigger) and
+    rank it."""
     from auric.streaming import stream_ingest
     o = read_table(spark, sf, "orders")
     landing = scratch_path(spark, "landing-stream")
     epoch = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
-    bounds = ["1990-01-01", "1996-06-01", "1998-01-01", "1999-06-01", "2100-01-01"]
-    for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
-        d = F.col("o_orderdate")
-        (o.where((d >= F.lit(lo).cast("timestamp_ntz")) & (d < F.lit(hi).cast("timestamp_ntz")))
-         .select(*_TEXT_COLS, epoch.alias("o_orderdate"))
-         .write.json(f"{landing}/slice={i}"))
+    (o.select(*_TEXT_COLS, epoch.alias("o_orderdate"),
+              F.pmod(F.xxhash64("o_orderkey"), F.lit(4)).alias("slice"))
+     .write.partitionBy("slice").json(landing))
     schema = StructType([StructField(c, StringType()) for c in (*_TEXT_COLS, "o_orderdate")])
     table = LakeTable(spark, scratch_path(spark, "bronze-orders"))
-    stream_ingest(spark, f"{landing}/*", schema, table, "o_orderkey", "o_orderdate",
+    stream_ingest(spark, f"{landing}/*", schema, table, "o_orderdate",
                   scratch_path(spark, "stream-ckpt"), max_files_per_trigger=8)
-    return table.read()
+    return table.latest("o_orderkey", "o_orderdate")
+
+
+def _ingested(spark, landing, spec, runs=1, **kw) -> DataFrame:
+    lake = scratch_path(spark, "lake")
+    for _ in range(runs):
+        jobs.ingest(spark, lake, landing, [spec], **kw)
+    return LakeTable.at(spark, lake, "bronze", spec.table).latest(spec.pk, spec.cursor)
+
+
+_ORDERS_SPEC = specs.EntitySpec("orders", "o_orderkey", "o_orderdate")
+
+
+@register("ingest_bad_cursor", """
+SELECT cast(o_orderkey AS varchar) AS o_orderkey, o_orderstatus,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate
+FROM orders""")
+def q_ingest_bad_cursor(spark, sf):
+    """Bronze load of an export in which every third cursor is missing or is no date:
+    such rows are loaded, with a NULL cursor."""
+    o = read_table(spark, sf, "orders")
+    landing = scratch_path(spark, "landing")
+    cursor = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    bad = F.when(F.col("o_orderkey") % 2 == 0, F.lit("not a date"))
+    (o.select(F.when(F.col("o_orderkey") % 3 == 0, bad).otherwise(cursor).alias("o_orderdate"),
+              "o_orderstatus", F.col("o_orderkey").cast("string").alias("o_orderkey"))
+     .write.option("header", True).csv(f"{landing}/orders/csv"))
+    return _ingested(spark, landing, _ORDERS_SPEC)
+
+
+@register("ingest_empty_first_run", _ORDERS_TEXT_SQL)
+def q_ingest_empty_first_run(spark, sf):
+    """The first run finds an export without rows; the next one, with no cursor
+    stored, takes the backfill again."""
+    o = read_table(spark, sf, "orders")
+    landing, lake = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    out = o.select(*[F.col(c).cast("string").alias(c) for c in _TEXT_COLS],
+                   F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+                   .alias("o_orderdate"))
+    for rows in (out.limit(0).coalesce(1), out):
+        rows.write.mode("overwrite").option("header", True).csv(f"{landing}/orders/csv")
+        jobs.ingest(spark, lake, landing, [_ORDERS_SPEC])
+    return LakeTable.at(spark, lake, "bronze", "orders").latest("o_orderkey", "o_orderdate")
+
+
+@register("ingest_odata", f"""
+SELECT o_orderkey, o_orderstatus,
+       CASE o_orderstatus WHEN 'F' THEN 'Fulfilled' WHEN 'O' THEN 'Open'
+            ELSE 'Pending' END AS "{_FORMATTED}",
+       o_totalprice, o_orderdate AS modifiedon
+FROM orders""")
+def q_ingest_odata(spark, sf):
+    """Bronze load of a paged source, twice: the second run re-reads the pages and finds
+    nothing newer than the stored cursor."""
+    landing = scratch_path(spark, "landing")
+    _land_pages(spark, sf, f"{landing}/orders/pages")
+    spec = specs.EntitySpec.odata("orders", "o_orderkey")
+    return _ingested(spark, landing, spec, runs=2, page_schemas={"orders": _PAGE_RECORD})
+
+
+@register("seed_scan", "SELECT cast(n_nationkey AS varchar) AS ISO3, n_name AS Region, "
+          "cast(n_regionkey AS varchar) AS Functional_region FROM nation")
+def q_seed_scan(spark, sf):
+    """A seed CSV whose header is in another order, read by the declared names."""
+    path = scratch_path(spark, "seed")
+    (read_table(spark, sf, "nation")
+     .select(F.col("n_regionkey").cast("string").alias("Functional_region"), F.lit("x").alias("more"),
+             F.col("n_name").alias("Region"), F.col("n_nationkey").cast("string").alias("ISO3"))
+     .write.option("header", True).option("escape", '"').csv(path))
+    return load_seed(spark, path, specs.REGIONS_SEED_SCHEMA)
 
 
 @register("select_queryable_columns", "SELECT vec_id, label FROM embeddings")
@@ -417,23 +503,7 @@ _E2E_ROLES = {"certificate_c": "certificate_c__c", "account": "account",
               "non_certificate_holder": "non_certificate_holder__c"}
 
 
-@register("medallion_end_to_end", role_cte("certificate_c", "account", "country_data",
-                                           "recordtype")
-          + _G1_SQL + f"""
-SELECT ctype, country, count(*) AS certificates,
-       sum(boreal_forests) AS boreal_forests,
-       sum(community_forestry) AS community_forestry,
-       sum(forest_area_total) AS forest_area_total,
-       sum(ntfp_services) AS management_for_ntfp_and_services,
-       sum(plantations) AS plantations,
-       sum(temperate_forests) AS temperate_forests,
-       sum(tropical_forests) AS tropical_forests,
-       DATE '{SNAPSHOT_DATE}' AS snapshot_date
-FROM g2
-WHERE try_cast(Date_To__c AS date) >= {_ASOF}
-  AND Cert_Status__c NOT IN ({sql_list(specs.INACTIVE_STATUSES)})
-  AND ctype IS NOT NULL AND country IS NOT NULL
-GROUP BY ctype, country""")
+@register("medallion_end_to_end", ORACLE["baseline_certification"])
 def q_medallion_end_to_end(spark, sf):
     """Land the CRM-shaped tables as CSV exports, then run the layer jobs:
     bronze ingest (first run: CSV backfill, merge by key), silver build
@@ -442,10 +512,9 @@ def q_medallion_end_to_end(spark, sf):
     root = scratch_path(spark, "medallion")
     landing, lake = f"{root}/landing", f"{root}/lake"
     stamp = F.lit("2026-11-30T12:00:00.000Z")
-    csv_columns, entity_specs, landings = {}, [], {}
+    entity_specs, landings = [], {}
     for name, table in _E2E_ROLES.items():
         df = role(spark, sf, name)
-        csv_columns[table] = [*df.columns, "IsDeleted", "SystemModstamp"]
         out = df.select("*", F.lit("false").alias("IsDeleted"), stamp.alias("SystemModstamp"))
         landings[table] = (lambda out=out, table=table: out.write.option("header", True)
                            .option("escape", '"').csv(f"{landing}/{table}/csv"))
@@ -455,7 +524,7 @@ def q_medallion_end_to_end(spark, sf):
     landings["regions"] = lambda: role(spark, sf, "regions").write.option(
         "header", True).csv(regions_csv)
     jobs.write_concurrently(landings)
-    jobs.ingest(spark, lake, landing, entity_specs, csv_columns)
+    jobs.ingest(spark, lake, landing, entity_specs)
     jobs.build_silver(spark, lake, entity_specs, regions_seed=regions_csv)
     jobs.build_gold(spark, lake, snapshot_date=SNAPSHOT_DATE, as_of=AS_OF)
     return spark.read.parquet(f"{lake}/gold/baseline_certification")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -83,8 +84,9 @@ def get_session(master: str | None = None, app: str = "auric",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared (HDFS / object store) folder there; we only set our
-    own when it is unset, which happens in local tests.
+    A cluster names a shared (HDFS / object store) folder there. Only a local
+    master, whose tasks all run on this machine, gets a folder of its own when it
+    is unset; any other master without it is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -92,6 +94,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder for {sc.master}")
         d = tempfile.mkdtemp(prefix="auric-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -103,5 +107,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/auric-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "DEFAULT_CONF",
-           "CLUSTER_CONF"]
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, on whatever file system it is on."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "remove_path",
+           "DEFAULT_CONF", "CLUSTER_CONF"]

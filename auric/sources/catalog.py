@@ -17,14 +17,17 @@ def table_row_counts(tables: Mapping[str, DataFrame],
     Names matching ``exclude_like`` (SQL LIKE with ``escape``) are skipped;
     the default skips load-metadata tables named ``_dlt...``.
     """
-    parts = []
-    for name, df in tables.items():
-        parts.append(df.agg(F.count(F.lit(1)).alias("rows"))
-                     .select(F.lit(name).alias("table"), "rows"))
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    if exclude_like:
-        out = out.where(~F.like(F.col("table"), F.lit(exclude_like), F.lit(escape)))
-    return out
+    names = list(tables)
+    if exclude_like and names:
+        spark = next(iter(tables.values())).sparkSession
+        kept = spark.createDataFrame([(n,) for n in names], "t string").where(
+            ~F.like("t", F.lit(exclude_like), F.lit(escape)))
+        names = [r["t"] for r in kept.collect()]     # table names only
+    if not names:
+        raise ValueError("no tables to count")
+    return reduce(lambda a, b: a.unionByName(b), [
+        tables[n].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
+        for n in names])
 
 
 def describe_columns(spark: SparkSession, df: DataFrame) -> DataFrame:

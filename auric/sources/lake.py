@@ -1,28 +1,36 @@
 """Versioned Parquet tables: ``<root>/<layer>/<table>/v=<n>/`` plus a commit
 log ``<table>/_log/`` (JSON rows written by Spark, one per commit).
 
-A version directory is written completely before its log row is appended, so
-readers that resolve the current version from the log never see a partial
-write, and a retried job simply rewrites the unlisted folder. One writer per
-table at a time is assumed (as with the single-writer catalog it replaces).
-Old versions stay readable (time travel) until they are vacuumed. The same
-layout works on any Hadoop file system URI.
-
-The log is metadata: one small row per commit. An operation reads it once
-(``entries``) and derives the current version, watermark and dates from it.
+A version folder is written completely before its log row is appended, so
+readers that resolve the contents from the log never see a partial write, and a
+retried job simply rewrites the unlisted folder. One writer per table at a time
+is assumed (as with the single-writer catalog it replaces). The same layout
+works on any Hadoop file system URI.
+
+A *full* version (build, replace, merge, compact) holds the whole table. An
+*append* holds only its own rows, so loading a small delta writes a small
+folder; the contents are the newest full version and the appends after it, a
+change log that ``latest`` ranks by key and ``compact`` folds into a full version
+now and then. Older versions stay readable (time travel) until ``expire``.
+
+The log is metadata, one small row per commit; what reaches the driver is the
+newest row, or the rows since the newest full version, a number that
+compaction keeps small.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 from pyspark.sql.utils import AnalysisException
 
+from auric.session import remove_path, scratch_path
+
 LOG_SCHEMA = StructType([
     StructField("version", LongType(), False),
     StructField("committed_at", TimestampType(), False),
@@ -30,13 +38,21 @@ LOG_SCHEMA = StructType([
     StructField("rows", LongType(), True),
     StructField("note", StringType(), True),
     StructField("max_cursor", TimestampType(), True),
+    StructField("schema_version", LongType(), True),
+    StructField("schema", StringType(), True),
 ])
+LOAD_COLUMN = "_load"
 
 
 class ShrinkRefused(RuntimeError):
     """A replace would drop more rows than the configured threshold."""
 
 
+def path_missing(e: AnalysisException) -> bool:
+    """Whether a read failed because nothing is there, and for no other reason."""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 @dataclass
 class LakeTable:
     spark: SparkSession
@@ -58,238 +74,223 @@ class LakeTable:
     def log(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(LOG_SCHEMA).json(self.log_path)
-        except AnalysisException:
-            return None
+        except AnalysisException as e:
+            if path_missing(e):
+                return None
+            raise
 
-    def entries(self) -> list[Row]:
-        """All commit rows, oldest first (one small row per commit)."""
+    def last(self) -> Row | None:
+        """The newest commit."""
         log = self.log()
-        return [] if log is None else sorted(log.collect(), key=lambda r: r["version"])
-
-    @staticmethod
-    def _current(entries: list[Row]) -> int | None:
-        return entries[-1]["version"] if entries else None
+        if log is None:
+            return None
+        return next(iter(log.orderBy(F.col("version").desc()).limit(1).collect()), None)
 
     def current_version(self) -> int | None:
-        return self._current(self.entries())
+        last = self.last()
+        return last["version"] if last else None
 
     def exists(self) -> bool:
-        return bool(self.entries())
-
-    @staticmethod
-    def _is_dated(entries: list[Row]) -> bool:
-        return any(e["operation"] == "snapshot" for e in entries)
+        return self.last() is not None
 
     def is_dated(self) -> bool:
         """True for append-by-date tables (``partitionBy("snapshot_date")``)."""
-        return self._is_dated(self.entries())
+        last = self.last()
+        return last is not None and last["operation"] == "snapshot"
 
     def snapshot_dates(self) -> set[_dt.date]:
         """Dates recorded in the log of a dated table (including empty ones)."""
-        return {_dt.date.fromisoformat(e["note"]) for e in self.entries()
-                if e["operation"] == "snapshot"}
+        log = self.log()
+        if log is None:
+            return set()
+        return {_dt.date.fromisoformat(r["note"])
+                for r in log.where("operation = 'snapshot'").select("note").distinct().collect()}
 
     def last_cursor(self):
-        """Watermark stored with the current version (None if new)."""
-        entries = self.entries()
-        return entries[-1]["max_cursor"] if entries else None
+        """Watermark stored with the newest commit (None if there is none)."""
+        last = self.last()
+        return last["max_cursor"] if last else None
 
     def history(self, limit: int = 10) -> DataFrame:
-        """Newest commits first: snapshot_id, snapshot_time, operation, rows."""
+        """Newest commits first: snapshot_id, snapshot_time, schema_version, operation,
+        rows, note."""
         log = self.log()
         if log is None:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+            log = self.spark.createDataFrame([], LOG_SCHEMA)
         return (log.select(F.col("version").alias("snapshot_id"),
                            F.col("committed_at").alias("snapshot_time"),
-                           "operation", "rows", "note")
+                           "schema_version", "operation", "rows", "note")
                 .orderBy(F.col("snapshot_id").desc()).limit(limit))
 
     def append_log(self, version: int, operation: str, rows: int | None,
-                   note: str | None = None, max_cursor=None) -> None:
-        entry = [(version, _dt.datetime.now(_dt.timezone.utc), operation, rows, note,
-                  max_cursor)]
+                   note: str | None = None, max_cursor=None,
+                   schema: StructType | None = None) -> None:
+        last, text = self.last(), schema.simpleString() if schema is not None else None
+        before = (last["schema_version"] or 0) if last else 0
+        changed = text is not None and (last is None or last["schema"] != text)
+        entry = [(version, _dt.datetime.now(_dt.timezone.utc), operation, rows, note, max_cursor,
+                  before + 1 if changed else before, text or (last["schema"] if last else None))]
         (self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1)
          .write.mode("append").json(self.log_path))
 
-    # -- reads and writes -------------------------------------------------
+    def parts(self, version: int | None = None) -> list[int]:
+        """Versions the contents (as of ``version``) consist of: the newest full one
+        and the appends after it."""
+        log = self.log()
+        if log is None:
+            return []
+        if version is not None:
+            log = log.where(F.col("version") <= version)
+        full = log.where("operation <> 'append'").agg(F.max("version")).first()[0] or 0
+        return sorted(r["version"] for r in
+                      log.where(F.col("version") >= full).select("version").collect())
+
+    # -- reads ------------------------------------------------------------
 
     def read(self, version: int | None = None) -> DataFrame:
         """Current contents, or the contents at ``version`` (time travel).
 
-        A dated table is read whole; its history is its dates."""
-        entries = self.entries()
-        if version is None and self._is_dated(entries):
-            return self.spark.read.parquet(self.path)
-        v = self._current(entries) if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no committed version at {self.path}")
-        return self.spark.read.parquet(self.version_path(v))
-
-    def commit(self, df: DataFrame, operation: str, note: str | None = None,
-               max_files: int | None = None, max_cursor=None,
-               version: int | None = None) -> int:
-        """Write ``df`` as the next version and record it in the log.
-
-        ``max_cursor`` is the watermark to store with the version (for merges:
-        the greater of the previous watermark and the batch's greatest
-        cursor), so the next incremental run never scans the table for it.
-        The row count comes from the Parquet footers of the new version.
-        """
-        v = version if version is not None else (self.current_version() or 0) + 1
-        out = df.coalesce(max_files) if max_files else df
+        A dated table is read whole, less partitions its log does not list (what a
+        failed append left); its history is its dates. A table with appends is a
+        change log: see ``latest``."""
+        if version is None and self.is_dated():
+            dates = sorted(self.snapshot_dates())
+            return (self.spark.read.parquet(self.path)
+                    .where(F.col("snapshot_date").isin(*dates)))
+        parts = self.parts(version)
+        if not parts or (version is not None and parts[-1] != version):
+            raise FileNotFoundError(f"no committed version {version or ''} at {self.path}")
+        return (self.spark.read.option("mergeSchema", len(parts) > 1)
+                .parquet(*[self.version_path(v) for v in parts]))
+
+    def latest(self, pk, cursor: str, tie_breakers: Sequence[str] = ()) -> DataFrame:
+        """The newest row of each key; of equal cursors the row loaded last."""
+        from auric.operators.dedupe import latest_by_key
+        rows = self.read()
+        load = [LOAD_COLUMN] if LOAD_COLUMN in rows.columns else []
+        return latest_by_key(rows, pk, cursor, [*tie_breakers, *load]).drop(LOAD_COLUMN)
+
+    # -- writes -----------------------------------------------------------
+
+    def _next(self) -> int:
+        return (self.current_version() or 0) + 1
+
+    def _write(self, df: DataFrame, version: int) -> DataFrame:
         # a folder for a version the log does not list is left over from a
         # failed attempt and is invisible to readers: overwrite it
-        out.write.mode("overwrite").parquet(self.version_path(v))
-        rows = self.spark.read.parquet(self.version_path(v)).count()
-        self.append_log(v, operation, rows, note, max_cursor)
+        df.write.mode("overwrite").parquet(self.version_path(version))
+        return self.spark.read.parquet(self.version_path(version))
+
+    def commit(self, df: DataFrame, operation: str, note: str | None = None,
+               max_cursor=None) -> int:
+        """Write ``df`` as the next full version and record it in the log. The row
+        count comes from the Parquet footers of the new version."""
+        v = self._next()
+        written = self._write(df, v)
+        self.append_log(v, operation, written.count(), note, max_cursor, written.schema)
         return v
 
+    def append(self, batch: DataFrame, cursor: str | None = None) -> int:
+        """Write only ``batch``, marked with its load number. The stored watermark
+        becomes max(previous watermark, greatest cursor of the written rows)."""
+        last, v = self.last(), self._next()
+        written = self._write(batch.withColumn(LOAD_COLUMN, F.lit(v).cast("bigint")), v)
+        top = last["max_cursor"] if last else None
+        stats = [F.count(F.lit(1)).alias("n")]
+        if cursor is not None:
+            stats.append(F.max(F.col(f"`{cursor}`").cast("timestamp")).alias("m"))
+        got = written.agg(*stats).first()
+        if cursor is not None:
+            top = max((t for t in (top, got["m"]) if t is not None), default=None)
+        self.append_log(v, "append", got["n"], None, top, written.schema)
+        return v
+
+    def compact(self, pk, cursor: str, tie_breakers: Sequence[str] = ()) -> int:
+        """Fold the change log into a full version with one row per key."""
+        return self.commit(self.latest(pk, cursor, tie_breakers), "compact",
+                           max_cursor=self.last_cursor())
+
     def replace(self, df: DataFrame, expected_rows: int | None = None,
-                max_shrink: float | None = 0.5) -> int:
+                max_shrink: float | None = None) -> int:
         """Replace the whole table (e.g. a live-key snapshot).
 
         ``expected_rows`` is the completeness marker from the extract manifest:
-        a replace whose row count differs is refused. ``max_shrink`` refuses a
-        replace that loses more than that share of the previous rows, which
-        protects the silver semi join from a truncated key set.
+        a replace whose row count differs is refused. ``max_shrink``, where given,
+        refuses a replace that loses more than that share of the previous rows.
 
         The new version is written first and counted from its Parquet footers;
         only when the checks pass is its log row appended. A refused version
         stays unlisted (invisible) and is overwritten by the next commit, so
         the input is computed once.
         """
-        entries = self.entries()
-        v = (self._current(entries) or 0) + 1
-        df.write.mode("overwrite").parquet(self.version_path(v))
-        n = self.spark.read.parquet(self.version_path(v)).count()
+        last, v = self.last(), self._next()
+        written = self._write(df, v)
+        n = written.count()
         if expected_rows is not None and n != expected_rows:
             raise ShrinkRefused(f"{n} rows, manifest says {expected_rows}")
-        before = entries[-1]["rows"] if entries else None
+        before = last["rows"] if last else None
         if max_shrink is not None and before and n < before * (1 - max_shrink):
             raise ShrinkRefused(f"{n} rows would replace {before}")
-        self.append_log(v, "replace", n)
+        self.append_log(v, "replace", n, schema=written.schema)
         return v
 
-    def merge(self, batch: DataFrame, pk, cursor: str | None = None) -> int:
-        """Upsert ``batch`` by key into a new version; the stored watermark
+    def merge(self, batch: DataFrame, pk, cursor: str | None = None,
+              tie_breakers: Sequence[str] = (), keep_newer: bool = False) -> int:
+        """Upsert ``batch`` by key into a new full version; the stored watermark
         becomes max(previous watermark, greatest batch cursor).
 
-        On the first load the new version is the batch itself, so its row
-        count and watermark come from one pass over the written Parquet (the
-        count from footers, the cursor column alone) instead of re-reading the
-        landed export; later loads take the watermark from the (small) batch.
-        """
+        The batch is reduced to its latest row per key and written once; the join,
+        the union and the watermark all read that."""
+        from auric.operators.dedupe import latest_by_key
         from auric.operators.merge import merge_upsert
-        entries = self.entries()
-        current = self._current(entries)
-        target = self.spark.read.parquet(self.version_path(current)) if current else None
-        v = (current or 0) + 1
-        merge_upsert(target, batch, pk, cursor).write.mode("overwrite").parquet(
-            self.version_path(v))
-        written = self.spark.read.parquet(self.version_path(v))
-        top = None
-        if cursor is None:
-            rows = written.count()
-        elif current is None:
-            stats = written.agg(F.count(F.lit(1)).alias("n"),
-                                F.max(F.col(f"`{cursor}`").cast("timestamp")).alias("m")).first()
-            rows, top = stats["n"], stats["m"]
-        else:
-            rows = written.count()
-            top = batch.agg(F.max(F.col(f"`{cursor}`").cast("timestamp"))).first()[0]
-            prev = entries[-1]["max_cursor"]
-            top = max(t for t in (top, prev) if t is not None) if (top or prev) else None
-        self.append_log(v, "merge", rows, None, top)
+        last, v = self.last(), self._next()
+        ranked = scratch_path(self.spark, "merge-batch")
+        if cursor is not None:
+            batch = latest_by_key(batch, pk, cursor, tie_breakers)
+        batch.write.parquet(ranked)
+        batch = self.spark.read.schema(batch.schema).parquet(ranked)
+        target = self.read() if last else None
+        if target is not None and LOAD_COLUMN in target.columns:
+            target = self.latest(pk, cursor, tie_breakers)
+        written = self._write(merge_upsert(target, batch, pk, cursor, keep_newer=keep_newer,
+                                           ranked=True), v)
+        top = last["max_cursor"] if last else None
+        if cursor is not None:
+            got = batch.agg(F.max(F.col(f"`{cursor}`").cast("timestamp"))).first()[0]
+            top = max((t for t in (top, got) if t is not None), default=None)
+        self.append_log(v, "merge", written.count(), None, top, written.schema)
+        remove_path(self.spark, ranked)
         return v
 
-
-def list_tables(spark: SparkSession, root: str, layer: str) -> DataFrame:
-    """Tables of a layer (those with a commit log), ordered by name."""
-    try:
-        logs = spark.read.schema(LOG_SCHEMA).json(f"{root.rstrip('/')}/{layer}/*/_log")
-    except AnalysisException:
-        return spark.createDataFrame([], "table_name string")
-    name = F.regexp_extract(F.input_file_name(), r"/([^/]+)/_log/[^/]*$", 1)
-    return (logs.select(name.alias("table_name")).distinct()
-            .where(~F.col("table_name").contains("staging"))
-            .orderBy("table_name"))
+    def expire(self, keep: int = 1) -> list[int]:
+        """Delete the folders of versions older than the newest ``keep`` full ones;
+        they can no longer be read by version. Returns what was deleted."""
+        log = self.log()
+        if log is None or self.is_dated():
+            return []
+        full = [r["version"] for r in log.where("operation <> 'append'")
+                .select("version").orderBy(F.col("version").desc()).limit(keep).collect()]
+        if len(full) < keep:
+            return []
+        gone = [f for f in _folders(self.spark, self.path) if f.startswith("v=")
+                and int(f[2:]) < full[-1]]
+        for f in gone:
+            remove_path(self.spark, f"{self.path}/{f}")
+        return sorted(int(f[2:]) for f in gone)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (a listing, no read)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
-@dataclass
-class BucketedTable(LakeTable):
-    """A versioned table stored by key bucket, where a merge rewrites only the
-    buckets its batch touches.
-
-    Layout: ``<path>/v=<n>/_bucket=<b>/``. Version ``n`` holds just the
-    buckets written by commit ``n``; its log row lists them (``note``, at most
-    ``buckets`` numbers). The table's contents are, for every bucket, that
-    bucket's folder in the newest version that wrote it. A read scans each
-    version folder once with a ``_bucket`` filter (partition pruning), and a
-    merge of a small delta rewrites a small share of the table.
-    ``compact`` writes every bucket into one fresh version.
-    """
-
-    buckets: int = 256
-    pk: tuple[str, ...] = ()
-
-    def _owners(self, entries: list[Row]) -> dict[int, int]:
-        owner: dict[int, int] = {}
-        for e in entries:
-            written = range(self.buckets) if e["note"] in (None, "all") else \
-                [int(b) for b in e["note"].split(",") if b]
-            for b in written:
-                owner[b] = e["version"]
-        return owner
-
-    def _read(self, entries: list[Row], only: set[int] | None = None) -> DataFrame:
-        by_version: dict[int, list[int]] = {}
-        for b, v in self._owners(entries).items():
-            if only is None or b in only:
-                by_version.setdefault(v, []).append(b)
-        if not by_version:
-            raise FileNotFoundError(f"no committed buckets at {self.path}")
-        parts = [self.spark.read.parquet(self.version_path(v))
-                 .where(F.col("_bucket").isin(*sorted(bs)))
-                 for v, bs in sorted(by_version.items())]
-        return reduce(lambda a, b: a.unionByName(b), parts)
-
-    def read(self, version: int | None = None, only: set[int] | None = None) -> DataFrame:
-        entries = self.entries()
-        if version is not None:
-            entries = [e for e in entries if e["version"] <= version]
-        return self._read(entries, only)
-
-    def _write(self, df: DataFrame, operation: str, touched: list[int] | None,
-               version: int) -> int:
-        (df.hint("rebalance", "_bucket").write.mode("overwrite")
-         .partitionBy("_bucket").parquet(self.version_path(version)))
-        note = "all" if touched is None else ",".join(str(b) for b in touched)
-        self.append_log(version, operation, None, note)
-        return version
-
-    def with_bucket(self, df: DataFrame) -> DataFrame:
-        from auric.operators.merge import bucket_of
-        return df.withColumn("_bucket", bucket_of(list(self.pk), self.buckets))
-
-    def create(self, df: DataFrame) -> int:
-        return self._write(self.with_bucket(df), "create", None,
-                           (self.current_version() or 0) + 1)
-
-    def merge(self, batch: DataFrame, pk=None, cursor: str | None = None) -> int:
-        """Upsert ``batch``: read only the touched buckets, merge, write them
-        as the next version."""
-        from auric.operators.merge import merge_upsert
-        entries = self.entries()
-        b = self.with_bucket(batch)
-        # the set of touched buckets is bounded by ``buckets``
-        touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())
-        if not touched:
-            return self._current(entries) or 0
-        current = self._read(entries, only=set(touched))
-        merged = merge_upsert(current, b, list(self.pk), cursor)
-        return self._write(merged, "merge", touched, (self._current(entries) or 0) + 1)
-
-    def compact(self) -> int:
-        entries = self.entries()
-        return self._write(self._read(entries), "compact", None,
-                           (self._current(entries) or 0) + 1)
+def list_tables(spark: SparkSession, root: str, layer: str) -> DataFrame:
+    """Tables of a layer (folders with a commit log), ordered by name."""
+    base = f"{root.rstrip('/')}/{layer}"
+    names = [t for t in _folders(spark, base) if "staging" not in t
+             and "_log" in _folders(spark, f"{base}/{t}")]
+    return spark.createDataFrame([(t,) for t in names], "table_name string")

@@ -3,7 +3,7 @@
 The source systems deliver three shapes, each read by Spark file splits:
 
 * CSV chunks (full backfill): header row, every value text, '' for NULL,
-  ISO datetimes. Read with an all-string schema; no inference.
+  ISO datetimes. Columns are bound by header name; no type inference.
 * JSON batches (incremental): typed records with an ``attributes`` envelope
   and epoch-millisecond datetimes. Read with ``primitivesAsString`` so every
   scalar arrives as its text.
@@ -22,26 +22,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, DataType, MapType, StringType,
                                StructField, StructType)
 
-from auric.functions.normalize import normalize_record
+from auric.functions.normalize import normalize_record, parse_cursor
 from auric.operators.dedupe import q
 
 
-def all_string_schema(columns: Sequence[str]) -> StructType:
-    return StructType([StructField(c, StringType(), True) for c in columns])
+def landed_csv_scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                    multi_line: bool = False) -> DataFrame:
+    """Header CSV, every column text, columns bound by their header names.
 
+    Without ``columns`` every column of the header is returned; with it those
+    columns, in that order, wherever the files have them. All files of a folder
+    must have the same header: one that differs in a name or the order fails the
+    scan rather than shift values between columns.
 
-def landed_csv_scan(spark: SparkSession, path: str, columns: Sequence[str],
-                    multi_line: bool = True) -> DataFrame:
-    """Header CSV, every column text.
-
-    ``multi_line`` lets quoted fields span lines (free text can), at the price
-    of one task per file; bulk exports arrive as many bounded chunks, so that
-    still parallelises. Pass False for exports known to be single-line, which
-    lets Spark split large files.
+    Files are split between tasks. ``multi_line=True`` is for exports whose quoted
+    fields hold line breaks; such a file is read whole by one task, so land these
+    as many bounded chunks. A line break inside quotes without it fails the scan.
     """
-    return (spark.read.option("header", True).option("multiLine", multi_line)
-            .option("escape", '"').option("mode", "FAILFAST")
-            .schema(all_string_schema(columns)).csv(path))
+    raw = (spark.read.option("header", True).option("enforceSchema", False)
+           .option("multiLine", multi_line).option("escape", '"')
+           .option("mode", "FAILFAST").csv(path))
+    return raw if columns is None else raw.select(*[q(c) for c in columns])
 
 
 def landed_json_scan(spark: SparkSession, path: str,
@@ -54,16 +55,22 @@ def landed_json_scan(spark: SparkSession, path: str,
     return r.json(path)
 
 
-def paged_json_explode(spark: SparkSession, path: str, record_schema: StructType,
+def paged_json_explode(spark: SparkSession, path: str,
+                       record_schema: StructType | None = None,
                        multi_line: bool = False) -> DataFrame:
-    """Rows of every page document under ``path``.
+    """Rows of every page document under ``path``. Without ``record_schema`` one pass
+    over the pages infers it.
 
     ``multi_line=True`` reads one pretty-printed document per file (as the
-    API returns them); each file is bounded by the page size.
+    API returns them); each file is bounded by the page size. A page that is cut
+    short or holds a value of another type fails the scan.
     """
-    page = StructType([StructField("value", ArrayType(record_schema), True),
-                       StructField("@odata.nextLink", StringType(), True)])
-    docs = spark.read.option("multiLine", multi_line).schema(page).json(path)
+    pages = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
+    if record_schema is not None:
+        pages = pages.schema(StructType([
+            StructField("value", ArrayType(record_schema), True),
+            StructField("@odata.nextLink", StringType(), True)]))
+    docs = pages.json(path)
     return docs.select(F.inline(F.col("value")))
 
 
@@ -83,10 +90,10 @@ def live_ids_snapshot(df: DataFrame, pk: str) -> DataFrame:
     return df.select(q(pk).cast(StringType()).alias(pk)).where(q(pk).isNotNull())
 
 
-def backfill_from_csv(spark: SparkSession, path: str, columns: Sequence[str],
-                      cursor: str) -> DataFrame:
+def backfill_from_csv(spark: SparkSession, path: str, columns: Sequence[str] | None,
+                      cursor: str, multi_line: bool = False) -> DataFrame:
     """First-run bronze batch: CSV text, cursor parsed as zoned ISO only."""
-    return normalize_record(landed_csv_scan(spark, path, columns), cursor,
+    return normalize_record(landed_csv_scan(spark, path, columns, multi_line), cursor,
                             allow_epoch_ms=False)
 
 
@@ -94,23 +101,36 @@ LANDING_PARTITION = "ingest_date"
 
 
 def delta_from_json(spark: SparkSession, path: str, cursor: str,
-                    schema: StructType | None = None, since=None) -> DataFrame:
+                    schema: StructType | None = None, since=None,
+                    lag_seconds: int = 0) -> DataFrame:
     """Incremental bronze batch: JSON text, cursor as epoch ms or ISO.
 
     When the landing folder is partitioned by ``ingest_date=YYYY-MM-DD`` and a
-    watermark ``since`` is given, only partitions from the day before the
-    watermark on are read (partition pruning), so a run does not rescan every
-    delta ever landed. The partition column is not part of the record.
+    watermark ``since`` is given, only partitions from the day before
+    ``since - lag`` on are read (partition pruning; a record lands on the day of its
+    change or later), so a run does not rescan every delta ever landed. The
+    partition column is not part of the record.
     """
     raw = landed_json_scan(spark, path, schema)
     if LANDING_PARTITION in raw.columns:
         if since is not None:
-            start = (since - _dt.timedelta(days=1)).date().isoformat()
+            start = (since - _dt.timedelta(days=1, seconds=lag_seconds)).date().isoformat()
             raw = raw.where(F.col(LANDING_PARTITION) >= F.lit(start))
         raw = raw.drop(LANDING_PARTITION)
     return normalize_record(raw, cursor, allow_epoch_ms=True)
 
 
+def delta_from_pages(spark: SparkSession, path: str, cursor: str,
+                     record_schema: StructType | None = None) -> DataFrame:
+    """Bronze batch of a paged source: columns as delivered, annotations included;
+    only the cursor is read as a UTC timestamp (NULL where it cannot be)."""
+    rows = paged_json_explode(spark, path, record_schema)
+    return rows.withColumn(cursor, parse_cursor(q(cursor), rows.schema[cursor].dataType))
+
+
 def load_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV seed (e.g. the regions table) with declared text columns."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """A CSV seed (e.g. the regions table): the declared columns by their header
+    names, cast to the declared types."""
+    want = StructType.fromDDL(schema)
+    raw = landed_csv_scan(spark, path, want.fieldNames())
+    return raw.select(*[q(f.name).cast(f.dataType).alias(f.name) for f in want.fields])

@@ -130,10 +130,9 @@ def test_pipeline_end_to_end(spark, tmp_root):
                             columns=("Id", "Name"), live_ids_table="thing__live_ids")
     lake, landing = f"{tmp_root}/lake", f"{tmp_root}/landing"
     _land(spark, ev, landing, "thing", T(2024, 1, 15))
-    cols = {"thing": ["Id", "Name", "IsDeleted", "SystemModstamp"]}
-    jobs.ingest(spark, lake, landing, [spec], cols)            # backfill
-    jobs.ingest(spark, lake, landing, [spec], cols)            # incremental
-    bronze = LakeTable.at(spark, lake, "bronze", "thing").read()
+    jobs.ingest(spark, lake, landing, [spec])                  # backfill
+    jobs.ingest(spark, lake, landing, [spec])                  # incremental
+    bronze = LakeTable.at(spark, lake, "bronze", "thing").latest("Id", "SystemModstamp")
     want = latest_by_key(ev, "Id", "SystemModstamp", ["Name"])
     assert bronze.count() == want.count() == ev.select("Id").distinct().count()
     def ms(t):  # the JSON path delivers epoch milliseconds
@@ -150,12 +149,11 @@ def test_pipeline_end_to_end(spark, tmp_root):
     assert {r.Id for r in silver.collect()} == live_keys
     # hard deletes: only the first ten keys are still live at the source
     export = ev.where(F.col("Id").cast("int") < 10)
-    jobs.reconcile_ids(spark, lake, {"thing": export}, [spec], max_shrink=None)
-    jobs.build_silver(spark, lake, [spec])
+    jobs.reconcile_ids(spark, lake, [spec], {"thing": export})
+    dest = f"{tmp_root}/published"
+    jobs.build_silver(spark, lake, [spec], publish_to=dest)
     silver = LakeTable.at(spark, lake, "silver", "thing").read()
     assert {r.Id for r in silver.collect()} == {k for k in live_keys if int(k) < 10}
-    dest = f"{tmp_root}/published"
-    assert jobs.publish(spark, lake, "silver", dest) == ["thing"]
     assert spark.read.parquet(f"{dest}/silver/thing").count() == silver.count()
 
 
@@ -190,32 +188,249 @@ def test_stream_ingest_resumes(spark, tmp_root):
     table = LakeTable(spark, f"{tmp_root}/bronze/t")
     spark.createDataFrame([("a", "1", 1700000000000), ("b", "1", 1700000000000)],
                           "Id string, v string, ts long").write.json(f"{landing}/f1")
-    stream_ingest(spark, f"{landing}/*", schema, table, "Id", "ts", ckpt)
-    spark.createDataFrame([("a", "2", 1700000005000), ("c", "late", 1600000000000)],
+    stream_ingest(spark, f"{landing}/*", schema, table, "ts", ckpt)
+    spark.createDataFrame([("a", "2", 1700000005000), ("c", "late", 1600000000000),
+                           ("b", "older", 1600000000000)],
                           "Id string, v string, ts long").write.json(f"{landing}/f2")
-    assert stream_ingest(spark, f"{landing}/*", schema, table, "Id", "ts", ckpt) == 1
-    assert {(r.Id, r.v) for r in table.read().collect()} == {("a", "2"), ("b", "1"),
+    assert stream_ingest(spark, f"{landing}/*", schema, table, "ts", ckpt) == 1
+    assert {(r.Id, r.v) for r in table.latest("Id", "ts").collect()} == {("a", "2"), ("b", "1"),
                                                              ("c", "late")}
 
 
-def test_bucketed_table_rewrites_touched_buckets(spark, tmp_root):
-    from pyspark.sql import functions as F
-    from auric.sources.lake import BucketedTable
-    t = BucketedTable(spark, f"{tmp_root}/b", buckets=8, pk=("Id",))
-    base = spark.range(200).select(F.col("id").cast("string").alias("Id"),
-                                   F.lit(T(2024, 1, 1)).alias("SystemModstamp"),
-                                   F.lit("v0").alias("v"))
-    t.create(base)
-    batch = spark.createDataFrame([("7", T(2024, 1, 2), "v1"), ("new", T(2024, 1, 2), "n")],
-                                  SCHEMA)
-    t.merge(batch, cursor="SystemModstamp")
-    log = {r.version: r.note for r in t.log().collect()}
-    assert log[1] == "all" and len(log[2].split(",")) <= 2
-    got = {r.Id: r.v for r in t.read().collect()}
-    assert len(got) == 201 and got["7"] == "v1" and got["new"] == "n" and got["8"] == "v0"
-    assert {r.Id: r.v for r in t.read(version=1).collect()}["7"] == "v0"   # time travel
-    t.compact()
-    assert t.read().count() == 201
+def test_change_log_appends_small_and_compacts(spark, tmp_root):
+    t = LakeTable(spark, f"{tmp_root}/log")
+    base = [(str(k), T(2024, 1, 1), "v0") for k in range(50)]
+    t.append(spark.createDataFrame(base, SCHEMA), "SystemModstamp")
+    assert t.last_cursor() == T(2024, 1, 1)
+    delta = [("7", T(2024, 1, 2), "v1"), ("new", T(2024, 1, 3), "n"), ("8", None, "no cursor"),
+             ("9", T(2024, 1, 1), "same cursor, later load"), ("5", T(2023, 1, 1), "late")]
+    t.append(spark.createDataFrame(delta, SCHEMA), "SystemModstamp")
+    assert t.last_cursor() == T(2024, 1, 3) and t.parts() == [1, 2]
+    assert spark.read.parquet(t.version_path(2)).count() == len(delta)   # nothing rewritten
+    want = {**{str(k): "v0" for k in range(50)}, "7": "v1", "new": "n",
+            "9": "same cursor, later load"}
+    latest = lambda: {r.Id: r.v for r in t.latest("Id", "SystemModstamp").collect()}
+    assert latest() == want
+    # a column only the new load has
+    wider = spark.createDataFrame([("w", T(2024, 1, 4), "x", 1)], SCHEMA + ", more int")
+    t.append(wider, "SystemModstamp")
+    want["w"] = "x"
+    assert latest() == want and "more" in t.read().columns
+    assert t.compact("Id", "SystemModstamp") == 4 and t.parts() == [4]
+    assert latest() == want and t.last_cursor() == T(2024, 1, 4)
+    assert t.read(version=2).count() == 50 + len(delta)                  # time travel
+    assert [r.schema_version for r in t.history().collect()] == [3, 2, 1, 1]
+    # a load without rows keeps the watermark
+    t.append(wider.limit(0), "SystemModstamp")
+    assert t.last_cursor() == T(2024, 1, 4) and latest() == want
+    assert t.expire(keep=1) == [1, 2, 3] and latest() == want
+    with pytest.raises(FileNotFoundError):
+        t.read(version=99)
+
+
+def test_merge_keeps_the_greater_watermark(spark, tmp_root):
+    t = LakeTable(spark, f"{tmp_root}/merged")
+    t.merge(spark.createDataFrame([("a", T(2024, 1, 5), "1")], SCHEMA), "Id", "SystemModstamp")
+    t.merge(spark.createDataFrame([("b", T(2024, 1, 2), "2"), ("b", T(2024, 1, 1), "0")], SCHEMA),
+            "Id", "SystemModstamp")
+    assert t.last_cursor() == T(2024, 1, 5)
+    assert {(r.Id, r.v) for r in t.read().collect()} == {("a", "1"), ("b", "2")}
+
+
+def test_ingest_compacts_and_takes_entities(spark, tmp_root):
+    lake, landing = f"{tmp_root}/lake", f"{tmp_root}/landing"
+    spec = [specs.EntitySpec("a", "Id", "ts"), specs.EntitySpec("b", "Id", "ts")]
+    rows = spark.createDataFrame([("x", "2024-01-01T00:00:00Z")], "Id string, ts string")
+    rows.write.option("header", True).csv(f"{landing}/a/csv")
+    spark.createDataFrame([("x", 1704153600000), ("y", 1704153600000)], "Id string, ts long"
+                          ).write.json(f"{landing}/a/json")
+    for _ in range(4):
+        jobs.ingest(spark, lake, landing, spec, entities=["A"], compact_every=2)
+    t = LakeTable.at(spark, lake, "bronze", "a")
+    assert len(t.parts()) <= 2
+    assert sorted(r.Id for r in t.latest("Id", "ts").collect()) == ["x", "y"]
+    with pytest.raises(FileNotFoundError, match="b"):
+        jobs.build_silver(spark, lake, spec)
+    assert set(jobs.build_silver(spark, lake, spec, select=["a"])) == {"a"}
+
+
+def test_seed_since_days_bounds_the_first_run(spark, tmp_root):
+    now = dt.datetime.now(dt.timezone.utc)
+    rows = [(k, (now - dt.timedelta(days=k)).strftime("%Y-%m-%dT%H:%M:%SZ")) for k in (1, 3, 9)]
+    landing = f"{tmp_root}/landing"
+    spark.createDataFrame(rows, "Id int, ts string").write.option("header", True).csv(
+        f"{landing}/a/csv")
+    spec = [specs.EntitySpec("a", "Id", "ts")]
+    jobs.ingest(spark, f"{tmp_root}/lake", landing, spec, seed_since_days=5)
+    got = LakeTable.at(spark, f"{tmp_root}/lake", "bronze", "a").read()
+    assert sorted(r.Id for r in got.collect()) == ["1", "3"]
+
+
+def test_paged_source_through_the_jobs(spark, tmp_root):
+    """Pages to bronze (types kept, no overlap), live keys from pages, silver without
+    annotations."""
+    lake, landing = f"{tmp_root}/lake", f"{tmp_root}/landing"
+    spec = specs.EntitySpec.odata("accounts", "accountid")
+    spec = specs.EntitySpec(**{**spec.__dict__, "drop_matching": "@"})
+
+    def page(name, records):
+        import json
+        text = json.dumps({"value": records, "@odata.nextLink": "next"})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(
+            f"{landing}/accounts/{name}")
+
+    one = {"accountid": "a", "n": 1, "n@x.FormattedValue": "one",
+           "modifiedon": "2024-01-01T00:00:00Z"}
+    page("pages", [one, {**one, "accountid": "b", "modifiedon": None}])
+    jobs.ingest(spark, lake, landing, [spec])
+    page("pages", [{**one, "n": 2, "modifiedon": "2024-01-02T00:00:00Z"}])
+    jobs.ingest(spark, lake, landing, [spec])
+    page("ids", [{"accountid": "a"}])
+    assert jobs.reconcile_ids(spark, lake, [spec], landing_root=landing,
+                              entities=["accounts"]) == {"accounts": 1}
+    jobs.build_silver(spark, lake, [spec])
+    silver = LakeTable.at(spark, lake, "silver", "accounts").read()
+    assert silver.columns == ["accountid", "modifiedon", "n"] and silver.schema["n"].dataType \
+        .simpleString() == "bigint"
+    assert [(r.accountid, r.n) for r in silver.collect()] == [("a", 2)]
+
+
+def test_second_run_with_changed_and_deleted_rows(spark, tmp_root):
+    """A delete hides the row it deletes, a live row stays, flags as CSV and JSON write them."""
+    lake, landing = f"{tmp_root}/lake", f"{tmp_root}/landing"
+    spec = [specs.EntitySpec("t", "Id", "ts", columns=("Id", "v"), live_ids_table="t__live_ids")]
+    spark.createDataFrame([("a", "1", "false", "2024-01-01T00:00:00Z"),
+                           ("b", "1", "True", "2024-01-01T00:00:00Z"),
+                           ("c", "1", "false", "2024-01-01T00:00:00Z"),
+                           ("d", "1", None, "2024-01-01T00:00:00Z")],
+                          "Id string, v string, IsDeleted string, ts string"
+                          ).write.option("header", True).csv(f"{landing}/t/csv")
+    jobs.ingest(spark, lake, landing, spec)
+    spark.createDataFrame([("a", 2, False, 1704153600000), ("c", 2, True, 1704153600000)],
+                          "Id string, v int, IsDeleted boolean, ts long"
+                          ).write.json(f"{landing}/t/json")
+    jobs.ingest(spark, lake, landing, spec)
+    jobs.build_silver(spark, lake, spec)
+    read = lambda: {tuple(r) for r in LakeTable.at(spark, lake, "silver", "t").read().collect()}
+    assert read() == {("a", "2"), ("d", "1")}
+    jobs.reconcile_ids(spark, lake, spec, {"t": spark.createDataFrame([("a",)], "Id string")},
+                       expected_rows={"t": 1})
+    jobs.build_silver(spark, lake, spec)
+    assert read() == {("a", "2")}
+
+
+def test_snapshot_of_another_date_is_refused(spark, tmp_root):
+    day = spark.createDataFrame([(1, dt.date(2025, 1, 1)), (2, None)], "n int, snapshot_date date")
+    with pytest.raises(Exception, match="another date"):
+        append_snapshot(spark, day, f"{tmp_root}/m", "2025-01-01")
+    assert not has_snapshot(spark, f"{tmp_root}/m", "2025-01-01")
+
+
+def test_unlogged_partition_is_written_anew(spark, tmp_root):
+    path = f"{tmp_root}/m"
+    rows = [(k, dt.date(2025, 1, 1)) for k in range(10)]
+    day = spark.createDataFrame(rows, "n int, snapshot_date date")
+    day.limit(1).write.partitionBy("snapshot_date").parquet(path)    # a failed attempt
+    assert not has_snapshot(spark, path, "2025-01-01")
+    assert append_snapshot(spark, day, path, "2025-01-01")
+    assert LakeTable(spark, path).read().count() == 10
+    other = day.limit(0)
+    other.sparkSession.createDataFrame([(1, dt.date(2025, 1, 2))], day.schema).write.mode(
+        "append").partitionBy("snapshot_date").parquet(path)
+    assert LakeTable(spark, path).read().count() == 10               # not listed, not read
+    assert append_snapshot(spark, other, path, "2025-01-02")
+    assert LakeTable(spark, path).read().count() == 10
+
+
+def test_lost_version_and_missing_seed_are_errors(spark, tmp_root):
+    from auric.session import remove_path
+    t = LakeTable.at(spark, tmp_root, "silver", "gone")
+    remove_path(spark, t.version_path(t.commit(spark.range(1), "build")))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.publish(spark, tmp_root, "silver", f"{tmp_root}/pub")
+    with pytest.raises(FileNotFoundError, match="seed"):
+        jobs.gold_frames({}, None, select=["members"])
+
+
+def test_checkpoint_folder_is_required_off_local_masters():
+    from auric.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context("spark://host:7077")
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_csv_is_bound_by_header_names(spark, tmp_root):
+    from auric.sources.landed import landed_csv_scan
+    path = f"{tmp_root}/csv"
+    spark.createDataFrame([("V1", "id1", "x")], "v string, Id string, more string").coalesce(
+        1).write.option("header", True).csv(path)
+    assert landed_csv_scan(spark, path).columns == ["v", "Id", "more"]
+    assert [tuple(r) for r in landed_csv_scan(spark, path, ["Id", "v"]).collect()] == [("id1", "V1")]
+    with pytest.raises(Exception, match="nonesuch"):
+        landed_csv_scan(spark, path, ["nonesuch"])
+    # a second file with the columns the other way round must not shift values
+    spark.createDataFrame([("id2", "V2", "y")], "Id string, v string, more string").coalesce(
+        1).write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception):
+        landed_csv_scan(spark, path, ["Id", "v", "more"]).collect()
+
+
+def test_csv_line_breaks_need_multi_line(spark, tmp_root):
+    from auric.sources.landed import landed_csv_scan
+    path = f"{tmp_root}/csv"
+    spark.createDataFrame([('Id,v\n1,"two\nlines"\n2,"say ""hi"""',)], "value string").coalesce(
+        1).write.text(path)
+    got = landed_csv_scan(spark, path, multi_line=True).collect()
+    assert [tuple(r) for r in got] == [("1", "two\nlines"), ("2", 'say "hi"')]
+    with pytest.raises(Exception):
+        landed_csv_scan(spark, path).collect()
+
+
+def test_cut_pages_and_broken_lines_fail(spark, tmp_root):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from auric.sources.landed import paged_json_explode
+    from auric.streaming import stream_ingest
+    text = lambda path, line: spark.createDataFrame([(line,)], "value string").write.text(path)
+    record = StructType([StructField("k", LongType())])
+    text(f"{tmp_root}/cut", '{"value": [{"k": 1}, {"k"')
+    text(f"{tmp_root}/kind", '{"value": [{"k": "x"}]}')
+    for name in ("cut", "kind"):
+        with pytest.raises(Exception):
+            paged_json_explode(spark, f"{tmp_root}/{name}", record).collect()
+    text(f"{tmp_root}/stream/f", '{"Id": "a", ')
+    schema = StructType([StructField(c, StringType()) for c in ("Id", "ts")])
+    with pytest.raises(Exception):
+        stream_ingest(spark, f"{tmp_root}/stream/*", schema, LakeTable(spark, f"{tmp_root}/t"),
+                      "ts", f"{tmp_root}/ckpt")
+
+
+def test_delta_cut_allows_for_the_lag(spark, tmp_root):
+    from auric.sources.landed import delta_from_json
+    path = f"{tmp_root}/json"
+    (spark.createDataFrame([("late", 1704067200000, "2024-01-06")],
+                           "Id string, ts long, ingest_date string")
+     .write.partitionBy("ingest_date").json(path))
+    week = 7 * 86400
+    out = delta_from_json(spark, path, "ts", since=T(2024, 1, 10), lag_seconds=week)
+    assert [r.Id for r in out.collect()] == ["late"]
 
 
 def test_delta_partition_pruning(spark, tmp_root):

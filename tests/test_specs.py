@@ -1,16 +1,19 @@
 """Entity specs, naming, column listings, seeds."""
 
+import pytest
+
 from auric import specs
 from auric.sources.catalog import describe_columns, has_column
 from auric.sources.landed import load_seed
 
 
-def test_published_columns():
-    cols = specs.published_columns("certificate_c__c")
+def test_configured_columns():
+    by = {x.table: x for x in specs.entity_specs()}
+    cols = by["certificate_c__c"].columns
     assert cols[0] == "Id" and "RecordTypeId" in cols and len(cols) == len(set(cols))
-    assert cols.index("Name") < cols.index("RecordTypeId")   # base before extras
-    assert specs.published_columns("accounts") is None        # keep-all table
-    assert specs.published_columns("recordtype") == ["Id", "Name"]
+    assert cols.index("Name") < cols.index("RecordTypeId")   # listed before extras
+    assert by["accounts"].columns is None                     # keep-all table
+    assert by["recordtype"].columns == ("Id", "Name")
 
 
 def test_entity_specs_and_names():
@@ -19,11 +22,21 @@ def test_entity_specs_and_names():
     by = {x.model: x for x in s}
     assert by["certificate_c"].table == "certificate_c__c"
     assert by["accounts"].pk == "accountid" and not by["accounts"].has_soft_delete
+    assert by["accounts"].lag_seconds == 0 and by["account"].lag_seconds == 120
     assert by["account"].live_ids_table == "account__live_ids"
-    assert specs.silver_model_name("species__c") == "species"
+    assert specs.EntitySpec("species__c", "Id", "x").model == "species"
     assert "–" in specs.ACCOUNT_TYPES[4]                     # en-dash kept
 
 
+def test_select_specs():
+    s = specs.entity_specs()
+    assert specs.select_specs(s) == s
+    assert [x.table for x in specs.select_specs(s, ["SPECIES", "account"])] == \
+        ["account", "species__c"]
+    with pytest.raises(ValueError):
+        specs.select_specs(s, ["nonesuch"])
+
+
 def test_describe_and_has_column(spark):
     df = spark.createDataFrame([(1, "a")], "Id int, IsDeleted string")
     rows = describe_columns(spark, df).collect()
