@@ -4,9 +4,9 @@ Silver keeps every business column as text; gold reads dates and numbers with
 ``try_cast``. Spark's and DuckDB's lenient casts disagree on a few shapes
 ('2024' is a date to Spark only, '2024/01/15' to DuckDB only, '1d' is a double
 to Spark only, ' true ' a boolean to Spark only). These helpers put a pattern
-guard in front of ``try_cast`` so the accepted set is the strict ISO one both
-engines share, plus the slash-separated date form. Everything stays a
-built-in expression inside whole-stage codegen.
+guard in front of ``try_cast`` so that what is accepted, and what it means, is what
+the reference engine says. Everything stays a built-in expression inside
+whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, DoubleType, NumericType, StringType
 
 # Fixed patterns (values the results depend on).
-# An ISO calendar date, optionally followed by a time of day and zone.
-_DATE_RE = (r"^\s*\d{4}-\d{1,2}-\d{1,2}"
-            r"(\s*$|[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?\s*$)")
-# The same date written with slashes, YYYY/MM/DD.
-_SLASH_DATE_RE = r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})\s*$"
+# A calendar date, year first (1 to 7 digits), its parts separated twice by the same
+# one of - / \ or a space; then nothing, or a time of day (24:00 only as such) and
+# perhaps a zone: Z, an offset, or a name after a space.
+_TIME = (r"(?:[01]?\d|2[0-3]):[0-5]?\d(?::[0-5]?\d(?:\.\d*)?)?|24:00(?::00(?:\.0*)?)?")
+_ZONE = r"\s*Z|\s*[+-]\d{2}(?::?\d{2}(?::\d{2})?)?|\s+[A-Za-z][\w/+-]*"
+_DATE_RE = (r"^\s*(\d{1,7})([-/\\ ])(\d{1,2})\2(\d{1,2})"
+            rf"(?:(?:T|\s+)(?:{_TIME})(?:{_ZONE})?)?\s*$")
 # A decimal or scientific number; digits may be grouped with single underscores.
 _NUMBER_RE = (r"^\s*[+-]?((\d+(_\d+)*)(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
               r"|^\s*[+-]?(?i:nan|inf|infinity)\s*$")
@@ -33,21 +35,26 @@ def _col(c) -> Column:
 
 
 def safe_date(c) -> Column:
-    """``try_cast(text as date)`` restricted to ISO dates (and YYYY/MM/DD).
+    """``try_cast(text as date)`` with the shapes the reference engine reads.
 
-    Cheap on the common shape: a value of at most ten characters is a date
-    only if Spark reads it and it has both dashes (Spark alone also reads
-    'YYYY' and 'YYYY-MM'); longer values must carry a valid time of day
-    (pattern check); YYYY/MM/DD is tried only when the plain cast fails.
+    Cheap on the common shape: ten characters with dashes in their places are a
+    date if Spark reads them. Any other text must match the date pattern as a whole
+    (Spark alone also reads 'YYYY' and 'YYYY-MM', and times of day that do not
+    exist); its parts are put together again with dashes, so '24-01-15' is the year
+    24. 'epoch' is 1970-01-01.
+
+    Left out, and NULL here: years before 1 (a sign, or BC after the date) and
+    'infinity', which Spark has no date for, and times broken off after a colon.
     """
     c = _col(c)
     x = c.try_cast(DateType())
-    t = F.trim(c)
-    slash = F.regexp_replace(c, _SLASH_DATE_RE, "$1-$2-$3").try_cast(DateType())
-    two_dashes = F.length(t) - F.length(F.replace(t, F.lit("-"), F.lit(""))) == 2
-    return (F.when(x.isNull(), F.when(c.contains("/") & c.rlike(_SLASH_DATE_RE), slash))
-             .when(F.length(t) <= 10, F.when(two_dashes, x))
-             .when(c.rlike(_DATE_RE), x))
+    usual = (F.length(c) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
+    year = F.regexp_extract(c, _DATE_RE, 1)
+    whole = F.concat_ws("-", F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year),
+                        F.regexp_extract(c, _DATE_RE, 3), F.regexp_extract(c, _DATE_RE, 4))
+    return (F.when(usual & x.isNotNull(), x)
+             .when(c.rlike(_DATE_RE), whole.try_cast(DateType()))
+             .when(F.lower(F.trim(c)) == "epoch", F.lit("1970-01-01").cast(DateType())))
 
 
 def safe_double(c) -> Column:

@@ -175,8 +175,27 @@ SELECT c_custkey AS user_id FROM {customer} WHERE c_acctbal >= 0""",
     "date_texts": """
 SELECT
   o_orderkey AS id,
-  CASE o_orderkey % 8
+  CASE o_orderkey % 27
     WHEN 0 THEN cast(cast(o_orderdate AS date) AS string)
+    WHEN 8 THEN replace(cast(cast(o_orderdate AS date) AS string), '-', '/') || ' 10:00:00'
+    WHEN 9 THEN replace(cast(cast(o_orderdate AS date) AS string), '-', ' ')
+    WHEN 10 THEN replace(cast(cast(o_orderdate AS date) AS string), '-', chr(92))
+    WHEN 11 THEN cast(cast(o_orderdate AS date) AS string) || ' 10:00:00 Europe/Berlin'
+    WHEN 12 THEN cast(cast(o_orderdate AS date) AS string) || ' 10:00:00 UTC'
+    WHEN 13 THEN cast(cast(o_orderdate AS date) AS string) || ' 25:00:00'
+    WHEN 14 THEN cast(cast(o_orderdate AS date) AS string) || ' 24:00:00'
+    WHEN 15 THEN ' Epoch'
+    WHEN 16 THEN cast(cast(o_orderdate AS date) AS string) || ' 10:60:00'
+    WHEN 17 THEN cast(cast(o_orderdate AS date) AS string) || ' 23:30:00-02:00'
+    WHEN 18 THEN cast(year(o_orderdate) AS string) || '-01/15'
+    WHEN 19 THEN '  ' || cast(cast(o_orderdate AS date) AS string) || '  '
+    WHEN 20 THEN cast(cast(o_orderdate AS date) AS string) || 'T08:30'
+    WHEN 21 THEN cast(cast(o_orderdate AS date) AS string) || 'T08:30:00z'
+    WHEN 22 THEN cast(cast(o_orderdate AS date) AS string) || ' 1:2:3.1234567'
+    WHEN 23 THEN cast(cast(o_orderdate AS date) AS string) || 'T10'
+    WHEN 24 THEN cast(year(o_orderdate) AS string) || '-1-5'
+    WHEN 25 THEN cast(cast(o_orderdate AS date) AS string) || ' 24:00:01'
+    WHEN 26 THEN cast(cast(o_orderdate AS date) AS string) || 'x'
     WHEN 1 THEN cast(year(o_orderdate) AS string) || '/'
                 || lpad(cast(month(o_orderdate) AS string), 2, '0') || '/'
                 || lpad(cast(day(o_orderdate) AS string), 2, '0')

@@ -60,3 +60,37 @@ def test_normalize_record(spark):
     r = out.first()
     assert (r.Id, r.Name, r.Flag, r.Amount) == ("5", None, "true", "1.5")
     assert r.SystemModstamp == dt.datetime(2023, 11, 14, 22, 13, 20)
+
+
+# value -> what the reference engine reads, in the shapes that differ between engines
+DATE_SHAPES = [
+    "2024-01-15", "2024-1-5", " 2024-01-15 ", "2024/01/15", "2024 01 15", "2024\\01\\15",
+    "2024-01/15", "24-01-15", "4-01-15", "124-1-1", "2024-13-01", "2024-02-30", "2024-02-29",
+    "2023-02-29", "2024-00-10", "2024-01-00", "2024-001-15", "2024-01-015", "2024-01-15x",
+    "2024-01-15T", "2024-01-15T10", "2024-01-15 10:00", "2024-01-15T10:00:00", "2024-01-15 1:2:3",
+    "2024-01-15 24:00:00", "2024-01-15 24:00:01", "2024-01-15 25:00:00", "2024-01-15 10:60:00",
+    "2024-01-15 10:00:60", "2024-01-15 10:00:00.", "2024-01-15 10:00:00.1234567890",
+    "2024-01-15 10:00:00Z", "2024-01-15 10:00:00 Z", "2024-01-15 10:00:00z", "2024-01-15 10:00Z",
+    "2024-01-15 10:00:00 UTC", "2024-01-15 10:00:00UTC", "2024-01-15 10:00:00 utc",
+    "2024-01-15 10:00:00+01", "2024-01-15 10:00:00+1", "2024-01-15 10:00:00+0100",
+    "2024-01-15 10:00:00 +01:00", "2024-01-15 23:30:00-02:00", "2024-01-15 10:00:00 Europe/Berlin",
+    "2024/01/15 10:00:00", "2024 01 15 10:00:00", "24-01-15 10:00:00", "2024-01-15  10:00:00",
+    "2024-01-15t10:00:00", "2024", "2024-01", "20240115", "", "  ", "epoch", " EPOCH", "today",
+    "+2024-01-15", "\t2024-01-15\n", "15/01/2024", "2024.01.15", "2024-Jan-15",
+    "2024-01-15T10:00:00.000+0000", "2024-01-15 10:00.5", "2024-01-15 10:000", None,
+]
+
+
+def test_dates_as_the_reference_engine_reads_them(spark):
+    import duckdb
+    con = duckdb.connect()
+    want = [con.execute("SELECT try_cast(? AS date)", [x]).fetchone()[0] for x in DATE_SHAPES]
+    df = spark.createDataFrame(list(enumerate(DATE_SHAPES)), "i int, t string")
+    got = {r.i: r.d for r in df.select("i", safe_date("t").alias("d")).collect()}
+    assert {DATE_SHAPES[i]: d for i, d in got.items()} == dict(zip(DATE_SHAPES, want))
+
+
+def test_years_past_9999(spark):
+    df = spark.createDataFrame([("10000-01-01",), ("99999-12-31 10:00:00",)], "t string")
+    got = [r[0] for r in df.select(safe_date("t").cast("string")).collect()]
+    assert [g.lstrip("+") for g in got] == ["10000-01-01", "99999-12-31"]
