@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -404,14 +406,17 @@ def q_table_row_counts(spark, sf):
     return table_row_counts({t: read_table(spark, sf, t) for t in TEST_TABLES})
 
 
-@register("published_roundtrip", "SELECT * FROM nation")
+@register("published_roundtrip", _snap_sql(_SNAP_DATES[0]) + " UNION ALL "
+          + _snap_sql(_SNAP_DATES[1]))
 def q_published_roundtrip(spark, sf):
-    root = scratch_path(spark, "lake")
-    LakeTable.at(spark, root, "silver", "nation").commit(read_table(spark, sf, "nation"),
-                                                         "build")
-    dest = scratch_path(spark, "published")
-    jobs.publish(spark, root, "silver", dest)
-    return spark.read.parquet(f"{dest}/silver/nation")
+    """A dated gold table of two dates, published and read back."""
+    root, dest = scratch_path(spark, "lake"), scratch_path(spark, "published")
+    o = read_table(spark, sf, "orders")
+    for d in _SNAP_DATES[:2]:
+        append_snapshot(spark, _orders_snapshot(o, d), f"{root}/gold/orders_daily", d)
+    jobs.publish(spark, root, "gold", dest)
+    return spark.read.parquet(f"{dest}/gold/orders_daily").select(
+        "o_orderstatus", "orders", "total_cents", "snapshot_date")
 
 
 @register("preview_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20")
@@ -503,28 +508,106 @@ _E2E_ROLES = {"certificate_c": "certificate_c__c", "account": "account",
               "non_certificate_holder": "non_certificate_holder__c"}
 
 
-@register("medallion_end_to_end", ORACLE["baseline_certification"])
+# gold table -> (its key columns, its measures)
+_GOLD_SHAPES = {
+    "baseline_certification": (
+        ["ctype", "country"],
+        ["certificates", "boreal_forests", "community_forestry", "forest_area_total",
+         "management_for_ntfp_and_services", "plantations", "temperate_forests",
+         "tropical_forests"]),
+    "coc_per_country": (["country"], ["certificates"]),
+    "fm_per_country": (["country"], ["forest_area", "certificates"]),
+    "sites_with_identity": (["country", "ctype", "Certificate_Type__c"],
+                            ["number of sites with identity"]),
+    "issued_vs_terminations": (["kind", "country", "event_date", "ctype", "status",
+                                "Certificate_Type__c"], ["certificates"]),
+    "daily_certificate_numbers": (["Certificate Category"],
+                                  ["Number Of Certificates", "Number Of Companies"]),
+    "daily_forest_areas": (["Forest Type"], ["Number Of Certificates", "Certified Forest Area"]),
+    "daily_headline": ([], ["Promotional license", "Members", "Member Countries"]),
+    "members": (["Sub_Chamber", "Member_Type", "Country", "Website", "Member", "Chamber",
+                 "Region", "region_fun"], []),
+}
+
+
+def _long_sql(t: str) -> str:
+    """A gold oracle as rows (table, key, measure, value, snapshot_date)."""
+    keys, measures = _GOLD_SHAPES[t]
+    key = ", ".join(["'k'", *(f"coalesce(\"{k}\"::varchar, '~')" for k in keys)])
+    value = " ".join(f"WHEN '{m}' THEN \"{m}\"::double" for m in [*measures]) or "WHEN '' THEN 0"
+    names = ", ".join(f"('{m}')" for m in (measures or ["row"]))
+    return (f"SELECT '{t}' AS gold_table, concat_ws('|', {key}) AS row_key, measure, "
+            f"CASE measure {value} ELSE 1 END AS value, snapshot_date "
+            f"FROM ({ORACLE[t]}) AS t, (VALUES {names}) AS m(measure)")
+
+
+def _long(df: DataFrame, t: str) -> DataFrame:
+    keys, measures = _GOLD_SHAPES[t]
+    key = F.concat_ws("|", F.lit("k"), *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("~"))
+                                         for k in keys])
+    values = [F.struct(F.lit(m).alias("measure"), F.col(f"`{m}`").cast("double").alias("value"))
+              for m in measures] or [F.struct(F.lit("row").alias("measure"),
+                                              F.lit(1.0).alias("value"))]
+    return (df.select(F.lit(t).alias("gold_table"), key.alias("row_key"), "snapshot_date",
+                      F.explode(F.array(*values)).alias("v"))
+            .select("gold_table", "row_key", "v.measure", "v.value", "snapshot_date"))
+
+
+def _land_history(spark, sf, landing):
+    """Land each CRM table as it would arrive over time, so that what is left is the role.
+
+    The CSV export has every row, each third in an older form, plus rows that are
+    deleted later and rows whose keys are gone at the source. The JSON deltas bring the
+    current form of the older rows and the deletes; the key export lacks the gone."""
+    old, new = "2026-11-01T12:00:00.000Z", "2026-11-30T12:00:00.000Z"
+    tasks = {}
+    for name, table in _E2E_ROLES.items():
+        rows = role(spark, sf, name)
+        third = F.pmod(F.xxhash64("Id"), F.lit(3)) == 0
+        text = [c for c in rows.columns if c != "Id"]
+        stale = [F.when(third & F.col(c).isNotNull(), F.concat(F.lit("old "), c)).otherwise(
+            F.col(c)).alias(c) for c in text]
+
+        def copies(mark, rows=rows, third=third):
+            return rows.where(third).withColumn("Id", F.concat(F.lit(mark), "Id"))
+
+        def stamped(df, flag, at):
+            return df.withColumns({"IsDeleted": F.lit(flag), "SystemModstamp": F.lit(at)})
+
+        export = (stamped(rows.select("Id", *stale), "false", old)
+                  .union(stamped(copies("deleted-"), None, old))
+                  .union(stamped(copies("gone-"), "0", old)))
+        delta = (stamped(rows.where(third), "false", new)
+                 .union(stamped(copies("deleted-"), "True", new)))
+        ids = rows.select("Id").union(copies("deleted-").select("Id"))
+        base = f"{landing}/{table}"
+        tasks[f"{table} csv"] = (lambda df=export, path=f"{base}/csv": df.write.option(
+            "header", True).option("escape", '"').csv(path))
+        tasks[f"{table} json"] = lambda df=delta, path=f"{base}/json": df.write.json(path)
+        tasks[f"{table} ids"] = (lambda df=ids, path=f"{base}/ids": df.write.option(
+            "header", True).csv(path))
+    tasks["regions"] = lambda: role(spark, sf, "regions").write.option("header", True).csv(
+        f"{landing}/regions")
+    jobs.write_concurrently(tasks)
+
+
+@register("medallion_end_to_end", " UNION ALL ".join(_long_sql(t) for t in jobs.GOLD_TABLES))
 def q_medallion_end_to_end(spark, sf):
-    """Land the CRM-shaped tables as CSV exports, then run the layer jobs:
-    bronze ingest (first run: CSV backfill, merge by key), silver build
-    (soft-delete filter, latest per key, keep-all), regions seed, gold build
-    of all nine tables; return the baseline_certification snapshot."""
+    """The layer jobs over a landed history: backfill, delta run with changed and
+    deleted rows, live-key reconcile, silver with projected columns and the seed, gold
+    build and publish; returns every published gold table in one long form."""
     root = scratch_path(spark, "medallion")
-    landing, lake = f"{root}/landing", f"{root}/lake"
-    stamp = F.lit("2026-11-30T12:00:00.000Z")
-    entity_specs, landings = [], {}
-    for name, table in _E2E_ROLES.items():
-        df = role(spark, sf, name)
-        out = df.select("*", F.lit("false").alias("IsDeleted"), stamp.alias("SystemModstamp"))
-        landings[table] = (lambda out=out, table=table: out.write.option("header", True)
-                           .option("escape", '"').csv(f"{landing}/{table}/csv"))
-        entity_specs.append(specs.EntitySpec(table=table, model=name, pk="Id",
-                                             cursor="SystemModstamp"))
-    regions_csv = f"{landing}/regions"
-    landings["regions"] = lambda: role(spark, sf, "regions").write.option(
-        "header", True).csv(regions_csv)
-    jobs.write_concurrently(landings)
-    jobs.ingest(spark, lake, landing, entity_specs)
-    jobs.build_silver(spark, lake, entity_specs, regions_seed=regions_csv)
-    jobs.build_gold(spark, lake, snapshot_date=SNAPSHOT_DATE, as_of=AS_OF)
-    return spark.read.parquet(f"{lake}/gold/baseline_certification")
+    landing, lake, dest = f"{root}/landing", f"{root}/lake", f"{root}/published"
+    _land_history(spark, sf, landing)
+    entity_specs = [
+        specs.EntitySpec(table=table, model=name, pk="Id", cursor="SystemModstamp",
+                         columns=tuple(role(spark, sf, name).columns),
+                         live_ids_table=f"{table}__live_ids")
+        for name, table in _E2E_ROLES.items()]
+    for _ in range(2):
+        jobs.ingest(spark, lake, landing, entity_specs)
+    jobs.reconcile_ids(spark, lake, entity_specs, landing_root=landing)
+    jobs.build_silver(spark, lake, entity_specs, regions_seed=f"{landing}/regions")
+    jobs.build_gold(spark, lake, snapshot_date=SNAPSHOT_DATE, as_of=AS_OF, publish_to=dest)
+    parts = [_long(spark.read.parquet(f"{dest}/gold/{t}"), t) for t in jobs.GOLD_TABLES]
+    return reduce(lambda a, b: a.union(b), parts)
