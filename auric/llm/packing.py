@@ -14,8 +14,8 @@ sequences does not depend on how many shards there are but for about one in
 
 Tokenizing remembers the ids of text between spaces: the vocabulary's pre-tokens
 never reach across a space that follows a character other than white space, so a
-text's ids are those of its stretches one after the other. The memory is
-bounded (``CACHE_ENTRIES``) and emptied when full; it changes no result.
+text's ids are those of its stretches one after the other. The memory is bounded
+(two generations of ``CACHE_ENTRIES``); it changes no result.
 
 Defined results: null and empty texts are one piece, the end id alone; null and
 repeated ids and repeated rows are packed row by row; other columns are ignored.
@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_right, insort
 
@@ -39,15 +40,39 @@ from auric.llm.tables import materialize, table
 SEQUENCE = 2048
 END_ID = 0
 PER_SHARD = 4096
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 800_000
 GROUP_CHARS = 1 << 20
 TOKENIZER = "byte_bpe_50k.json"
 
 _INNER_SPACE = re.compile(r"(?<=\S) ")
 _AFTER_SPACE = re.compile(r"\s ")
+_WORD_AND_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+# byte-level vocabularies write bytes as characters: printable ones as themselves,
+# the others, in order, from U+0100 on
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_SIGNS = {b: 0x100 + k for k, b in enumerate(sorted({*range(256)} - _PRINTABLE))}
 _loaded: dict[str, "Ids"] = {}
 
 
+class Known(dict):
+    """Ids of stretches, found on first use. ``lead`` goes before each; what the
+    generation before this one knew moves over when it is used again."""
+
+    def __init__(self, ids: "Ids", lead: str, older: dict | None = None):
+        super().__init__()
+        self.ids, self.lead, self.older = ids, lead, older or {}
+
+    def __missing__(self, part: str) -> bytes:
+        found = self.older.get(part)
+        if found is None:
+            found = self.ids.of(self.lead, part)
+        self[part] = found
+        return found
+
+    def renewed(self) -> "Known":
+        return Known(self.ids, self.lead, dict(self)) if len(self) > CACHE_ENTRIES else self
+
+
 class Ids:
     """Ids of texts as little-endian 32-bit bytes."""
 
@@ -56,22 +81,29 @@ class Ids:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def stretches(text: str) -> list[str]:
-        parts = (_INNER_SPACE.split(text) if _AFTER_SPACE.search(text) else text.split(" "))
-        return [parts[0], *[" " + p for p in parts[1:]]]
+        self.model = self.tokenizer.model
+        self.spaced, self.plain = Known(self, " "), Known(self, "")
+
+    def of(self, lead: str, part: str) -> bytes:
+        """A Latin word is one pre-token, so its ids are the model's alone; ASCII signs
+        after it are the next. All else goes through the tokenizer."""
+        simple = _WORD_AND_SIGNS.fullmatch(part)
+        if simple is None:
+            ids = self.tokenizer.encode(lead + part, add_special_tokens=False).ids
+        elif simple[2]:
+            return (self.spaced if lead else self.plain)[simple[1]] + self.plain[simple[2]]
+        else:
+            raw = (lead + part).encode().decode("latin-1").translate(_BYTE_SIGNS)
+            ids = [t.id for t in self.model.tokenize(raw)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.stretches(t) for t in texts]
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        known = self.known
-        new = list({p for parts in split for p in parts if p not in known})
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            known[p] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[p] for p in parts]) for parts in split]
+        out = []
+        for t in texts:
+            self.spaced, self.plain = self.spaced.renewed(), self.plain.renewed()
+            first, *rest = _INNER_SPACE.split(t) if _AFTER_SPACE.search(t) else t.split(" ")
+            out.append(self.plain[first] + b"".join(map(self.spaced.__getitem__, rest)))
+        return out
 
 
 def tokenizer_path(path: str | None = None) -> str:
