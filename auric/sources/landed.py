@@ -15,7 +15,7 @@ The source systems deliver three shapes, each read by Spark file splits:
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, DataType, MapType, StringT
 
 from auric.functions.normalize import normalize_record, parse_cursor
 from auric.operators.dedupe import q
+from auric.specs import EXCLUDED_FIELD_TYPES
 
 
 def landed_csv_scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
@@ -76,12 +77,16 @@ def paged_json_explode(spark: SparkSession, path: str,
 
 def select_queryable_columns(df: DataFrame,
                              excluded: Iterable[type[DataType]] = (ArrayType, MapType,
-                                                                   StructType, BinaryType)
-                             ) -> DataFrame:
+                                                                   StructType, BinaryType),
+                             described: Mapping[str, str] | None = None) -> DataFrame:
     """Every column except compound and binary ones (the shapes a bulk
-    extract cannot carry)."""
+    extract cannot carry). ``described`` gives the source's own type names by
+    column; those of the source's compound and binary types go too, whatever they
+    were landed as."""
     excluded = tuple(excluded)
-    keep = [f.name for f in df.schema.fields if not isinstance(f.dataType, excluded)]
+    types = {c.lower(): t.lower() for c, t in (described or {}).items()}
+    keep = [f.name for f in df.schema.fields if not isinstance(f.dataType, excluded)
+            and types.get(f.name.lower()) not in EXCLUDED_FIELD_TYPES]
     return df.select(*[q(c) for c in keep])
 
 

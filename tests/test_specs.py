@@ -52,3 +52,12 @@ def test_load_seed(spark, tmp_root):
     seed = load_seed(spark, path, specs.REGIONS_SEED_SCHEMA)
     assert seed.columns == ["ISO3", "Region", "Functional_region"]
     assert sorted(r.ISO3 for r in seed.collect()) == ["ATA", "NOR"]
+
+
+def test_described_types_decide_what_is_queryable(spark):
+    from auric.sources.landed import select_queryable_columns
+    df = spark.createDataFrame([("a", "b", "c", [1])], "Id string, Where__c string, "
+                               "Body string, many array<int>")
+    assert select_queryable_columns(df).columns == ["Id", "Where__c", "Body"]
+    kinds = {"id": "id", "where__c": "location", "BODY": "base64"}
+    assert select_queryable_columns(df, described=kinds).columns == ["Id"]
