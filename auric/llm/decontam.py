@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auric.llm.tables import materialize, table
+from auric.llm.tables import materialize, plain_names, table
 from auric.llm.text import ALNUM, Lookup, per_row, runs, shingles, words
 
 WINDOW = 10
@@ -167,7 +167,7 @@ def _shingle_counts(docs: DataFrame, text_col: str, wanted: np.ndarray, size: in
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
     """The items, in blocks of about ``block_bytes`` of text."""
     items = benchmark.select(F.col(item_col).cast("string").alias("i"),
-                             F.col(text_col).cast("string").alias("t"))
+                             F.col(text_col).cast("string").alias("t")).distinct()
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
     key: Column = F.pmod(F.xxhash64("i", "t"), F.lit(n))
@@ -227,7 +227,7 @@ def _covered(spans: list[list[int]], w) -> np.ndarray:
 
 def _scan(frame: DataFrame, text_at: int, docs: DataFrame, text_col: str,
           benchmark: DataFrame, item_col: str, item_text_col: str, window: int,
-          shingle: int, block_bytes: int, final, schema: str) -> DataFrame:
+          shingle: int, block_bytes: int, final, schema) -> DataFrame:
     spark, width = frame.sparkSession, len(frame.columns)
     state = frame
     for last, rows in _blocks(benchmark, item_col, item_text_col, block_bytes):
@@ -274,15 +274,16 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str =
                          window: int = WINDOW, shingle: int = SHINGLE,
                          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, that no window occurs in."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    plain = plain_names(docs)
+    names = plain.columns
 
     def final(part, own, n_words, n_hit, items):
-        clean = pa.RecordBatch.from_arrays(own, docs_names)
+        clean = pa.RecordBatch.from_arrays(own, names)
         return clean.filter(pa.array(n_hit == 0))
 
-    docs_names = docs.columns
-    return _scan(docs, docs.columns.index(text_col), docs, text_col, benchmark, item_col,
-                 item_text_col, window, shingle, block_bytes, final, fields)
+    return _scan(plain, docs.columns.index(text_col), docs, text_col, benchmark, item_col,
+                 item_text_col, window, shingle, block_bytes, final, plain.schema
+                 ).toDF(*docs.columns)
 
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:

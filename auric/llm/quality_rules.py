@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auric.llm.tables import table
+from auric.llm.tables import plain_names, table
 from auric.llm.text import NONSPACE, U, alphabet, per_row, runs, seeded, shingles, words
 
 N = 3
@@ -206,7 +206,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                 kept = _verdict(measures(data, off, bc.value, n), threshold)[1]
                 yield b.slice(lo, hi - lo).filter(pa.array(kept))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = plain_names(docs)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:

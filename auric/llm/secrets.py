@@ -119,10 +119,11 @@ def random_spans(text: Column, base: Column, ratios: Column) -> Column:
 
 def log_ratio(token: Column, ratios: Column) -> Column:
     """Sum over the token's character pairs of log(p random / p identifier)."""
-    at = lambda i: F.instr(F.lit(SIGNS), F.substring(token, i, F.lit(1)))
-    return F.aggregate(
-        F.sequence(F.lit(2), F.length(token)), F.lit(0.0),
-        lambda acc, i: acc + F.element_at(ratios, (at(i - 1) - 1) * len(SIGNS) + at(i)))
+    codes = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(SIGNS), c))
+    pairs = lambda x: F.zip_with(
+        F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x)),
+        lambda a, b: F.element_at(ratios, (a - 1) * len(SIGNS) + b))
+    return let(codes, lambda x: F.aggregate(pairs(x), F.lit(0.0), lambda acc, y: acc + y))
 
 
 def random_strings(spark: SparkSession, n: int = RANDOM_STRINGS) -> DataFrame:

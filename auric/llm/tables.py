@@ -17,3 +17,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def plain_names(df: DataFrame) -> DataFrame:
+    """The same columns named c0, c1, ... (names with dots or clashes do no harm then)."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
