@@ -29,6 +29,7 @@ import re
 import struct
 import zlib
 from bisect import bisect_right, insort
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +47,12 @@ TOKENIZER = "byte_bpe_50k.json"
 
 _INNER_SPACE = re.compile(r"(?<=\S) ")
 _AFTER_SPACE = re.compile(r"\s ")
-_WORD_AND_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+_PAST_LATIN = "\u0250"       # below it, what is alphabetic has long been settled
 # byte-level vocabularies write bytes as characters: printable ones as themselves,
 # the others, in order, from U+0100 on
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_SIGNS = {b: 0x100 + k for k, b in enumerate(sorted({*range(256)} - _PRINTABLE))}
+_BYTE_SPACE = chr(_BYTE_SIGNS[0x20])
 _loaded: dict[str, "Ids"] = {}
 
 
@@ -87,14 +89,14 @@ class Ids:
     def of(self, lead: str, part: str) -> bytes:
         """A Latin word is one pre-token, so its ids are the model's alone; ASCII signs
         after it are the next. All else goes through the tokenizer."""
-        simple = _WORD_AND_SIGNS.fullmatch(part)
-        if simple is None:
+        word = part if part.isalpha() else part.rstrip(punctuation)
+        if not (word.isalpha() and (word.isascii() or max(word) < _PAST_LATIN)):
             ids = self.tokenizer.encode(lead + part, add_special_tokens=False).ids
-        elif simple[2]:
-            return (self.spaced if lead else self.plain)[simple[1]] + self.plain[simple[2]]
+        elif len(word) < len(part):
+            return (self.spaced if lead else self.plain)[word] + self.plain[part[len(word):]]
         else:
-            raw = (lead + part).encode().decode("latin-1").translate(_BYTE_SIGNS)
-            ids = [t.id for t in self.model.tokenize(raw)]
+            raw = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
+            ids = [t.id for t in self.model.tokenize(_BYTE_SPACE + raw if lead else raw)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
