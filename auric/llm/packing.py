@@ -41,7 +41,7 @@ from auric.llm.tables import materialize, table
 SEQUENCE = 2048
 END_ID = 0
 PER_SHARD = 4096
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 600_000
 GROUP_CHARS = 1 << 20
 TOKENIZER = "byte_bpe_50k.json"
 
