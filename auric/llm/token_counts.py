@@ -14,9 +14,9 @@ law, ``-log(r + 2.7)`` less the log of the sum of ``1 / (r + 2.7)``. A character
 less than the lowest score and counts as many tokens as it has bytes.
 
 One narrow scan, no shuffle: each task keeps a trie of at most ``TRIE_NODES``
-nodes (and as many stored counts) and starts a new one when it is full, which
-changes no result. A pre-token longer than ``LONG`` characters runs through the
-same recurrence outside the trie, remembering one piece length back.
+nodes and starts a new one when it is full, and two generations of at most
+``STORED_COUNTS`` counts, which changes no result. A pre-token longer than ``LONG``
+characters runs through the same recurrence outside the trie.
 
 Defined results: null and empty texts have no pre-tokens and 0 tokens; null and
 repeated ids and repeated rows give a result each; other columns are ignored.
@@ -34,7 +34,8 @@ from auric.llm.tables import table
 
 VOCABULARY = "piece_bpe_32k.model"
 SPACE = "▁"
-TRIE_NODES = 300_000
+TRIE_NODES = 1_000_000
+STORED_COUNTS = 800_000
 LONG = 512
 PENALTY = 10.0
 
@@ -42,14 +43,18 @@ _loaded: dict[str, "Vocabulary"] = {}
 
 
 class Vocabulary:
-    """Scores of the ordinary pieces of a vocabulary file, by rank."""
+    """Scores of the ordinary pieces of a vocabulary file, by rank.
+
+    ``tails`` has every ending of every piece: the piece's score where the ending
+    is a piece itself, else None. Walking back from a place in a text can stop at the
+    first stretch that is not in it."""
 
     def __init__(self, pieces: list[str]):
         weight = [1 / (r + 2.7) for r in range(len(pieces))]
         total = math.log(sum(weight))
         self.score = {p: math.log(w) - total for p, w in zip(pieces, weight)}
-        self.longest = max(map(len, pieces), default=1)
         self.unknown = min(self.score.values(), default=0.0) - PENALTY
+        self.tails = {p[k:]: self.score.get(p[k:]) for p in pieces for k in range(len(p))}
 
     @classmethod
     def load(cls, path: str | None = None) -> "Vocabulary":
@@ -64,79 +69,92 @@ class Vocabulary:
                                          or sp.is_unused(i))])
         return _loaded[path]
 
-    def forward(self, text: str, end: int, best: list[float], tokens: list[int]
-                ) -> tuple[float, int]:
-        """Best score and fewest tokens of ``text[:end]``, given those of all
-        shorter prefixes that a piece can follow (indexed from the back)."""
-        top, least = None, 0
-        for n in range(1, min(self.longest, end) + 1):
-            s = self.score.get(text[end - n:end])
-            if s is None:
-                if n > 1:
-                    continue
-                s, more = self.unknown, len(text[end - 1].encode("utf-8", "surrogatepass"))
+    def forward(self, text: str, best: list[float], tokens: list[int]) -> None:
+        """Append the best score and fewest tokens of the prefix one longer than those
+        ``best`` and ``tokens`` have (from the empty one on)."""
+        end = len(best)
+        tails, top, least = self.tails, None, 0
+        for begin in range(end - 1, -1, -1):
+            piece = text[begin:end]
+            if piece not in tails:
+                break
+            s = tails[piece]
+            if s is not None:
+                s += best[begin]
+                if top is None or s > top or (s == top and tokens[begin] < least):
+                    top, least = s, tokens[begin]
+        last = text[end - 1]
+        if last in self.score:
+            least += 1
+        else:
+            size = len(last.encode("utf-8", "surrogatepass"))
+            s = best[end - 1] + self.unknown
+            if top is None or s > top or (s == top and tokens[end - 1] + size < least + 1):
+                top, least = s, tokens[end - 1] + size
             else:
-                more = 1
-            s += best[-n]
-            more += tokens[-n]
-            if top is None or s > top or (s == top and more < least):
-                top, least = s, more
-        return top, least
+                least += 1
+        best.append(top)
+        tokens.append(least)
 
 
 class Trie:
-    """Pre-tokens with shared prefixes; ``ends`` has the counts where they end."""
+    """Pre-tokens with shared prefixes. ``ends`` has the counts where they end; when
+    it is full, the generation before is dropped and what is in use moves over."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.ends: dict[bytes, int] = {}
+        self.older: dict[bytes, int] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.child: list[dict[str, int]] = [{}]
+        self.child: list[dict[str, int] | None] = [None]
         self.best, self.tokens = [0.0], [0]
-        self.ends: dict[bytes, int] = {}
 
     def insert(self, word: bytes) -> int:
         """Count of a pre-token, given without its space marker."""
         text = SPACE + word.decode("utf-8", "replace")
-        v = self.vocabulary
-        if len(text) > LONG:
-            best, tokens = [0.0], [0]
-            for end in range(1, len(text) + 1):
-                s, t = v.forward(text, end, best, tokens)
-                best, tokens = [*best[1 - v.longest:], s], [*tokens[1 - v.longest:], t]
-            return tokens[-1]                       # not stored
-        node, path = 0, [0]
-        for end, ch in enumerate(text, 1):
-            nxt = self.child[node].get(ch)
+        forward = self.vocabulary.forward
+        best, tokens = [0.0], [0]
+        if len(text) > LONG:                        # the same recurrence, not stored
+            for _ in text:
+                forward(text, best, tokens)
+            return tokens[-1]
+        if len(self.child) > TRIE_NODES:
+            self.clear()
+        child, scores, counts, node = self.child, self.best, self.tokens, 0
+        for ch in text:
+            here = child[node]
+            nxt = here.get(ch) if here else None
             if nxt is None:
-                s, t = v.forward(text, end, [self.best[x] for x in path[-v.longest:]],
-                                 [self.tokens[x] for x in path[-v.longest:]])
-                nxt = self.child[node][ch] = len(self.child)
-                self.child.append({})
-                self.best.append(s)
-                self.tokens.append(t)
+                forward(text, best, tokens)
+                nxt = len(child)
+                if here is None:
+                    child[node] = {ch: nxt}
+                else:
+                    here[ch] = nxt
+                child.append(None)
+                scores.append(best[-1])
+                counts.append(tokens[-1])
+            else:
+                best.append(scores[nxt])
+                tokens.append(counts[nxt])
             node = nxt
-            path.append(node)
-        self.ends[word] = self.tokens[node]
-        return self.tokens[node]
+        return counts[node]
 
     def count(self, words: list[bytes]) -> int:
-        ends = self.ends
-        try:
-            return sum(map(ends.__getitem__, words))
-        except KeyError:
-            pass
-        total = 0
-        for w in words:
-            n = ends.get(w)
-            if n is None:
-                if len(self.child) > TRIE_NODES:
-                    self.clear()
-                    ends = self.ends
-                n = self.insert(w)
-            total += n
-        return total
+        if len(self.ends) > STORED_COUNTS:
+            self.ends, self.older = {}, self.ends
+        ends, older = self.ends, self.older
+        for w in set(words).difference(ends):
+            n = older.get(w)
+            n = self.insert(w) if n is None else n
+            if len(w) <= LONG:
+                ends[w] = n
+            else:
+                return sum(ends[x] if x in ends else older[x] if x in older
+                           else self.insert(x) for x in words)
+        return sum(map(ends.__getitem__, words))
 
 
 _tries: dict[str | None, Trie] = {}
