@@ -86,7 +86,8 @@ FROM {{orders}}""",
     "account": f"""
 SELECT
   cast(l_orderkey AS string) || '-' || cast(l_linenumber AS string) || '-'
-    || cast(l_partkey AS string) || '-' || cast(l_suppkey AS string) AS Id,
+    || cast(l_partkey AS string) || '-' || cast(l_suppkey AS string) || '-'
+    || cast(cast(l_shipdate AS date) AS string) AS Id,
   'Company ' || cast(l_suppkey AS string) AS Name,
   CASE l_returnflag
     WHEN 'A' THEN CASE l_linenumber % 5
