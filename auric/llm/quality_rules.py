@@ -9,10 +9,10 @@ sampling and no noise. The threshold leaves room for languages whose share of th
 trusted documents is down to 0.6 of their share of the corpus; junk scores -1 and less. A document fails if it misses a base measure or scores
 below the threshold.
 
-The trusted ids are a bounded sample of the labels: the ``target_docs`` rows with
-quality 1 that have the smallest hash (documented parameter, for fitting only).
-Counts of the raw corpus cover all documents. Ratios are kept in fixed point
-(1e-6), so sums are exact and a score does not depend on how rows are batched.
+The trusted ids are all distinct ids with quality 1, joined to the documents as a
+flag: both multinomials cover all of their documents at every size. Ratios are kept
+in fixed point (1e-6), so sums are exact and a score does not depend on how rows
+are batched.
 
 Defined results: null and empty texts have no words, score 0, and fail the base
 measure; null ids get their result too but are never trusted; without trusted
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auric.llm.tables import plain_names, table
+from auric.llm.tables import materialize, plain_names, table
 from auric.llm.text import NONSPACE, U, alphabet, per_row, runs, seeded, shingles, words
 
 N = 3
@@ -68,14 +68,12 @@ def same_pairs(w) -> np.ndarray:
     return same
 
 
-def _counter(n: int, buckets: int, trusted):
+def _counter(n: int, buckets: int):
     def run(batches):
-        ids = trusted.value
         raw, good = np.zeros(buckets + 1, np.int64), np.zeros(buckets + 1, np.int64)
         for b in batches:
-            known = np.isin(b.column(0).fill_null(0).to_numpy(zero_copy_only=False), ids)
-            known &= b.column(0).is_valid().to_numpy(zero_copy_only=False)
-            for lo, hi, data, off in runs(b.column(1)):
+            known = b.column(1).to_numpy(zero_copy_only=False)
+            for lo, hi, data, off in runs(b.column(0)):
                 key, ok = ngram_buckets(data, off, n, buckets)
                 w = words(data, off, NONSPACE)
                 pairs = per_row(same_pairs(w), w.first)
@@ -91,24 +89,32 @@ def _counter(n: int, buckets: int, trusted):
     return run
 
 
+def trusted_ids(labels: DataFrame, id_col: str = "doc_id",
+                label_col: str = "quality") -> DataFrame:
+    """All distinct ids labelled good (column i)."""
+    return (labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull())
+            .select(F.col(id_col).cast("bigint").alias("i")).distinct())
+
+
 def trusted_sample(labels: DataFrame, limit: int, id_col: str = "doc_id",
                    label_col: str = "quality") -> np.ndarray:
-    rows = (labels.where((F.col(label_col) == 1) & F.col(id_col).isNotNull())
-            .select(F.col(id_col).cast("bigint").alias("i")).distinct()
+    """The ``limit`` trusted ids of the smallest hash, to look at; ``fit`` takes all."""
+    rows = (trusted_ids(labels, id_col, label_col)
             .orderBy(F.xxhash64("i"), "i").limit(limit).collect())
     return np.sort(np.array([r["i"] for r in rows], np.int64))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", n: int = N, buckets: int = BUCKETS,
-        alpha: float = ALPHA, target_docs: int = TARGET_DOCS) -> np.ndarray:
+        alpha: float = ALPHA) -> np.ndarray:
     """Log ratio of each bucket, in millionths (int64[buckets + 1])."""
-    spark = docs.sparkSession
-    trusted = spark.sparkContext.broadcast(
-        trusted_sample(labels, target_docs, id_col, label_col))
-    got = (docs.select(F.col(id_col).cast("bigint").alias("i"),
+    # from files, so that the join's sides are bare exchanges and a repeated id's can be split
+    good_ids = materialize(trusted_ids(labels, id_col, label_col), "trusted-ids")
+    got = (docs.select(F.col(id_col).cast("bigint").alias("d"),
                        F.col(text_col).cast("string").alias("t"))
-           .mapInArrow(_counter(n, buckets, trusted), "b bigint, raw bigint, good bigint")
+           .join(good_ids.hint("shuffle_hash"), F.col("d") == F.col("i"), "left")
+           .select("t", F.col("i").isNotNull().alias("known"))
+           .mapInArrow(_counter(n, buckets), "b bigint, raw bigint, good bigint")
            .groupBy("b").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
            .collect())                             # at most ``buckets`` + 1 rows
     raw, good = np.zeros(buckets + 1), np.zeros(buckets + 1)

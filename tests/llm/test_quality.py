@@ -68,6 +68,19 @@ def test_log_ratio_against_brute_force(spark):
         assert abs(got[i] - (ratio[g].mean() if g else 0)) < 1e-5
 
 
+def test_every_trusted_id_is_counted(spark):
+    """25000 labelled documents, each with a word of its own length 8 in base 26."""
+    word = lambda k: "".join(chr(97 + k // 26 ** j % 26) for j in range(8))
+    n = 25_000
+    docs = spark.createDataFrame([(k, word(k * 7919)) for k in range(n)] + [(None, "zz zz zz")],
+                                 "doc_id bigint, text string")
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality")
+    twice = labels.union(labels)                   # repeated labels count once
+    got = q.fit(docs.where("doc_id is not null"), twice)
+    assert not got.any()                           # target and raw are the same documents
+    assert q.fit(docs, twice).any()                # a null id is never trusted
+
+
 def test_rules_agree_with_labels(spark):
     sf = SF.replace("0.001", "0.01")
     rows = {r.doc_id: r for r in q.op8_quality_rules(spark, sf).collect()}
