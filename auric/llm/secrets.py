@@ -2,10 +2,12 @@
 
 Two first-order Markov models over the characters of a token, one of random strings
 and one of ordinary identifiers, are estimated from labelled samples (add-one
-smoothing). A token of ``MIN_TOKEN`` characters or more is a secret if the log of
-its likelihood ratio, summed over its character pairs, is at least ``MARGIN``. Random
-strings are made from hashes in the alphabets that keys come in; identifiers are
-words of a bounded sample of ordinary texts (``ORDINARY_DOCS``, documented parameter; it serves
+smoothing). What base spans leave of the text is cut into tokens; a token of
+``MIN_TOKEN`` characters or more is a secret if the log of its likelihood ratio, summed
+over its character pairs, is at least ``MARGIN``. Where the whole token is none, its
+segments between / _ = - of that length are judged the same way. Random strings are
+made from hashes in the alphabets that keys come in; identifiers are words of a
+bounded sample of ordinary texts (``ORDINARY_DOCS``, documented parameter; it serves
 the fit only), as they are and joined the ways programs join them.
 
 Everything is built-in functions in one narrow scan: patterns give the matches and
@@ -15,8 +17,8 @@ Running sums go over blocks of ``BLOCK`` matches, so that a text with very many
 matches costs in proportion to them.
 
 Defined results: null and empty texts have no spans; null and repeated ids and
-repeated rows give a result each; a method span that overlaps a base span is left
-out; without ordinary texts the identifiers' model is uniform; other columns are
+repeated rows give a result each; method spans never overlap base spans or each
+other; without ordinary texts the identifiers' model is uniform; other columns are
 ignored by ``secret_spans`` and kept by ``redacted``.
 """
 
@@ -34,8 +36,9 @@ ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']
           r"([A-Za-z0-9+/_.=-]+)")
 ACCESS = r"AKIA[A-Z0-9]{16,}"        # a whole run from AKIA on, 20 characters or more
 HEX = r"[0-9a-f]{24,}"
-MIN_TOKEN = 20
+MIN_TOKEN = 14         # 98 % of random strings of this length reach the margin
 TOKEN = rf"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}"
+SEGMENT = rf"[A-Za-z0-9+]{{{MIN_TOKEN},}}"       # of a token, between / _ = -
 SIGNS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 MARGIN = 15.0
 RANDOM_STRINGS = 4_000
@@ -97,24 +100,48 @@ def base_spans(text: Column) -> Column:
                                  found(text, ACCESS, "access"), found(text, HEX, "hex")))
 
 
-def random_spans(text: Column, base: Column, ratios: Column) -> Column:
-    """Spans of tokens that the random model explains better by ``MARGIN``, apart from
-    ``base``."""
+def uncovered(text: Column, base: Column) -> Column:
+    """``text`` with spaces for the characters that ``base`` covers; places stay."""
+    state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+
+    def blank(acc, x):
+        start, end = F.greatest(acc["at"], x["s"]), F.greatest(acc["at"], x["e"])
+        return F.struct(
+            F.concat(acc["out"], F.substring(text, acc["at"] + 1, start - acc["at"]),
+                     F.repeat(F.lit(" "), end - start)).alias("out"),
+            end.alias("at"))
+
+    return F.when(F.size(base) > 0, F.aggregate(base, state, blank, lambda acc: F.concat(
+        acc["out"], F.substring(text, acc["at"] + 1, F.lit(1 << 30))))).otherwise(text)
+
+
+def _judged(text: Column, pattern: str, ratios: Column) -> Column:
+    """Spans of the matches that the random model explains better by ``MARGIN``."""
     sizes = lambda a: F.transform(a, lambda s: F.length(s))
-    parts = F.struct(sizes(F.split(text, TOKEN, -1)).alias("gaps"),
-                     F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)).alias("tokens"))
+    parts = F.struct(sizes(F.split(text, pattern, -1)).alias("gaps"),
+                     F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("tokens"))
 
     def tokens(x):
         return let(sizes(x["tokens"]), lambda lens: _starts(x["gaps"], lens, lambda start:
                    F.transform(x["tokens"], lambda w, i: F.struct(
                        _span(start(i), F.length(w), "random").alias("span"), w.alias("w")))))
 
-    apart = lambda y: ~F.exists(base, lambda b: (b["s"] < y["span"]["e"])
-                                & (y["span"]["s"] < b["e"]))
     some = let(parts, lambda x: F.transform(
-        F.filter(tokens(x), lambda y: (log_ratio(y["w"], ratios) >= MARGIN) & apart(y)),
+        F.filter(tokens(x), lambda y: log_ratio(y["w"], ratios) >= MARGIN),
         lambda y: y["span"]))
-    return F.when(text.rlike(TOKEN), some).otherwise(F.array().cast(_NONE))
+    return F.when(text.rlike(pattern), some).otherwise(F.array().cast(_NONE))
+
+
+def random_spans(text: Column, base: Column, ratios: Column) -> Column:
+    """Spans judged random in what ``base`` leaves uncovered: whole tokens, and the
+    segments of the tokens that are not."""
+    def both(rest):
+        return let(_judged(rest, TOKEN, ratios), lambda whole: F.concat(whole, F.filter(
+            _judged(rest, SEGMENT, ratios), lambda y: ~F.exists(
+                whole, lambda x: (x["s"] <= y["s"]) & (y["e"] <= x["e"])))))
+
+    return F.when(text.rlike(TOKEN), let(uncovered(text, base), both)
+                  ).otherwise(F.array().cast(_NONE))
 
 
 def log_ratio(token: Column, ratios: Column) -> Column:
