@@ -39,7 +39,41 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# License notices as templates (label, template).
+_BULLET = '<<var;name="bullet";original="1";match=".{0,1}">> '
+_BSD_FIRST = ("Redistribution and use in source and binary forms, with or without modification, "
+              "are permitted provided that the following conditions are met")
+_BSD_CLAUSES = (
+    f": {_BULLET}Redistributions of source code must retain the above copyright notice, this "
+    f"list of conditions and the following disclaimer. {_BULLET}Redistributions in binary form "
+    "must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution. ")
+_BSD_NAMES = (
+    _BULLET + 'Neither the name of <<var;name="holder";original="the copyright holder";'
+    'match=".{1,20}">> nor the names of its contributors may be used to endorse or promote '
+    "products derived from this software without specific prior written permission. ")
+_BSD_DISCLAIMER = (
+    'This software is provided by <<var;name="holders";original="the copyright holders and '
+    'contributors";match=".{1,20}">> "as is" and any express or implied warranties, including, '
+    "but not limited to, the implied warranties of merchantability and fitness for a particular "
+    'purpose are disclaimed. In no event shall <<var;name="liable";original="the copyright holder '
+    'or contributors";match=".{1,20}">> be liable for any direct, indirect, incidental, special, '
+    "exemplary, or consequential damages (including, but not limited to, procurement of "
+    "substitute goods or services; loss of use, data, or profits; or business interruption) "
+    "however caused and on any theory of liability, whether in contract, strict liability, or "
+    "tort (including negligence or otherwise) arising in any way out of the use of this "
+    "software, even if advised of the possibility of such damage.")
+_ISC_FIRST = (
+    "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this "
+    "software for any purpose with or without fee is hereby granted, provided that the above "
+    "copyright notice and this permission notice appear in all copies")
+_MIT_FIRST = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+    '<<var;name="software";original="this software and associated documentation files";'
+    'match=".{1,12}">> (the "Software"), to deal in the Software without restriction, '
+    "including without limitation the rights to use, copy, modify, merge, publish, "
+    "distribute, sublicense, and/or sell copies of the Software")
+
+# License texts, and notices that name a license, as templates (label, template).
 TEMPLATES = [
     ("apache-2.0",
      "Apache License<<beginOptional>>, <<endOptional>> Version 2.0"),
@@ -59,19 +93,35 @@ TEMPLATES = [
      "terms of the GNU General Public License"),
     ("mit-notice",
      "<<beginOptional>>is <<endOptional>>released under the MIT License"),
-    ("mit",
-     "Permission is hereby granted, free of charge, to any person obtaining a copy of "
-     '<<var;name="software";original="this software and associated documentation files";'
-     'match=".{1,12}">> (the "Software"), to deal in the Software without restriction, '
-     "including without limitation the rights to use, copy, modify, merge, publish, "
-     "distribute, sublicense, and/or sell copies of the Software"),
+    ("mit", _MIT_FIRST),                           # the grant alone
+    ("mit-text",
+     _MIT_FIRST + ", and to permit persons to whom the Software is furnished to do so, subject "
+     "to the following conditions: The above copyright notice and this permission notice"
+     "<<beginOptional>> (including the next paragraph)<<endOptional>> shall be included in all "
+     'copies or substantial portions of the Software. The Software is provided "as is", without '
+     "warranty of any kind, express or implied, including but not limited to the warranties of "
+     "merchantability, fitness for a particular purpose and noninfringement. In no event shall "
+     '<<var;name="liable";original="the authors or copyright holders";match=".{1,20}">> be liable '
+     "for any claim, damages or other liability, whether in an action of contract, tort or "
+     "otherwise, arising from, out of or in connection with the Software or the use or other "
+     "dealings in the Software."),
+    ("isc-notice", _ISC_FIRST),
     ("isc",
-     "Permission to use, copy, modify, and/or distribute this software for any purpose with "
-     "or without fee is hereby granted, provided that the above copyright notice and this "
-     "permission notice appear in all copies"),
-    ("bsd-2-clause",
-     "Redistribution and use in source and binary forms, with or without modification, are "
-     "permitted provided that the following conditions are met"),
+     _ISC_FIRST + '. The software is provided "as is" and <<var;name="author";original="the '
+     'author";match=".{1,20}">> disclaims all warranties with regard to this software including '
+     "all implied warranties of merchantability and fitness. In no event shall "
+     '<<var;name="liable";original="the author";match=".{1,20}">> be liable for any special, '
+     "direct, indirect, or consequential damages or any damages whatsoever resulting from loss of "
+     "use, data or profits, whether in an action of contract, negligence or other tortious "
+     "action, arising out of or in connection with the use or performance of this software."),
+    ("bsd-notice", _BSD_FIRST),                    # shared by the texts of the family
+    ("bsd-2-clause", _BSD_FIRST + _BSD_CLAUSES + _BSD_DISCLAIMER),
+    ("bsd-3-clause", _BSD_FIRST + _BSD_CLAUSES + _BSD_NAMES + _BSD_DISCLAIMER),
+    ("lgpl-notice", "GNU Lesser General Public License"),
+    ("agpl-notice", "GNU Affero General Public License"),
+    ("mpl-2.0-notice",
+     'Mozilla Public License, <<var;name="v";original="v.";match=".{0,1}">> 2.0'),
+    ("cc0-1.0-notice", "CC0 1.0"),
     ("cc-by-3.0",
      "<<beginOptional>>Creative Commons <<endOptional>>CC BY 3.0"),
     ("cc-by-4.0",
@@ -79,6 +129,9 @@ TEMPLATES = [
     ("cc-by-sa-4.0",
      "<<beginOptional>>Creative Commons <<endOptional>>CC BY<<beginOptional>>-<<endOptional>> "
      "SA 4.0"),
+    *[(f"cc-{kind}-{version}".lower(),
+       f"<<beginOptional>>Creative Commons <<endOptional>>CC {kind} {version}")
+      for kind in ("BY-NC", "BY-NC-SA", "BY-NC-ND", "BY-ND") for version in ("3.0", "4.0")],
 ]
 
 _MARK = re.compile(r"<<(beginOptional|endOptional|var;[^>]*)>>")

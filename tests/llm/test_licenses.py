@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from auric.llm import licenses as m
@@ -73,3 +75,56 @@ def test_long_text_and_whole_notice(spark):
             "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software")
     r, = m.license_scan(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()
     assert r.labels == "mit" and r.score == 1.0 and r.n_base == 0
+
+
+CLAUSES = ["Redistribution and use in source and binary forms, with or without modification, are "
+           "permitted provided that the following conditions are met:",
+           "1. Redistributions of source code must retain the above copyright notice, this list "
+           "of conditions and the following disclaimer.",
+           "2. Redistributions in binary form must reproduce the above copyright notice, this "
+           "list of conditions and the following disclaimer in the documentation and/or other "
+           "materials provided with the distribution."]
+ADVERT = ("3. All advertising materials mentioning features or use of this software must display "
+          "the following acknowledgement: This product includes software developed by X.")
+NAMES = ("3. Neither the name of the copyright holder nor the names of its contributors may be used "
+         "to endorse or promote products derived from this software without specific prior written "
+         "permission.")
+DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY
+EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT
+HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR
+CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING
+IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+ISC = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+       "without fee is hereby granted, provided that the above copyright notice and this permission "
+       "notice appear in all copies.")
+
+
+@pytest.mark.parametrize("text, labels", [
+    (" ".join([*CLAUSES, DISCLAIMER]), "bsd-2-clause,bsd-notice"),
+    (" ".join([*CLAUSES, NAMES, DISCLAIMER]), "bsd-3-clause,bsd-notice"),
+    (" ".join([*CLAUSES, ADVERT, NAMES.replace("3", "4"), DISCLAIMER]), "bsd-notice"),
+    (CLAUSES[0], "bsd-notice"),
+    (" ".join([*CLAUSES, DISCLAIMER.replace("STRICT LIABILITY", "X")]), "bsd-notice"),
+    (ISC, "isc-notice"),
+    (ISC + " Selling it is forbidden.", "isc-notice"),
+    ("under CC BY-NC 4.0 or CC BY-NC-SA 4.0", "cc-by-nc-4.0,cc-by-nc-sa-4.0"),
+    ("the GNU Lesser General Public License", "lgpl-notice"),
+    ("Mozilla Public License, v. 2.0", "mpl-2.0-notice"),
+])
+def test_labels_of_whole_texts(text, labels):
+    own = {a.label for a in (m.compile_template(*t) for t in m.TEMPLATES)
+           if a.accepts(plain_words(text))}
+    assert ",".join(sorted(own)) == labels
+
+
+@pytest.mark.parametrize("label", ["mit-text", "isc", "bsd-2-clause", "bsd-3-clause"])
+def test_every_mandatory_word_counts(label):
+    """The original wording is accepted, and no longer when one of its last words changes."""
+    template = dict(m.TEMPLATES)[label]
+    text = re.sub('<<var;[^>]*?original="([^"]*)"[^>]*>>', r"\1", template)
+    ws = plain_words(re.sub("<<(begin|end)Optional>>", "", text))
+    a = m.compile_template(label, template)
+    assert a.accepts(ws) and not a.accepts(ws[:-1]) and not a.accepts([*ws[:-9], "x", *ws[-8:]])
