@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("classifier", "decontam", "html_text", "licenses", "minhash", "packing",
+MODULES = ("classifier", "decontam", "filter_audit", "html_text", "licenses", "minhash", "packing",
            "quality_rules", "secrets", "token_counts", "warc")
 
 QUERIES: dict = {}
