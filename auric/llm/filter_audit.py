@@ -14,7 +14,8 @@ At most parts x 128 counters are left, from which all 120 orders follow.
 
 State is kept in ``buckets`` groups of texts (about ``TEXTS`` each): a group's texts are
 merged at once. A batch rewrites the groups it touches, so there are ``BATCHES`` batches
-of equal numbers of files however large the table is.
+of equal numbers of files however large the table is. Where it is kept is the session's
+choice (``spark.sql.streaming.stateStore.providerClass``; RocksDB in ``CLUSTER_CONF``).
 
 Conditions: A under 200 words; B 100 * distinct words < 50 * words; C 100 * [A-Z] > 3 *
 code points; D holds one of # $ % & * |; E the text is that of a smaller id, table-wide.
@@ -45,7 +46,6 @@ BATCHES = 4
 TEXTS = 2000
 ROWS_AT_ONCE = 200_000
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _FACTS = "bucket bigint, digest binary, id bigint, part string, bits int, n bigint"
 _DELTAS = "part string, bits int, n bigint"
 
@@ -174,17 +174,9 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "d
         (changes.groupBy("part", "bits").agg(F.sum("n").alias("n"))
          .write.mode("overwrite").parquet(f"{out}/batch={number}"))
 
-    kept = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    try:
-        query = (deltas.writeStream.outputMode("update").foreachBatch(book)
-                 .option("checkpointLocation", scratch_path(spark, "filter-audit-state"))
-                 .trigger(availableNow=True).start())
-    finally:
-        if kept is None:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-        else:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+    query = (deltas.writeStream.outputMode("update").foreachBatch(book)
+             .option("checkpointLocation", scratch_path(spark, "filter-audit-state"))
+             .trigger(availableNow=True).start())
     query.awaitTermination()
     spark.createDataFrame([], _DELTAS).write.mode("overwrite").parquet(f"{out}/batch=-1")
     return (spark.read.schema(f"{_DELTAS}, batch int").parquet(out).groupBy("part", "bits")
