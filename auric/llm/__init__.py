@@ -6,7 +6,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = ("classifier", "decontam", "filter_audit", "html_text", "lexical", "licenses",
-           "minhash", "packing", "quality_rules", "secrets", "token_counts", "warc")
+           "minhash", "packing", "quality_rules", "repeats", "secrets", "token_counts", "warc")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
