@@ -1,9 +1,10 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from auric.llm import packing as m
@@ -11,9 +12,7 @@ from tests.llm.conftest import SF, edge_texts, table
 
 
 def tokenizer():
-    t = Tokenizer.from_file(m.tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(m.tokenizer_path())
 
 
 def check(rows, docs, size):
@@ -46,12 +45,34 @@ def test_documents(spark):
     assert check(rows, docs, 2048) <= -(-total // 2048) + 1
 
 
-def test_edges_and_small_shards(edge_docs, no_docs):
-    rows = m.pack(edge_docs, size=64, per_shard=5).collect()
+def test_edges(edge_docs, no_docs):
+    rows = m.pack(edge_docs, size=64).collect()
     check(rows, edge_texts(), 64)
     assert m.pack(no_docs).collect() == []
 
 
+def test_end_mark_in_texts_is_what_the_tokenizer_makes_of_it(spark):
+    docs = [(1, "hello <|endoftext|> world"), (2, "<|endoftext|>"), (3, "a  <|endoftext|>b c"),
+            (4, "<|endoftext"), (5, "x" * 20 + "<|endoftext|>" * 2 + " y")]
+    assert len(tokenizer().encode(docs[0][1], add_special_tokens=False).ids) == 4
+    check(m.pack(spark.createDataFrame(docs, "doc_id bigint, text string")).collect(), docs, 2048)
+
+
+def test_many_short_documents_over_many_tasks(spark):
+    """All pieces are packed as one: within one sequence of what holds all tokens."""
+    rows = spark.range(60_000).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(1, 1 + id % 13), x -> concat('w', x)))"
+        " AS text").repartition(12)
+    out = m.pack(rows)
+    total, used, over = out.selectExpr("sum(length)", "count(DISTINCT sequence_id)",
+                                       "max(offset + length)").first()
+    assert over <= 2048 and used <= -(-total // 2048) + 1
+    bins = out.groupBy("sequence_id").agg(
+        F.sum("length").alias("n"), F.max(F.expr("offset + length")).alias("e"),
+        F.countDistinct("offset").alias("d"), F.count(F.lit(1)).alias("c"))
+    assert bins.where("n <> e OR d <> c").count() == 0
+
+
 def test_stretches_give_the_same_ids():
     random.seed(1)
     signs = " \n\t  abzé9._'s　\x1c\x85三½²"
@@ -80,16 +101,50 @@ def test_cut(n, want):
 
 def test_two_replace_the_smallest():
     # greedy alone takes 6 + 3 and wastes 1; taking the 3 out leaves 4 = 2 + 2
-    assert sorted(m.best_two_fit(np.array([6, 3, 2, 2]), 10)[0]) == [2, 2, 6]
+    assert sorted(m.best_two_fit({6: 1, 3: 1, 2: 2}, 10)[0][0]) == [2, 2, 6]
+
+
+def one_by_one(lengths, size):
+    """The method bin by bin, with its lengths in a list."""
+    left, bins = sorted(lengths), []
+    while left:
+        chosen, gap = [], size
+        while fits := [n for n in left if n <= gap]:
+            left.remove(fits[-1])
+            chosen.append(fits[-1])
+            gap -= fits[-1]
+        least = chosen[-1]
+        pairs = [(a + b, a) for i, a in enumerate(left) for b in left[i + 1:]
+                 if least < a + b <= gap + least] if gap else []
+        if pairs:
+            total = max(pairs)[0]
+            a = min(a for t, a in pairs if t == total)
+            left = sorted(left + [chosen.pop()])
+            for n in (a, total - a):
+                left.remove(n)
+                chosen.append(n)
+        bins.append(sorted(chosen))
+    return bins
+
+
+def test_patterns_are_the_bins_one_by_one():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        lengths = rng.integers(1, rng.integers(3, 31), rng.integers(1, 90)).tolist()
+        bins = m.best_two_fit(Counter(lengths), 30)
+        assert sorted(sorted(b) for b, many in bins for _ in range(many)) == sorted(
+            one_by_one(lengths, 30))
+        ranks = defaultdict(list)
+        for n, first, end, offsets, _ in m.places(bins):
+            ranks[n] += range(first, end)
+        assert {n: sorted(r) for n, r in ranks.items()} == {
+            n: list(range(c)) for n, c in Counter(lengths).items()}
 
 
-def test_bins_use_each_length_once():
-    rng = np.random.default_rng(3)
-    for _ in range(50):
-        lengths = rng.integers(1, 30, rng.integers(1, 60))
-        bins = m.best_two_fit(lengths, 30)
-        assert sorted(x for b in bins for x in b) == sorted(lengths.tolist())
-        assert all(sum(b) <= 30 for b in bins)
+def test_work_follows_the_lengths_not_the_pieces():
+    counts = {n: 10 ** 9 + n for n in range(1, 257)}
+    bins = m.best_two_fit(counts, 256)
+    assert len(bins) < 256 * 8 and sum(len(b) * k for b, k in bins) == sum(counts.values())
 
 
 def test_best_two_against_all_pairs():
@@ -99,5 +154,5 @@ def test_best_two_against_all_pairs():
         gap, least = int(rng.integers(2, 30)), int(rng.integers(1, 10))
         sums = [int(a + b) for i, a in enumerate(lengths) for b in lengths[i + 1:]
                 if least < a + b <= gap]
-        got = m.Pool(lengths).best_two(gap, least)
+        got = m.Pool(Counter(lengths.tolist())).best_two(gap, least)
         assert (sum(got) if got else None) == max(sums, default=None)
