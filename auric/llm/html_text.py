@@ -13,8 +13,10 @@ are a fixed grammar in ``html_pages`` (a parameter); the trained weights are a
 small table of feature names.
 
 Defined results: a null or empty page, and a page without article blocks, gives an
-empty text; an unclosed comment, tag or raw element runs to the end of the page; null and
-repeated ids and repeated rows give a result each; other columns are ignored.
+empty text; an unclosed comment or raw element, and a tag without its end, run to the end
+of the page; a quote in a tag that is never closed ends with the tag, at the next >. Text
+in math, svg, noscript, iframe and template counts with its block; null and repeated ids
+and repeated rows give a result each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +40,15 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
     main menu nav noscript ol optgroup option p pre search section select summary table tbody td
     textarea tfoot th thead title tr ul button ins iframe""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe noembed xmp svg math".split())
-DROPPED = frozenset("script style title noscript template iframe noembed svg math".split())
+RAW = frozenset("script style title textarea xmp".split())
+DROPPED = frozenset("script style title".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
              "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SCOPE = frozenset("html body table td th ul ol dl button".split())
+SCOPE = frozenset("html body table td th ul ol dl button div section article aside main nav".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+                  r"|<(/?)([a-zA-Z][^\s/>]*)((?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?=>|\Z)|[^>]*)"
+                  r"(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _LABEL = re.compile(r"\bdata-(main|other)\b")
 _TOKEN = re.compile(r"[a-z]+")
@@ -57,6 +61,47 @@ class _Open:
         self.tag, self.feats, self.label = tag, feats, label
 
 
+class Stack:
+    """The open elements, with how many of each tag are open, in all and since the
+    innermost element of ``SCOPE``, so that no tag searches them in vain."""
+
+    def __init__(self):
+        self.items = [_Open("", frozenset(), None)]
+        self.open: Counter[str] = Counter()
+        self.scopes: list[Counter[str]] = [Counter()]
+
+    def push(self, tag, feats, label):
+        self.items.append(_Open(tag, feats, label))
+        self.open[tag] += 1
+        if tag in SCOPE:
+            self.scopes.append(Counter())
+        self.scopes[-1][tag] += 1
+
+    def pop(self):
+        tag = self.items.pop().tag
+        self.open[tag] -= 1
+        if tag in SCOPE:
+            self.scopes.pop()
+        else:
+            self.scopes[-1][tag] -= 1
+        return tag
+
+    def close(self, tag):
+        """An end tag: the innermost such element and all in it."""
+        if self.open[tag]:
+            while self.pop() != tag:
+                pass
+
+    def close_before(self, shut):
+        """What a start tag ends: open paragraphs, then one element of ``shut``, no
+        further out than the innermost element of the scope."""
+        while self.scopes[-1]["p"]:
+            self.close("p")
+        if any(self.scopes[-1][t] for t in shut):
+            while self.pop() not in shut:
+                pass
+
+
 class Block:
     __slots__ = ("text", "around", "tag", "linked", "label")
 
@@ -68,7 +113,7 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """Leaf blocks with text, in page order."""
     out: list[Block] = []
-    stack = [_Open("", frozenset(), None)]
+    stack = Stack()
     parts: list[str] = []
     in_link, linked, at = 0, 0, 0
 
@@ -77,7 +122,7 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                top = stack[-1]
+                top = stack.items[-1]
                 out.append(Block(text, top.feats, top.tag, linked / len(text), top.label))
             parts.clear()
         linked = 0
@@ -88,9 +133,6 @@ def blocks(page: str) -> list[Block]:
         if in_link:
             linked += len(text.strip())
 
-    def pop_to(k):
-        del stack[k:]
-
     end = len(page)
     while at < end:
         m = _TAG.search(page, at)
@@ -109,10 +151,7 @@ def blocks(page: str) -> list[Block]:
                 in_link = 0
             if tag in BLOCK:
                 close_block()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
-                        pop_to(k)
-                        break
+                stack.close(tag)
             continue
         if tag == "br":
             parts.append(" ")
@@ -126,8 +165,8 @@ def blocks(page: str) -> list[Block]:
                     close_block()
                 continue
             close_block()
-            feats = stack[-1].feats | {"a:" + tag}
-            stack.append(_Open(tag, feats, stack[-1].label))
+            top = stack.items[-1]
+            stack.push(tag, top.feats | {"a:" + tag}, top.label)
             parts.append(inside)
             close_block()
             stack.pop()
@@ -135,20 +174,11 @@ def blocks(page: str) -> list[Block]:
         if tag not in BLOCK:
             continue
         close_block()
-        shut = CLOSED_BY.get(tag, ())
-        for k in range(len(stack) - 1, 0, -1):
-            t = stack[k].tag
-            if t == "p" or t in shut:
-                pop_to(k)
-                if t == "p":
-                    continue
-                break
-            if t in SCOPE or t in ("div", "section", "article", "aside", "main", "nav"):
-                break
+        stack.close_before(CLOSED_BY.get(tag, ()))
         if tag in VOID:
             continue
         attrs = m[3]
-        feats, label = stack[-1].feats, stack[-1].label
+        feats, label = stack.items[-1].feats, stack.items[-1].label
         new = {"a:" + tag}
         if attrs:
             for n in _NAMES.findall(attrs):
@@ -156,7 +186,7 @@ def blocks(page: str) -> list[Block]:
             marked = _LABEL.search(attrs)
             if marked:
                 label = marked[1] == "main"
-        stack.append(_Open(tag, feats if new <= feats else feats | new, label))
+        stack.push(tag, feats if new <= feats else feats | new, label)
     close_block()
     return out
 

@@ -77,6 +77,15 @@ def test_viterbi_and_marginals_against_all_labellings():
     ("<script>never closed <p>a</p>", []), ("<p>a <b", ["a"]), ("<p>1 < 2</p>", ["1 < 2"]),
     ("<title>t</title><textarea>x<p>y</textarea>z", ["x<p>y", "z"]),
     ("</div></p>a</body>b", ["a", "b"]),
+    ("<p>Before <svg><text>in</text> it <p>After", ["Before in it", "After"]),
+    ("<p>so <math><mi>x</mi>=1</math> holds</p>", ["so x=1 holds"]),
+    ("<div>a<noscript>shown without scripts</noscript>b</div>", ["a", "shown without scripts", "b"]),
+    ("<p>see <a href=\"x>more text here", ["see more text here"]),
+    ("<p>see <a href='x>it</a> and <b class=\"y\">that</b>", ["see it and that"]),
+    ("<p>a</p><b title=\"never closed", ["a"]),
+    ("<table><tr><td>1<td>2<tr><td><p>3<table><tr><td>4</table>5</table>6",
+     ["1", "2", "3", "4", "5", "6"]),
+    ("<dl><dt>a<dd>b<p>c<dt>d</dl>", ["a", "b", "c", "d"]),
 ])
 def test_blocks(page, texts):
     assert [b.text for b in m.blocks(page)] == texts
@@ -89,6 +98,30 @@ def test_deep_and_long_pages(field):
     assert m.main_text(long, field).count("Some words") == 5000
 
 
+@pytest.mark.parametrize("tag", ["blockquote", "form", "p><button", "li><ul", "figure"])
+def test_work_grows_with_the_page(tag):
+    """Four times the nesting: at most five times the work (counted, not timed)."""
+    import sys
+
+    def steps(n):
+        page = f"<{tag}>" * n + "text" + "</b></i></h1>" * n
+        count = 0
+
+        def on_line(frame, event, arg):
+            nonlocal count
+            count += event == "line"
+            return on_line
+        old = sys.gettrace()
+        sys.settrace(on_line)
+        try:
+            m.blocks(page)
+        finally:
+            sys.settrace(old)
+        return count
+
+    assert steps(1200) <= 5 * steps(300)
+
+
 def test_chrome_goes_article_stays(field):
     page = ("<html><body><header><a href='/'>Site</a></header><nav><ul><li><a href='/a'>A</a></li>"
             "</ul></nav><div class='cookie-notice'>We use cookies.</div><main><h1>Head line</h1>"
