@@ -36,13 +36,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auric.llm.tables import materialize, table
-from auric.llm.text import ALNUM, Lookup, Words, runs, words
+from auric.llm.text import ALNUM, Lookup, Words, runs, same_bytes, words
 
 K = 10
 LENGTH_FACTOR, LENGTH_PCT = 8, 75
 BLOCK_ITEMS, BLOCK_TERMS = 4096, 1 << 20
 CELLS = 1 << 21
-LONG_TERM = 64
 
 
 class Vocabulary:
@@ -72,19 +71,10 @@ class Vocabulary:
     def _same(self, w: Words, word: np.ndarray, term: np.ndarray) -> np.ndarray:
         start, size = w.start[word], w.end[word] - w.start[word]
         same = size == self.size[term]
-        for j in range(int(size[same].max()) if same.any() else 0):
-            if j == LONG_TERM:
-                for i in np.flatnonzero(same & (size > j)).tolist():
-                    own = w.kind.fold[w.data[start[i]:start[i] + size[i]]]
-                    s = self.start[term[i]]
-                    same[i] = np.array_equal(own, self.data[s:s + size[i]])
-                break
-            at = np.flatnonzero(same & (size > j))
-            same[at] = (w.kind.fold[w.data[start[at] + j]]
-                        == self.data[self.start[term[at]] + j])
+        at = np.flatnonzero(same)
+        same[at] = same_bytes(w.kind.fold[w.data], start[at], self.data, self.start[term[at]], size[at])
         return same
 
-
 def _item_terms(batches):
     """(i, item, terms, counts) of each item."""
     for b in batches:

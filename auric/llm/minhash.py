@@ -13,8 +13,8 @@ their weighted Jaccard similarity. ``bands`` x ``rows`` coordinates are joined.
 
 Plan:
 
-1. One scan gives each row a key of its text, a fingerprint of its word sequence
-   and its band hashes. Rows with the same words are one node (aggregated before
+1. One scan gives each row a key of its text, a digest of its word sequence and its
+   band hashes. Rows with the same words are one node (aggregated before
    the shuffle, however many copies there are).
 2. In each bucket of a band every node is paired with the bucket's smallest node
    only, so a bucket of n nodes gives n - 1 pairs. The pairs are verified exactly
@@ -40,6 +40,7 @@ ignored by ``near_duplicates`` and kept by ``one_of_each``.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -48,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auric.llm.tables import materialize, table
-from auric.llm.text import _P, ALNUM, U, Words, _powers, mix, runs, seeded, shingles, words
+from auric.llm.text import _P, ALNUM, U, Words, mix, runs, seeded, shingles, words
 
 SHINGLE = 5
 MIN_SIMILARITY = 0.8
@@ -141,23 +142,11 @@ def band_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
-def fingerprints(w: Words) -> np.ndarray:
-    """16 bytes for the word sequence of each row."""
-    n = len(w.hash)
-    p, inv = _powers(n + 1)
-    out = np.zeros((len(w.first) - 1, 2), U)
-    for k, h in enumerate((w.hash, seeded(w.hash, 23))):
-        total = np.zeros(n + 1, U)
-        np.cumsum(h * p[:n], out=total[1:])
-        out[:, k] = mix((total[w.first[1:]] - total[w.first[:-1]]) * inv[w.first[:-1]]
-                        + w.counts.astype(U))
-    return out
-
-
-def _binary16(x: np.ndarray) -> pa.Array:
-    return pa.FixedSizeBinaryArray.from_buffers(
-        pa.binary(16), len(x), [None, pa.py_buffer(np.ascontiguousarray(x).tobytes())]
-    ).cast(pa.binary())
+def fingerprints(w: Words) -> pa.Array:
+    """Digest of the word sequence of each row: 16 bytes of SHA-256."""
+    first = w.first.tolist()
+    return pa.array([hashlib.sha256(w.joined(a, b) if b > a else b"").digest()[:16]
+                     for a, b in zip(first, first[1:])], pa.binary())
 
 
 def _int_lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -179,7 +168,7 @@ def _sketch(size: int, bands: int, rows: int):
                 first = np.concatenate([[0], np.cumsum(np.where(weight > 0, bands, 0))])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo),
-                     _binary16(fingerprints(w)), pa.array(weight, pa.int64()),
+                     fingerprints(w), pa.array(weight, pa.int64()),
                      _int_lists(band_hashes(sig[weight > 0], bands, rows).ravel(), first)],
                     ["_id", "key", "node", "weight", "bands"])
     return run

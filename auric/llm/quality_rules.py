@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auric.llm.tables import materialize, plain_names, table
-from auric.llm.text import NONSPACE, U, alphabet, per_row, runs, seeded, shingles, words
+from auric.llm.text import (NONSPACE, U, alphabet, per_row, runs, same_bytes, seeded, shingles,
+                            words)
 
 N = 3
 BUCKETS = 1 << 16
 ALPHA = 1.0
-TARGET_DOCS = 20_000
 THRESHOLD = -0.5
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
@@ -96,14 +96,6 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id",
             .select(F.col(id_col).cast("bigint").alias("i")).distinct())
 
 
-def trusted_sample(labels: DataFrame, limit: int, id_col: str = "doc_id",
-                   label_col: str = "quality") -> np.ndarray:
-    """The ``limit`` trusted ids of the smallest hash, to look at; ``fit`` takes all."""
-    rows = (trusted_ids(labels, id_col, label_col)
-            .orderBy(F.xxhash64("i"), "i").limit(limit).collect())
-    return np.sort(np.array([r["i"] for r in rows], np.int64))
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", n: int = N, buckets: int = BUCKETS,
         alpha: float = ALPHA) -> np.ndarray:
@@ -128,6 +120,46 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return np.where(raw > 0, np.rint(ratio * 1e6), 0).astype(np.int64)
 
 
+def first_equal(key: np.ndarray, equal) -> np.ndarray:
+    """For each thing the first one equal to it (itself, if none before is). Things of
+    unlike keys differ; ``equal(i, j)`` tells for pairs of like keys."""
+    order = np.argsort(key, kind="stable")
+    first = np.arange(len(key))
+    left = order                                   # sorted by key, then place
+    while len(left):
+        new = np.ones(len(left), bool)
+        new[1:] = key[left][1:] != key[left][:-1]
+        head = left[np.maximum.accumulate(np.where(new, np.arange(len(left)), 0))]
+        rest = np.flatnonzero(~new)
+        same = equal(left[rest], head[rest])
+        first[left[rest[same]]] = head[rest[same]]
+        left = left[rest[~same]]                   # like keys, other contents: once more
+    return first
+
+
+def _equal_lines(lines, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    size = lines.end[i] - lines.start[i]
+    same = size == lines.end[j] - lines.start[j]
+    at = np.flatnonzero(same & (lines.row[i] == lines.row[j]))
+    same[:] = False
+    same[at] = same_bytes(lines.data, lines.start[i[at]], lines.data, lines.start[j[at]], size[at])
+    return same
+
+
+def _equal_windows(w, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of windows that begin at words i and j: the same words, compared as bytes."""
+    same = w.row[i] == w.row[j]
+    for k in range(WINDOW):
+        at = np.flatnonzero(same)
+        a, b = i[at] + k, j[at] + k
+        size = w.end[a] - w.start[a]
+        like = (w.hash[a] == w.hash[b]) & (size == w.end[b] - w.start[b])
+        same[at[~like]] = False
+        at, a, b = at[like], a[like], b[like]
+        same[at] = same_bytes(w.data, w.start[a], w.data, w.start[b], size[like])
+    return same
+
+
 def measures(data: np.ndarray, off: np.ndarray, ratio: np.ndarray, n: int) -> dict:
     """All measures of a run of texts, by row."""
     w = words(data, off, NONSPACE)
@@ -138,20 +170,15 @@ def measures(data: np.ndarray, off: np.ndarray, ratio: np.ndarray, n: int) -> di
 
     lines = words(data, off, _LINES)
     has_word = (np.searchsorted(w.start, lines.end) - np.searchsorted(w.start, lines.start)) > 0
-    key = lines.hash ^ seeded(lines.row.astype(U), 7)
-    key, row = key[has_word], lines.row[has_word]
-    order = np.argsort(key, kind="stable")
-    later = np.zeros(len(key), bool)
-    later[order[1:]] = key[order][1:] == key[order][:-1]
-    out["n_dup_lines"] = np.bincount(row[later], minlength=len(off) - 1)
+    key, at = (lines.hash ^ seeded(lines.row.astype(U), 7))[has_word], np.flatnonzero(has_word)
+    first = first_equal(key, lambda i, j: _equal_lines(lines, at[i], at[j]))
+    out["n_dup_lines"] = np.bincount(lines.row[at][first != np.arange(len(at))],
+                                     minlength=len(off) - 1)
 
     h, at = shingles(w, WINDOW)
     key = h ^ seeded(w.row[at].astype(U), 7)
-    order = np.argsort(key)
-    same = key[order][1:] == key[order][:-1]
-    twice = np.zeros(len(key), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
+    first = first_equal(key, lambda i, j: _equal_windows(w, at[i], at[j]))
+    twice = np.bincount(first, minlength=len(at))[first] > 1
     edge = np.zeros(len(w.hash) + 1, np.int64)
     np.add.at(edge, at[twice], 1)
     np.add.at(edge, at[twice] + WINDOW, -1)

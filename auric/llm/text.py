@@ -169,6 +169,25 @@ def per_row(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+LONG = 64
+
+
+def same_bytes(x: np.ndarray, a: np.ndarray, y: np.ndarray, b: np.ndarray,
+               size: np.ndarray) -> np.ndarray:
+    """Whether ``x[a:a + size]`` and ``y[b:b + size]`` are equal, for each pair."""
+    same = np.ones(len(size), bool)
+    live = np.flatnonzero(size > 0)
+    for j in range(LONG):
+        if not len(live):
+            return same
+        same[live] = x[a[live] + j] == y[b[live] + j]
+        live = live[same[live] & (size[live] > j + 1)]
+    for i in live.tolist():
+        n = size[i]
+        same[i] = np.array_equal(x[a[i]:a[i] + n], y[b[i]:b[i] + n])
+    return same
+
+
 class Lookup:
     """Places of hashes in a sorted table; a bitmap drops most misses first."""
 

@@ -141,6 +141,16 @@ def test_signature_does_not_depend_on_neighbours_or_range():
     assert (far[0] == every[0]).all()
 
 
+def test_unlike_words_of_equal_hash_are_two_nodes(spark):
+    """4096 words by the Thue-Morse sequence and their complement."""
+    a, b = (" ".join(("one", "two")[bin(k).count("1") % 2 ^ flip] for k in range(4096))
+            for flip in (0, 1))
+    docs = spark.createDataFrame([doc(1, a), doc(2, b), doc(3, a.upper()), doc(4, b + "!")], DOCS)
+    nd = m.NearDuplicates(docs, "doc_id", "text")
+    nodes = {r._id: bytes(r.node) for r in nd.rows.collect()}
+    assert nodes[1] == nodes[3] != nodes[2] == nodes[4]
+
+
 def test_components(spark):
     edges = [(k, k - 1) for k in range(1, 30)] + [(100, 200), (200, 300), (400, 300), (7, 500)]
     got = m.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()

@@ -5,7 +5,8 @@ import numpy as np
 
 from auric.llm import classifier as c
 from auric.llm import quality_rules as q
-from tests.llm.conftest import SF, doc, edge_texts, multiset, table
+from auric.llm.text import NONSPACE, words
+from tests.llm.conftest import DOCS, SF, doc, edge_texts, multiset, table
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -38,11 +39,25 @@ def test_rules_against_brute_force(spark):
         assert not (r.base_failed and r.kept)
 
 
+def test_lines_and_windows_of_equal_hash_are_compared(spark, labels):
+    """The Thue-Morse sequence and its complement have equal hashes modulo 2**64."""
+    a, b = ("".join("ab"[bin(k).count("1") % 2 ^ flip] for k in range(4096)) for flip in (0, 1))
+    w = words(np.frombuffer((a + " " + b).encode(), np.uint8), np.array([0, 8193]), NONSPACE)
+    assert w.hash[0] == w.hash[1]
+    seven = " one two three four five six seven"
+    texts = [a + "\n" + b, a + "\n" + a + "\n" + b + "\n" + b + "\n" + a, a + seven + "\n" + b + seven,
+             a + seven + " x " + b + seven + " y " + b + seven + " z " + a + seven]
+    rows = q.judge(spark.createDataFrame([doc(k, t) for k, t in enumerate(texts)], DOCS),
+                   labels).collect()
+    assert {r.doc_id: tuple(r[x] for x in BASE) for r in rows} == {
+        k: measures(t) for k, t in enumerate(texts)}
+
+
 def test_log_ratio_against_brute_force(spark):
     """Counts, ratio and score of every document in plain Python."""
     docs = [(r.doc_id, r.text) for r in table(spark, "documents").collect()]
     labels = table(spark, "labels")
-    good = set(q.trusted_sample(labels, q.TARGET_DOCS).tolist())
+    good = {r.i for r in q.trusted_ids(labels).collect()}
     buckets = q.BUCKETS
 
     def grams(t):
