@@ -46,8 +46,8 @@ from auric.llm.text import U, _powers, mix, runs
 
 LENGTH, SEED = 50, 24
 HOT = 1 << 20
-SEEDS_AT_ONCE = 1 << 22
-SEGMENT_BYTES = 16 << 20
+SEEDS_AT_ONCE = 1 << 21
+SEGMENT_BYTES = 8 << 20
 BUCKET_SEEDS = 1 << 24
 INDEX_BYTES = 2 << 20
 
@@ -98,6 +98,56 @@ def _numbers(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), kind) for x in column]
 
 
+_BY_SHARD = "shard int, keys binary, sizes binary, numbers binary"
+
+
+def _by_shard(keys: np.ndarray, numbers: np.ndarray, first: np.ndarray, shards: int) -> pa.Table:
+    """Lists of numbers for keys (rows of two words), as one row for each shard of keys."""
+    sizes = np.diff(np.append(first, len(numbers)))
+    shard = (keys[:, 0] % U(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    begin = _runs_of(shard[order])
+    parts = np.split(order, begin[1:]) if len(order) else []
+    chunk = np.split(numbers, first[1:]) if len(order) else []
+    return pa.table({
+        "shard": pa.array([int(shard[p[0]]) for p in parts], pa.int32()),
+        "keys": pa.array([_binary(keys[p]) for p in parts], pa.binary()),
+        "sizes": pa.array([_binary(sizes[p].astype(np.uint32)) for p in parts], pa.binary()),
+        "numbers": pa.array([_binary(np.concatenate([chunk[i] for i in p.tolist()])
+                                     .astype(np.int32)) for p in parts], pa.binary())})
+
+
+def _gathered(group: pa.Table) -> pa.Table:
+    """(key, numbers): all lists of a key in one."""
+    keys = np.concatenate(_numbers(group.column("keys"), U)).reshape(-1, 2)
+    sizes = np.concatenate(_numbers(group.column("sizes"), np.uint32)).astype(np.int64)
+    numbers = np.concatenate(_numbers(group.column("numbers"), np.int32))
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    new = _runs_of(keys[order, 0], keys[order, 1])
+    sizes_in_order = sizes[order]
+    begin = (np.cumsum(sizes) - sizes)[order]
+    ends = np.cumsum(sizes_in_order)
+    at = np.arange(len(numbers)) + np.repeat(begin - (ends - sizes_in_order), sizes_in_order)
+    first = np.append((ends - sizes_in_order)[new], len(numbers))
+    return pa.table({"key": pa.array([x.tobytes() for x in keys[order[new]]], pa.binary()),
+                     "numbers": _lists(numbers[at], first, pa.int32())})
+
+
+def _gather(found: DataFrame, name: str) -> DataFrame:
+    return (found.where("shard is not null").select("shard", "keys", "sizes", "numbers")
+            .groupBy("shard").applyInArrow(_gathered, "key binary, numbers array<int>")
+            .withColumnRenamed("numbers", name))
+
+
+def _with(rows: pa.Table, **more: pa.Array) -> pa.Table:
+    """``rows``, then rows that hold only the columns ``more``."""
+    n = len(next(iter(more.values())))
+    columns = {c: pa.concat_arrays([rows.column(c).combine_chunks(), pa.nulls(n, rows.column(c).type)])
+               for c in rows.column_names}
+    columns |= {c: pa.concat_arrays([pa.nulls(rows.num_rows, v.type), v]) for c, v in more.items()}
+    return pa.table(columns)
+
+
 _SEEDS = ("bucket int, hash binary, many binary, owner binary, place binary, keys binary, "
           "settled boolean")
 
@@ -153,21 +203,21 @@ def _seed_rows(buckets: int, length: int, size: int):
     return run
 
 
-_SHARED = "key binary, places array<int>, hot bigint"
+_SHARED = f"{_BY_SHARD}, hot bigint"
 
 
-def _shared_seeds(hot: int):
-    """(key, places) of the seeds of a bucket that two tasks' rows or more hold, and the
-    seeds of more than ``hot`` rows."""
+def _shared_seeds(hot: int, shards: int):
+    """The places of the seeds of a bucket that two tasks' rows or more hold, by row, and
+    the seeds of more than ``hot`` rows."""
 
     def run(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket")[0].as_py()
         settled = group.column("settled").to_numpy()
         h, many, owner, place = (_numbers(group.column(c), np.uint32)
                                  for c in ("hash", "many", "owner", "place"))
-        keys = _numbers(group.column("keys"), "V16")
+        keys = [k.reshape(-1, 2) for k in _numbers(group.column("keys"), U)]
         base = np.cumsum([0] + [len(k) for k in keys])
-        key = np.concatenate(keys) if keys else np.zeros(0, "V16")
+        key = np.concatenate(keys)
         owner = np.concatenate([o.astype(np.int64) + b for o, b in zip(owner, base)])
         known = np.repeat(settled, [len(x) for x in h])
         h, place = np.concatenate(h), np.concatenate(place)
@@ -182,13 +232,8 @@ def _shared_seeds(hot: int):
         mine = np.concatenate([order[np.repeat(runs_ > 1, runs_)], np.flatnonzero(known)])
         mine = mine[np.argsort(owner[mine], kind="stable")]
         first = _runs_of(owner[mine])
-        lists = _lists(place[mine].astype(np.int32), np.append(first, len(mine)), pa.int32())
-        found = pa.array([x.tobytes() for x in key[owner[mine][first]]], pa.binary())
-        return pa.table({
-            "key": pa.concat_arrays([found, pa.nulls(len(over), pa.binary())]),
-            "places": pa.concat_arrays([lists, pa.nulls(len(over), lists.type)]),
-            "hot": pa.concat_arrays([pa.nulls(len(found), pa.int64()),
-                                     pa.array((bucket << 32) | over, pa.int64())])})
+        return _with(_by_shard(key[owner[mine][first]], place[mine], first, shards),
+                     hot=pa.array((bucket << 32) | over, pa.int64()))
     return run
 
 
@@ -280,7 +325,7 @@ def _segments(buckets: int, length: int, size: int, seed_buckets: int, hot):
     return run
 
 
-_SPANS = "key binary, spans array<int>, window binary, least bigint"
+_SPANS = f"{_BY_SHARD}, window binary, least bigint"
 
 
 def least_ids(texts: list[bytes], seed: np.ndarray, least: np.ndarray, length: int,
@@ -323,7 +368,7 @@ def _stream(mine, texts, size, least, first, length, out):
     out[to] = np.where(long, np.minimum(found, out[to]), out[to])
 
 
-def _mark(length: int, index_bytes: int):
+def _mark(length: int, index_bytes: int, shards: int):
     """Spans of the rows of a bucket, and the smallest id of each hot window."""
 
     def run(group: pa.Table) -> pa.Table:
@@ -366,16 +411,10 @@ def _mark(length: int, index_bytes: int):
         end = at[np.append(begin[1:], len(at)) - 1] + length if len(at) else at
         pairs = np.stack([at[begin], end], axis=1).astype(np.int32).ravel()
         by_row = _runs_of(a[begin], b[begin])
-        found = pa.array([x.tobytes() for x in keys[owner[order][begin[by_row]]]], pa.binary())
-        lists = _lists(pairs, np.append(by_row, len(begin)) * 2, pa.int32())
+        rows = _by_shard(keys[owner[order][begin[by_row]]], pairs, by_row * 2, shards)
         digests = [hashlib.sha256(texts[i]).digest() for i in answers.tolist()]
-        return pa.table({
-            "key": pa.concat_arrays([found, pa.nulls(len(digests), pa.binary())]),
-            "spans": pa.concat_arrays([lists, pa.nulls(len(digests), lists.type)]),
-            "window": pa.concat_arrays([pa.nulls(len(found), pa.binary()),
-                                        pa.array(digests, pa.binary())]),
-            "least": pa.concat_arrays([pa.nulls(len(found), pa.int64()),
-                                       pa.array(smallest[first[answers]], pa.int64())])})
+        return _with(rows, window=pa.array(digests, pa.binary()),
+                     least=pa.array(smallest[first[answers]], pa.int64()))
     return run
 
 
@@ -449,13 +488,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = materialize(
         source.known.select("key", "t")
         .mapInArrow(_seed_rows(seed_buckets, length, seed), _SEEDS)
-        .groupBy("bucket").applyInArrow(_shared_seeds(hot), _SHARED), "shared-seeds")
+        .groupBy("bucket").applyInArrow(_shared_seeds(hot, seed_buckets), _SHARED),
+        "shared-seeds")
     hot_seeds = np.array([r["hot"] for r in shared.where("hot is not null").select("hot")
                          .collect()], np.int64)
-    wanted = (shared.where("key is not null").groupBy("key")
-              .agg(F.flatten(F.collect_list("places")).alias("places"))
-              .join(copies, "key", "left_anti"))
-    wanted = materialize(wanted, "wanted")
+    wanted = materialize(_gather(shared, "places").join(copies, "key", "left_anti"), "wanted")
     many = wanted.agg(F.sum(F.size("places"))).first()[0] or 0
 
     buckets = _buckets(docs, many * 3 * length // 2, SEGMENT_BYTES)
@@ -468,16 +505,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = materialize(
         segments.where("bucket is not null")
         .select("bucket", "data", "size", "seed", "ids", "keys", "start")
-        .groupBy("bucket").applyInArrow(_mark(length, index_bytes), _SPANS), "spans")
-    spans = found.where("key is not null").select("key", "spans")
+        .groupBy("bucket").applyInArrow(_mark(length, index_bytes, buckets), _SPANS), "spans")
+    spans = _gather(found, "spans")
     if len(hot_seeds):
         answers = found.where("window is not null").select("window", "least")
         held = segments.where("window is not null").select("window", "key", "id", "at")
-        spans = spans.union(
-            held.join(answers, "window").where("least < id")
-            .select("key", F.array("at", F.col("at") + length).alias("spans")))
-    cut = (spans.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-           .select("key", F.lit(False).alias("copy"), "spans")
+        spans = (spans.union(held.join(answers, "window").where("least < id")
+                             .select("key", F.array("at", F.col("at") + length).alias("spans")))
+                 .groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    cut = (spans.select("key", F.lit(False).alias("copy"), "spans")
            .union(copies.select("key", F.lit(True), F.lit(None).cast("array<int>"))))
     kind = docs.schema[id_col].dataType.simpleString()
     return (source.rows.select("key", "id", "t").join(cut, "key", "left")
