@@ -160,9 +160,9 @@ def _cert_select(cert: str, kind: str) -> str:
 def _counted(cert: str, kind: str, statuses=specs.ALL_STATUSES,
              categories=specs.CATEGORIES) -> str:
     """Which certificates count: category and status listed, body known and allowed."""
-    return (f"list_contains([{sql_list(categories)}], {kind}.Name) "
-            f"AND list_contains([{sql_list(statuses)}], {cert}.Cert_Status__c) "
-            f"AND NOT list_contains([{sql_list(specs.EXCLUDED_CBS)}], {cert}.CB__c)")
+    return (f"{kind}.Name IN ({sql_list(categories)}) "
+            f"AND {cert}.Cert_Status__c IN ({sql_list(statuses)}) "
+            f"AND {cert}.CB__c NOT IN ({sql_list(specs.EXCLUDED_CBS)})")
 
 
 # holding: one row for each holder account of a certificate that counts;
@@ -170,20 +170,21 @@ def _counted(cert: str, kind: str, statuses=specs.ALL_STATUSES,
 _HOLDINGS_SQL = f""", holding AS (
   SELECT {_cert_select("certificate_c", "recordtype")},
          account.Name AS company, account.Type AS acct_type, country_data.Name AS country
-  FROM country_data, account, recordtype, certificate_c
-  WHERE country_data.Id = account.Country__c
-    AND recordtype.Id = certificate_c.RecordTypeId
-    AND certificate_c.Id = account.Certificate_Relation__c
-    AND list_contains([{sql_list(specs.ACCOUNT_TYPES)}], account.Type)
+  FROM certificate_c
+  JOIN recordtype ON certificate_c.RecordTypeId = recordtype.Id
+  JOIN account ON account.Certificate_Relation__c = certificate_c.Id
+  JOIN country_data ON account.Country__c = country_data.Id
+  WHERE account.Type IN ({sql_list(specs.ACCOUNT_TYPES)})
     AND {_counted("certificate_c", "recordtype")}
 ), holder AS (
   SELECT DISTINCT ON (cert_rel) * FROM holding
-  ORDER BY cert_rel, list_contains([{sql_list(specs.CERT_HOLDER_TYPES)}], acct_type) DESC,
+  ORDER BY cert_rel,
+           CASE WHEN acct_type IN ({sql_list(specs.CERT_HOLDER_TYPES)}) THEN 0 ELSE 1 END,
            company NULLS LAST, acct_type NULLS LAST, country NULLS LAST
 )"""
 _GOLD_CTE = role_cte(*_GOLD_ROLES) + _HOLDINGS_SQL
-_IN_FORCE = (f"NOT list_contains([{sql_list(specs.INACTIVE_STATUSES)}], Cert_Status__c) "
-             f"AND NOT coalesce(try_cast(Date_To__c AS date) < {_ASOF}, true)")
+_VALID = f"try_cast(Date_To__c AS date) >= {_ASOF}"
+_IN_FORCE = f"Cert_Status__c NOT IN ({sql_list(specs.INACTIVE_STATUSES)}) AND {_VALID}"
 
 
 def _g1(spark, sf):
@@ -201,9 +202,8 @@ def _g2(spark, sf):
 @register("account_country_join", role_cte("account", "country_data") + f"""
 SELECT account.Certificate_Relation__c AS cert_rel, account.Name AS company,
        account.Type AS acct_type, country_data.Name AS country
-FROM country_data, account
-WHERE country_data.Id = account.Country__c
-  AND list_contains([{sql_list(specs.ACCOUNT_TYPES)}], account.Type)""")
+FROM account JOIN country_data ON account.Country__c = country_data.Id
+WHERE account.Type IN ({sql_list(specs.ACCOUNT_TYPES)})""")
 def q_account_country_join(spark, sf):
     r = roles(spark, sf, "account", "country_data")
     return gold.account_country(r["account"], r["country_data"])
@@ -211,9 +211,8 @@ def q_account_country_join(spark, sf):
 
 @register("certificate_recordtype_join", role_cte("certificate_c", "recordtype") + f"""
 SELECT {_cert_select("certificate_c", "recordtype")}
-FROM recordtype, certificate_c
-WHERE recordtype.Id = certificate_c.RecordTypeId
-  AND {_counted("certificate_c", "recordtype")}""")
+FROM certificate_c JOIN recordtype ON certificate_c.RecordTypeId = recordtype.Id
+WHERE {_counted("certificate_c", "recordtype")}""")
 def q_certificate_recordtype_join(spark, sf):
     r = roles(spark, sf, "certificate_c", "recordtype")
     return gold.certificate_recordtype(r["certificate_c"], r["recordtype"])
@@ -242,16 +241,16 @@ _BASELINE_NAMES = {"ntfp_services": "management_for_ntfp_and_services"}
 @register("baseline_certification", _GOLD_CTE + f"""
 SELECT country, ctype, {_SNAP} AS snapshot_date, count(*) AS certificates,
        {", ".join(f"sum({m}) AS {_BASELINE_NAMES.get(m, m)}" for m, _ in gold._MEASURES)}
-FROM holder WHERE {_IN_FORCE}
-GROUP BY country, ctype HAVING country IS NOT NULL AND ctype IS NOT NULL""")
+FROM holder WHERE {_IN_FORCE} AND country IS NOT NULL AND ctype IS NOT NULL
+GROUP BY country, ctype""")
 def q_baseline_certification(spark, sf):
     return gold.baseline_certification(_g2(spark, sf), AS_OF, SNAPSHOT_DATE)
 
 
 @register("coc_per_country", _GOLD_CTE + f"""
-SELECT {_SNAP} AS snapshot_date, country, count(*) FILTER (ctype = 'COC') AS certificates
-FROM holder WHERE {_IN_FORCE}
-GROUP BY country HAVING country IS NOT NULL AND bool_or(ctype = 'COC')""")
+SELECT {_SNAP} AS snapshot_date, country, count(*) AS certificates
+FROM holder WHERE {_IN_FORCE} AND ctype = 'COC' AND country IS NOT NULL
+GROUP BY country""")
 def q_coc_per_country(spark, sf):
     return gold.coc_per_country(_g2(spark, sf), AS_OF, SNAPSHOT_DATE)
 
@@ -260,7 +259,7 @@ def q_coc_per_country(spark, sf):
 SELECT {_SNAP} AS snapshot_date, country, sum(DISTINCT forest_area_total) AS forest_area,
        count(forest_area_total) AS certificates
 FROM holder
-WHERE {_IN_FORCE} AND list_contains([{sql_list(specs.FM_COUNTRY_CATEGORIES)}], ctype)
+WHERE {_IN_FORCE} AND ctype IN ({sql_list(specs.FM_COUNTRY_CATEGORIES)})
 GROUP BY country HAVING country IS NOT NULL AND count(forest_area_total) > 0""")
 def q_fm_per_country(spark, sf):
     return gold.fm_per_country(_g2(spark, sf), AS_OF, SNAPSHOT_DATE)
@@ -270,9 +269,8 @@ def q_fm_per_country(spark, sf):
 SELECT Certificate_Type__c, ctype, country, {_SNAP} AS snapshot_date,
        count(*) AS "number of sites with identity"
 FROM holding
-WHERE country || ctype || Certificate_Type__c IS NOT NULL
-  AND nullif(Cert_Status__c, 'Terminated') IS NOT NULL
-  AND NOT coalesce(try_cast(Date_To__c AS date) < {_ASOF}, true)
+WHERE country IS NOT NULL AND ctype IS NOT NULL AND Certificate_Type__c IS NOT NULL
+  AND Cert_Status__c <> 'Terminated' AND {_VALID}
 GROUP BY ALL""")
 def q_sites_with_identity(spark, sf):
     return gold.sites_with_identity(_g1(spark, sf), AS_OF, SNAPSHOT_DATE)
@@ -301,10 +299,9 @@ def _daily(columns: str, categories) -> str:
     """Certificates in force today by the daily reports' own status list."""
     return f"""
   SELECT recordtype.Name AS category, {columns}
-  FROM recordtype, certificate_c
-  WHERE recordtype.Id = certificate_c.RecordTypeId
-    AND {_counted("certificate_c", "recordtype", specs.ACTIVE_STATUSES, categories)}
-    AND NOT coalesce(try_cast(Date_To__c AS date) < {_ASOF}, true)"""
+  FROM certificate_c JOIN recordtype ON certificate_c.RecordTypeId = recordtype.Id
+  WHERE {_counted("certificate_c", "recordtype", specs.ACTIVE_STATUSES, categories)}
+    AND {_VALID}"""
 
 
 @register("daily_certificate_numbers", role_cte("certificate_c", "recordtype") + f"""
@@ -353,9 +350,10 @@ SELECT regions.Functional_region AS region_fun, regions.Region, country_data.Nam
        account.Name AS Member, account.Website, account.Chamber__c AS Chamber,
        account.Sub_Chamber__c AS Sub_Chamber, account.Member_Type__c AS Member_Type,
        {_SNAP} AS snapshot_date
-FROM regions, country_data, account
-WHERE regions.ISO3 = country_data.Country_code__c AND country_data.Id = account.Country__c
-  AND account.RecordTypeId = '{specs.MEMBER_RECORD_TYPE}'""")
+FROM account
+JOIN country_data ON account.Country__c = country_data.Id
+JOIN regions ON country_data.Country_code__c = regions.ISO3
+WHERE account.RecordTypeId = '{specs.MEMBER_RECORD_TYPE}'""")
 def q_members(spark, sf):
     r = roles(spark, sf, "account", "country_data", "regions")
     return gold.members(r["account"], r["country_data"], r["regions"], SNAPSHOT_DATE)
