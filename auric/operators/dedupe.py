@@ -10,7 +10,11 @@ Plan shape at scale (checked in tests/test_plans.py):
   a third of the table in one reducer.
 * ``hard_delete_semi_join`` is a left-semi join on the pk. The window output is
   already hash-partitioned on the pk, so only the live-key side is shuffled
-  (or broadcast by AQE when its runtime size is small).
+  (or broadcast by AQE when its runtime size is small). ``silver_dedupe`` puts it above
+  the ranking: below it, a join that is not broadcast would shuffle the whole log with
+  all its columns and leave a hot key unsplit. Spark then adds a Bloom filter of the live
+  keys to the scan (``spark.sql.optimizer.runtime.bloomFilter.*``, see ``CLUSTER_CONF``),
+  so most rows of dead keys are gone before they are ranked.
 """
 
 from __future__ import annotations
@@ -127,11 +131,10 @@ def silver_dedupe(df: DataFrame, pk: str, cursor: str,
                   grace_after=None) -> DataFrame:
     """The full silver transform of one entity.
 
-    Order: soft-delete filter -> live-key semi join -> latest per key ->
-    projection (or keep-all minus technical columns). The semi join keeps or drops
-    whole keys, so it commutes with the ranking and comes first, where it saves
-    sorting rows of dead keys; with ``grace_after`` it looks at the row that won and
-    comes after.
+    Order: soft-delete filter -> latest per key -> live-key semi join -> projection (or
+    keep-all minus technical columns). The semi join keeps or drops whole keys, so it
+    commutes with the ranking; it comes after, where a key has one row left and the
+    ranking's partitioning serves the join as well.
 
     ``delete_filter="before"`` filters deleted rows before ranking (bronze is
     already merged to one row per key). ``"after"`` ranks first, so a newer
@@ -144,12 +147,10 @@ def silver_dedupe(df: DataFrame, pk: str, cursor: str,
     out = df
     if has_soft_delete and delete_filter == "before":
         out = soft_delete_filter(out)
-    if live_ids is not None and grace_after is None:
-        out = hard_delete_semi_join(out, live_ids, pk)
     out = latest_by_key(out, pk, cursor, tie_breakers)
     if has_soft_delete and delete_filter == "after":
         out = soft_delete_filter(out)
-    if live_ids is not None and grace_after is not None:
+    if live_ids is not None:
         out = hard_delete_semi_join(out, live_ids, pk, cursor, grace_after)
     if columns is not None:
         return project_columns(out, columns)

@@ -46,6 +46,12 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # joins with large key sets (live keys): a filter of up to 40 MB under the other scan
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "8g",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "10g",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "40000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "320000000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.shuffle.service.enabled": "true",

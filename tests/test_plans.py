@@ -52,9 +52,51 @@ def test_holder_dedup_limits_before_its_one_shuffle(spark, q):
     assert p.index("Exchange hashpartitioning(cert_rel") < p.index("Partial")
 
 
-def test_silver_drops_dead_keys_before_ranking(spark, q):
+@pytest.fixture()
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+             "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold")
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in zip(names, ("-1", "-1", "0")):
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("key", ["silver_full", "silver_delete_after"])
+def test_silver_ranks_before_its_one_shuffle(spark, q, no_broadcast, key):
+    """Live keys too many to broadcast: scan, Bloom filter of the live keys, one row a key
+    and task, shuffle, ranking, semi join on the same partitioning."""
+    lines = plan(q[key](spark, SF), "simple").splitlines()
+    at = lambda text: [i for i, ln in enumerate(lines) if text in ln]
+    joins, shuffles = at("LeftSemi"), at("Exchange hashpartitioning(user_id")
+    partial = [i for i in at("WindowGroupLimit") if lines[i].rstrip().endswith("Partial")]
+    assert joins[0] < at("Window [")[0] < shuffles[0] < partial[0] < at("might_contain")[0]
+    assert len(shuffles) == 2                            # the log once, the live keys once
+    assert "SortMergeJoin" in lines[joins[0]] or "ShuffledHashJoin" in lines[joins[0]]
+
+
+def test_silver_ranks_before_a_broadcast_join(spark, q):
     p = plan(q["silver_full"](spark, SF), "simple")
-    assert p.index("Window ") < p.index("LeftSemi")      # the join is below the window
+    assert "BroadcastHashJoin" in p and p.count("Exchange hashpartitioning(user_id") == 1
+    assert p.index("LeftSemi") < p.index("Window [") < p.index("Partial")
+
+
+def test_hot_key_and_live_keys_without_broadcast(spark, no_broadcast):
+    """A key with a third of the rows; dead keys, repeated and NULL live ids."""
+    from pyspark.sql import functions as F
+    from auric.operators.dedupe import silver_dedupe
+    log = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50))
+        .alias("pk"), F.timestamp_seconds("id").alias("at"), F.col("id").alias("v"))
+    live = spark.createDataFrame([("hot",), ("k1",), ("k1",), ("k7",), (None,)], "pk string")
+    got = silver_dedupe(log, "pk", "at", has_soft_delete=False, live_ids=live)
+    want = {"hot": 8997}
+    for i in range(9000):
+        if i % 3 and i % 50 in (1, 7):
+            want[f"k{i % 50}"] = i
+    assert {r.pk: r.v for r in got.collect()} == want
 
 
 def test_dimensions_broadcast(spark, q):
