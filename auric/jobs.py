@@ -12,17 +12,18 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from auric import specs as S
 from auric.operators.dedupe import silver_dedupe
-from auric.operators.incremental import incremental_since
+from auric.operators.incremental import incremental_since, may_come_again, not_loaded
 from auric.operators.snapshot import append_snapshot, has_snapshot
 from auric.plans import gold
 from auric.session import remove_path, scratch_path
-from auric.sources.landed import (backfill_from_csv, delta_from_json, delta_from_pages,
-                                  landed_csv_scan, live_ids_snapshot, load_seed,
+from auric.sources.landed import (LandingLedger, backfill_from_csv, delta_from_json,
+                                  delta_from_pages, landed_csv_scan, live_ids_snapshot, load_seed,
                                   paged_json_explode)
-from auric.sources.lake import LOAD_COLUMN, LakeTable, list_tables
+from auric.sources.lake import LOAD_COLUMN, LakeTable, list_tables, path_missing
 
 
 def ingest(spark: SparkSession, lake_root: str, landing_root: str,
@@ -32,20 +33,22 @@ def ingest(spark: SparkSession, lake_root: str, landing_root: str,
            json_schemas: dict[str, StructType] | None = None,
            page_schemas: dict[str, StructType] | None = None,
            compact_every: int = 16, workers: int = 4) -> dict[str, int]:
-    """Bronze load of each selected entity: the rows newer than its stored cursor.
-
-    A CRM entity without a stored cursor takes the CSV backfill under
-    ``<landing>/<table>/csv``, bounded by ``seed_since`` (or ``seed_since_days``
-    before now); later runs take the JSON deltas under ``<landing>/<table>/json``.
-    Both become text with a UTC cursor. A paged entity reads
-    ``<landing>/<table>/pages`` on every run, types as delivered. What counts as a
-    first run is the cursor, so a run that found nothing is followed by another
-    first run. ``lag_seconds`` replaces every spec's own overlap.
-
-    Rows whose cursor cannot be read are loaded with a NULL cursor. The batch is
-    appended to the bronze change log; after ``compact_every`` loads that is folded
-    to one row per key. Entities are independent tables, so up to ``workers`` of
-    them load at the same time.
+    """Bronze load of each selected entity: what was landed since its last load.
+
+    Each landed file is loaded once; the table keeps a ledger of them. A CRM entity takes
+    the CSV backfill under ``<landing>/<table>/csv`` until one has brought rows, bounded by
+    ``seed_since`` (or ``seed_since_days`` before now), then (or if nothing new is there) the
+    JSON deltas under ``<landing>/<table>/json``. Both become text with a UTC cursor. A
+    paged entity reads ``<landing>/<table>/pages``, types as delivered. So what counts as
+    a first run is what has been loaded, not whether a cursor could be read.
+    ``lag_seconds`` replaces every spec's own overlap.
+
+    Of the new files the rows after the stored cursor, less the overlap, are loaded, and
+    rows whose cursor cannot be read, with a NULL cursor. A row of either kind that is
+    already loaded with the same contents is left out. The batch is appended to the
+    bronze change log; after ``compact_every`` loads that is folded to one row per key. A
+    run that finds no new file writes nothing. Entities are independent tables, so up to
+    ``workers`` of them load at the same time.
     """
     if seed_since_days is not None:
         if seed_since is not None:
@@ -54,20 +57,38 @@ def ingest(spark: SparkSession, lake_root: str, landing_root: str,
 
     def load(spec: S.EntitySpec) -> int:
         table = LakeTable.at(spark, lake_root, "bronze", spec.table)
+        ledger = LandingLedger(spark, f"{table.path}/_files")
         base = f"{landing_root.rstrip('/')}/{spec.table}"
         lag = spec.lag_seconds if lag_seconds is None else lag_seconds
-        last = table.last_cursor()
-        if spec.source == "odata":
-            batch = delta_from_pages(spark, f"{base}/pages", spec.cursor,
+        last, seed = table.last_cursor(), seed_since
+        kinds = ["pages"] if spec.source == "odata" else ["json"]
+        if spec.source != "odata" and not ledger.has_rows("csv"):
+            kinds.insert(0, "csv")
+        for kind in kinds:
+            files = ledger.new_files(f"{base}/{kind}")
+            if files:
+                break
+        else:
+            return table.current_version() or 0
+        paths = [f["path"] for f in files]
+        if kind == "pages":
+            batch = delta_from_pages(spark, paths, spec.cursor,
                                      (page_schemas or {}).get(spec.table))
-        elif last is None:
-            batch = backfill_from_csv(spark, f"{base}/csv", (csv_columns or {}).get(spec.table),
+        elif kind == "csv":
+            batch = backfill_from_csv(spark, paths, (csv_columns or {}).get(spec.table),
                                       spec.cursor, spec.csv_multi_line)
         else:
-            batch = delta_from_json(spark, f"{base}/json", spec.cursor,
+            batch = delta_from_json(spark, paths, spec.cursor,
                                     (json_schemas or {}).get(spec.table), last, lag)
-        version = table.append(incremental_since(batch, spec.cursor, last, lag, seed_since,
-                                                 keep_unreadable=True), spec.cursor)
+            seed = seed if table.current_version() is None else None
+        batch = incremental_since(batch, spec.cursor, last, lag, seed, keep_unreadable=True)
+        seen_path = f"{table.path}/_seen"
+        version = table.append(not_loaded(batch, _may_come(spark, seen_path, last, lag)),
+                               spec.cursor)
+        written = spark.read.parquet(table.version_path(version)).drop(LOAD_COLUMN)
+        (may_come_again(written, spec.cursor, table.last_cursor(), lag)
+         .write.mode("append").parquet(seen_path))
+        ledger.add(kind, files, table.last()["rows"])
         if len(table.parts()) > compact_every:
             version = table.compact(spec.pk, spec.cursor, spec.tie_breakers)
         return version
@@ -76,6 +97,18 @@ def ingest(spark: SparkSession, lake_root: str, landing_root: str,
                                for s in S.select_specs(specs, entities)}, workers)
 
 
+def _may_come(spark: SparkSession, path: str, last, lag_seconds: int) -> DataFrame | None:
+    """Digests of loaded rows that a load from ``last`` on may bring again."""
+    try:
+        seen = spark.read.schema("digest string, cursor timestamp").parquet(path)
+    except AnalysisException as e:
+        if path_missing(e):
+            return None
+        raise
+    return seen if last is None else incremental_since(seen, "cursor", last, lag_seconds,
+                                                       keep_unreadable=True)
+
+
 def reconcile_ids(spark: SparkSession, lake_root: str, specs: Sequence[S.EntitySpec],
                   exports: dict[str, DataFrame] | None = None, landing_root: str | None = None,
                   entities: Iterable[str] | None = None,

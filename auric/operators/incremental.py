@@ -55,6 +55,33 @@ def incremental_since(df: DataFrame, cursor: str, last_value=None,
     return df.where((c > since) | c.isNull() if keep_unreadable else c > since)
 
 
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of a row's contents by column name: the order of the columns and columns
+    that are NULL or missing do not matter."""
+    names = sorted(df.columns, key=lambda c: (c.lower(), c))
+    return F.sha2(F.to_json(F.struct(*[q(c) for c in names])), 256)
+
+
+def not_loaded(batch: DataFrame, loaded: DataFrame | None) -> DataFrame:
+    """Rows of ``batch`` whose contents are not among the digests (column ``digest``) of
+    ``loaded``. A source that sends a row again unchanged, because its age is unknown or it
+    lies in the overlap, adds nothing."""
+    if loaded is None:
+        return batch
+    marked = batch.withColumn("_digest", row_digest(batch))
+    return marked.join(loaded.select(F.col("digest").alias("_digest")), "_digest",
+                       "left_anti").drop("_digest")
+
+
+def may_come_again(rows: DataFrame, cursor: str, last_value, lag_seconds: int = 0) -> DataFrame:
+    """(digest, cursor) of the rows a later load may bring once more: those without a
+    readable cursor and those in the overlap below ``last_value``."""
+    again = rows if last_value is None else incremental_since(
+        rows, cursor, last_value, lag_seconds, keep_unreadable=True)
+    return again.select(row_digest(rows).alias("digest"),
+                        q(cursor).cast("timestamp").alias("cursor"))
+
+
 def max_cursor(df: DataFrame, cursor: str) -> DataFrame:
     """One-row frame with the greatest cursor (the state a run stores)."""
     return df.agg(F.max(q(cursor)).alias("max_cursor"))

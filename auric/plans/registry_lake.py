@@ -337,8 +337,9 @@ SELECT cast(o_orderkey AS varchar) AS o_orderkey, o_orderstatus,
        CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate
 FROM orders""")
 def q_ingest_bad_cursor(spark, sf):
-    """Bronze load of an export in which every third cursor is missing or is no date:
-    such rows are loaded, with a NULL cursor."""
+    """Bronze loads of an export in which every third cursor is missing or is no date: such
+    rows are loaded, with a NULL cursor, and once, however often the load runs (the rows
+    of the change log itself)."""
     o = read_table(spark, sf, "orders")
     landing = scratch_path(spark, "landing")
     cursor = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
@@ -346,7 +347,30 @@ def q_ingest_bad_cursor(spark, sf):
     (o.select(F.when(F.col("o_orderkey") % 3 == 0, bad).otherwise(cursor).alias("o_orderdate"),
               "o_orderstatus", F.col("o_orderkey").cast("string").alias("o_orderkey"))
      .write.option("header", True).csv(f"{landing}/orders/csv"))
-    return _ingested(spark, landing, _ORDERS_SPEC)
+    lake = scratch_path(spark, "lake")
+    for _ in range(3):
+        jobs.ingest(spark, lake, landing, [_ORDERS_SPEC])
+    return LakeTable.at(spark, lake, "bronze", "orders").read().select(
+        "o_orderkey", "o_orderstatus", "o_orderdate")
+
+
+@register("ingest_all_bad_cursor", """
+SELECT cast(o_orderkey AS varchar) AS o_orderkey,
+       CASE WHEN o_orderkey % 4 = 0 THEN 'changed' ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 4 = 0 THEN o_orderdate END AS o_orderdate
+FROM orders""")
+def q_ingest_all_bad_cursor(spark, sf):
+    """An export without one readable cursor, then a delta with readable ones for every
+    fourth row: the second run takes the delta, the third finds no new file."""
+    o = read_table(spark, sf, "orders")
+    landing = scratch_path(spark, "landing")
+    key = F.col("o_orderkey").cast("string").alias("o_orderkey")
+    (o.select(key, "o_orderstatus", F.lit("unknown").alias("o_orderdate"))
+     .write.option("header", True).csv(f"{landing}/orders/csv"))
+    epoch = F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("o_orderdate")
+    (o.where("o_orderkey % 4 = 0").select(key, F.lit("changed").alias("o_orderstatus"), epoch)
+     .write.json(f"{landing}/orders/json"))
+    return _ingested(spark, landing, _ORDERS_SPEC, runs=3)
 
 
 @register("ingest_empty_first_run", _ORDERS_TEXT_SQL)
@@ -371,8 +395,7 @@ SELECT o_orderkey, o_orderstatus,
        o_totalprice, o_orderdate AS modifiedon
 FROM orders""")
 def q_ingest_odata(spark, sf):
-    """Bronze load of a paged source, twice: the second run re-reads the pages and finds
-    nothing newer than the stored cursor."""
+    """Bronze load of a paged source, twice: the second run finds no new page."""
     landing = scratch_path(spark, "landing")
     _land_pages(spark, sf, f"{landing}/orders/pages")
     spec = specs.EntitySpec.odata("orders", "o_orderkey")

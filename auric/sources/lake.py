@@ -24,7 +24,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 from pyspark.sql.utils import AnalysisException
@@ -53,6 +53,15 @@ def path_missing(e: AnalysisException) -> bool:
     return e.getCondition() == "PATH_NOT_FOUND"
 
 
+@dataclass
+class Written:
+    """What a write saw: schema, number of rows, greatest cursor."""
+
+    schema: StructType
+    rows: int
+    top: _dt.datetime | None
+
+
 @dataclass
 class LakeTable:
     spark: SparkSession
@@ -175,34 +184,35 @@ class LakeTable:
     def _next(self) -> int:
         return (self.current_version() or 0) + 1
 
-    def _write(self, df: DataFrame, version: int) -> DataFrame:
+    def _write(self, df: DataFrame, version: int, cursor: str | None = None) -> Written:
+        """Write the folder of a version; rows and greatest cursor are observed by the
+        write itself, so nothing is read back."""
         # a folder for a version the log does not list is left over from a
         # failed attempt and is invisible to readers: overwrite it
-        df.write.mode("overwrite").parquet(self.version_path(version))
-        return self.spark.read.parquet(self.version_path(version))
+        seen = Observation()
+        stats = [F.count(F.lit(1)).alias("rows")]
+        if cursor is not None:
+            stats.append(F.max(F.col(f"`{cursor}`").cast("timestamp")).alias("top"))
+        df.observe(seen, *stats).write.mode("overwrite").parquet(self.version_path(version))
+        got = seen.get
+        return Written(df.schema, got["rows"], got.get("top"))
 
     def commit(self, df: DataFrame, operation: str, note: str | None = None,
                max_cursor=None) -> int:
-        """Write ``df`` as the next full version and record it in the log. The row
-        count comes from the Parquet footers of the new version."""
+        """Write ``df`` as the next full version and record it in the log."""
         v = self._next()
         written = self._write(df, v)
-        self.append_log(v, operation, written.count(), note, max_cursor, written.schema)
+        self.append_log(v, operation, written.rows, note, max_cursor, written.schema)
         return v
 
     def append(self, batch: DataFrame, cursor: str | None = None) -> int:
         """Write only ``batch``, marked with its load number. The stored watermark
         becomes max(previous watermark, greatest cursor of the written rows)."""
         last, v = self.last(), self._next()
-        written = self._write(batch.withColumn(LOAD_COLUMN, F.lit(v).cast("bigint")), v)
-        top = last["max_cursor"] if last else None
-        stats = [F.count(F.lit(1)).alias("n")]
-        if cursor is not None:
-            stats.append(F.max(F.col(f"`{cursor}`").cast("timestamp")).alias("m"))
-        got = written.agg(*stats).first()
-        if cursor is not None:
-            top = max((t for t in (top, got["m"]) if t is not None), default=None)
-        self.append_log(v, "append", got["n"], None, top, written.schema)
+        written = self._write(batch.withColumn(LOAD_COLUMN, F.lit(v).cast("bigint")), v, cursor)
+        top = max((t for t in (last["max_cursor"] if last else None, written.top)
+                   if t is not None), default=None)
+        self.append_log(v, "append", written.rows, None, top, written.schema)
         return v
 
     def compact(self, pk, cursor: str, tie_breakers: Sequence[str] = ()) -> int:
@@ -218,14 +228,14 @@ class LakeTable:
         a replace whose row count differs is refused. ``max_shrink``, where given,
         refuses a replace that loses more than that share of the previous rows.
 
-        The new version is written first and counted from its Parquet footers;
+        The new version is written first and counted as it is written;
         only when the checks pass is its log row appended. A refused version
         stays unlisted (invisible) and is overwritten by the next commit, so
         the input is computed once.
         """
         last, v = self.last(), self._next()
         written = self._write(df, v)
-        n = written.count()
+        n = written.rows
         if expected_rows is not None and n != expected_rows:
             raise ShrinkRefused(f"{n} rows, manifest says {expected_rows}")
         before = last["rows"] if last else None
@@ -258,7 +268,7 @@ class LakeTable:
         if cursor is not None:
             got = batch.agg(F.max(F.col(f"`{cursor}`").cast("timestamp"))).first()[0]
             top = max((t for t in (top, got) if t is not None), default=None)
-        self.append_log(v, "merge", written.count(), None, top, written.schema)
+        self.append_log(v, "merge", written.rows, None, top, written.schema)
         remove_path(self.spark, ranked)
         return v
 

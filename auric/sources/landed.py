@@ -17,17 +17,68 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BinaryType, DataType, MapType, StringType,
                                StructField, StructType)
+from pyspark.sql.utils import AnalysisException
 
 from auric.functions.normalize import normalize_record, parse_cursor
 from auric.operators.dedupe import q
 from auric.specs import EXCLUDED_FIELD_TYPES
 
 
-def landed_csv_scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+LEDGER_SCHEMA = "kind string, path string, modified timestamp, length bigint, rows bigint"
+
+
+class LandingLedger:
+    """Which landed files a table has loaded: one row for each file, written after the load
+    it was part of is committed. A file counts as new if its path, time and length are not
+    listed, so one that was replaced is loaded again. A load that fails before its files are
+    listed is repeated whole."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def loaded(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+
+    def has_rows(self, kind: str) -> bool:
+        """Whether a load of this kind has brought rows."""
+        return not self.loaded().where((F.col("kind") == kind) & (F.col("rows") > 0)).isEmpty()
+
+    def new_files(self, folder: str) -> list[Row]:
+        """(path, modified, length) of the files below ``folder`` not loaded yet; a folder
+        that does not exist has none. Only the listing is read, and only names come to the
+        driver, as for any read of them."""
+        try:
+            files = (self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                     .load(folder))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        return (files.select("path", F.col("modificationTime").alias("modified"), "length")
+                .join(self.loaded(), ["path", "modified", "length"], "left_anti")
+                .orderBy("path").collect())
+
+    def add(self, kind: str, files: Sequence[Row], rows: int) -> None:
+        entries = [(kind, f["path"], f["modified"], f["length"], rows) for f in files]
+        (self.spark.createDataFrame(entries, LEDGER_SCHEMA)
+         .coalesce(1).write.mode("append").parquet(self.path))
+
+
+def _paths(path: str | Sequence[str]) -> str | list[str]:
+    return path if isinstance(path, str) else list(path)
+
+
+def landed_csv_scan(spark: SparkSession, path: str | Sequence[str],
+                    columns: Sequence[str] | None = None,
                     multi_line: bool = False) -> DataFrame:
     """Header CSV, every column text, columns bound by their header names.
 
@@ -42,21 +93,21 @@ def landed_csv_scan(spark: SparkSession, path: str, columns: Sequence[str] | Non
     """
     raw = (spark.read.option("header", True).option("enforceSchema", False)
            .option("multiLine", multi_line).option("escape", '"')
-           .option("mode", "FAILFAST").csv(path))
+           .option("mode", "FAILFAST").csv(_paths(path)))
     return raw if columns is None else raw.select(*[q(c) for c in columns])
 
 
-def landed_json_scan(spark: SparkSession, path: str,
+def landed_json_scan(spark: SparkSession, path: str | Sequence[str],
                      schema: StructType | None = None) -> DataFrame:
     """JSON lines, scalars as text. Pass ``schema`` in production so no
     inference pass runs over the landing folder."""
     r = spark.read.option("primitivesAsString", True).option("mode", "FAILFAST")
     if schema is not None:
         r = r.schema(schema)
-    return r.json(path)
+    return r.json(_paths(path))
 
 
-def paged_json_explode(spark: SparkSession, path: str,
+def paged_json_explode(spark: SparkSession, path: str | Sequence[str],
                        record_schema: StructType | None = None,
                        multi_line: bool = False) -> DataFrame:
     """Rows of every page document under ``path``. Without ``record_schema`` one pass
@@ -71,7 +122,7 @@ def paged_json_explode(spark: SparkSession, path: str,
         pages = pages.schema(StructType([
             StructField("value", ArrayType(record_schema), True),
             StructField("@odata.nextLink", StringType(), True)]))
-    docs = pages.json(path)
+    docs = pages.json(_paths(path))
     return docs.select(F.inline(F.col("value")))
 
 
@@ -95,7 +146,7 @@ def live_ids_snapshot(df: DataFrame, pk: str) -> DataFrame:
     return df.select(q(pk).cast(StringType()).alias(pk)).where(q(pk).isNotNull())
 
 
-def backfill_from_csv(spark: SparkSession, path: str, columns: Sequence[str] | None,
+def backfill_from_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None,
                       cursor: str, multi_line: bool = False) -> DataFrame:
     """First-run bronze batch: CSV text, cursor parsed as zoned ISO only."""
     return normalize_record(landed_csv_scan(spark, path, columns, multi_line), cursor,
@@ -105,7 +156,7 @@ def backfill_from_csv(spark: SparkSession, path: str, columns: Sequence[str] | N
 LANDING_PARTITION = "ingest_date"
 
 
-def delta_from_json(spark: SparkSession, path: str, cursor: str,
+def delta_from_json(spark: SparkSession, path: str | Sequence[str], cursor: str,
                     schema: StructType | None = None, since=None,
                     lag_seconds: int = 0) -> DataFrame:
     """Incremental bronze batch: JSON text, cursor as epoch ms or ISO.
@@ -125,7 +176,7 @@ def delta_from_json(spark: SparkSession, path: str, cursor: str,
     return normalize_record(raw, cursor, allow_epoch_ms=True)
 
 
-def delta_from_pages(spark: SparkSession, path: str, cursor: str,
+def delta_from_pages(spark: SparkSession, path: str | Sequence[str], cursor: str,
                      record_schema: StructType | None = None) -> DataFrame:
     """Bronze batch of a paged source: columns as delivered, annotations included;
     only the cursor is read as a UTC timestamp (NULL where it cannot be)."""

@@ -483,3 +483,106 @@ def test_publish_skips_table_with_only_empty_snapshots(spark, tmp_root):
     empty = spark.createDataFrame([], "n int, snapshot_date date")
     append_snapshot(spark, empty, f"{lake}/gold/e", "2025-01-01")
     assert jobs.publish(spark, lake, "gold", f"{tmp_root}/pub") == []
+
+
+def _land(spark, path, rows, schema="Id string, v string, SystemModstamp string"):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(path)
+
+
+def _bronze(spark, root, spec):
+    from auric.sources.lake import LakeTable
+    return LakeTable.at(spark, f"{root}/lake", "bronze", spec.table)
+
+
+def test_each_landed_file_is_loaded_once(spark, tmp_root):
+    """A third run reads the one new file of a folder that is not partitioned."""
+    from auric import jobs
+    from auric.specs import EntitySpec
+    from auric.sources.landed import LandingLedger
+    spec = EntitySpec("t", "Id", "SystemModstamp")
+    folder = f"{tmp_root}/landing/t/json"
+    ledger = LandingLedger(spark, f"{tmp_root}/lake/bronze/t/_files")
+    for k in range(3):
+        _land(spark, folder, [(f"a{k}", "x", f"2026-01-0{k + 1}T00:00:00Z"),
+                              ("same", f"v{k}", f"2026-01-0{k + 1}T01:00:00Z")])
+        assert len(ledger.new_files(folder)) == 1
+        jobs.ingest(spark, f"{tmp_root}/lake", f"{tmp_root}/landing", [spec])
+        assert ledger.new_files(folder) == [] and ledger.loaded().count() == k + 1
+    table = _bronze(spark, tmp_root, spec)
+    assert len(table.parts()) == 3 and table.read().count() == 6
+    before = table.current_version()
+    jobs.ingest(spark, f"{tmp_root}/lake", f"{tmp_root}/landing", [spec])
+    assert table.current_version() == before          # nothing new: nothing written
+
+
+def test_replaced_file_is_loaded_again(spark, tmp_root):
+    from auric.sources.landed import LandingLedger
+    ledger = LandingLedger(spark, f"{tmp_root}/_files")
+    _land(spark, f"{tmp_root}/in", [("a", "x", None)])
+    files = ledger.new_files(f"{tmp_root}/in")
+    ledger.add("json", files, 1)
+    assert ledger.new_files(f"{tmp_root}/in") == [] and ledger.has_rows("json")
+    spark.createDataFrame([("b", "longer text", None)], "Id string, v string, c string").coalesce(
+        1).write.mode("overwrite").json(f"{tmp_root}/in")
+    assert len(ledger.new_files(f"{tmp_root}/in")) == 1
+    assert ledger.new_files(f"{tmp_root}/nowhere") == []
+
+
+def test_rows_sent_again_are_loaded_once(spark, tmp_root):
+    """Deltas repeat rows without a readable cursor and rows of the overlap; columns come
+    and go. Only what is new in content is appended, also after a compaction."""
+    from auric import jobs
+    from auric.specs import EntitySpec
+    spec = EntitySpec("t", "Id", "SystemModstamp")
+    folder, lake, landing = f"{tmp_root}/landing/t/json", f"{tmp_root}/lake", f"{tmp_root}/landing"
+    again = [("n", "old", None), ("bad", "x", "no date"), ("o", "y", "2026-01-01T00:00:00Z")]
+    _land(spark, folder, again)
+    jobs.ingest(spark, lake, landing, [spec])
+    table = _bronze(spark, tmp_root, spec)
+    assert table.read().count() == 3
+    _land(spark, folder, [("n", "new", None), *again])
+    jobs.ingest(spark, lake, landing, [spec], compact_every=1)      # folds the log
+    assert table.read().count() == 3
+    _land(spark, folder, [(*r, None) for r in again],
+          "Id string, v string, SystemModstamp string, extra string")
+    jobs.ingest(spark, lake, landing, [spec])
+    rows = {r["Id"]: r["v"] for r in table.latest("Id", "SystemModstamp").collect()}
+    assert rows == {"n": "new", "bad": "x", "o": "y"}
+    assert table.read().count() == 3
+
+
+def test_load_that_failed_before_its_ledger_entry_is_repeated(spark, tmp_root, monkeypatch):
+    from auric import jobs
+    from auric.specs import EntitySpec
+    from auric.sources.landed import LandingLedger
+    spec = EntitySpec("t", "Id", "SystemModstamp")
+    _land(spark, f"{tmp_root}/landing/t/json", [("a", "x", None), ("b", "y", "2026-01-01T00:00:00Z")])
+
+    def lost(self, *args):
+        raise RuntimeError("driver lost")
+    with monkeypatch.context() as m:
+        m.setattr(LandingLedger, "add", lost)
+        with pytest.raises(RuntimeError):
+            jobs.ingest(spark, f"{tmp_root}/lake", f"{tmp_root}/landing", [spec])
+    jobs.ingest(spark, f"{tmp_root}/lake", f"{tmp_root}/landing", [spec])
+    assert _bronze(spark, tmp_root, spec).read().count() == 2
+
+
+def test_append_is_one_job_of_the_write(spark, tmp_root):
+    """Rows and watermark are observed by the write: the batch is computed once."""
+    from pyspark.sql import functions as F
+    from auric.sources.lake import LakeTable
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+    batch = spark.range(10).select("id", F.timestamp_seconds("id").alias("at")).coalesce(1)
+    table = LakeTable(spark, f"{tmp_root}/t")
+    table.append(batch.mapInArrow(count, batch.schema), "at")
+    assert calls.value == 10
+    assert table.last()["rows"] == 10 and table.last_cursor().second == 9
+    empty = batch.limit(0)
+    table.append(empty, "at")
+    assert table.last()["rows"] == 0 and table.last_cursor().second == 9
