@@ -6,6 +6,7 @@ the live-key reconcile is run on demand after a bronze load).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -19,7 +20,7 @@ from auric.operators.dedupe import silver_dedupe
 from auric.operators.incremental import incremental_since, may_come_again, not_loaded
 from auric.operators.snapshot import append_snapshot, has_snapshot
 from auric.plans import gold
-from auric.session import remove_path, scratch_path
+from auric.session import remove_path, replace_path, scratch_path
 from auric.sources.landed import (LandingLedger, backfill_from_csv, delta_from_json,
                                   delta_from_pages, landed_csv_scan, live_ids_snapshot, load_seed,
                                   paged_json_explode)
@@ -294,25 +295,33 @@ def write_concurrently(tasks: dict[str, Callable[[], object]], workers: int = 4)
 
 def publish(spark: SparkSession, lake_root: str, layer: str, dest_root: str,
             tables: Iterable[str] | None = None) -> list[str]:
-    """Copy the current version of every table of a layer to
-    ``<dest>/<layer>/<table>/`` (overwritten). Dated gold tables are copied
-    whole with their ``snapshot_date`` partitions; one whose log counts no rows so
-    far has no files and is left out of the returned list.
-
-    Each table is written as a folder of part files by parallel tasks, not
-    one object through one task.
+    """Copy the current contents of every table of a layer to ``<dest>/<layer>/<table>/``,
+    in the place of what was published before: a date or file that the table no longer has
+    is gone. Dated gold tables keep their ``snapshot_date`` partitions. A table whose log
+    counts no rows so far has no files; what was published of it goes, and it is not in
+    the returned list.
+
+    A table is written to a hidden folder beside its place and takes it by rename, so a
+    run that fails leaves the earlier copy as it was. Each table is a folder of part files
+    written by parallel tasks, not one object through one task.
     """
     names = list(tables) if tables is not None else \
         [r["table_name"] for r in list_tables(spark, lake_root, layer).collect()]
-    done = []
+    done, base = [], f"{dest_root.rstrip('/')}/{layer}"
     for t in names:
         table = LakeTable.at(spark, lake_root, layer, t)
         if table.is_dated() and not table.log().agg(F.sum("rows")).first()[0]:
-            continue              # by its log it never had a row: there is nothing to copy
+            remove_path(spark, f"{base}/{t}")     # by its log it never had a row
+            continue
         df = table.read()
-        w = df.write.mode("overwrite")
+        staged = f"{base}/.staged-{t}-{uuid.uuid4().hex[:12]}"
+        w = df.write
         if "snapshot_date" in df.columns:
             w = w.partitionBy("snapshot_date")
-        w.parquet(f"{dest_root.rstrip('/')}/{layer}/{t}")
+        try:
+            w.parquet(staged)
+            replace_path(spark, staged, f"{base}/{t}")
+        finally:
+            remove_path(spark, staged)
         done.append(t)
     return done

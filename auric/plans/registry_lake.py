@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,12 +16,13 @@ from auric.functions.normalize import normalize_record, parse_cursor
 from auric.operators.dedupe import latest_by_key
 from auric.operators.incremental import incremental_since, max_cursor
 from auric.operators.merge import merge_upsert
-from auric.operators.snapshot import append_snapshot, latest_snapshot
+from auric.operators.snapshot import append_snapshot, latest_snapshot, read_latest_snapshot
 from auric.plans import gold
 from auric.plans.registry import _ASOF, ORACLE, register, sql_list
-from auric.plans.roles import AS_OF, SNAPSHOT_DATE, TEST_TABLES, read_table, role, role_cte
+from auric.plans.roles import (AS_OF, SNAPSHOT_DATE, TEST_TABLES, read_table, role, role_cte,
+                               table_path)
 from auric.session import scratch_path
-from auric.sources.catalog import adhoc_sql, table_row_counts
+from auric.sources.catalog import adhoc_sql, footer_row_counts, register_layers
 from auric.sources.landed import (landed_csv_scan, landed_json_scan, live_ids_snapshot,
                                   load_seed, paged_json_explode, select_queryable_columns)
 from auric.sources.lake import LakeTable
@@ -125,13 +127,19 @@ SELECT o_orderstatus, count(*) AS orders,
 FROM orders WHERE o_orderdate < TIMESTAMP '{as_of}' GROUP BY o_orderstatus"""
 
 
-def _dated_table(spark, sf, runs):
+def _dated_table(spark, sf, runs) -> str:
     o = read_table(spark, sf, "orders")
     path = scratch_path(spark, "dated")
     for as_of, stamp in runs:
         append_snapshot(spark, _orders_snapshot(o, as_of, stamp), path, stamp)
-    return spark.read.parquet(path).select("o_orderstatus", "orders", "total_cents",
-                                           "snapshot_date")
+    return path
+
+
+_SNAP_COLS = ("o_orderstatus", "orders", "total_cents", "snapshot_date")
+
+
+def _dated_rows(spark, sf, runs) -> DataFrame:
+    return LakeTable(spark, _dated_table(spark, sf, runs)).read().select(*_SNAP_COLS)
 
 
 @register("snapshot_stamp", _snap_sql(_SNAP_DATES[0]))
@@ -141,27 +149,34 @@ def q_snapshot_stamp(spark, sf):
 
 @register("snapshot_append_first_run", _snap_sql(_SNAP_DATES[0]))
 def q_snapshot_append_first_run(spark, sf):
-    return _dated_table(spark, sf, [(_SNAP_DATES[0], _SNAP_DATES[0])])
+    return _dated_rows(spark, sf, [(_SNAP_DATES[0], _SNAP_DATES[0])])
 
 
 @register("snapshot_append", _snap_sql(_SNAP_DATES[0]) + " UNION ALL "
           + _snap_sql(_SNAP_DATES[1]))
 def q_snapshot_append(spark, sf):
-    return _dated_table(spark, sf, [(d, d) for d in _SNAP_DATES[:2]])
+    return _dated_rows(spark, sf, [(d, d) for d in _SNAP_DATES[:2]])
 
 
 @register("snapshot_append_idempotent", _snap_sql(_SNAP_DATES[0]) + " UNION ALL "
           + _snap_sql(_SNAP_DATES[1]))
 def q_snapshot_append_idempotent(spark, sf):
     # the second run for the first date carries different numbers; first write wins
-    return _dated_table(spark, sf, [(_SNAP_DATES[0], _SNAP_DATES[0]),
-                                    (_SNAP_DATES[1], _SNAP_DATES[0]),
-                                    (_SNAP_DATES[1], _SNAP_DATES[1])])
+    return _dated_rows(spark, sf, [(_SNAP_DATES[0], _SNAP_DATES[0]),
+                                   (_SNAP_DATES[1], _SNAP_DATES[0]),
+                                   (_SNAP_DATES[1], _SNAP_DATES[1])])
 
 
 @register("latest_snapshot", _snap_sql(_SNAP_DATES[2]))
 def q_latest_snapshot(spark, sf):
-    return latest_snapshot(_dated_table(spark, sf, [(d, d) for d in _SNAP_DATES]))
+    path = _dated_table(spark, sf, [(d, d) for d in _SNAP_DATES])
+    return read_latest_snapshot(spark, path).select(*_SNAP_COLS)
+
+
+@register("latest_snapshot_rows", _snap_sql(_SNAP_DATES[2]))
+def q_latest_snapshot_rows(spark, sf):
+    """The same of any stored frame, by its greatest date."""
+    return latest_snapshot(_dated_rows(spark, sf, [(d, d) for d in _SNAP_DATES]))
 
 
 @register("time_travel_read", _snap_sql(_SNAP_DATES[0]))
@@ -426,7 +441,7 @@ def q_select_queryable_columns(spark, sf):
 @register("table_row_counts", "\nUNION ALL\n".join(
     f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in TEST_TABLES))
 def q_table_row_counts(spark, sf):
-    return table_row_counts({t: read_table(spark, sf, t) for t in TEST_TABLES})
+    return footer_row_counts(spark, {t: table_path(sf, t) for t in TEST_TABLES})
 
 
 @register("published_roundtrip", _snap_sql(_SNAP_DATES[0]) + " UNION ALL "
@@ -438,8 +453,20 @@ def q_published_roundtrip(spark, sf):
     for d in _SNAP_DATES[:2]:
         append_snapshot(spark, _orders_snapshot(o, d), f"{root}/gold/orders_daily", d)
     jobs.publish(spark, root, "gold", dest)
-    return spark.read.parquet(f"{dest}/gold/orders_daily").select(
-        "o_orderstatus", "orders", "total_cents", "snapshot_date")
+    return spark.read.parquet(f"{dest}/gold/orders_daily").select(*_SNAP_COLS)
+
+
+@register("published_replace", _snap_sql(_SNAP_DATES[1]) + " UNION ALL "
+          + _snap_sql(_SNAP_DATES[2]))
+def q_published_replace(spark, sf):
+    """Published over a copy that holds another date: what is left is the table."""
+    dest, o = scratch_path(spark, "published"), read_table(spark, sf, "orders")
+    for dates in (_SNAP_DATES[:2], _SNAP_DATES[1:]):
+        root = scratch_path(spark, "lake")
+        for d in dates:
+            append_snapshot(spark, _orders_snapshot(o, d), f"{root}/gold/orders_daily", d)
+        jobs.publish(spark, root, "gold", dest)
+    return spark.read.parquet(f"{dest}/gold/orders_daily").select(*_SNAP_COLS)
 
 
 @register("preview_limit", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 20")
@@ -475,6 +502,39 @@ def q_adhoc_sql(spark, sf):
                      args={"min_size": 10}, part=read_table(spark, sf, "part"))
 
 
+@register("adhoc_sql_layers", f"""
+SELECT s.o_orderstatus, count(*) AS orders, max(g.total_cents) AS total_cents,
+       count(b.o_orderkey) AS in_bronze
+FROM ({_MERGE_SQL}) AS s
+LEFT JOIN ({_MERGE_SQL}) AS b ON s.o_orderkey = b.o_orderkey
+LEFT JOIN ({_snap_sql(_SNAP_DATES[2])}) AS g ON s.o_orderstatus = g.o_orderstatus
+GROUP BY s.o_orderstatus""")
+def q_adhoc_sql_layers(spark, sf):
+    """SQL text over the tables of a lake by layer and name: a bronze change log of two
+    loads, a silver version, dated gold snapshots."""
+    root = scratch_path(spark, "lake")
+    target, batch = _merge_inputs(spark, sf)
+    bronze = LakeTable.at(spark, root, "bronze", "orders")
+    bronze.append(target, "modstamp")
+    bronze.append(batch.withColumn("note", F.lit("late")), "modstamp")
+    spec = specs.EntitySpec("orders", "o_orderkey", "modstamp")
+    LakeTable.at(spark, root, "silver", "orders").commit(
+        bronze.latest("o_orderkey", "modstamp"), "build")
+    for d in _SNAP_DATES[1:]:
+        append_snapshot(spark, _orders_snapshot(read_table(spark, sf, "orders"), d),
+                        f"{root}/gold/orders_daily", d)
+    beside = spark.newSession()                   # leaves the caller's catalog settings alone
+    register_layers(beside, root, [spec])
+    return adhoc_sql(beside, """
+        SELECT s.o_orderstatus, count(*) AS orders, max(g.total_cents) AS total_cents,
+               count(b.o_orderkey) AS in_bronze
+        FROM silver.orders AS s
+        LEFT JOIN bronze.orders AS b ON s.o_orderkey = b.o_orderkey
+        LEFT JOIN gold.orders_daily AS g
+               ON g.o_orderstatus = s.o_orderstatus AND g.snapshot_date = :day
+        GROUP BY s.o_orderstatus""", args={"day": dt.date.fromisoformat(_SNAP_DATES[2])})
+
+
 @register("like_escape", r"""
 SELECT p_partkey, p_name,
        p_name LIKE 'small\_%' ESCAPE '\' AS literal_underscore,

@@ -240,8 +240,12 @@ _ROLE_INPUTS = {
 }
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -121,5 +121,25 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "remove_path",
+def replace_path(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the folder ``staged`` in the place of ``path``, on whatever file system they are
+    on (the same for both). The old folder is renamed to a hidden name, the new one takes
+    its name, then the old one goes. Where the second rename fails, the first is undone."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, to = jvm_path(staged), jvm_path(path)
+    old = jvm_path(to.getParent(), f".old-{to.getName()}-{uuid.uuid4().hex[:12]}")
+    fs = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(to.getParent())
+    had = fs.exists(to)
+    if had and not fs.rename(to, old):
+        raise OSError(f"cannot rename {path}")
+    if not fs.rename(new, to):
+        if had:
+            fs.rename(old, to)
+        raise OSError(f"cannot rename {staged} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "remove_path", "replace_path",
            "DEFAULT_CONF", "CLUSTER_CONF"]

@@ -586,3 +586,87 @@ def test_append_is_one_job_of_the_write(spark, tmp_root):
     empty = batch.limit(0)
     table.append(empty, "at")
     assert table.last()["rows"] == 0 and table.last_cursor().second == 9
+
+
+def test_publish_leaves_exactly_the_table(spark, tmp_root):
+    """Stale dates and files go; a table without rows leaves nothing behind."""
+    from auric.operators.snapshot import append_snapshot
+    from auric.sources.lake import LakeTable
+    dest = f"{tmp_root}/pub"
+    for k, day in enumerate(("2025-01-01", "2025-01-02")):
+        lake = f"{tmp_root}/lake{k}"
+        rows = spark.createDataFrame([(k, dt.date.fromisoformat(day))], "n int, snapshot_date date")
+        append_snapshot(spark, rows, f"{lake}/gold/m", day)
+        append_snapshot(spark, rows.limit(1 - k), f"{lake}/gold/e", day)
+        LakeTable.at(spark, lake, "silver", "s").commit(spark.range(10 - 9 * k), "build")
+        assert jobs.publish(spark, lake, "gold", dest) == (["e", "m"] if k == 0 else ["m"])
+        assert jobs.publish(spark, lake, "silver", dest) == ["s"]
+    assert [(r.n, str(r.snapshot_date)) for r in spark.read.parquet(f"{dest}/gold/m").collect()] \
+        == [(1, "2025-01-02")]
+    assert spark.read.parquet(f"{dest}/silver/s").count() == 1
+    from auric.sources.lake import _folders
+    assert _folders(spark, f"{dest}/gold") == ["m"]      # nothing staged, nothing hidden
+
+
+def test_failed_publish_leaves_the_old_copy(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from auric.sources.lake import LakeTable, _folders
+    lake, dest = f"{tmp_root}/lake", f"{tmp_root}/pub"
+    table = LakeTable.at(spark, lake, "silver", "s")
+    table.commit(spark.range(5), "build")
+    jobs.publish(spark, lake, "silver", dest)
+
+    class Broken(LakeTable):
+        def read(self, version=None):
+            return super().read(version).select(F.raise_error(F.lit("lost")).alias("id"))
+    real = jobs.LakeTable
+    jobs.LakeTable = Broken
+    try:
+        with pytest.raises(Exception, match="lost"):
+            jobs.publish(spark, lake, "silver", dest)
+    finally:
+        jobs.LakeTable = real
+    assert spark.read.parquet(f"{dest}/silver/s").count() == 5
+    assert _folders(spark, f"{dest}/silver") == ["s"]
+
+
+def test_layers_by_name(spark, tmp_root):
+    """Views of a change log whose columns grew, of a dated table and of a plain one; a
+    table that is gone loses its view, odd column names are kept."""
+    from auric.operators.snapshot import append_snapshot
+    from auric.sources.catalog import register_layers
+    from auric.sources.lake import LakeTable
+    from auric.session import remove_path
+    from auric.specs import EntitySpec
+    beside, lake = spark.newSession(), f"{tmp_root}/lake"
+    log = LakeTable.at(spark, lake, "bronze", "t")
+    log.append(spark.createDataFrame([("a", "1", 5), ("b", "1", 5)], "Id string, `x@y` string, at int"))
+    log.append(spark.createDataFrame([("a", "2", 6, "m")],
+                                     "Id string, `x@y` string, at int, more string"))
+    LakeTable.at(spark, lake, "silver", "gone").commit(spark.range(2), "build")
+    rows = spark.createDataFrame([(1, dt.date(2025, 1, 1))], "n int, snapshot_date date")
+    append_snapshot(spark, rows, f"{lake}/gold/m", "2025-01-01")
+    append_snapshot(spark, rows.limit(0), f"{lake}/gold/empty", "2025-01-01")
+    assert register_layers(beside, lake, [EntitySpec("t", "Id", "at")]) == [
+        "bronze.t", "silver.gone", "gold.m"]
+    got = beside.sql("SELECT Id, `x@y` AS x, more FROM bronze.t ORDER BY Id").collect()
+    assert [tuple(r) for r in got] == [("a", "2", "m"), ("b", "1", None)]
+    assert beside.sql("SELECT sum(n) FROM gold.m").first()[0] == 1
+    assert beside.sql("SELECT count(*) FROM silver.gone").first()[0] == 2
+    remove_path(spark, f"{lake}/silver/gone")
+    assert register_layers(beside, lake, [EntitySpec("t", "Id", "at")]) == ["bronze.t", "gold.m"]
+    assert not beside.catalog.tableExists("silver.gone")
+
+
+def test_latest_snapshot_opens_one_partition(spark, tmp_root):
+    from auric.operators.snapshot import append_snapshot, read_latest_snapshot
+    path = f"{tmp_root}/gold/m"
+    for d in ("2025-01-01", "2025-01-03", "2025-01-02"):
+        append_snapshot(spark, spark.createDataFrame(
+            [(1, dt.date.fromisoformat(d))], "n int, snapshot_date date"), path, d)
+    append_snapshot(spark, spark.createDataFrame([], "n int, snapshot_date date"), path, "2025-02-01")
+    out = read_latest_snapshot(spark, path)
+    assert [str(r.snapshot_date) for r in out.collect()] == ["2025-01-03"]
+    assert "PartitionFilters: [isnotnull(snapshot_date" in out._jdf.queryExecution().toString()
+    with pytest.raises(FileNotFoundError):
+        read_latest_snapshot(spark, f"{tmp_root}/gold/none")

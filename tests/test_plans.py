@@ -6,6 +6,7 @@ import pytest
 
 from auric.plans import registry_lake  # noqa: F401  (registers its queries)
 from auric.plans.registry import QUERIES
+from auric.plans.roles import TEST_TABLES
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,7 +32,7 @@ def test_no_python_evaluation_anywhere(spark, q):
     for name, fn in q.items():
         if name in ("merge_upsert_buckets", "bronze_log_latest", "replace_snapshot",
                     "time_travel_read", "published_roundtrip", "seed_scan", "stream_ingest"
-                    ) or name.startswith(("snapshot_", "landed_", "paged_", "latest_snapshot",
+                    ) or name.startswith(("snapshot_", "landed_", "paged_", "latest_snapshot", "adhoc_sql_layers", "published_",
                                           "ingest_", "medallion_")):
             continue  # these write files while being built; covered by the oracle test
         p = plan(fn(spark, SF))
@@ -124,3 +125,8 @@ def test_merge_does_not_shuffle_target_for_small_batch(spark, q):
 def test_gold_aggregates_partial(spark, q):
     p = plan(q["baseline_certification"](spark, SF), "simple")
     assert "partial_count" in p and "partial_sum" in p
+
+
+def test_row_counts_come_from_footers(spark, q):
+    p = plan(q["table_row_counts"](spark, SF))
+    assert p.count("PushedAggregation: [COUNT(*)]") == len(TEST_TABLES)
