@@ -104,7 +104,9 @@ def _training_rows(docs: DataFrame, ids: np.ndarray, id_col: str, text_col: str,
 
     return (docs.select(F.col(id_col).cast("bigint").alias("i"),
                         F.col(text_col).cast("string").alias("t"))
-            .mapInArrow(run, "i bigint, at binary, x binary"))
+            .mapInArrow(run, "i bigint, at binary, x binary")
+            # a repeated id counts once, with the least of its texts' features
+            .groupBy("i").agg(F.min(F.struct("at", "x")).alias("row")).select("i", "row.*"))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

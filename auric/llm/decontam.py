@@ -9,10 +9,12 @@ shingle gives the one start the window could have (positional bound), which
 must leave room for the whole window inside the document (length bound). Hash
 by hash, then byte by byte, the words there are compared with the window's.
 
-Two scans of the documents: one counts the items' shingles, one joins. Both
-are narrow (no shuffle of texts); the first ends in a sum per shingle. The
-index of the items is sent to the executors in blocks of ``block_bytes`` of item
-text, one scan for each block, so a benchmark of any size keeps the same memory.
+Windows are built from the items in tasks and kept as a table of different windows with
+their items. Two scans of the documents: one counts the items' shingles, one joins. Both
+are narrow (no shuffle of texts); the first ends in a sum per shingle. The windows are
+sent to the executors in blocks of at most ``block_bytes`` (counted before a block is
+collected; windows of one item may lie in several), with two scans for each block, so a
+benchmark and an item of any size keep the same memory.
 
 Defined results: null and empty texts have no words and are never hit; an item
 without words has no windows; null item ids are left out of ``items`` but their
@@ -23,25 +25,24 @@ ids) give a result each; other columns are ignored whatever their names.
 from __future__ import annotations
 
 import hashlib
-import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auric.llm.tables import materialize, plain_names, table
+from auric.llm.tables import blocks, materialize, plain_names, table
 from auric.llm.text import ALNUM, Lookup, per_row, runs, shingles, words
 
 WINDOW = 10
 SHINGLE = 3
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 32 << 20
 
 
 @dataclass
 class Windows:
-    """Distinct windows of a block of items."""
+    """Different windows of a block."""
 
     hashes: np.ndarray            # uint64[n, window], 0 beyond the length
     length: np.ndarray
@@ -164,15 +165,41 @@ def _shingle_counts(docs: DataFrame, text_col: str, wanted: np.ndarray, size: in
     return {r["h"]: r["n"] for r in got}         # at most the block's shingles
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
-    """The items, in blocks of about ``block_bytes`` of text."""
+def _window_rows(window: int):
+    """(text, hashes, length, items) of the different windows of a task's items."""
+    names = ["text", "hashes", "length", "items"]
+
+    def run(batches):
+        for b in batches:
+            for k in range(b.num_rows):            # an item at a time, whole
+                w = build_windows([(b.column(0)[k].as_py(), b.column(1)[k].as_py())], window)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(w.text, pa.binary()),
+                     pa.array([h.tobytes() for h in w.hashes], pa.binary()),
+                     pa.array(w.length, pa.int32()), pa.array(w.items, pa.list_(pa.string()))],
+                    names)
+    return run
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int):
+    """All windows, in blocks of at most ``block_bytes``."""
     items = benchmark.select(F.col(item_col).cast("string").alias("i"),
                              F.col(text_col).cast("string").alias("t")).distinct()
-    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = max(1, math.ceil(size / block_bytes))
-    key: Column = F.pmod(F.xxhash64("i", "t"), F.lit(n))
-    for k in range(n):
-        yield k == n - 1, [(r["i"], r["t"]) for r in items.where(key == k).collect()]
+    found = (items.mapInArrow(_window_rows(window),
+                              "text binary, hashes binary, length int, items array<string>")
+             .groupBy("text").agg(F.first("hashes").alias("hashes"),
+                                  F.first("length").alias("length"),
+                                  F.array_sort(F.array_distinct(F.flatten(
+                                      F.collect_list("items")))).alias("items"))
+             .withColumn("key", F.xxhash64("text")))
+    found = materialize(found, "windows")
+    size = (F.length("text") + F.length("hashes")
+            + F.aggregate("items", F.lit(0), lambda n, x: n + F.length(x) + 8))
+    for rows in blocks(found, "key", (size, block_bytes)):
+        yield Windows(np.frombuffer(b"".join(r["hashes"] for r in rows), np.uint64)
+                      .reshape(-1, window),
+                      np.array([r["length"] for r in rows], np.int64),
+                      [bytes(r["text"]) for r in rows], [r["items"] for r in rows])
 
 
 def _lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -230,19 +257,22 @@ def _scan(frame: DataFrame, text_at: int, docs: DataFrame, text_col: str,
           shingle: int, block_bytes: int, final, schema) -> DataFrame:
     spark, width = frame.sparkSession, len(frame.columns)
     state = frame
-    for last, rows in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        w = build_windows(rows, window)
+    every = _blocks(benchmark, item_col, item_text_col, window, block_bytes)
+    w = next(every, None) or build_windows([], window)
+    while True:
+        then = next(every, None)
         h, _, _, q = w.shingle_table(shingle)
         counts = _shingle_counts(docs, text_col, h, shingle,
                                  [int(x) for x in np.unique(q)]) if len(h) else {}
         bc = spark.sparkContext.broadcast(Prefixes(w, shingle, counts))
-        if last:
+        if then is None:
             return state.mapInArrow(_pass(text_at, bc, width, final), schema)
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                            for f in frame.schema.fields)
         state = materialize(state.mapInArrow(
             _pass(text_at, bc, width, None),
             f"{fields}, _spans array<bigint>, _items array<string>"), "decontam")
+        w = then
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",

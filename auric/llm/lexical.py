@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auric.llm.tables import materialize, table
+from auric.llm.tables import blocks, materialize, table
 from auric.llm.text import ALNUM, Lookup, Words, runs, same_bytes, words
 
 K = 10
@@ -102,22 +102,8 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most_items: int,
     items = materialize(items.mapInArrow(
         _item_terms, f"i bigint, item {kind}, terms array<binary>, counts array<bigint>")
         .where(F.size("terms") > 0), "item-terms")
-    many, terms = items.agg(F.count(F.lit(1)), F.sum(F.size("terms"))).first()
-    n = max(1, math.ceil(many / most_items), math.ceil((terms or 0) / most_terms))
-    while True:
-        key = F.pmod("i", F.lit(n))
-        sizes = (items.groupBy(key.alias("k"))
-                 .agg(F.count(F.lit(1)).alias("many"), F.sum(F.size("terms")).alias("terms"),
-                      F.countDistinct("i").alias("different")))
-        over = sizes.where((F.col("different") > 1)
-                           & ((F.col("many") > most_items) | (F.col("terms") > most_terms)))
-        if over.isEmpty():
-            break
-        n *= 2
-    for k in range(n):
-        rows = [(r["item"], r["terms"], r["counts"]) for r in items.where(key == k).collect()]
-        if rows:
-            yield rows
+    for rows in blocks(items, "i", (F.lit(1), most_items), (F.size("terms"), most_terms)):
+        yield [(r["item"], r["terms"], r["counts"]) for r in rows]
 
 
 def _vectors(vocabulary):

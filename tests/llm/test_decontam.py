@@ -33,7 +33,7 @@ def test_against_brute_force(spark):
                           [(r.item_id, r.text) for r in items.collect()]))
     assert any(k[-1] for k in want)
     assert multiset(m.contamination(docs, items).select(COLUMNS).collect()) == want
-    small = m.contamination(docs, items, block_bytes=3000)       # several blocks
+    small = m.contamination(docs, items, block_bytes=60_000)     # several blocks
     assert multiset(small.select(COLUMNS).collect()) == want
 
 
@@ -45,13 +45,28 @@ def test_edges(spark, edge_docs, no_docs):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     want = multiset(brute(edge_texts(), ITEMS))
     assert multiset(m.contamination(edge_docs, items).select(COLUMNS).collect()) == want
-    blocks = m.contamination(edge_docs, items, block_bytes=40)
+    blocks = m.contamination(edge_docs, items, block_bytes=400)
     assert multiset(blocks.select(COLUMNS).collect()) == want
     assert m.contamination(no_docs, items).collect() == []
     none = m.contamination(edge_docs, items.limit(0)).collect()
     assert len(none) == len(edge_texts()) and not any(r.contaminated for r in none)
 
 
+def test_blocks_keep_to_their_size(spark):
+    """One item far larger than a block: its windows lie in several, none over the bound."""
+    text = " ".join(f"w{k}" for k in range(3000))
+    items = spark.createDataFrame([(1, text), (2, "w5 w6 w7"), (None, text)],
+                                  "item_id bigint, text string")
+    parts = list(m._blocks(items, "item_id", "text", 10, 60_000))
+    assert len(parts) > 3
+    for w in parts:
+        assert sum(len(t) + 80 + sum(len(i) + 8 for i in own)
+                   for t, own in zip(w.text, w.items)) <= 60_000
+    whole = {(t, tuple(i)) for w in parts for t, i in zip(w.text, w.items)}
+    one = m.build_windows([("1", text), ("2", "w5 w6 w7"), (None, text)], 10)
+    assert whole == {(t, tuple(i)) for t, i in zip(one.text, one.items)}
+
+
 def test_clean_rows_keep_all_columns(spark, edge_docs):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     kept = m.without_contaminated(edge_docs, items)

@@ -1,6 +1,10 @@
+from collections import Counter
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline as p
 from auric.llm.tables import materialize
-from tests.llm.conftest import SF, doc, edge_texts, plain_words, table
+from tests.llm.conftest import DOCS, SF, doc, edge_texts, multiset, plain_words, table
 from tests.llm.test_decontam import brute
 from tests.llm.test_minhash import brute_classes
 from tests.llm.test_quality import measures
@@ -51,15 +55,33 @@ def test_run(spark):
     assert {"doc_id", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
 
 
-def test_stages_take_edges(spark, tmp_root):
-    """Nulls, repeats, empty and long texts, then an empty table, through every stage."""
-    from pyspark.sql import functions as F
-    rows = [doc(i, x) for i, x in edge_texts()]
-    from tests.llm.conftest import DOCS
-    for docs in (spark.createDataFrame(rows, DOCS), spark.createDataFrame([], DOCS)):
-        docs = docs.select("doc_id", "text", "lang", "source", "n_chars", F.col("_t").alias("key"))
-        for _, stage in p.STAGES:
-            stage(spark, docs, SF).collect()
+def test_stages_take_edges(spark):
+    """Nulls, repeats, empty and long texts through every stage, each with its result."""
+    texts = edge_texts()
+    docs = spark.createDataFrame([doc(i, x) for i, x in texts], DOCS).select(
+        "doc_id", "text", "lang", "source", "n_chars", F.col("_t").alias("key"))
+    items = [(r.item_id, r.text) for r in table(spark, "benchmark").collect()]
+    out = {name: stage(spark, docs, SF).collect() for name, stage in p.STAGES}
+    assert {(r.doc_id, r.text) for r in out["quality_rules"]} <= {
+        (i, x) for i, x in texts if not measures(x)[-1]}
+    assert len(out["near_duplicates"]) == len(brute_classes(texts))
+    assert multiset((r.doc_id, r.text) for r in out["decontamination"]) == multiset(
+        (i, x) for (i, x), hit in zip(texts, brute(texts, items)) if not hit[-1])
+    assert Counter(r.doc_id for r in out["secret_scan"]) == Counter(i for i, _ in texts)
+    assert all(r.text is None or not base(r.text)[1] for r in out["secret_scan"])
+    assert sum(r.text is None for r in out["secret_scan"]) == sum(x is None for _, x in texts)
+    packed = Counter((r.doc_id, r.piece) for r in out["packing"])
+    assert Counter({i: n for (i, k), n in packed.items() if k == 0}) == Counter(
+        i for i, _ in texts)
+    assert all(r.key == "x" for name in list(out)[:-1] for r in out[name])
+
+
+def test_stages_take_an_empty_table(spark):
+    docs = spark.createDataFrame([], DOCS).select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in p.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.collect() == []
+        assert name == "packing" or out.columns == docs.columns
 
 
 def test_words_helper():

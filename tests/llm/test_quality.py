@@ -151,6 +151,20 @@ def test_score_is_the_sparse_dot_product(spark):
         assert abs(got[r.doc_id] - 1 / (1 + np.exp(-x))) < 1e-6
 
 
+def test_a_repeated_labelled_id_counts_once(spark):
+    """However many rows carry a sampled id, the driver gets one and the weights stay."""
+    rows = [doc(k, f"{'good prose here' if k % 2 else 'spam spam spam'} number {k}")
+            for k in range(40)]
+    known = spark.createDataFrame([(k, k % 2, 0) for k in range(40)],
+                                  "doc_id bigint, quality int, toxic int")
+    once = spark.createDataFrame(rows, DOCS)
+    often = spark.createDataFrame(rows + [rows[1]] * 300 + [doc(1, "zz other text")] * 200, DOCS)
+    ids = c.training_ids(known, 8000, "doc_id", "quality")[0]
+    assert c._training_rows(often, ids, "doc_id", "text", 1 << 10).count() == len(ids)
+    a, b = c.train(once, known), c.train(often.where("text <> 'zz other text'"), known)
+    assert np.array_equal(a, b)
+
+
 def test_ftrl_closed_form_first_step():
     f = c.Ftrl(3, alpha=0.5, beta=1.0, l1=0.1, l2=0.0)
     f.update(np.array([0, 2]), np.array([1.0, 2.0]), 1)
