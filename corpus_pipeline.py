@@ -10,6 +10,13 @@ checkpoint folder and read again, so a lost executor costs at most one stage's t
 3. decontamination      documents that hold a window of a benchmark item go
 4. secret scan          found secrets are replaced by a mark; every document stays
 5. packing              best-two-fit of the token pieces into sequences
+
+Defined results: null and empty texts fail the rules and go with stage 1 (a stage that is
+given some keeps one row of them all as near-duplicates, never finds them contaminated,
+leaves them as they are, and packs each as the end mark alone); null ids are kept as they
+are and are never trusted; repeated rows are one class, of which one row stays; very long
+texts are worked on whole; an empty table gives an empty result; columns beside those of
+``documents`` are carried through to packing.
 """
 
 from __future__ import annotations
@@ -22,18 +29,22 @@ from auric.llm.tables import materialize, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the rules keep, all columns; null and empty texts go."""
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class, all columns; rows without words are one class."""
     return minhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that no window of an item occurs in, all columns."""
     return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, secrets replaced by ``[SECRET]`` and n_chars counted anew."""
     ratios = secrets.fit(secrets.ordinary_texts(docs, table(spark, sf_dir, "labels")))
     out = secrets.redacted(docs, ratios)
     return (out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -41,6 +52,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each piece of a document and where it is packed."""
     return packing.pack(docs)
 
 
