@@ -99,3 +99,29 @@ def safe_bool(c, data_type=None) -> Column:
 def bigint_half_even(c) -> Column:
     """``cast(double as bigint)`` rounding half to even (2.5 -> 2, 3.5 -> 4)."""
     return F.rint(_col(c)).cast("bigint")
+
+
+SUM_PLACES = 9
+_SUM_LIMIT = float(1 << 52)
+
+
+def exact_sum(c) -> Column:
+    """Sum of doubles that does not depend on the order of the rows.
+
+    Each value counts as its whole part and its first nine decimals; both are added as
+    whole numbers, so tasks and partitions may be cut in any way, and the sum is rounded to
+    a double once. Values of 2**52 or more, infinite ones and NaN are added as doubles
+    beside them. Like ``sum``, NULLs are left out and no value gives NULL; more than 9e9
+    rows of a group or a whole part over 9e18 raise an overflow error rather than wrap.
+    """
+    c = _col(c).cast(DoubleType())
+    unit = 10 ** SUM_PLACES
+    usual = F.abs(c) < _SUM_LIMIT                # not for NaN, which is the greatest
+    whole = F.floor(c)
+    part = F.rint((c - whole) * F.lit(float(unit))).cast("bigint")
+    units, parts = F.sum(F.when(usual, whole.cast("bigint"))), F.sum(F.when(usual, part))
+    # the parts carry over first, so that one addition rounds
+    exact = ((units + F.floor(parts / F.lit(unit).cast("decimal(20,0)")).cast("bigint"))
+             .cast(DoubleType()) + F.pmod(parts, F.lit(unit)).cast(DoubleType()) / float(unit))
+    other = F.sum(F.when(~usual, c))
+    return F.coalesce(exact + other, exact, other)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +22,9 @@ from auric.operators.snapshot import append_snapshot, has_snapshot
 from auric.plans import gold
 from auric.session import remove_path, replace_path, scratch_path
 from auric.sources.landed import (LandingLedger, backfill_from_csv, delta_from_json,
-                                  delta_from_pages, landed_csv_scan, live_ids_snapshot, load_seed,
-                                  paged_json_explode)
+                                  delta_from_pages, delta_from_variant, landed_csv_scan,
+                                  live_ids_snapshot, load_seed, paged_json_explode,
+                                  select_queryable_columns)
 from auric.sources.lake import LOAD_COLUMN, LakeTable, list_tables, path_missing
 
 
@@ -33,7 +34,8 @@ def ingest(spark: SparkSession, lake_root: str, landing_root: str,
            seed_since_days: int | None = None, lag_seconds: int | None = None,
            json_schemas: dict[str, StructType] | None = None,
            page_schemas: dict[str, StructType] | None = None,
-           compact_every: int = 16, workers: int = 4) -> dict[str, int]:
+           described: dict[str, Mapping[str, str]] | None = None,
+           variant: Iterable[str] = (), compact_every: int = 16, workers: int = 4) -> dict[str, int]:
     """Bronze load of each selected entity: what was landed since its last load.
 
     Each landed file is loaded once; the table keeps a ledger of them. A CRM entity takes
@@ -46,7 +48,10 @@ def ingest(spark: SparkSession, lake_root: str, landing_root: str,
 
     Of the new files the rows after the stored cursor, less the overlap, are loaded, and
     rows whose cursor cannot be read, with a NULL cursor. A row of either kind that is
-    already loaded with the same contents is left out. The batch is appended to the
+    already loaded with the same contents is left out. ``described`` gives, by table, the
+    source's own type of each column; compound and binary ones are not loaded. The JSON of
+    the tables named in ``variant`` is read without a schema, whatever its fields' types
+    (else by ``json_schemas`` or inference). The batch is appended to the
     bronze change log; after ``compact_every`` loads that is folded to one row per key. A
     run that finds no new file writes nothing. Entities are independent tables, so up to
     ``workers`` of them load at the same time.
@@ -55,6 +60,7 @@ def ingest(spark: SparkSession, lake_root: str, landing_root: str,
         if seed_since is not None:
             raise ValueError("give seed_since or seed_since_days")
         seed_since = _dt.datetime.now(_dt.timezone.utc) - _dt.timedelta(days=seed_since_days)
+    loose = set(variant)
 
     def load(spec: S.EntitySpec) -> int:
         table = LakeTable.at(spark, lake_root, "bronze", spec.table)
@@ -79,9 +85,12 @@ def ingest(spark: SparkSession, lake_root: str, landing_root: str,
             batch = backfill_from_csv(spark, paths, (csv_columns or {}).get(spec.table),
                                       spec.cursor, spec.csv_multi_line)
         else:
-            batch = delta_from_json(spark, paths, spec.cursor,
-                                    (json_schemas or {}).get(spec.table), last, lag)
+            batch = (delta_from_variant(spark, paths, spec.cursor) if spec.table in loose else
+                     delta_from_json(spark, paths, spec.cursor,
+                                     (json_schemas or {}).get(spec.table), last, lag))
             seed = seed if table.current_version() is None else None
+        if described and spec.table in described:
+            batch = select_queryable_columns(batch, (), described[spec.table])
         batch = incremental_since(batch, spec.cursor, last, lag, seed, keep_unreadable=True)
         seen_path = f"{table.path}/_seen"
         version = table.append(not_loaded(batch, _may_come(spark, seen_path, last, lag)),

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auric import specs
-from auric.functions.casts import bigint_half_even, safe_date, safe_double
+from auric.functions.casts import bigint_half_even, exact_sum, safe_date, safe_double
 from auric.operators.dedupe import q
 
 DateLike = _dt.date | str | None
@@ -166,13 +166,13 @@ def baseline_certification(g2: DataFrame, as_of: DateLike = None,
                                           & F.col("country").isNotNull())
     out = base.groupBy("ctype", "country").agg(
         F.count(F.lit(1)).alias("certificates"),
-        F.sum("boreal_forests").alias("boreal_forests"),
-        F.sum("community_forestry").alias("community_forestry"),
-        F.sum("forest_area_total").alias("forest_area_total"),
-        F.sum("ntfp_services").alias("management_for_ntfp_and_services"),
-        F.sum("plantations").alias("plantations"),
-        F.sum("temperate_forests").alias("temperate_forests"),
-        F.sum("tropical_forests").alias("tropical_forests"))
+        exact_sum("boreal_forests").alias("boreal_forests"),
+        exact_sum("community_forestry").alias("community_forestry"),
+        exact_sum("forest_area_total").alias("forest_area_total"),
+        exact_sum("ntfp_services").alias("management_for_ntfp_and_services"),
+        exact_sum("plantations").alias("plantations"),
+        exact_sum("temperate_forests").alias("temperate_forests"),
+        exact_sum("tropical_forests").alias("tropical_forests"))
     return snapshot_stamp(out, snapshot_date)
 
 
@@ -194,7 +194,7 @@ def fm_per_country(g2: DataFrame, as_of: DateLike = None,
                    & F.col("forest_area_total").isNotNull())
             .select("country", F.col("forest_area_total").alias("area")))
     step1 = base.groupBy("country", "area").agg(F.count(F.lit(1)).alias("cnt"))
-    out = step1.groupBy("country").agg(F.sum("area").alias("forest_area"),
+    out = step1.groupBy("country").agg(exact_sum("area").alias("forest_area"),
                                        F.sum("cnt").alias("certificates"))
     return snapshot_stamp(out, snapshot_date)
 
@@ -259,7 +259,7 @@ def daily_certificate_numbers(certificate: DataFrame, recordtype: DataFrame,
     cert = _daily_cert(certificate, recordtype, specs.CATEGORIES, as_of)
     out = cert.groupBy(F.col("ctype").alias("Certificate Category")).agg(
         F.count(F.lit(1)).alias("Number Of Certificates"),
-        bigint_half_even(F.sum(safe_double(q("Number_of_Sites__c")))).alias(
+        bigint_half_even(exact_sum(safe_double(q("Number_of_Sites__c")))).alias(
             "Number Of Companies"))
     return snapshot_stamp(out, snapshot_date)
 
@@ -273,7 +273,7 @@ def daily_forest_areas(certificate: DataFrame, recordtype: DataFrame,
     cert = _daily_cert(certificate, recordtype, specs.FOREST_CATEGORIES, as_of)
     per_type = cert.groupBy(q("Forest_Type__c").alias("Forest Type")).agg(
         F.count(F.lit(1)).alias("Number Of Certificates"),
-        bigint_half_even(F.sum(safe_double(q("Forest_Area_Total__c")))).alias(
+        bigint_half_even(exact_sum(safe_double(q("Forest_Area_Total__c")))).alias(
             "Certified Forest Area"))
     total = per_type.agg(
         F.lit(specs.TOTAL_LABEL).alias("Forest Type"),

@@ -73,6 +73,37 @@ class LandingLedger:
          .coalesce(1).write.mode("append").parquet(self.path))
 
 
+def landed_variant_scan(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """JSON lines as one VARIANT column ``record``, types as delivered and no inference: a
+    field may be a number in one batch, text in the next and missing in a third. A line that
+    is not a JSON value fails the scan; empty lines are skipped."""
+    return (spark.read.text(_paths(path)).where(F.trim("value") != "")
+            .select(F.parse_json("value").alias("record")))
+
+
+def variant_fields(records: DataFrame) -> dict[str, set[str]]:
+    """Field names of a VARIANT column of objects with the types they occur in, of all
+    rows. The driver gets a row for each (field, type)."""
+    fields = records.sparkSession.tvf.variant_explode(F.col("record").outer())
+    found = records.lateralJoin(fields).select(F.col("key").alias("name"),
+                                               F.schema_of_variant("value").alias("type"))
+    out: dict[str, set[str]] = {}
+    for r in found.distinct().collect():
+        out.setdefault(r["name"], set()).add(r["type"])
+    return out
+
+
+def variant_columns(records: DataFrame, names: Iterable[str]) -> DataFrame:
+    """The named fields of a VARIANT column as text columns: scalars as their text, objects
+    and lists as JSON, NULL where a record lacks the field."""
+    def field(name: str):
+        quote = "'" if '"' in name else '"'
+        if quote in name:
+            raise ValueError(f"field name with both kinds of quotes: {name}")
+        return F.try_variant_get("record", f"$[{quote}{name}{quote}]", "string").alias(name)
+    return records.select(*[field(n) for n in names])
+
+
 def _paths(path: str | Sequence[str]) -> str | list[str]:
     return path if isinstance(path, str) else list(path)
 
@@ -153,6 +184,15 @@ def backfill_from_csv(spark: SparkSession, path: str | Sequence[str], columns: S
                             allow_epoch_ms=False)
 
 
+def delta_from_variant(spark: SparkSession, path: str | Sequence[str], cursor: str) -> DataFrame:
+    """Incremental bronze batch of records whose fields come, go and change type between
+    files: the columns are all fields that any record has, as text; a number's text is that
+    of its value (``1.50`` is 1.5). No schema is inferred."""
+    records = landed_variant_scan(spark, path)
+    names = sorted({*variant_fields(records), cursor})
+    return normalize_record(variant_columns(records, names), cursor, allow_epoch_ms=True)
+
+
 LANDING_PARTITION = "ingest_date"
 
 

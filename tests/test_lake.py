@@ -670,3 +670,22 @@ def test_latest_snapshot_opens_one_partition(spark, tmp_root):
     assert "PartitionFilters: [isnotnull(snapshot_date" in out._jdf.queryExecution().toString()
     with pytest.raises(FileNotFoundError):
         read_latest_snapshot(spark, f"{tmp_root}/gold/none")
+
+
+def test_variant_fields_that_change(spark, tmp_root):
+    from auric.sources import landed
+    lines = ['{"id":1,"v":1.50,"o":{"a":1},"l":[1,"x"],"it\'s x@y":3,"n":null}', "", "  ",
+             '{"id":"two","v":"text","extra":12345678901234567890}', '{"id":3,"v":true}']
+    spark.createDataFrame([(x,) for x in lines], "t string").coalesce(1).write.text(f"{tmp_root}/j")
+    records = landed.landed_variant_scan(spark, f"{tmp_root}/j")
+    fields = landed.variant_fields(records)
+    assert set(fields) == {"id", "v", "o", "l", "it's x@y", "n", "extra"}
+    assert len(fields["id"]) == 2 and len(fields["v"]) == 3
+    rows = {r["id"]: r for r in landed.variant_columns(records, sorted(fields)).collect()}
+    assert (rows["1"]["v"], rows["1"]["o"], rows["1"]["l"], rows["1"]["it's x@y"], rows["1"]["n"]) \
+        == ("1.5", '{"a":1}', '[1,"x"]', "3", None)
+    assert (rows["two"]["v"], rows["two"]["extra"], rows["3"]["v"], rows["3"]["o"]) == (
+        "text", "12345678901234567890", "true", None)
+    spark.createDataFrame([('{"cut":',)], "t string").write.text(f"{tmp_root}/bad")
+    with pytest.raises(Exception, match="MALFORMED"):
+        landed.landed_variant_scan(spark, f"{tmp_root}/bad").collect()

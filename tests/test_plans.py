@@ -33,6 +33,7 @@ def test_no_python_evaluation_anywhere(spark, q):
         if name in ("merge_upsert_buckets", "bronze_log_latest", "replace_snapshot",
                     "time_travel_read", "published_roundtrip", "seed_scan", "stream_ingest"
                     ) or name.startswith(("snapshot_", "landed_", "paged_", "latest_snapshot", "adhoc_sql_layers", "published_",
+                                          "silver_bucketed", "layer_tables",
                                           "ingest_", "medallion_")):
             continue  # these write files while being built; covered by the oracle test
         p = plan(fn(spark, SF))
@@ -130,3 +131,12 @@ def test_gold_aggregates_partial(spark, q):
 def test_row_counts_come_from_footers(spark, q):
     p = plan(q["table_row_counts"](spark, SF))
     assert p.count("PushedAggregation: [COUNT(*)]") == len(TEST_TABLES)
+
+
+def test_bucketed_tables_need_no_shuffle(spark, q, no_broadcast):
+    out = q["silver_bucketed"](spark, SF)
+    p = plan(out, "simple")
+    assert "Window [" in p and "LeftSemi" in p and "Exchange" not in p.split("Subquery")[0]
+    from auric.plans.registry import QUERIES
+    want = QUERIES["silver_delete_after"](spark, SF).select("user_id", "event_type", "value", "ts")
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
