@@ -46,6 +46,12 @@ ORDINARY_DOCS = 500
 BLOCK = 256
 
 
+# No match of any pattern holds a line break, or a space that no : or = stands beside, so
+# such characters cut a text into chunks that can be scanned one by one.
+CHUNK = 4096
+CHUNKS = rf"(?s).{{{CHUNK}}}.*?(?:\n|(?<![:=\x20])\x20(?![\x20:=]))|.+"
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -232,16 +238,40 @@ def _count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda x: x["k"] == KINDS.index(kind))).cast("bigint")
 
 
+def _scanned(docs: DataFrame, text: Column, ratios: list[float], *keep: Column) -> DataFrame:
+    """Columns ``keep``, the text's chunks (_chunks) and what is found in each (_found: base
+    and random spans, places counted within the chunk). The work for a span follows the
+    size of a chunk, not of the text."""
+    def scan(chunk):
+        return let(base_spans(chunk), lambda base: F.struct(
+            base.alias("base"), random_spans(chunk, base, constant(ratios)).alias("random")))
+
+    return (docs.select(*keep, F.regexp_extract_all(text, F.lit(CHUNKS), F.lit(0))
+                        .alias("_chunks"))
+            .select("*", F.transform("_chunks", scan).alias("_found")))
+
+
+def _placed(name: str | None) -> Column:
+    """All spans (or those of one name) with places in the whole text, by start, then kind."""
+    def shifted(found, at):
+        spans = F.concat(found["base"], found["random"]) if name is None else found[name]
+        return F.transform(spans, lambda x: F.struct(
+            (x["s"] + at).alias("s"), x["k"].alias("k"), (x["e"] + at).alias("e")))
+
+    sizes = F.transform("_chunks", lambda c: F.length(c))
+    every = let(sizes, lambda n: F.transform("_found", lambda found, i: shifted(
+        found, _sum(F.slice(n, F.lit(1), i)))))
+    return F.array_sort(F.flatten(every))
+
+
 def secret_spans(docs: DataFrame, ratios: list[float], id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """One row per document: id, n_assign, n_access, n_hex, n_random, base_sha256, spans
     (kind:start:end in code points, end exclusive, by start, then kind)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base, every = F.col("_base"), F.col("_every")
-    return (docs.select(F.col(id_col), text.alias("_t"))
-            .select(id_col, "_t", base_spans(F.col("_t")).alias("_base"))
-            .select(id_col, "_base", F.array_sort(F.concat(
-                base, random_spans(F.col("_t"), base, constant(ratios)))).alias("_every"))
+    return (_scanned(docs, text, ratios, F.col(id_col))
+            .select(id_col, _placed("base").alias("_base"), _placed(None).alias("_every"))
             .select(id_col, *[_count(every, k).alias(f"n_{k}") for k in KINDS],
                     F.sha2(_names(base).cast("binary"), 256).alias("base_sha256"),
                     _names(every).alias("spans")))
@@ -252,25 +282,28 @@ def redacted(docs: DataFrame, ratios: list[float], text_col: str = "text",
     """The rows of ``docs``, all columns, with every stretch covered by spans replaced
     by ``mark``."""
     names = docs.columns
-    text = F.col("_doc")[text_col].cast("string")
-    out = (docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"))
-           .select("_doc", base_spans(F.coalesce(text, F.lit(""))).alias("_base"))
-           .select("_doc", F.array_sort(F.concat("_base", random_spans(
-               F.coalesce(text, F.lit("")), F.col("_base"), constant(ratios)))).alias("_spans")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
-    def cut(acc, x):
-        apart = x["s"] >= acc["at"]
-        return F.struct(
-            F.when(apart, F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]),
-                                   F.lit(mark))).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], x["e"]).alias("at"))
-
-    clean = F.aggregate("_spans", state, cut, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.lit(1 << 30))))
-    clean = F.when(F.size("_spans") > 0, clean).otherwise(text)
-    return out.select(*[clean.alias(c) if c == text_col else F.col("_doc")[c].alias(c)
-                        for c in names])
+    def clean(chunk, found):
+        def cut(acc, x):
+            apart = x["s"] >= acc["at"]
+            return F.struct(
+                F.when(apart, F.concat(acc["out"], F.substring(
+                    chunk, acc["at"] + 1, x["s"] - acc["at"]), F.lit(mark)))
+                .otherwise(acc["out"]).alias("out"),
+                F.greatest(acc["at"], x["e"]).alias("at"))
+
+        spans = F.array_sort(F.concat(found["base"], found["random"]))
+        return F.when(F.size(spans) > 0, F.aggregate(spans, state, cut, lambda acc: F.concat(
+            acc["out"], F.substring(chunk, acc["at"] + 1, F.lit(1 << 30))))).otherwise(chunk)
+
+    some = F.exists("_found", lambda x: F.size(x["base"]) + F.size(x["random"]) > 0)
+    new = F.when(some, F.array_join(F.zip_with("_chunks", "_found", clean), "")).otherwise(
+        F.col("_doc")[text_col].cast("string"))
+    return _scanned(docs, text, ratios, whole).select(
+        *[new.alias(c) if c == text_col else F.col("_doc")[c].alias(c) for c in names])
 
 
 def op6_secret_scan(spark, sf_dir: str) -> DataFrame:

@@ -143,3 +143,41 @@ def test_no_python_in_the_plan(spark, ratios):
 
 def test_uniform_model_without_texts(no_docs, no_labels):
     assert len(m.fit(m.ordinary_texts(no_docs, no_labels))) == len(m.SIGNS) ** 2
+
+
+def test_chunks_are_the_text_and_cut_no_match(spark):
+    """Long texts with matches around every kind of boundary: the chunks make up the text,
+    and the spans are those of the whole text."""
+    import random
+    rng = random.Random(4)
+    bits = ["password = hunter22", "token: abcdef1", "secret\" : 'zyxwvu9'", "é 漢", "  ", "\n",
+            "AKIA" + "Q" * 16, "0123456789abcdef" * 2, "api_key=", "= value", "word", "a:b", "\t",
+            "passwd  =   longvalue", "x" * 40]
+    texts = [rng.choice((" ", "", "\n")).join(rng.choice(bits) for _ in range(rng.randint(1, 2500)))
+             for _ in range(30)] + ["z" * 20_000, " " * 9000, ": " * 5000, ""]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    rows = docs.select("text", F.regexp_extract_all("text", F.lit(m.CHUNKS), F.lit(0)).alias("c"))
+    assert all("".join(r.c) == r.text for r in rows.collect())
+    ratios = [0.0] * len(m.SIGNS) ** 2
+    got = {r.doc_id: r for r in m.secret_spans(docs, ratios).collect()}
+    for k, t in enumerate(texts):
+        assert got[k].spans == ",".join(base(t)[1])
+
+
+def test_work_follows_the_spans(spark):
+    """Four times the runs of one text take at most five times as long (best of three)."""
+    import time
+    ratios = [0.0] * len(m.SIGNS) ** 2
+
+    def seconds(n):
+        text = " ".join(f"{k:032x}" for k in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+        best = 1e9
+        for _ in range(3):
+            start = time.perf_counter()
+            assert m.redacted(docs, ratios).first().text.count("[SECRET]") == n
+            m.secret_spans(docs, ratios).collect()
+            best = min(best, time.perf_counter() - start)
+        return best
+    seconds(500)
+    assert seconds(16_000) <= 5 * seconds(4_000)
