@@ -48,7 +48,7 @@ LENGTH, SEED = 50, 24
 HOT = 1 << 20
 SEEDS_AT_ONCE = 1 << 21
 SEGMENT_BYTES = 8 << 20
-BUCKET_SEEDS = 1 << 24
+BUCKET_SEEDS = 1 << 22
 INDEX_BYTES = 2 << 20
 
 _CODE = mix(np.arange(256).astype(U) + U(1))
@@ -98,6 +98,16 @@ def _numbers(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), kind) for x in column]
 
 
+def _once(batch: pa.RecordBatch, seen: set[bytes]) -> pa.RecordBatch:
+    """The rows whose key (the first column) is not in ``seen`` yet: rows of the same id and
+    text have the same result, and a task looks at one of them."""
+    keep = []
+    for key in batch.column(0).to_pylist():
+        keep.append(key not in seen)
+        seen.add(key)
+    return batch if all(keep) else batch.filter(pa.array(keep, pa.bool_()))
+
+
 _BY_SHARD = "shard int, keys binary, sizes binary, numbers binary"
 
 
@@ -185,8 +195,9 @@ def _seed_rows(buckets: int, length: int, size: int):
             yield emit(int(bucket[at[0]]), h[at], many[at], owner[at], place[at], keys, False)
 
     def run(batches):
-        parts, keys, held = [], [], 0
+        parts, keys, held, seen = [], [], 0, set()
         for b in batches:
+            b = _once(b, seen)
             for lo, hi, data, off in runs(b.column(1)):
                 piece, window, at = seeds(data, off, length, size)
                 new = _runs_of(at)
@@ -270,8 +281,9 @@ def _segments(buckets: int, length: int, size: int, seed_buckets: int, hot):
 
     def run(batches):
         hot_seeds = hot.value
-        held, many = [], 0
+        held, many, seen = [], 0, set()
         for b in batches:
+            b = _once(b, seen)
             for lo, hi, data, off in runs(b.column(2)):
                 piece, window, at = seeds(data, off, length, size)
                 new = _runs_of(at)

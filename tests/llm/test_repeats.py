@@ -119,6 +119,20 @@ def test_passages_over_many_rows(spark):
     check(spark, docs, hot=50)
 
 
+def test_repeated_rows_are_looked_at_once_a_task(spark):
+    """One id and text in most rows: each task hands on its seeds and segments once."""
+    import pyarrow as pa
+    rng = random.Random(11)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    docs = [(7, text)] * 200 + [(3, text[100:300]), (9, text[50:350] + "x")]
+    check(spark, docs)
+    batch = pa.RecordBatch.from_arrays([pa.array([b"k" * 16] * 500), pa.array([text] * 500)],
+                                       ["key", "t"])
+    rows = [r for out in repeats._seed_rows(4, 50, 24)([batch]) for r in out.to_pylist()]
+    assert not any(r["settled"] for r in rows)
+    assert sum(len(r["keys"]) for r in rows) == 16 * len(rows)
+
+
 def test_given_table(spark):
     docs = [(r["doc_id"], r["text"]) for r in table(spark, "documents").collect()]
     frame = table(spark, "documents")
