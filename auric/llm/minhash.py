@@ -16,8 +16,8 @@ Plan:
 1. One scan gives each row a key of its text, a digest of its word sequence and its
    band hashes. Rows with the same words are one node (aggregated before
    the shuffle, however many copies there are).
-2. In each bucket of a band every node is paired with the bucket's smallest node
-   only, so a bucket of n nodes gives n - 1 pairs. The pairs are verified exactly
+2. In each bucket of a band every node is paired with one node of it only, its pivot, so
+   a bucket of n nodes gives n - 1 pairs. The pairs are verified exactly
    on their weighted sets; verified links are merged into components.
 3. Nodes that shared buckets connect form a cluster. Where a cluster still holds
    several components, every pair of nodes from different components whose weights
@@ -45,7 +45,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auric.llm.tables import materialize, table
@@ -265,19 +265,34 @@ class NearDuplicates:
         self.buckets = self._buckets()
 
     def _buckets(self) -> DataFrame:
-        """(bucket, n, pivot) for buckets of two nodes or more."""
+        """(bucket, n, pivot) for buckets of two nodes or more. The pivot is the node that
+        meets the most others over all its buckets, so that the buckets of one group of
+        copies mostly have the same one and a node few different ones."""
         each = self.nodes.select("n", F.explode("bands").alias("bucket"))
-        shared = (each.groupBy("bucket")
-                  .agg(F.min("n").alias("pivot"), F.count(F.lit(1)).alias("many"))
-                  .where("many > 1").select("bucket", "pivot"))
-        return materialize(each.join(shared, "bucket"), "buckets")
+        shared = (each.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"))
+                  .where("many > 1"))
+        met = F.sum("many").over(Window.partitionBy("n"))     # a node has ``bands`` buckets
+        ranked = materialize(each.join(shared, "bucket").select(
+            "bucket", "n", F.struct(met.alias("met"), (-F.col("n")).alias("n")).alias("place")),
+            "ranked")
+        pivots = ranked.groupBy("bucket").agg((-F.max("place")["n"]).alias("pivot"))
+        return materialize(ranked.select("bucket", "n").join(pivots, "bucket"), "buckets")
 
     def _star(self) -> DataFrame:
-        """(a, b): each node of a shared bucket with the bucket's smallest node."""
+        """(a, b): each node of a shared bucket with the bucket's pivot."""
         return materialize(self.buckets.where("n <> pivot")
                            .select(F.col("n").alias("a"), F.col("pivot").alias("b"))
                            .distinct(), "star")
 
+    @staticmethod
+    def _slim(edges: DataFrame) -> DataFrame:
+        """Edges that connect the same nodes as those of a star (a: a node, b: one of its at
+        most ``bands`` pivots): each node with one of its pivots, its other pivots with that."""
+        one = F.min("b").over(Window.partitionBy("a"))
+        each = edges.select("a", "b", one.alias("c"))
+        return (each.select("a", F.col("c").alias("b"))
+                .union(each.where("b <> c").select("b", "c")).distinct())
+
     def _weighted_sets(self, star: DataFrame) -> DataFrame:
         """(n, cells) of all nodes of shared buckets, from the whole texts."""
         wanted = star.select(F.col("a").alias("n")).union(star.select("b")).distinct()
@@ -303,7 +318,8 @@ class NearDuplicates:
             .where(F.col("both") >= self.least * (F.col("total") - F.col("both")) - 1e-9)
             .select("a", "b"), "links")
         members = materialize(
-            components(star).withColumnRenamed("c", "s").join(components(links), "n", "left")
+            components(self._slim(star)).withColumnRenamed("c", "s")
+            .join(components(self._slim(links)), "n", "left")
             .withColumn("c", F.coalesce("c", "n")), "members")
         more = materialize(self._between(members, cells), "more")
         # a component stays one by its edges to its smallest node

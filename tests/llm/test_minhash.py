@@ -151,6 +151,15 @@ def test_unlike_words_of_equal_hash_are_two_nodes(spark):
     assert nodes[1] == nodes[3] != nodes[2] == nodes[4]
 
 
+def test_slim_edges_connect_the_same_nodes(spark):
+    rng = np.random.default_rng(8)
+    edges = [(int(a), int(b)) for a in range(60) for b in rng.choice(100, rng.integers(0, 4))
+             if a != b]
+    frame = spark.createDataFrame(edges, "a bigint, b bigint")
+    slim = m.NearDuplicates._slim(frame)
+    assert multiset(m.components(slim).collect()) == multiset(m.components(frame).collect())
+
+
 def test_components(spark):
     edges = [(k, k - 1) for k in range(1, 30)] + [(100, 200), (200, 300), (400, 300), (7, 500)]
     got = m.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
