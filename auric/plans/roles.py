@@ -250,12 +250,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One CRM-shaped frame derived from the test tables."""
-    inputs = {t: read_table(spark, sf_dir, t) for t in _ROLE_INPUTS[name]}
-    return spark.sql(ROLE_SQL[name], **inputs)
+    return roles(spark, sf_dir, name)[name]
 
 
 def roles(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {n: role(spark, sf_dir, n) for n in names}
+    """Several of them; a table that more than one needs is opened once."""
+    inputs = {t: read_table(spark, sf_dir, t)
+              for t in dict.fromkeys(t for n in names for t in _ROLE_INPUTS[n])}
+    return {n: spark.sql(ROLE_SQL[n], **{t: inputs[t] for t in _ROLE_INPUTS[n]}) for n in names}
 
 
 def role_cte(*names: str) -> str:
