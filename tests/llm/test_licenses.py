@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -128,3 +129,46 @@ def test_every_mandatory_word_counts(label):
     ws = plain_words(re.sub("<<(begin|end)Optional>>", "", text))
     a = m.compile_template(label, template)
     assert a.accepts(ws) and not a.accepts(ws[:-1]) and not a.accepts([*ws[:-9], "x", *ws[-8:]])
+
+
+def as_pattern(template):
+    """The template as an ordinary pattern over words that each end in a space."""
+    out = []
+    for k, piece in enumerate(m._MARK.split(template)):
+        if k % 2 == 0:
+            out += [re.escape(w) + " " for w in plain_words(piece)]
+        elif piece == "beginOptional":
+            out.append("(?:")
+        elif piece == "endOptional":
+            out.append(")?")
+        else:
+            match = re.search(r'match="\.(\+|\*|\{\d+,\d+\})"', piece)
+            out.append(r"(?:\S+ )" + match[1])
+    return re.compile("(?<= )" + "".join(out))
+
+
+def test_automata_against_patterns(spark):
+    """Every template over every given document, and over license texts with words left
+    out, put in and changed."""
+    rng = random.Random(6)
+    patterns = [(label, as_pattern(t)) for label, t in m.TEMPLATES]
+    docs = [(r.doc_id, r.text) for r in
+            spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").collect()]
+    for k, (_, t) in enumerate(m.TEMPLATES):
+        ws = plain_words(re.sub(r'<<var;[^>]*original="([^"]*)"[^>]*>>', r"\1", t)
+                         .replace("<<beginOptional>>", " ").replace("<<endOptional>>", " "))
+        for n in range(8):
+            some = list(ws)
+            for _ in range(n // 2):
+                i = rng.randrange(len(some))
+                some[i:i + 1] = rng.choice(([], ["other"], [some[i], "extra"], [some[i].upper()]))
+            docs.append((10_000 + 10 * k + n, "before " * (n % 2) + " ".join(some) + " after" * n))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: r.template_labels for r in m.license_scan(frame).collect()}
+    hits = 0
+    for i, t in docs:
+        line = " " + "".join(w + " " for w in plain_words(t))
+        want = sorted({label for label, p in patterns if p.search(line)})
+        hits += bool(want)
+        assert got[i] == ",".join(want)
+    assert hits > 100
