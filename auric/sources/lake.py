@@ -11,7 +11,8 @@ A *full* version (build, replace, merge, compact) holds the whole table. An
 *append* holds only its own rows, so loading a small delta writes a small
 folder; the contents are the newest full version and the appends after it, a
 change log that ``latest`` ranks by key and ``compact`` folds into a full version
-now and then. Older versions stay readable (time travel) until ``expire``.
+now and then. Older version folders stay readable (time travel) until someone deletes
+them.
 
 The log is metadata, one small row per commit; what reaches the driver is the
 newest row, or the rows since the newest full version, a number that
@@ -38,8 +39,6 @@ LOG_SCHEMA = StructType([
     StructField("rows", LongType(), True),
     StructField("note", StringType(), True),
     StructField("max_cursor", TimestampType(), True),
-    StructField("schema_version", LongType(), True),
-    StructField("schema", StringType(), True),
 ])
 LOAD_COLUMN = "_load"
 
@@ -55,9 +54,8 @@ def path_missing(e: AnalysisException) -> bool:
 
 @dataclass
 class Written:
-    """What a write saw: schema, number of rows, greatest cursor."""
+    """What a write saw: number of rows, greatest cursor."""
 
-    schema: StructType
     rows: int
     top: _dt.datetime | None
 
@@ -121,24 +119,18 @@ class LakeTable:
         return last["max_cursor"] if last else None
 
     def history(self, limit: int = 10) -> DataFrame:
-        """Newest commits first: snapshot_id, snapshot_time, schema_version, operation,
-        rows, note."""
+        """Newest commits first: snapshot_id, snapshot_time, operation, rows, note."""
         log = self.log()
         if log is None:
             log = self.spark.createDataFrame([], LOG_SCHEMA)
         return (log.select(F.col("version").alias("snapshot_id"),
                            F.col("committed_at").alias("snapshot_time"),
-                           "schema_version", "operation", "rows", "note")
+                           "operation", "rows", "note")
                 .orderBy(F.col("snapshot_id").desc()).limit(limit))
 
     def append_log(self, version: int, operation: str, rows: int | None,
-                   note: str | None = None, max_cursor=None,
-                   schema: StructType | None = None) -> None:
-        last, text = self.last(), schema.simpleString() if schema is not None else None
-        before = (last["schema_version"] or 0) if last else 0
-        changed = text is not None and (last is None or last["schema"] != text)
-        entry = [(version, _dt.datetime.now(_dt.timezone.utc), operation, rows, note, max_cursor,
-                  before + 1 if changed else before, text or (last["schema"] if last else None))]
+                   note: str | None = None, max_cursor=None) -> None:
+        entry = [(version, _dt.datetime.now(_dt.timezone.utc), operation, rows, note, max_cursor)]
         (self.spark.createDataFrame(entry, LOG_SCHEMA).coalesce(1)
          .write.mode("append").json(self.log_path))
 
@@ -195,14 +187,14 @@ class LakeTable:
             stats.append(F.max(F.col(f"`{cursor}`").cast("timestamp")).alias("top"))
         df.observe(seen, *stats).write.mode("overwrite").parquet(self.version_path(version))
         got = seen.get
-        return Written(df.schema, got["rows"], got.get("top"))
+        return Written(got["rows"], got.get("top"))
 
     def commit(self, df: DataFrame, operation: str, note: str | None = None,
                max_cursor=None) -> int:
         """Write ``df`` as the next full version and record it in the log."""
         v = self._next()
         written = self._write(df, v)
-        self.append_log(v, operation, written.rows, note, max_cursor, written.schema)
+        self.append_log(v, operation, written.rows, note, max_cursor)
         return v
 
     def append(self, batch: DataFrame, cursor: str | None = None) -> int:
@@ -212,7 +204,7 @@ class LakeTable:
         written = self._write(batch.withColumn(LOAD_COLUMN, F.lit(v).cast("bigint")), v, cursor)
         top = max((t for t in (last["max_cursor"] if last else None, written.top)
                    if t is not None), default=None)
-        self.append_log(v, "append", written.rows, None, top, written.schema)
+        self.append_log(v, "append", written.rows, None, top)
         return v
 
     def compact(self, pk, cursor: str, tie_breakers: Sequence[str] = ()) -> int:
@@ -241,7 +233,7 @@ class LakeTable:
         before = last["rows"] if last else None
         if max_shrink is not None and before and n < before * (1 - max_shrink):
             raise ShrinkRefused(f"{n} rows would replace {before}")
-        self.append_log(v, "replace", n, schema=written.schema)
+        self.append_log(v, "replace", n)
         return v
 
     def merge(self, batch: DataFrame, pk, cursor: str | None = None,
@@ -268,26 +260,10 @@ class LakeTable:
         if cursor is not None:
             got = batch.agg(F.max(F.col(f"`{cursor}`").cast("timestamp"))).first()[0]
             top = max((t for t in (top, got) if t is not None), default=None)
-        self.append_log(v, "merge", written.rows, None, top, written.schema)
+        self.append_log(v, "merge", written.rows, None, top)
         remove_path(self.spark, ranked)
         return v
 
-    def expire(self, keep: int = 1) -> list[int]:
-        """Delete the folders of versions older than the newest ``keep`` full ones;
-        they can no longer be read by version. Returns what was deleted."""
-        log = self.log()
-        if log is None or self.is_dated():
-            return []
-        full = [r["version"] for r in log.where("operation <> 'append'")
-                .select("version").orderBy(F.col("version").desc()).limit(keep).collect()]
-        if len(full) < keep:
-            return []
-        gone = [f for f in _folders(self.spark, self.path) if f.startswith("v=")
-                and int(f[2:]) < full[-1]]
-        for f in gone:
-            remove_path(self.spark, f"{self.path}/{f}")
-        return sorted(int(f[2:]) for f in gone)
-
 
 def _folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in ``path`` (a listing, no read)."""

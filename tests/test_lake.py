@@ -219,11 +219,10 @@ def test_change_log_appends_small_and_compacts(spark, tmp_root):
     assert t.compact("Id", "SystemModstamp") == 4 and t.parts() == [4]
     assert latest() == want and t.last_cursor() == T(2024, 1, 4)
     assert t.read(version=2).count() == 50 + len(delta)                  # time travel
-    assert [r.schema_version for r in t.history().collect()] == [3, 2, 1, 1]
+    assert [r.operation for r in t.history().collect()][0] == "compact"
     # a load without rows keeps the watermark
     t.append(wider.limit(0), "SystemModstamp")
     assert t.last_cursor() == T(2024, 1, 4) and latest() == want
-    assert t.expire(keep=1) == [1, 2, 3] and latest() == want
     with pytest.raises(FileNotFoundError):
         t.read(version=99)
 
