@@ -484,7 +484,7 @@ def test_publish_skips_table_with_only_empty_snapshots(spark, tmp_root):
     assert jobs.publish(spark, lake, "gold", f"{tmp_root}/pub") == []
 
 
-def _land(spark, path, rows, schema="Id string, v string, SystemModstamp string"):
+def _land_json(spark, path, rows, schema="Id string, v string, SystemModstamp string"):
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(path)
 
 
@@ -502,7 +502,7 @@ def test_each_landed_file_is_loaded_once(spark, tmp_root):
     folder = f"{tmp_root}/landing/t/json"
     ledger = LandingLedger(spark, f"{tmp_root}/lake/bronze/t/_files")
     for k in range(3):
-        _land(spark, folder, [(f"a{k}", "x", f"2026-01-0{k + 1}T00:00:00Z"),
+        _land_json(spark, folder, [(f"a{k}", "x", f"2026-01-0{k + 1}T00:00:00Z"),
                               ("same", f"v{k}", f"2026-01-0{k + 1}T01:00:00Z")])
         assert len(ledger.new_files(folder)) == 1
         jobs.ingest(spark, f"{tmp_root}/lake", f"{tmp_root}/landing", [spec])
@@ -517,7 +517,7 @@ def test_each_landed_file_is_loaded_once(spark, tmp_root):
 def test_replaced_file_is_loaded_again(spark, tmp_root):
     from auric.sources.landed import LandingLedger
     ledger = LandingLedger(spark, f"{tmp_root}/_files")
-    _land(spark, f"{tmp_root}/in", [("a", "x", None)])
+    _land_json(spark, f"{tmp_root}/in", [("a", "x", None)])
     files = ledger.new_files(f"{tmp_root}/in")
     ledger.add("json", files, 1)
     assert ledger.new_files(f"{tmp_root}/in") == [] and ledger.has_rows("json")
@@ -535,14 +535,14 @@ def test_rows_sent_again_are_loaded_once(spark, tmp_root):
     spec = EntitySpec("t", "Id", "SystemModstamp")
     folder, lake, landing = f"{tmp_root}/landing/t/json", f"{tmp_root}/lake", f"{tmp_root}/landing"
     again = [("n", "old", None), ("bad", "x", "no date"), ("o", "y", "2026-01-01T00:00:00Z")]
-    _land(spark, folder, again)
+    _land_json(spark, folder, again)
     jobs.ingest(spark, lake, landing, [spec])
     table = _bronze(spark, tmp_root, spec)
     assert table.read().count() == 3
-    _land(spark, folder, [("n", "new", None), *again])
+    _land_json(spark, folder, [("n", "new", None), *again])
     jobs.ingest(spark, lake, landing, [spec], compact_every=1)      # folds the log
     assert table.read().count() == 3
-    _land(spark, folder, [(*r, None) for r in again],
+    _land_json(spark, folder, [(*r, None) for r in again],
           "Id string, v string, SystemModstamp string, extra string")
     jobs.ingest(spark, lake, landing, [spec])
     rows = {r["Id"]: r["v"] for r in table.latest("Id", "SystemModstamp").collect()}
@@ -555,7 +555,7 @@ def test_load_that_failed_before_its_ledger_entry_is_repeated(spark, tmp_root, m
     from auric.specs import EntitySpec
     from auric.sources.landed import LandingLedger
     spec = EntitySpec("t", "Id", "SystemModstamp")
-    _land(spark, f"{tmp_root}/landing/t/json", [("a", "x", None), ("b", "y", "2026-01-01T00:00:00Z")])
+    _land_json(spark, f"{tmp_root}/landing/t/json", [("a", "x", None), ("b", "y", "2026-01-01T00:00:00Z")])
 
     def lost(self, *args):
         raise RuntimeError("driver lost")
