@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auric.llm.run_index import END, RunIndex
-from auric.llm.tables import materialize, table
+from auric.llm.tables import drop_shuffles, materialize, table
 from auric.llm.text import U, _powers, mix, runs
 
 LENGTH, SEED = 50, 24
@@ -502,9 +502,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .mapInArrow(_seed_rows(seed_buckets, length, seed), _SEEDS)
         .groupBy("bucket").applyInArrow(_shared_seeds(hot, seed_buckets), _SHARED),
         "shared-seeds")
+    drop_shuffles(spark)
     hot_seeds = np.array([r["hot"] for r in shared.where("hot is not null").select("hot")
                          .collect()], np.int64)
     wanted = materialize(_gather(shared, "places").join(copies, "key", "left_anti"), "wanted")
+    drop_shuffles(spark)
     many = wanted.agg(F.sum(F.size("places"))).first()[0] or 0
 
     buckets = _buckets(docs, many * 3 * length // 2, SEGMENT_BYTES)
@@ -518,6 +520,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         segments.where("bucket is not null")
         .select("bucket", "data", "size", "seed", "ids", "keys", "start")
         .groupBy("bucket").applyInArrow(_mark(length, index_bytes, buckets), _SPANS), "spans")
+    drop_shuffles(spark)
     spans = _gather(found, "spans")
     if len(hot_seeds):
         answers = found.where("window is not null").select("window", "least")
