@@ -23,12 +23,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames no longer in use now, rather than at the
-    driver's next collection of garbage: between steps that each shuffle whole texts."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def plain_names(df: DataFrame) -> DataFrame:
     """The same columns named c0, c1, ... (names with dots or clashes do no harm then)."""
     return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
