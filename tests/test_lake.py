@@ -688,3 +688,87 @@ def test_variant_fields_that_change(spark, tmp_root):
     spark.createDataFrame([('{"cut":',)], "t string").write.text(f"{tmp_root}/bad")
     with pytest.raises(Exception, match="MALFORMED"):
         landed.landed_variant_scan(spark, f"{tmp_root}/bad").collect()
+
+
+def test_load_above_the_stored_cursor_stores_no_digests(spark, tmp_root):
+    """An export of one time and a later delta: the log is all that a table keeps; rows
+    sent again are known from it, to the microsecond and after a compaction."""
+    from auric.sources.lake import _folders
+    spec = specs.EntitySpec("t", "Id", "SystemModstamp")
+    lake, landing = f"{tmp_root}/lake", f"{tmp_root}/landing"
+    folder, table = f"{landing}/t/json", LakeTable.at(spark, lake, "bronze", "t")
+    first = [(f"a{k}", "x", "2026-01-01T00:00:00.123456Z") for k in range(20)] + [("n", "x", None)]
+    _land_json(spark, folder, first)
+    jobs.ingest(spark, lake, landing, [spec])
+    _land_json(spark, folder, [("a1", "y", "2026-01-02T00:00:00.000789Z")])
+    jobs.ingest(spark, lake, landing, [spec])
+    assert table.read().count() == 22 and "_seen" not in _folders(spark, table.path)
+    again = [("a1", "y", "2026-01-02T00:00:00.000789Z"), ("n", "x", None),
+             ("new", "z", "2026-01-02T00:00:00.000790Z"), ("n", "other", None)]
+    _land_json(spark, folder, [again[0], again[1]])
+    jobs.ingest(spark, lake, landing, [spec], compact_every=2)       # brings nothing, folds
+    assert table.last()["operation"] == "compact" and table.last()["rows"] == 21
+    _land_json(spark, folder, [("b", "w", "2026-01-03T00:00:00Z"), *again[:2], again[3]])
+    jobs.ingest(spark, lake, landing, [spec], lag_seconds=200_000)
+    assert table.last()["rows"] == 2                                 # b and the other n
+    assert [f for f in _folders(spark, table.path) if "staged" in f or ".old" in f] == []
+
+
+def test_silver_in_slices_is_the_whole(spark, tmp_root):
+    """A log over ``slice_rows`` is ranked slice by slice: the same rows, each key once."""
+    lake = f"{tmp_root}/lake"
+    spec = specs.EntitySpec("t", "Id", "SystemModstamp", live_ids_table="t__live_ids")
+    schema = "Id bigint, SystemModstamp timestamp, v string, IsDeleted string"
+    log = LakeTable.at(spark, lake, "bronze", "t")
+    log.append(spark.createDataFrame(
+        [(k % 40 if k % 7 else None, T(2024, 1, 1 + k % 3), f"v{k}", None) for k in range(90)],
+        schema), "SystemModstamp")
+    log.append(spark.createDataFrame(
+        [(k, T(2024, 1, 9), "late", "true" if k % 2 else "false") for k in range(0, 30, 3)],
+        schema), "SystemModstamp")
+    for ids, kind in (([f"0{k}" for k in range(35)], "string"), (list(range(35)), "bigint")):
+        LakeTable.at(spark, lake, "bronze", "t__live_ids").replace(
+            spark.createDataFrame([(i,) for i in ids], f"Id {kind}"))
+        built = []
+        for rows in (10**9, 20, 1):
+            jobs.build_silver(spark, lake, [spec], slice_rows=rows, max_slices=5)
+            silver = LakeTable.at(spark, lake, "silver", spec.model)
+            built.append(sorted(map(tuple, silver.read().collect()), key=str))
+            assert silver.last()["rows"] == len(built[-1])
+        assert built[0] and built[0] == built[1] == built[2]
+
+
+def test_shuffle_files_go_with_the_job(spark, tmp_root):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from auric.session import short_lived_shuffles
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    here = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager(
+        ).diskBlockManager().localDirs()
+    files = lambda: {f for d in here for f in Path(str(d)).rglob("shuffle_*.data")}
+    old = files()
+    with pytest.raises(ZeroDivisionError), short_lived_shuffles(spark):
+        spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(
+            f"{tmp_root}/counts")
+        assert spark.conf.get(key) == "true" and not files() - old
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == before
+
+
+def test_landed_history_is_compressed_and_not_kept(spark, tmp_root, monkeypatch):
+    from auric.plans import registry_lake
+    from auric.sources.landed import LandingLedger
+    sf = "/root/testdata/sf0.001"
+    files = LandingLedger(spark, f"{tmp_root}/_files")
+    registry_lake._land_history(spark, sf, f"{tmp_root}/landing")
+    names = [f["path"] for f in files.new_files(f"{tmp_root}/landing/account")]
+    parts = [n for n in names if "/part-" in n]
+    assert parts and all(n.endswith((".csv.gz", ".json.gz")) for n in parts)
+    monkeypatch.setattr(registry_lake, "scratch_path", lambda spark, name: f"{tmp_root}/run")
+    registry_lake.q_medallion_end_to_end(spark, sf)
+    for table in registry_lake._E2E_ROLES.values():
+        for kind in ("csv", "json", "ids"):
+            assert files.new_files(f"{tmp_root}/run/landing/{table}/{kind}") == []
