@@ -739,6 +739,7 @@ def test_silver_in_slices_is_the_whole(spark, tmp_root):
 
 
 def test_shuffle_files_go_with_the_job(spark, tmp_root):
+    import time
     from pathlib import Path
 
     from pyspark.sql import functions as F
@@ -753,7 +754,11 @@ def test_shuffle_files_go_with_the_job(spark, tmp_root):
     with pytest.raises(ZeroDivisionError), short_lived_shuffles(spark):
         spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(
             f"{tmp_root}/counts")
-        assert spark.conf.get(key) == "true" and not files() - old
+        assert spark.conf.get(key) == "true"
+        until = time.monotonic() + 30                # they go in the background
+        while files() - old and time.monotonic() < until:
+            time.sleep(0.1)
+        assert not files() - old
         raise ZeroDivisionError
     assert spark.conf.get(key) == before
 
@@ -767,8 +772,8 @@ def test_landed_history_is_compressed_and_not_kept(spark, tmp_root, monkeypatch)
     names = [f["path"] for f in files.new_files(f"{tmp_root}/landing/account")]
     parts = [n for n in names if "/part-" in n]
     assert parts and all(n.endswith((".csv.gz", ".json.gz")) for n in parts)
-    monkeypatch.setattr(registry_lake, "scratch_path", lambda spark, name: f"{tmp_root}/run")
+    monkeypatch.setattr(registry_lake, "scratch_path", lambda spark, name: f"{tmp_root}/run/{name}")
     registry_lake.q_medallion_end_to_end(spark, sf)
     for table in registry_lake._E2E_ROLES.values():
         for kind in ("csv", "json", "ids"):
-            assert files.new_files(f"{tmp_root}/run/landing/{table}/{kind}") == []
+            assert files.new_files(f"{tmp_root}/run/medallion/landing/{table}/{kind}") == []
