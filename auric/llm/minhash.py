@@ -28,7 +28,9 @@ Plan:
 
 ``min_similarity`` 0.8 with 32 bands of 5 rows misses a pair at 0.8 with
 probability 3e-6. Intermediate tables are written to the shared checkpoint
-folder; nothing of the documents goes through the driver.
+folder; nothing of the documents goes through the driver, and of the joins only a row
+for each cluster that holds several components (and its blocks) may be broadcast: the
+others are ``shuffled_join``, as Spark would take exploded bands for small.
 
 Defined results: a text of fewer words than a shingle is one shingle of all its
 words; rows without words (null, empty, punctuation only) are one class, as are
@@ -48,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auric.llm.tables import materialize, table
+from auric.llm.tables import materialize, shuffled_join, table
 from auric.llm.text import _P, ALNUM, U, Words, mix, runs, seeded, shingles, words
 
 SHINGLE = 5
@@ -231,12 +233,12 @@ def components(edges: DataFrame) -> DataFrame:
     labels = materialize(both.groupBy(F.col("a").alias("n"))
                          .agg(F.least(F.min("b"), F.first("a")).alias("c")), "labels")
     while True:
-        near = (both.join(labels.withColumnRenamed("n", "b"), "b")
+        near = (shuffled_join(both, labels.withColumnRenamed("n", "b"), "b")
                 .groupBy(F.col("a").alias("n")).agg(F.min("c").alias("m")))
-        step = labels.join(near, "n").select("n", F.col("c").alias("old"),
-                                             F.least("c", "m").alias("c"))
+        step = shuffled_join(labels, near, "n").select("n", F.col("c").alias("old"),
+                                                       F.least("c", "m").alias("c"))
         jump = labels.select(F.col("n").alias("c"), F.col("c").alias("further"))
-        new = materialize(step.join(jump, "c")
+        new = materialize(shuffled_join(step, jump, "c")
                           .select("n", "old", F.least("c", "further").alias("c")), "labels")
         done = new.where("c <> old").isEmpty()
         labels = new.select("n", "c")
@@ -272,11 +274,12 @@ class NearDuplicates:
         shared = (each.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"))
                   .where("many > 1"))
         met = F.sum("many").over(Window.partitionBy("n"))     # a node has ``bands`` buckets
-        ranked = materialize(each.join(shared, "bucket").select(
+        ranked = materialize(shuffled_join(each, shared, "bucket").select(
             "bucket", "n", F.struct(met.alias("met"), (-F.col("n")).alias("n")).alias("place")),
             "ranked")
         pivots = ranked.groupBy("bucket").agg((-F.max("place")["n"]).alias("pivot"))
-        return materialize(ranked.select("bucket", "n").join(pivots, "bucket"), "buckets")
+        return materialize(shuffled_join(ranked.select("bucket", "n"), pivots, "bucket"),
+                           "buckets")
 
     def _star(self) -> DataFrame:
         """(a, b): each node of a shared bucket with the bucket's pivot."""
@@ -296,10 +299,10 @@ class NearDuplicates:
     def _weighted_sets(self, star: DataFrame) -> DataFrame:
         """(n, cells) of all nodes of shared buckets, from the whole texts."""
         wanted = star.select(F.col("a").alias("n")).union(star.select("b")).distinct()
-        reps = (self.nodes.select("n", F.col("rep._id").alias("rid"), F.col("rep.key").alias("rkey"))
-                .join(wanted, "n"))
-        texts = (self.texts.join(reps, (F.col("key") == F.col("rkey"))
-                                 & F.col("_id").eqNullSafe(F.col("rid")))
+        reps = shuffled_join(self.nodes.select("n", F.col("rep._id").alias("rid"),
+                                               F.col("rep.key").alias("rkey")), wanted, "n")
+        texts = (shuffled_join(self.texts, reps, (F.col("key") == F.col("rkey"))
+                               & F.col("_id").eqNullSafe(F.col("rid")))
                  .select("n", "_t"))
         return materialize(texts.mapInArrow(_cells(self.size), "n bigint, cells array<bigint>")
                            .dropDuplicates(["n"]), "cells")
@@ -313,20 +316,20 @@ class NearDuplicates:
         both = F.size(F.array_intersect("x", "y"))
         total = F.size("x") + F.size("y")
         links = materialize(
-            star.join(one, "a").join(two, "b")
+            shuffled_join(shuffled_join(star, one, "a"), two, "b")
             .select("a", "b", total.alias("total"), both.alias("both"))
             .where(F.col("both") >= self.least * (F.col("total") - F.col("both")) - 1e-9)
             .select("a", "b"), "links")
         members = materialize(
-            components(self._slim(star)).withColumnRenamed("c", "s")
-            .join(components(self._slim(links)), "n", "left")
+            shuffled_join(components(self._slim(star)).withColumnRenamed("c", "s"),
+                          components(self._slim(links)), "n", "left")
             .withColumn("c", F.coalesce("c", "n")), "members")
         more = materialize(self._between(members, cells), "more")
         # a component stays one by its edges to its smallest node
         joined = components(members.where("n <> c")
                             .select(F.col("n").alias("a"), F.col("c").alias("b"))
                             .union(more))
-        return (members.select("n", F.col("c").alias("old")).join(joined, "n", "left")
+        return (shuffled_join(members.select("n", F.col("c").alias("old")), joined, "n", "left")
                 .select("n", F.coalesce("c", "old").alias("c")))
 
     def _between(self, members: DataFrame, cells: DataFrame) -> DataFrame:
@@ -343,7 +346,9 @@ class NearDuplicates:
                  .where("parts > 1").select("s", F.col("top.c").alias("top")))
         weight = F.size("cells")
         step = 1 / self.least if 0 < self.least < 1 else 2.0
-        own = (members.join(mixed, "s").join(cells, "n")
+        # mixed, sizes and blocks may be broadcast: joined by shuffles, a hot cluster's
+        # cells would lie in one task
+        own = (shuffled_join(members.join(mixed, "s"), cells, "n")
                .select("s", "n", "c", (F.col("c") == F.col("top")).alias("main"),
                        F.floor(F.log(weight) / math.log(step)).cast("int").alias("size"),
                        weight.alias("weight"), "cells"))
@@ -365,7 +370,7 @@ class NearDuplicates:
         sides = [pairs.select("pair", "s", f"{side}.*", F.lit(k).alias("side"))
                  for k, side in enumerate("xy")]
         sides[1] = pairs.where("x <> y").select("pair", "s", "y.*", F.lit(1).alias("side"))
-        return (sides[0].union(sides[1]).join(own, block)
+        return (shuffled_join(sides[0].union(sides[1]), own, block)
                 .select("pair", "side", "c", "cells")
                 .groupBy("pair").applyInArrow(_linked(self.least), "a bigint, b bigint")
                 .distinct())
@@ -373,13 +378,13 @@ class NearDuplicates:
     def labelled(self) -> DataFrame:
         """(node, class_id, class_docs, keep): ``keep`` is the key of the one text
         that stands for the class, on one node of each class."""
-        every = (self.nodes.select("n", "node", "first_id", "docs", "rep")
-                 .join(self.classes(), "n", "left").withColumn("c", F.coalesce("c", "n")))
+        every = (shuffled_join(self.nodes.select("n", "node", "first_id", "docs", "rep"),
+                               self.classes(), "n", "left").withColumn("c", F.coalesce("c", "n")))
         every = materialize(every, "labelled")
         total = every.groupBy("c").agg(F.min("first_id").alias("class_id"),
                                        F.sum("docs").alias("class_docs"),
                                        F.min(F.struct("rep", "n")).alias("best"))
-        return every.join(total, "c").select(
+        return shuffled_join(every, total, "c").select(
             "node", "class_id", "class_docs",
             F.when(F.col("best.n") == F.col("n"), F.col("rep")).alias("keep"))
 
@@ -388,7 +393,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     **options) -> DataFrame:
     """One row per document: id, class_id, class_docs (rows in its class)."""
     nd = NearDuplicates(docs, id_col, text_col, **options)
-    return (nd.rows.select("_id", "node").join(nd.labelled(), "node")
+    return (shuffled_join(nd.rows.select("_id", "node"), nd.labelled(), "node")
             .select(F.col("_id").alias(id_col), "class_id", "class_docs"))
 
 
@@ -400,8 +405,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .select(F.col("keep._id").alias("rid"), F.col("keep.key").alias("rkey")))
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                         F.col(id_col).alias("_id"), _text_key(text_col).alias("key"))
-    return (whole.join(keep, (F.col("key") == F.col("rkey"))
-                       & F.col("_id").eqNullSafe(F.col("rid")))
+    return (shuffled_join(whole, keep, (F.col("key") == F.col("rkey"))
+                          & F.col("_id").eqNullSafe(F.col("rid")))
             .dropDuplicates(["_id", "key"]).select("row.*"))
 
 

@@ -23,6 +23,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffled_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """``left.join(right)`` with both sides shuffled and neither sent to the driver. For
+    sides that grow with the input: Spark broadcasts what it takes for small, and it counts
+    an array as one element, exploded or not, and stored rows by their compressed bytes."""
+    return left.hint("merge").join(right.hint("merge"), on, how)
+
+
 def plain_names(df: DataFrame) -> DataFrame:
     """The same columns named c0, c1, ... (names with dots or clashes do no harm then)."""
     return df.toDF(*[f"c{k}" for k in range(len(df.columns))])

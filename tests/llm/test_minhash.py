@@ -1,4 +1,5 @@
 import math
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -169,3 +170,23 @@ def test_components(spark):
 
 def test_schema_of_extra_columns(spark):
     assert m.one_of_each(spark.createDataFrame([doc(1, "a"), doc(1, "a")], DOCS)).count() == 1
+
+
+def test_no_join_goes_through_the_driver(spark, edge_docs, monkeypatch):
+    """Bands, cells and pairs are taken for small by Spark, however many there are."""
+    plans = []
+
+    def planned(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return df
+
+    written = m.materialize
+    monkeypatch.setattr(m, "materialize", lambda df, name: written(planned(df, name), name))
+    planned(m.near_duplicates(edge_docs), "rows of classes")
+    planned(m.one_of_each(edge_docs), "one of each")
+    joins = [(name, re.findall(r"\w+Join\b", plan)) for name, plan in plans]
+    assert {"ranked", "buckets", "cells", "links", "labels", "members", "labelled"} <= {
+        name for name, found in joins if found}
+    assert all(found[:1] in ([], ["SortMergeJoin"]) for name, found in joins if name != "own")
+    assert all(set(found) <= {"SortMergeJoin"} for name, found in joins
+               if name not in ("own", "more"))       # these have a row for each cluster
