@@ -50,6 +50,11 @@ def test_each_stage_on_its_input(spark):
     assert {r.doc_id for r in rows["packing"][1]} == {r.doc_id for r in after}
 
 
+def test_near_duplicates_are_not_joined_through_the_driver(spark):
+    plan = p.near_duplicates(spark, table(spark, "documents"), SF)
+    assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_run(spark):
     out = p.run(spark, SF)
     assert {"doc_id", "sequence_id", "offset"} <= set(out.columns) and out.count() > 0
